@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream, watermark, window-over-time, state or late-data
+construct; every report is a batch query over tables (the ``events`` table is
+read as a batch table). Nothing here is planned, so no streaming operator is
+offered rather than one the reference never needed.
+"""
