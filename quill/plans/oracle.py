@@ -48,3 +48,93 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 GROUP BY c_mktsegment, n_regionkey
 HAVING {s} > {int(round(min_mean * 100))} * count(c_acctbal)
 """
+
+
+# -- listings ---------------------------------------------------------------
+PID = K.national_id("c_custkey", "(c_custkey % 10)")
+
+
+@_reg("salary_listing")
+def _salary_listing(low=650, high=3000):
+    return f"""
+SELECT {PID} AS national_id, upper(c_name) AS full_name, r_name AS worker_type,
+       n_name AS city, {K.money(K.d('c_acctbal'))} AS base_salary
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE c_acctbal BETWEEN {low} AND {high}
+"""
+
+
+@_reg("invoice_listing")
+def _invoice_listing(low=100_000, high=250_000, vat="0.19"):
+    from quill.plans.listings import PAYMENT_LABELS
+    net = K.d("o_totalprice")
+    tax = K.round0(f"{net} * {vat}")
+    total = f"({net} + {tax})"
+    code = "CAST(substr(o_orderpriority, 1, 1) AS INTEGER)"
+    return f"""
+SELECT o_orderkey AS invoice_no, {K.day_de_month('o_orderdate')} AS issued,
+       o_custkey AS client_id,
+       {K.money(net, in_mask=True)} AS net_amount,
+       {K.money(tax, in_mask=True)} AS vat_amount,
+       {K.money(total, in_mask=True)} AS total_amount,
+       CASE WHEN {total} <= {low} THEN 'low' WHEN {total} <= {high} THEN 'medium'
+            ELSE 'high' END AS amount_class,
+       {K.simple_case(code, PAYMENT_LABELS, 'cheque')} AS payment_form
+FROM orders WHERE {K.in_year('o_orderdate', AS_OF.year - 1)}
+"""
+
+
+@_reg("client_credit")
+def _client_credit(credit=6000):
+    bal = K.d("c_acctbal")
+    ident = "replace(c_name, '#', '-')"
+    mail = "lower(replace(c_name, '#', '@'))"
+    return f"""
+SELECT {K.mask_id(ident)} AS masked_id, {K.title_case('c_name')} AS client,
+       coalesce(CAST(c_nationkey AS VARCHAR), 'no district') AS district,
+       CASE WHEN {bal} > 0.8 * {credit} THEN 'critical'
+            WHEN {bal} > 0.5 * {credit} THEN 'regular (' || {K.money(bal, in_mask=True)} || ')'
+            ELSE 'good (' || {K.money(f'{credit} - {bal}', in_mask=True)} || ')' END AS credit_status,
+       coalesce({K.mail_domain(mail)}, 'no mail') AS mail_domain
+FROM customer WHERE c_acctbal > 0
+"""
+
+
+@_reg("stock_report")
+def _stock_report(word="ring", rate=950, low=10, high=30, offer_min=40, offer_factor="0.9"):
+    price = K.d("p_retailprice")
+    return f"""
+SELECT p_partkey AS part_id, p_name AS description,
+       CASE WHEN {price} IS NULL THEN 'no record' ELSE {K.fixed2(price)} || ' USD' END AS cost_usd,
+       CASE WHEN {price} IS NULL THEN 'no record' ELSE {K.money(K.round0(f'{price} * {rate}'))} END AS cost_local,
+       p_size AS stock,
+       CASE WHEN p_size IS NULL THEN 'no data' WHEN p_size < {low} THEN 'stock very low'
+            WHEN p_size >= {low} AND p_size <= {high} THEN 'restock soon' ELSE 'ok' END AS stock_alert,
+       CASE WHEN p_size > {offer_min} THEN {K.money(K.round0(f'{price} * {offer_factor}'))}
+            ELSE 'n/a' END AS offer_price
+FROM part WHERE {K.has_word_starting('p_name', word)}
+"""
+
+
+@_reg("income_bands")
+def _income_bands(min_income=-1000, max_income=9000):
+    inc = K.d("c_acctbal")
+    return f"""
+SELECT {PID} AS national_id, c_name AS full_name, {K.money(inc, in_mask=True)} AS income,
+       CASE WHEN {inc} > 5000 THEN 'band 1' WHEN {inc} BETWEEN 4000 AND 5000 THEN 'band 2'
+            WHEN {inc} BETWEEN 2000 AND 3999.99 THEN 'band 3' WHEN {inc} < 2000 THEN 'band 4'
+            ELSE 'unclassified' END AS income_band
+FROM customer
+WHERE c_acctbal BETWEEN {min_income} AND {max_income} AND c_mktsegment IS NOT NULL
+"""
+
+
+def _part_row_sql(where):
+    return f"""
+SELECT p_partkey, p_name, p_brand, p_size, {K.d('p_retailprice')} AS p_retailprice
+FROM part WHERE {where}
+"""
+
+
+ORACLE["lookup_plain"] = _part_row_sql("p_name = 'hot ring'")
+ORACLE["lookup_by_upper"] = _part_row_sql("upper(p_name) = 'HOT RING'")

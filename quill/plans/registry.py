@@ -7,12 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.plans import summaries
+from quill.plans import listings, summaries
 from quill.plans.context import Ctx
 
 BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "avg_ratio_by_type": summaries.avg_ratio_by_type,
     "avg_by_category": summaries.avg_by_category,
+    "salary_listing": listings.salary_listing,
+    "invoice_listing": listings.invoice_listing,
+    "client_credit": listings.client_credit,
+    "stock_report": listings.stock_report,
+    "income_bands": listings.income_bands,
+    "lookup_plain": listings.lookup_plain,
+    "lookup_by_upper": listings.lookup_by_upper,
 }
 
 
