@@ -138,3 +138,188 @@ FROM part WHERE {where}
 
 ORACLE["lookup_plain"] = _part_row_sql("p_name = 'hot ring'")
 ORACLE["lookup_by_upper"] = _part_row_sql("upper(p_name) = 'HOT RING'")
+
+
+# -- sales (written in the reference's literal shape: real fan-out joins,
+#    ROW_NUMBER windows, IN (... INTERSECT ...), correlated EXISTS) -----------
+AS_OF_SQL = f"DATE '{AS_OF:%Y-%m-%d}'"
+
+
+def _cashier_sales(fan_out: bool, segment="BUILDING", min_total=50_000):
+    comm = f"{K.d('l_extendedprice')} * {K.d('l_discount')}"
+    if fan_out:
+        src = f"""customer JOIN nation ON c_nationkey = n_nationkey
+     LEFT JOIN orders ON c_custkey = o_custkey
+     LEFT JOIN lineitem ON o_orderkey = l_orderkey"""
+        cnt, tot, com = "count(o_orderkey)", f"sum({K.d('o_totalprice')})", f"sum({comm})"
+        having = f"sum(coalesce({K.d('o_totalprice')}, 0)) > {min_total}"
+    else:
+        src = f"""customer JOIN nation ON c_nationkey = n_nationkey
+     LEFT JOIN (SELECT o_orderkey, o_custkey, o_totalprice, lc.comm FROM orders
+                LEFT JOIN (SELECT l_orderkey, sum({comm}) AS comm FROM lineitem GROUP BY l_orderkey) lc
+                ON o_orderkey = lc.l_orderkey) o ON c_custkey = o.o_custkey"""
+        cnt, tot, com = "count(o_orderkey)", f"sum({K.d('o_totalprice')})", "sum(comm)"
+        having = f"sum(coalesce({K.d('o_totalprice')}, 0)) > {min_total}"
+    return f"""
+SELECT {PID} AS national_id, {K.title_case('c_name')} AS cashier, c_mktsegment AS worker_type,
+       n_name AS city, {cnt} AS ticket_count, {K.money(tot)} AS total_sold,
+       {K.money(f'coalesce({com}, 0)')} AS commission_total
+FROM {src}
+WHERE c_mktsegment = '{segment}'
+GROUP BY c_custkey, c_name, c_mktsegment, n_name
+HAVING {having}
+"""
+
+
+ORACLE["cashier_sales"] = _cashier_sales(True)
+ORACLE["cashier_sales_safe"] = _cashier_sales(False)
+
+
+@_reg("bonus_tenure")
+def _bonus_tenure(urgent="1-URGENT", health="NATION_7", cut=5, valid_days=730):
+    from quill.plans.sales import STATUS_LABELS
+    sal = K.d("c_acctbal")
+    ten = K.years_between(AS_OF, "f.first_order")
+    return f"""
+WITH hist AS (
+  SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate,
+         CASE WHEN o_orderstatus = 'O' THEN NULL
+              ELSE CAST(o_orderdate AS DATE) + {valid_days} END AS valid_to
+  FROM orders),
+open_rows AS (SELECT * FROM hist WHERE valid_to IS NULL OR valid_to > {AS_OF_SQL}),
+latest AS (
+  SELECT o_custkey, o_orderstatus FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey
+                                 ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM open_rows) WHERE rn = 1),
+deps AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '{urgent}'
+         GROUP BY o_custkey),
+f AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey)
+SELECT {PID} AS national_id, {K.title_case('c_name')} AS worker,
+       strftime(f.first_order, '%Y') AS hire_year, {ten} AS tenure_years,
+       CAST(coalesce(deps.n, 0) AS BIGINT) AS dependants, n_name AS health_system,
+       {K.money(sal)} AS base_salary,
+       CASE WHEN upper(n_name) = '{health}' THEN {K.money(K.round0(f'{sal} * 0.01'))}
+            ELSE '$0' END AS health_bonus,
+       {K.money(K.round0(f"{sal} * CASE WHEN {ten} <= {cut} THEN 0.10 ELSE 0.15 END"))} AS tenure_bonus,
+       r_name AS pension_fund,
+       {K.simple_case('latest.o_orderstatus', STATUS_LABELS, 'unknown')} AS status
+FROM customer c
+JOIN f ON f.o_custkey = c.c_custkey
+LEFT JOIN deps ON deps.o_custkey = c.c_custkey
+LEFT JOIN nation ON c_nationkey = n_nationkey
+LEFT JOIN region ON n_regionkey = r_regionkey
+LEFT JOIN latest ON latest.o_custkey = c.c_custkey
+WHERE EXISTS (SELECT 1 FROM open_rows e WHERE e.o_custkey = c.c_custkey)
+"""
+
+
+@_reg("two_sector_advisers")
+def _two_sector(a="F", b="O"):
+    p = K.d("o_totalprice")
+    return f"""
+SELECT c_custkey AS adviser_id, c_name AS adviser,
+       sum(CASE WHEN o_orderstatus = '{a}' THEN 1 ELSE 0 END) AS count_a,
+       {K.money(K.round0(f"sum(CASE WHEN o_orderstatus = '{a}' THEN {p} ELSE 0 END)"))} AS total_a,
+       sum(CASE WHEN o_orderstatus = '{b}' THEN 1 ELSE 0 END) AS count_b,
+       {K.money(K.round0(f"sum(CASE WHEN o_orderstatus = '{b}' THEN {p} ELSE 0 END)"))} AS total_b,
+       sum(CASE WHEN o_orderstatus IN ('{a}', '{b}') THEN 1 ELSE 0 END) AS count_total,
+       {K.money(K.round0(f"sum(CASE WHEN o_orderstatus IN ('{a}', '{b}') THEN {p} ELSE 0 END)"))} AS total_fees
+FROM customer JOIN orders ON c_custkey = o_custkey
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = '{a}'
+                    INTERSECT
+                    SELECT o_custkey FROM orders WHERE o_orderstatus = '{b}')
+GROUP BY c_custkey, c_name
+"""
+
+
+def _fee_summary(month=4):
+    p = K.d("o_totalprice")
+    return f"""
+SELECT c_custkey AS prof_id, c_name AS full_name, c_mktsegment AS profession, n_name AS district,
+       count(*) AS fee_count, {K.money(f'sum({p})')} AS fee_total,
+       {K.money(K.mean_rounded(f"sum({K.cents('o_totalprice')})", 'count(o_totalprice)'))} AS fee_mean,
+       {K.money(f'min({p})')} AS fee_min, {K.money(f'max({p})')} AS fee_max
+FROM customer JOIN orders ON c_custkey = o_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE {K.in_month('o_orderdate', AS_OF.year - 1, month)}
+GROUP BY c_custkey, c_name, c_mktsegment, n_name
+"""
+
+
+ORACLE["fee_summary"] = _fee_summary()
+ORACLE["ctas_fee_summary"] = _fee_summary()
+
+
+def _fees_cte(month=3):
+    return f"""fees AS (SELECT o_custkey, sum({K.d('o_totalprice')}) AS fee_sum FROM orders
+          WHERE {K.in_month('o_orderdate', AS_OF.year - 1, month)} GROUP BY o_custkey)"""
+
+
+def _raised(sal, threshold=240_000):
+    return K.round0(f"{sal} * CASE WHEN fee_sum < {threshold} THEN 1.10 ELSE 1.15 END")
+
+
+ORACLE["fee_before_after"] = f"""
+WITH {_fees_cte()}
+SELECT c_custkey AS prof_id, c_custkey AS id_number, {K.money('fee_sum')} AS fee_total,
+       {K.money(K.d('c_acctbal'))} AS salary_before,
+       {K.money(_raised(K.d('c_acctbal')))} AS salary_after
+FROM customer JOIN fees ON c_custkey = o_custkey
+"""
+
+ORACLE["update_by_aggregate"] = f"""
+WITH {_fees_cte()}
+SELECT c_custkey,
+       CAST(CASE WHEN EXISTS (SELECT 1 FROM fees f2 WHERE f2.o_custkey = c_custkey)
+                 THEN {_raised(K.d('c_acctbal'))} ELSE {K.d('c_acctbal')} END AS DECIMAL(18,2)) AS salary
+FROM customer LEFT JOIN fees ON c_custkey = o_custkey
+"""
+
+
+def _ticket_amount():
+    return f"CAST(floor({K.d('o_totalprice')} / 10000) * 10000 AS DECIMAL(18,0))"
+
+
+ORACLE["keep_last"] = f"""
+WITH t AS (SELECT o_custkey, o_orderkey, {_ticket_amount()} AS amount FROM orders),
+r AS (SELECT *, dense_rank() OVER (PARTITION BY o_custkey
+                                   ORDER BY amount DESC NULLS FIRST) AS dr FROM t)
+SELECT o_custkey AS c_custkey, max(amount) AS max_amount,
+       max(o_orderkey) FILTER (WHERE dr = 1) AS best_ticket
+FROM r GROUP BY o_custkey
+"""
+
+
+def _append_bonus_detail():
+    from quill.plans.sales import TENURE_BANDS
+    bands = ", ".join(f"({a}, {b}, CAST({r} AS DECIMAL(5,2)))" for a, b, r in TENURE_BANDS)
+    sal = K.d("c_acctbal")
+    amt = "mt.max_amount"
+    bonus = (f"(CASE WHEN {amt} > 100000 THEN {amt} * 0.07 "
+             f"WHEN {amt} > 50000 AND {amt} <= 100000 THEN {amt} * 0.05 ELSE 0 END)")
+    return f"""
+WITH f AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey),
+bands(lo, hi, rate) AS (VALUES {bands}),
+t AS (SELECT o_custkey, o_orderkey, {_ticket_amount()} AS amount FROM orders),
+r AS (SELECT *, dense_rank() OVER (PARTITION BY o_custkey ORDER BY amount DESC NULLS FIRST) AS dr FROM t),
+mt AS (SELECT o_custkey, max(amount) AS max_amount,
+              max(o_orderkey) FILTER (WHERE dr = 1) AS best_ticket FROM r GROUP BY o_custkey),
+w AS (SELECT c.*, f.first_order, n_name, r_name, {K.years_between(AS_OF, 'f.first_order')} AS tenure
+      FROM customer c JOIN f ON f.o_custkey = c.c_custkey
+      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT row_number() OVER (ORDER BY w.c_custkey, b.lo) AS num,
+       CAST(w.c_custkey AS VARCHAR) || '-' || CAST(w.c_custkey % 10 AS VARCHAR) AS rut,
+       {K.title_case('w.c_name')} AS worker_name,
+       {K.grouped(sal)} AS base_salary,
+       coalesce(CAST(mt.best_ticket AS VARCHAR), 'no info') AS ticket_no,
+       n_name AS address, {K.full_name('r_name', 'n_name')} AS health_system,
+       coalesce({K.grouped(amt)}, 'no info') AS amount,
+       coalesce({K.grouped(K.round0(bonus))}, 'no info') AS ticket_bonus,
+       {K.grouped(K.round0(f'{sal} + {bonus}'))} AS sim_ticket,
+       {K.grouped(K.round0(f'{sal} * (1 + b.rate)'))} AS sim_tenure
+FROM w JOIN bands b ON w.tenure BETWEEN b.lo AND b.hi
+LEFT JOIN mt ON mt.o_custkey = w.c_custkey
+"""
+
+
+ORACLE["append_bonus_detail"] = _append_bonus_detail()

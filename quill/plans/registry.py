@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.plans import listings, summaries
+from quill.plans import listings, sales, summaries
 from quill.plans.context import Ctx
 
 BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
@@ -20,6 +20,16 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "income_bands": listings.income_bands,
     "lookup_plain": listings.lookup_plain,
     "lookup_by_upper": listings.lookup_by_upper,
+    "cashier_sales": sales.cashier_sales,
+    "cashier_sales_safe": sales.cashier_sales_safe,
+    "bonus_tenure": sales.bonus_tenure,
+    "two_sector_advisers": sales.two_sector_advisers,
+    "fee_summary": sales.fee_summary,
+    "ctas_fee_summary": sales.ctas_fee_summary,
+    "fee_before_after": sales.fee_before_after,
+    "update_by_aggregate": sales.update_by_aggregate,
+    "keep_last": sales.keep_last_ticket,
+    "append_bonus_detail": sales.append_bonus_detail,
 }
 
 
