@@ -45,15 +45,17 @@ def orphans(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str) -
                        F.col("n").cast("long").alias("n"))
 
 
-def null_counts(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
-    """NOT NULL rule: NULL count per column, all columns in one scan."""
+def null_counts(df: DataFrame, table: str, cols: list[str], keep_zero: bool = False
+                ) -> DataFrame:
+    """NOT NULL rule: NULL count per column, all columns in one scan
+    (``keep_zero`` also lists the clean columns, as a profile)."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("n")) for c in cols]))
     return (agg.select(rows.alias("r"))
             .select(F.lit(table).alias("table_name"), F.lit("not_null").alias("rule"),
                     F.col("r.c").alias("column_name"), F.lit(None).cast("string").alias("key_value"),
                     F.col("r.n").cast("long").alias("n"))
-            .filter(F.col("n") > 0))
+            .filter(F.lit(keep_zero) | (F.col("n") > 0)))
 
 
 def check_rules(df: DataFrame, table: str, keys: list[str],

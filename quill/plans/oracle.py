@@ -219,11 +219,11 @@ def _two_sector(a="F", b="O"):
     p = K.d("o_totalprice")
     return f"""
 SELECT c_custkey AS adviser_id, c_name AS adviser,
-       sum(CASE WHEN o_orderstatus = '{a}' THEN 1 ELSE 0 END) AS count_a,
+       CAST(sum(CASE WHEN o_orderstatus = '{a}' THEN 1 ELSE 0 END) AS BIGINT) AS count_a,
        {K.money(K.round0(f"sum(CASE WHEN o_orderstatus = '{a}' THEN {p} ELSE 0 END)"))} AS total_a,
-       sum(CASE WHEN o_orderstatus = '{b}' THEN 1 ELSE 0 END) AS count_b,
+       CAST(sum(CASE WHEN o_orderstatus = '{b}' THEN 1 ELSE 0 END) AS BIGINT) AS count_b,
        {K.money(K.round0(f"sum(CASE WHEN o_orderstatus = '{b}' THEN {p} ELSE 0 END)"))} AS total_b,
-       sum(CASE WHEN o_orderstatus IN ('{a}', '{b}') THEN 1 ELSE 0 END) AS count_total,
+       CAST(sum(CASE WHEN o_orderstatus IN ('{a}', '{b}') THEN 1 ELSE 0 END) AS BIGINT) AS count_total,
        {K.money(K.round0(f"sum(CASE WHEN o_orderstatus IN ('{a}', '{b}') THEN {p} ELSE 0 END)"))} AS total_fees
 FROM customer JOIN orders ON c_custkey = o_custkey
 WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = '{a}'
@@ -323,3 +323,290 @@ LEFT JOIN mt ON mt.o_custkey = w.c_custkey
 
 
 ORACLE["append_bonus_detail"] = _append_bonus_detail()
+
+
+# -- views ------------------------------------------------------------------
+def _view_raises_sql():
+    from quill.plans.views import SCHOOL_BONUS
+    vals = ", ".join(f"({k}, '{v[0]}', {v[1]})" for k, v in SCHOOL_BONUS.items())
+    sal = K.d("c_acctbal")
+    pct = "CAST(s.pct AS DECIMAL(5,0))"
+    return f"""
+WITH s(school_key, level, pct) AS (VALUES {vals})
+SELECT CAST(c_custkey AS VARCHAR) || '-' || CAST(c_custkey % 10 AS VARCHAR) AS rut,
+       {K.title_case('c_name')} AS worker, s.level AS level, s.pct AS pct, {sal} AS salary,
+       {K.round0(f'{sal} * ({pct} * 0.01)')} AS raise_amount,
+       {K.round0(f'{sal} * (1 + {pct} * 0.01)')} AS raised_salary,
+       count(o_orderkey) AS dependants, n_name AS city, c_mktsegment AS contract_type
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+JOIN s ON n_regionkey = s.school_key
+LEFT JOIN orders ON c_custkey = o_custkey AND o_orderpriority = '1-URGENT'
+GROUP BY c_custkey, c_name, c_acctbal, s.level, s.pct, n_name, c_mktsegment
+"""
+
+
+ORACLE["view_raises"] = _view_raises_sql()
+ORACLE["view_readback"] = (f"SELECT rut, worker, level, pct, salary, raise_amount, raised_salary "
+                           f"FROM ({_view_raises_sql()})")
+
+
+def _fines_sql(rebate: bool):
+    from quill.plans.views import REBATE_CAREERS
+    price = K.d("p_retailprice")
+    days = "CAST(datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER)"
+    fine = f"(CAST({days} AS DECIMAL(10,0)) * ({price} * 0.03))"
+    careers = ", ".join(f"'{c}'" for c in REBATE_CAREERS)
+    extra = ""
+    if rebate:
+        extra = f""",
+       CASE WHEN c_mktsegment IN ({careers}) THEN 20 ELSE 0 END AS rebate_pct,
+       {K.round0(f"{fine} * (1 - CASE WHEN upper(trim(c_mktsegment)) IN ({careers.upper()}) THEN 0.2 ELSE 0 END)")} AS rebated_fine"""
+    return f"""
+SELECT l_orderkey AS loan_id, l_linenumber AS loan_line,
+       {K.full_name('c_name', 'c_mktsegment')} AS student, c_mktsegment AS career,
+       p_partkey AS book_id, {price} AS book_price, CAST(o_orderdate AS DATE) AS due_date,
+       CAST(l_shipdate AS DATE) AS returned_date, {days} AS days_late,
+       {K.round0(fine)} AS fine{extra}
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey
+WHERE l_shipdate > o_orderdate AND year(o_orderdate) = {AS_OF.year - 2}
+"""
+
+
+ORACLE["view_fines"] = _fines_sql(True)
+ORACLE["view_fines_brief"] = _fines_sql(False)
+
+
+@_reg("view_clients")
+def _view_clients(status="P", priority="1-URGENT", refund_years=2, free_years=6):
+    yrs = K.years_between(AS_OF, "f.first_order")
+    n = "count(o.o_orderkey)"
+    return f"""
+WITH f AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey)
+SELECT {PID} AS company_id, c_name AS company_name, '19%' AS vat, {yrs} AS years_active,
+       {n} AS total_advisories,
+       CASE WHEN {yrs} >= {refund_years}
+            THEN {K.money(K.round0(f"{K.d('c_acctbal')} * 0.05"), in_mask=True)} ELSE '$0' END AS vat_refund,
+       CASE WHEN {n} >= 3 THEN 'major client' WHEN {n} BETWEEN 1 AND 2 THEN 'frequent client'
+            ELSE 'new client' END AS client_type,
+       CASE WHEN {yrs} >= {free_years} THEN 'free advisory' WHEN {n} = 0 THEN 'win client'
+            ELSE 'no benefit' END AS benefit
+FROM customer c LEFT JOIN f ON f.o_custkey = c.c_custkey
+LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = '{status}'
+                  AND o.o_orderpriority = '{priority}'
+GROUP BY c.c_custkey, c.c_name, c.c_acctbal, f.first_order
+"""
+
+
+# -- stock, payroll, product update ------------------------------------------
+def _stock_sql(suppliers=(1, 5, 9)):
+    sup = ", ".join(str(s) for s in suppliers)
+    total = "count(DISTINCT (e.l_orderkey, e.l_linenumber))"
+    # a row value of two NULLs is not NULL in DuckDB: count matched keys only
+    out = ("count(DISTINCT CASE WHEN p.l_orderkey IS NOT NULL "
+           "THEN (p.l_orderkey, p.l_linenumber) END)")
+    return f"""
+SELECT l.p_partkey AS book_id, l.p_name AS book_name,
+       {total} AS total_copies, {out} AS on_loan, {total} - {out} AS available,
+       {K.round_ratio(f'{out} * 100', total)} AS loan_pct,
+       CASE WHEN {total} - {out} > 2 THEN 'S' ELSE 'N' END AS enough_stock
+FROM part l
+JOIN lineitem e ON l.p_partkey = e.l_partkey
+LEFT JOIN lineitem p ON p.l_orderkey = e.l_orderkey AND p.l_linenumber = e.l_linenumber
+      AND year(p.l_shipdate) = {AS_OF.year - 2} AND p.l_suppkey IN ({sup})
+GROUP BY l.p_partkey, l.p_name
+"""
+
+
+ORACLE["stock_control"] = _stock_sql()
+ORACLE["ctas_stock"] = _stock_sql()
+
+
+def _payroll_sql():
+    from quill.plans.stock import CONTRACTS, MOBILITY, SALARY_BANDS
+    cvals = ", ".join(
+        f"('{k}', '{v[0]}', {v[1]}, {('CAST(' + v[2] + ' AS DECIMAL(4,2))') if v[2] else 'CAST(NULL AS DECIMAL(4,2))'})"
+        for k, v in CONTRACTS.items())
+    bvals = ", ".join(f"(CAST({a} AS DECIMAL(18,2)), CAST({b} AS DECIMAL(18,2)), CAST({r} AS DECIMAL(5,2)))"
+                      for a, b, r in SALARY_BANDS)
+    sal = K.d("c_acctbal")
+    comm = "coalesce(t.commission, 0)"
+    pct = "(b.rate * 0.01)"
+    arms = " ".join(f"WHEN t.contract = '{k}' THEN {v}" for k, v in MOBILITY.items())
+    bonus = f"(CASE {arms} ELSE t.incentive END)"
+    return f"""
+WITH t(seg, contract, incentive, commission) AS (VALUES {cvals}),
+b(lo, hi, rate) AS (VALUES {bvals})
+SELECT c_custkey AS prof_rut, c_name AS prof_name, c_mktsegment AS profession,
+       n_name AS health_plan, {sal} AS base_salary, t.commission * 100 AS commission_pct,
+       {K.round0(f'{sal} * {comm}')} AS commission_value,
+       {K.round0(f'{sal} * {pct}')} AS fee_value,
+       CAST({bonus} AS INTEGER) AS mobility_bonus,
+       {K.round0(f'{sal} + {sal} * {comm} + {sal} * {pct} + {bonus}')} AS total_pay
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+JOIN t ON c_mktsegment = t.seg
+JOIN b ON {sal} BETWEEN b.lo AND b.hi
+"""
+
+
+ORACLE["payroll"] = _payroll_sql()
+ORACLE["reload_payroll"] = _payroll_sql()
+
+ORACLE["update_literal"] = """
+SELECT p_partkey, p_name, p_brand,
+       CAST(CASE WHEN p_partkey >= 101 AND p_partkey <= 999 THEN 1000
+                 WHEN p_partkey <= 99 THEN 100 END AS BIGINT) AS related_part
+FROM part
+"""
+
+
+# -- building blocks ----------------------------------------------------------
+ORACLE["scan_project"] = f"""
+SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS part_id,
+       {K.d('l_quantity')} AS quantity, {K.d('l_extendedprice')} AS amount,
+       CAST(l_shipdate AS DATE) AS ship_day
+FROM lineitem
+"""
+
+ORACLE["lenient_cast_load"] = f"""
+WITH t AS (
+  SELECT o_orderkey,
+         CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%d%m%Y')
+                             WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y')
+                             ELSE strftime(o_orderdate, '%d-%m-%Y') END AS date_text,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'n/a'
+              ELSE CAST({K.d('o_totalprice')} AS VARCHAR) END AS amount_text
+  FROM orders),
+p AS (SELECT *, CAST(try_strptime(regexp_replace(date_text, '[^0-9]', '', 'g'), '%d%m%Y') AS DATE)
+                AS parsed_date FROM t)
+SELECT o_orderkey, date_text, parsed_date, amount_text,
+       TRY_CAST(trim(amount_text) AS DECIMAL(18,2)) AS amount,
+       make_date({AS_OF.year - 1}, month(parsed_date), 1) AS rerun_date
+FROM p
+"""
+
+ORACLE["assign_keys"] = """
+SELECT row_number() OVER (ORDER BY o_orderkey) + 79 AS key, o_orderkey, o_custkey FROM orders
+"""
+
+
+def _band_join_value_sql():
+    from quill.plans.basics import VALUE_BANDS
+    vals = ", ".join(f"(CAST({a} AS DECIMAL(18,2)), CAST({b} AS DECIMAL(18,2)), CAST({r} AS DECIMAL(5,2)))"
+                     for a, b, r in VALUE_BANDS)
+    return f"""
+WITH b(lo, hi, rate) AS (VALUES {vals})
+SELECT c_custkey, {K.d('c_acctbal')} AS balance, b.lo, b.hi, b.rate AS band
+FROM customer JOIN b ON {K.d('c_acctbal')} BETWEEN b.lo AND b.hi
+"""
+
+
+def _band_join_tenure_sql():
+    from quill.plans.basics import YEAR_BANDS
+    vals = ", ".join(f"({a}, {b}, CAST({r} AS DECIMAL(5,2)))" for a, b, r in YEAR_BANDS)
+    ten = K.years_between(AS_OF, "o_orderdate")
+    return f"""
+WITH b(lo, hi, rate) AS (VALUES {vals})
+SELECT o_orderkey, {ten} AS tenure, b.lo, b.hi, b.rate
+FROM orders JOIN b ON {ten} BETWEEN b.lo AND b.hi
+"""
+
+
+ORACLE["band_join_value"] = _band_join_value_sql()
+ORACLE["band_join_tenure"] = _band_join_tenure_sql()
+
+ORACLE["semi_exists"] = f"""
+SELECT c_custkey, c_name FROM customer c
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
+              AND {K.in_month('o.o_orderdate', AS_OF.year - 1, 3)})
+"""
+
+ORACLE["intersect_keys"] = """
+SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'
+INTERSECT
+SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'
+"""
+
+ORACLE["latest_status"] = f"""
+SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate FROM (
+  SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders
+  WHERE o_orderstatus = 'O' OR CAST(o_orderdate AS DATE) + 730 > {AS_OF_SQL})
+WHERE rn = 1
+"""
+
+
+def _audit_pk_sql():
+    from quill.plans.basics import AUDITED
+    from quill.sources.schemas import PRIMARY_KEYS
+    parts = []
+    for t in AUDITED:
+        ks = PRIMARY_KEYS[t]
+        key_text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in ks)
+        has_null = " OR ".join(f"{k} IS NULL" for k in ks)
+        parts.append(f"""SELECT '{t}' AS table_name,
+       CASE WHEN {has_null} THEN 'pk_null' ELSE 'pk_duplicate' END AS rule,
+       '{','.join(ks)}' AS column_name, {key_text} AS key_value, count(*) AS n
+FROM {t} GROUP BY {', '.join(ks)} HAVING count(*) > 1 OR {has_null}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _audit_fk_sql():
+    from quill.sources.schemas import FOREIGN_KEYS
+    parts = []
+    for ct, cc, pt, pc in FOREIGN_KEYS:
+        parts.append(f"""SELECT '{ct}' AS table_name, 'fk_orphan' AS rule, '{cc}' AS column_name,
+       CAST({cc} AS VARCHAR) AS key_value, count(*) AS n
+FROM {ct} WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pc} FROM {pt} WHERE {pc} IS NOT NULL)
+GROUP BY {cc}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _audit_not_null_sql():
+    from quill.plans.basics import AUDITED
+    from quill.sources.schemas import SCHEMAS
+    parts = []
+    for t in AUDITED:
+        for c in SCHEMAS[t].fieldNames():
+            parts.append(f"SELECT '{t}' AS table_name, 'not_null' AS rule, '{c}' AS column_name, "
+                         f"CAST(NULL AS VARCHAR) AS key_value, count(*) FILTER (WHERE {c} IS NULL) AS n "
+                         f"FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _audit_check_sql():
+    from quill.sources.schemas import PRIMARY_KEYS
+    rules = {
+        "customer": [("segment_domain", "c_mktsegment",
+                      "c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"),
+                     ("balance_non_negative", "c_acctbal", "c_acctbal >= 0"),
+                     ("name_length_25", "c_name", "length(c_name) <= 25")],
+        "orders": [("status_domain", "o_orderstatus", "o_orderstatus IN ('F', 'O', 'P')"),
+                   ("price_precision_8_2", "o_totalprice", "abs(o_totalprice) < 1000000")],
+        "lineitem": [("returnflag_domain", "l_returnflag", "l_returnflag IN ('A', 'N', 'R')"),
+                     ("linestatus_domain", "l_linestatus", "l_linestatus IN ('O', 'F')"),
+                     ("discount_range", "l_discount", "l_discount BETWEEN 0 AND 0.1"),
+                     ("quantity_positive", "l_quantity", "l_quantity > 0")],
+        "part": [("size_range", "p_size", "p_size BETWEEN 1 AND 50")],
+    }
+    parts = []
+    for t, rs in rules.items():
+        ks = PRIMARY_KEYS[t]
+        key_text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in ks)
+        for r, c, ok in rs:
+            parts.append(f"SELECT '{t}' AS table_name, '{r}' AS rule, '{c}' AS column_name, "
+                         f"{key_text} AS key_value, CAST(1 AS BIGINT) AS n FROM {t} "
+                         f"WHERE NOT coalesce({ok}, true)")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["audit_pk"] = _audit_pk_sql()
+ORACLE["audit_fk"] = _audit_fk_sql()
+ORACLE["audit_not_null"] = _audit_not_null_sql()
+ORACLE["audit_check"] = _audit_check_sql()
+
+ORACLE["layout_year_pruned"] = f"""
+SELECT o_orderkey, o_custkey, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS o_year
+FROM orders WHERE year(o_orderdate) = {AS_OF.year - 1}
+"""

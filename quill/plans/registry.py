@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.plans import listings, sales, summaries
+from quill.plans import basics, listings, sales, stock, summaries, views
 from quill.plans.context import Ctx
 
 BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
@@ -30,6 +30,29 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "update_by_aggregate": sales.update_by_aggregate,
     "keep_last": sales.keep_last_ticket,
     "append_bonus_detail": sales.append_bonus_detail,
+    "view_raises": views.view_raises,
+    "view_readback": views.view_readback,
+    "view_fines": views.view_fines,
+    "view_fines_brief": views.view_fines_brief,
+    "view_clients": views.view_clients,
+    "stock_control": stock.stock_control,
+    "ctas_stock": stock.ctas_stock,
+    "payroll": stock.payroll,
+    "reload_payroll": stock.reload_payroll,
+    "update_literal": stock.update_literal,
+    "scan_project": basics.scan_project,
+    "lenient_cast_load": basics.lenient_cast_load,
+    "assign_keys": basics.assign_order_keys,
+    "band_join_value": basics.band_join_value,
+    "band_join_tenure": basics.band_join_tenure,
+    "semi_exists": basics.semi_exists,
+    "intersect_keys": basics.intersect_keys,
+    "latest_status": basics.latest_status,
+    "audit_pk": basics.audit_pk,
+    "audit_fk": basics.audit_fk,
+    "audit_not_null": basics.audit_not_null,
+    "audit_check": basics.audit_check,
+    "layout_year_pruned": basics.layout_year_pruned,
 }
 
 

@@ -67,7 +67,8 @@ class TableStore:
         vs = self.versions(name)
         path = self._version_path(name, (vs[-1] + 1) if vs else 1)
         if sort_within:
-            df = df.sortWithinPartitions(*sort_within)
+            # partition columns first: the partitioned writer needs that order
+            df = df.sortWithinPartitions(*(list(partition_by or []) + list(sort_within)))
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
