@@ -4,9 +4,10 @@
 Cartesian join. Here it becomes an equi-join: the value axis is cut into
 buckets, every band is exploded into the buckets it covers, rows join on the
 bucket id, and the exact inclusive comparison is the residual filter. The
-band side is broadcast only when its exploded row count — computed, not
-guessed — is under a limit; otherwise both sides shuffle on the bucket id
-(AQE may still switch to broadcast at run time, and splits a hot bucket).
+band side is broadcast only when an upper bound on its exploded row count —
+computed from the band table, not guessed — is under a limit; otherwise both
+sides shuffle on the bucket id (AQE may still switch to broadcast at run
+time, and splits a hot bucket).
 
 Semantics kept from the reference: both ends inclusive, a value in no band
 drops the row (inner join), a value in two overlapping bands yields two rows.
@@ -33,9 +34,14 @@ def band_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: str =
     with NULL band columns). Band columns other than ``lo``/``hi`` are kept.
     """
     value = as_col(value)
+    # One small job over the band table: axis range, band count and total
+    # band length. They fix the bucket width and bound the exploded size.
     st = bands.agg(F.min(lo).cast("double").alias("mn"), F.max(hi).cast("double").alias("mx"),
-                   F.count(F.lit(1)).alias("n")).first()
-    mn, mx = (st["mn"], st["mx"]) if st["n"] and st["mn"] is not None else (0.0, 0.0)
+                   F.count(F.lit(1)).alias("n"),
+                   F.sum(F.col(hi).cast("double") - F.col(lo).cast("double")).alias("len")
+                   ).first()
+    n = st["n"] or 0
+    mn, mx = (st["mn"], st["mx"]) if n and st["mn"] is not None else (0.0, 0.0)
     width = max((mx - mn) / target_buckets, 1.0) if mx > mn else 1.0
 
     def bucket(c: Column) -> Column:
@@ -45,8 +51,9 @@ def band_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: str =
 
     exploded = bands.withColumn(
         "_band_bucket", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))))
-    n_rows = exploded.count()
-    if n_rows <= broadcast_rows:
+    # a band [lo, hi] covers at most (hi - lo) / width + 2 buckets
+    max_rows = (st["len"] or 0.0) / width + 2 * n
+    if max_rows <= broadcast_rows:
         exploded = F.broadcast(exploded)
     left = df.withColumn("_band_bucket", bucket(value))
     cond = ((left["_band_bucket"] == exploded["_band_bucket"])

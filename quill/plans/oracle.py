@@ -438,7 +438,8 @@ def _payroll_sql():
 WITH t(seg, contract, incentive, commission) AS (VALUES {cvals}),
 b(lo, hi, rate) AS (VALUES {bvals})
 SELECT c_custkey AS prof_rut, c_name AS prof_name, c_mktsegment AS profession,
-       n_name AS health_plan, {sal} AS base_salary, t.commission * 100 AS commission_pct,
+       n_name AS health_plan, {sal} AS base_salary,
+       CAST(t.commission * 100 AS DECIMAL(6,2)) AS commission_pct,
        {K.round0(f'{sal} * {comm}')} AS commission_value,
        {K.round0(f'{sal} * {pct}')} AS fee_value,
        CAST({bonus} AS INTEGER) AS mobility_bonus,

@@ -103,7 +103,7 @@ def payroll(ctx: Ctx) -> DataFrame:
         F.col("c_custkey").alias("prof_rut"), F.col("c_name").alias("prof_name"),
         F.col("c_mktsegment").alias("profession"), F.col("n_name").alias("health_plan"),
         sal.alias("base_salary"),
-        (F.col("commission") * 100).alias("commission_pct"),
+        (F.col("commission") * 100).cast("decimal(6,2)").alias("commission_pct"),
         round0(sal * comm).alias("commission_value"),
         round0(sal * pct).alias("fee_value"),
         bonus.cast("int").alias("mobility_bonus"),
