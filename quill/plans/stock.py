@@ -110,9 +110,21 @@ def payroll(ctx: Ctx) -> DataFrame:
         round0(sal + sal * comm + sal * pct + bonus).alias("total_pay"))
 
 
+PAYROLL_SCHEMA = T.StructType([
+    T.StructField("prof_rut", T.LongType()), T.StructField("prof_name", T.StringType()),
+    T.StructField("profession", T.StringType()), T.StructField("health_plan", T.StringType()),
+    T.StructField("base_salary", T.DecimalType(18, 2)),
+    T.StructField("commission_pct", T.DecimalType(6, 2)),
+    T.StructField("commission_value", T.DecimalType(38, 0)),
+    T.StructField("fee_value", T.DecimalType(38, 0)),
+    T.StructField("mobility_bonus", T.IntegerType()),
+    T.StructField("total_pay", T.DecimalType(38, 0))])
+
+
 def reload_payroll(ctx: Ctx) -> DataFrame:
-    """R20 as ``TRUNCATE`` + ``INSERT … SELECT``, then ``SELECT *``."""
-    return ctx.store.reload(payroll(ctx), "payroll")
+    """R20 as ``TRUNCATE`` + ``INSERT … SELECT`` into the declared payroll
+    table, then ``SELECT *``."""
+    return ctx.store.reload(payroll(ctx), "payroll", schema=PAYROLL_SCHEMA)
 
 
 # -- R21 --------------------------------------------------------------------

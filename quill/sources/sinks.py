@@ -86,10 +86,14 @@ class TableStore:
         """``CREATE TABLE name (...)`` with no rows."""
         return self.create_as(self.spark.createDataFrame([], schema), name)
 
-    def reload(self, df: DataFrame, name: str) -> DataFrame:
+    def reload(self, df: DataFrame, name: str, schema: T.StructType | None = None
+               ) -> DataFrame:
         """``TRUNCATE`` then ``INSERT … SELECT``: a new version with only ``df``,
-        columns aligned to the existing table by name."""
-        if self.exists(name):
+        columns aligned by name to the declared ``schema`` (the table's DDL)
+        or, without one, to the existing table."""
+        if schema is not None:
+            df = align_by_name(df, schema)
+        elif self.exists(name):
             df = align_by_name(df, self.read(name).schema)
         self._write_new_version(df, name)
         return self.read(name)
