@@ -26,10 +26,17 @@ def month_bounds(year: int, month: int) -> tuple[dt.datetime, dt.datetime]:
     return dt.datetime(year, month, 1), dt.datetime(*nxt, 1)
 
 
+def ts_lit(t: dt.datetime) -> Column:
+    """Wall-clock timestamp literal (TIMESTAMP_NTZ): no session or process
+    time zone can move a calendar boundary. Folded to a constant, so still
+    pushed into the scan."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def in_range(c, bounds) -> Column:
     lo, hi = bounds
     c = as_col(c)
-    return (c >= F.lit(lo)) & (c < F.lit(hi))
+    return (c >= ts_lit(lo)) & (c < ts_lit(hi))
 
 
 def in_year(c, year: int) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from quill.functions import (dec, full_name, in_year, money, round0, title_case,
                              years_between)
-from quill.functions.dates import days_between, to_day, year_bounds
+from quill.functions.dates import days_between, to_day, ts_lit, year_bounds
 from quill.plans.context import Ctx
 from quill.plans.people import check_char, order_profile, person_id, salary
 
@@ -86,7 +86,7 @@ def _late_loans(ctx: Ctx, years_back: int = 2) -> DataFrame:
     year = ctx.as_of.year - years_back
     lo, _ = year_bounds(year)
     o = ctx.t.orders.filter(in_year("o_orderdate", year))
-    li = ctx.t.lineitem.filter(F.col("l_shipdate") > F.lit(lo))
+    li = ctx.t.lineitem.filter(F.col("l_shipdate") > ts_lit(lo))
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .filter(F.col("l_shipdate") > F.col("o_orderdate"))
          .join(ctx.t.customer, F.col("o_custkey") == F.col("c_custkey"))

@@ -40,3 +40,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["invoice_listing", "fee_summary", "view_fines", "bonus_tenure",
+                                  "lenient_cast_load", "semi_exists", "layout_year_pruned"])
+def test_date_queries_independent_of_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(E.oracle_sql()[name])
+    assert rows_key(df.columns, rows) == rows_key([d[0] for d in res.description], res.fetchall())
