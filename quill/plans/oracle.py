@@ -360,7 +360,9 @@ def _fines_sql(rebate: bool):
     if rebate:
         extra = f""",
        CASE WHEN c_mktsegment IN ({careers}) THEN 20 ELSE 0 END AS rebate_pct,
-       {K.round0(f"{fine} * (1 - CASE WHEN upper(trim(c_mktsegment)) IN ({careers.upper()}) THEN 0.2 ELSE 0 END)")} AS rebated_fine"""
+       {K.round0(f"{fine} * (1 - CASE WHEN upper(trim(c_mktsegment)) IN ({careers.upper()}) THEN 0.2 ELSE 0 END)")} AS rebated_fine,
+       coalesce(c_mktsegment IN ({careers}), false)
+         = coalesce(upper(trim(c_mktsegment)) IN ({careers.upper()}), false) AS rebate_consistent"""
     return f"""
 SELECT l_orderkey AS loan_id, l_linenumber AS loan_line,
        {K.full_name('c_name', 'c_mktsegment')} AS student, c_mktsegment AS career,

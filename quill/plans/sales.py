@@ -9,7 +9,6 @@ line items to customers.
 
 from __future__ import annotations
 
-import datetime as dt
 import decimal
 
 from pyspark.sql import DataFrame

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.functions import cents, dec, mean_rounded, money, round_ratio
+from quill.functions import cents, mean_rounded, money, round_ratio
 from quill.functions.case import simple_case
 from quill.plans.context import Ctx
 

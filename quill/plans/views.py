@@ -111,7 +111,10 @@ def _fine_columns(rebate: bool, rate: str = "0.03", rebate_pct: int = 20):
         in_norm = F.upper(F.trim("c_mktsegment")).isin([c.upper() for c in REBATE_CAREERS])
         cols += [F.when(in_raw, F.lit(rebate_pct)).otherwise(F.lit(0)).alias("rebate_pct"),
                  round0(fine * (F.lit(1) - F.when(in_norm, F.lit(D(rebate_pct) / 100))
-                                .otherwise(F.lit(D(0))))).alias("rebated_fine")]
+                                .otherwise(F.lit(D(0))))).alias("rebated_fine"),
+                 # audit column: do the two tests agree on this row?
+                 (F.coalesce(in_raw, F.lit(False)) == F.coalesce(in_norm, F.lit(False)))
+                 .alias("rebate_consistent")]
     return cols
 
 
