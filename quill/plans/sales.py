@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quill.functions import (cents, dec, full_name, grouped, in_month, mean_rounded, money,
-                             round0, title_case, years_between)
+from quill.functions import (cents, dec, from_units, full_name, grouped, in_month,
+                             mean_rounded, money, round0, round_ratio, title_case, years_between)
 from quill.functions.case import simple_case
 from quill.functions.dates import add_months_year
 from quill.operators import assign_keys, band_join, cond_count, cond_sum, keep_last
@@ -30,11 +30,12 @@ D = decimal.Decimal
 # -- R2 ---------------------------------------------------------------------
 def _line_commissions(ctx: Ctx) -> DataFrame:
     """Per order: number of lines and the sum of line commissions
-    (extended price x discount), aggregated before any join."""
+    (extended price x discount), aggregated before any join. The commission
+    is kept exact as a long count of 1/10,000 (cents x hundredths)."""
     li = ctx.t.lineitem
     return (li.groupBy("l_orderkey")
             .agg(F.count(F.lit(1)).alias("n_lines"),
-                 F.sum(dec("l_extendedprice") * dec("l_discount")).alias("commission")))
+                 F.sum(cents("l_extendedprice") * cents("l_discount")).alias("commission_u4")))
 
 
 def cashier_sales(ctx: Ctx, segment: str = "BUILDING", min_total: int = 50_000,
@@ -49,23 +50,24 @@ def cashier_sales(ctx: Ctx, segment: str = "BUILDING", min_total: int = 50_000,
     count and ``k x price`` to the total, which is exactly what the joined
     rows would add. ``fan_out=False`` counts each order once.
     """
-    per_order = (ctx.t.orders.select("o_orderkey", "o_custkey", dec("o_totalprice").alias("price"))
+    per_order = (ctx.t.orders.select("o_orderkey", "o_custkey", cents("o_totalprice").alias("price_c"))
                  .join(_line_commissions(ctx), F.col("o_orderkey") == F.col("l_orderkey"), "left"))
     mult = F.coalesce(F.col("n_lines"), F.lit(1)) if fan_out else F.lit(1)
     per_cust = (per_order.groupBy(F.col("o_custkey").alias("c_custkey"))
                 .agg(F.sum(mult).alias("ticket_count"),
-                     F.sum(F.col("price") * mult).alias("total_sold"),
-                     F.sum("commission").alias("commission_total")))
+                     F.sum(F.col("price_c") * mult).alias("total_c"),
+                     F.sum("commission_u4").alias("commission_u4")))
     c = ctx.t.customer.filter(F.col("c_mktsegment") == segment)
     j = (c.join(ctx.t.nation, c.c_nationkey == F.col("n_nationkey"))
          .join(per_cust, "c_custkey", "left")
-         .filter(F.coalesce(F.col("total_sold"), F.lit(0)) > min_total))
-    return (j.orderBy(F.col("total_sold").desc_nulls_first(), "c_custkey")
+         .filter(F.coalesce(F.col("total_c"), F.lit(0)) > min_total * 100))
+    return (j.orderBy(F.col("total_c").desc_nulls_first(), "c_custkey")
             .select(person_id().alias("national_id"), title_case("c_name").alias("cashier"),
                     F.col("c_mktsegment").alias("worker_type"), F.col("n_name").alias("city"),
                     F.coalesce(F.col("ticket_count"), F.lit(0)).cast("long").alias("ticket_count"),
-                    money("total_sold").alias("total_sold"),
-                    money(F.coalesce(F.col("commission_total"), F.lit(0))).alias("commission_total")))
+                    money(round_ratio("total_c", F.lit(100))).alias("total_sold"),
+                    money(round_ratio(F.coalesce(F.col("commission_u4"), F.lit(0)), F.lit(10_000)))
+                    .alias("commission_total")))
 
 
 def cashier_sales_safe(ctx: Ctx, **kw) -> DataFrame:
@@ -131,7 +133,7 @@ def two_sector_advisers(ctx: Ctx, a: str = "F", b: str = "O") -> DataFrame:
     by customer computing every conditional count/sum, and the membership
     test is ``count_a > 0 AND count_b > 0``.
     """
-    st, price = F.col("o_orderstatus"), dec("o_totalprice")
+    st, price = F.col("o_orderstatus"), cents("o_totalprice")
     g = (ctx.t.orders.groupBy(F.col("o_custkey").alias("c_custkey"))
          .agg(cond_count(st == a).alias("count_a"), cond_sum(st == a, price).alias("_sum_a"),
               cond_count(st == b).alias("count_b"), cond_sum(st == b, price).alias("_sum_b"),
@@ -141,9 +143,9 @@ def two_sector_advisers(ctx: Ctx, a: str = "F", b: str = "O") -> DataFrame:
     j = ctx.t.customer.join(g, "c_custkey")
     return (j.orderBy("c_custkey").select(
         F.col("c_custkey").alias("adviser_id"), F.col("c_name").alias("adviser"),
-        F.col("count_a"), money(round0("_sum_a")).alias("total_a"),
-        F.col("count_b"), money(round0("_sum_b")).alias("total_b"),
-        F.col("count_total"), money(round0("_sum_total")).alias("total_fees")))
+        F.col("count_a"), money(round_ratio("_sum_a", F.lit(100))).alias("total_a"),
+        F.col("count_b"), money(round_ratio("_sum_b", F.lit(100))).alias("total_b"),
+        F.col("count_total"), money(round_ratio("_sum_total", F.lit(100))).alias("total_fees")))
 
 
 # -- R11 --------------------------------------------------------------------
@@ -154,7 +156,6 @@ def fee_summary(ctx: Ctx, month: int = 4) -> DataFrame:
     o = ctx.t.orders.filter(in_month("o_orderdate", year, month))
     g = (o.groupBy(F.col("o_custkey").alias("c_custkey"))
          .agg(F.count(F.lit(1)).alias("fee_count"),
-              F.sum(dec("o_totalprice")).alias("_sum"),
               F.sum(cents("o_totalprice")).alias("_cents"),
               F.count("o_totalprice").alias("_n"),
               F.min(dec("o_totalprice")).alias("_min"), F.max(dec("o_totalprice")).alias("_max")))
@@ -164,7 +165,7 @@ def fee_summary(ctx: Ctx, month: int = 4) -> DataFrame:
         F.col("c_custkey").alias("prof_id"), F.col("c_name").alias("full_name"),
         F.col("c_mktsegment").alias("profession"), F.col("n_name").alias("district"),
         F.col("fee_count").cast("long").alias("fee_count"),
-        money(F.col("_sum")).alias("fee_total"),
+        money(round_ratio("_cents", F.lit(100))).alias("fee_total"),
         money(mean_rounded(F.col("_cents"), F.col("_n"))).alias("fee_mean"),
         money(F.col("_min")).alias("fee_min"), money(F.col("_max")).alias("fee_max")))
 
@@ -179,7 +180,7 @@ def _month_fees(ctx: Ctx, month: int) -> DataFrame:
     year = add_months_year(ctx.as_of, -12)
     o = ctx.t.orders.filter(in_month("o_orderdate", year, month))
     return o.groupBy(F.col("o_custkey").alias("fee_key")).agg(
-        F.sum(dec("o_totalprice")).alias("fee_sum"))
+        from_units(F.sum(cents("o_totalprice"))).alias("fee_sum"))
 
 
 def raise_salaries(ctx: Ctx, staff: DataFrame, month: int = 3, threshold: int = 240_000,
