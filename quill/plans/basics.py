@@ -15,7 +15,8 @@ from quill.operators import (assign_keys, band_join, check_rules, duplicate_keys
                              intersect_distinct, latest_per_key, null_counts, orphans)
 from quill.operators.audit import union_all
 from quill.plans.context import Ctx
-from quill.plans.sales import band_table
+from quill.sources.params import band_table
+from quill.sources.layout import partitioned_by
 from quill.sources.lenient import lenient_date, lenient_number
 from quill.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 
@@ -69,7 +70,7 @@ YEAR_BANDS = [(0, 1, "0.01"), (2, 3, "0.03"), (3, 5, "0.05")]
 def band_join_value(ctx: Ctx) -> DataFrame:
     """Balance BETWEEN band.lo AND band.hi."""
     from pyspark.sql import types as T
-    bands = band_table(ctx, VALUE_BANDS, edge_type=T.DecimalType(18, 2))
+    bands = band_table(ctx.spark, VALUE_BANDS, edge_type=T.DecimalType(18, 2))
     c = ctx.t.customer.select("c_custkey", dec("c_acctbal").alias("balance"))
     return band_join(c, F.col("balance"), bands).select(
         "c_custkey", "balance", "lo", "hi", F.col("rate").alias("band"))
@@ -78,7 +79,7 @@ def band_join_value(ctx: Ctx) -> DataFrame:
 def band_join_tenure(ctx: Ctx) -> DataFrame:
     """Whole years since the order date BETWEEN band.lo AND band.hi."""
     o = ctx.t.orders.select("o_orderkey", years_between(ctx.as_of, "o_orderdate").alias("tenure"))
-    return band_join(o, F.col("tenure"), band_table(ctx, YEAR_BANDS)).select(
+    return band_join(o, F.col("tenure"), band_table(ctx.spark, YEAR_BANDS)).select(
         "o_orderkey", "tenure", "lo", "hi", "rate")
 
 
@@ -154,8 +155,7 @@ def layout_year_pruned(ctx: Ctx, years_back: int = 1) -> DataFrame:
     """Orders rewritten partitioned by order year and sorted by date
     within files (the re-aim of the reference's date index), then a read of
     one year that lists only that year's folder."""
-    o = ctx.t.orders.withColumn("o_year", F.year("o_orderdate"))
-    t = ctx.store.create_as(o, "orders_by_year", partition_by=["o_year"],
-                            sort_within=["o_orderdate"])
+    t = partitioned_by(ctx.store, ctx.t.orders, "orders_by_year", "o_year",
+                       F.year("o_orderdate"), ["o_orderdate"])
     return (t.filter(F.col("o_year") == ctx.as_of.year - years_back)
             .select("o_orderkey", "o_custkey", "o_orderdate", "o_year"))

@@ -16,6 +16,7 @@ from quill.functions import (day_de_month, dec, fixed2, has_word_starting, in_ye
 from quill.functions.case import simple_case
 from quill.plans.context import Ctx
 from quill.plans.people import person_id, salary
+from quill.sources.layout import keyed_by
 
 D = decimal.Decimal
 
@@ -129,5 +130,13 @@ def lookup_plain(ctx: Ctx, name: str = "hot ring") -> DataFrame:
 
 def lookup_by_upper(ctx: Ctx, name: str = "HOT RING") -> DataFrame:
     """``UPPER(name) = :x``. A function of the column cannot be pushed
-    down; ``layout.name_keyed`` materialises the upper-cased key for that."""
+    down (only IsNotNull reaches the scan); see :func:`lookup_upper_layout`."""
     return _part_row(ctx.t.part.filter(F.upper("p_name") == name))
+
+
+def lookup_upper_layout(ctx: Ctx, name: str = "HOT RING") -> DataFrame:
+    """R15b through the function-index re-aim (A14): the upper-cased name is
+    stored as a sorted key column, so the equality is pushed into the scan
+    and row groups are skipped by their min/max statistics."""
+    t = keyed_by(ctx.store, ctx.t.part, "part_by_upper_name", "name_key", F.upper("p_name"))
+    return _part_row(t.filter(F.col("name_key") == name))

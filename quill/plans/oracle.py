@@ -138,6 +138,7 @@ FROM part WHERE {where}
 
 ORACLE["lookup_plain"] = _part_row_sql("p_name = 'hot ring'")
 ORACLE["lookup_by_upper"] = _part_row_sql("upper(p_name) = 'HOT RING'")
+ORACLE["lookup_upper_layout"] = _part_row_sql("upper(p_name) = 'HOT RING'")
 
 
 # -- sales (written in the reference's literal shape: real fan-out joins,

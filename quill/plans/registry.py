@@ -20,6 +20,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "income_bands": listings.income_bands,
     "lookup_plain": listings.lookup_plain,
     "lookup_by_upper": listings.lookup_by_upper,
+    "lookup_upper_layout": listings.lookup_upper_layout,
     "cashier_sales": sales.cashier_sales,
     "cashier_sales_safe": sales.cashier_sales_safe,
     "bonus_tenure": sales.bonus_tenure,

@@ -23,6 +23,7 @@ from quill.operators import assign_keys, band_join, cond_count, cond_sum, keep_l
 from quill.operators.mutate import update_from_aggregate
 from quill.plans.context import Ctx
 from quill.plans.people import check_char, order_profile, person_id, salary
+from quill.sources.params import band_table
 
 D = decimal.Decimal
 
@@ -228,15 +229,6 @@ def fee_before_after(ctx: Ctx, month: int = 3, threshold: int = 240_000,
 TENURE_BANDS = [(0, 2, "0.02"), (3, 5, "0.04"), (5, 6, "0.07")]
 
 
-def band_table(ctx: Ctx, bands, edge_type: T.DataType = T.IntegerType(),
-               rate_type: T.DataType = T.DecimalType(5, 2)) -> DataFrame:
-    """A parameter band table ``(lo, hi, rate)`` built from literal rows."""
-    schema = T.StructType([T.StructField("lo", edge_type), T.StructField("hi", edge_type),
-                           T.StructField("rate", rate_type)])
-    conv = (lambda v: D(str(v))) if isinstance(edge_type, T.DecimalType) else (lambda v: v)
-    return ctx.spark.createDataFrame([(conv(a), conv(b), D(r)) for a, b, r in bands], schema)
-
-
 def best_ticket(ctx: Ctx, grain: int = 10_000) -> DataFrame:
     """Per customer: the largest ticket amount (order price floored to
     ``grain``, so equal amounts occur) and MAX(order) KEEP (DENSE_RANK LAST
@@ -258,7 +250,7 @@ def bonus_detail(ctx: Ctx, bands=TENURE_BANDS) -> DataFrame:
          .join(ctx.t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(ctx.t.region, F.col("n_regionkey") == F.col("r_regionkey"))
          .withColumn("tenure", years_between(ctx.as_of, "first_order")))
-    c = band_join(c, F.col("tenure"), band_table(ctx, bands))
+    c = band_join(c, F.col("tenure"), band_table(ctx.spark, bands))
     c = c.join(best_ticket(ctx), "c_custkey", "left")
     sal, amt = salary(), F.col("max_amount")
     bonus = (F.when(amt > 100_000, amt * F.lit(D("0.07")))

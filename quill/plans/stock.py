@@ -12,7 +12,7 @@ from quill.functions import dec, in_year, round0, round_ratio
 from quill.functions.case import simple_case
 from quill.operators import band_join, update_where
 from quill.plans.context import Ctx
-from quill.plans.sales import band_table
+from quill.sources.params import band_table
 
 D = decimal.Decimal
 
@@ -92,7 +92,7 @@ def payroll(ctx: Ctx) -> DataFrame:
     c = (ctx.t.customer
          .join(ctx.t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(F.broadcast(_contract_table(ctx)), F.col("c_mktsegment") == F.col("seg")))
-    bands = band_table(ctx, SALARY_BANDS, edge_type=T.DecimalType(18, 2),
+    bands = band_table(ctx.spark, SALARY_BANDS, edge_type=T.DecimalType(18, 2),
                        rate_type=T.DecimalType(5, 2))
     c = band_join(c, dec("c_acctbal"), bands)
     sal = dec("c_acctbal")

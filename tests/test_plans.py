@@ -44,3 +44,8 @@ def test_layout_prunes_partitions(spark):
     df = E.queries()["layout_year_pruned"](spark, SF_SMALL)
     text = plan_text(df)
     assert "PartitionFilters: [isnotnull(o_year" in text and "(o_year#" in text
+
+
+def test_upper_key_layout_pushes_equality(spark):
+    df = E.queries()["lookup_upper_layout"](spark, SF_SMALL)
+    assert "EqualTo(name_key,HOT RING)" in plan_text(df)
