@@ -28,24 +28,23 @@ def stock_control(ctx: Ctx, suppliers=(1, 5, 9), years_back: int = 2) -> DataFra
     puts those predicates in the ON clause of a LEFT JOIN so books without
     loans survive with 0.
 
-    Plan: the matched copy keys are one filtered, de-duplicated key set; each
-    copy row is tagged with whether its key is in that set (left join); then
-    (part, copy) is de-duplicated keeping the tag (max), and a second
-    aggregate counts per part. Two plain aggregations replace the two
-    COUNT(DISTINCT)s (no Expand), and a hot part is pre-aggregated map-side.
+    Plan: (part, copy) pairs are de-duplicated first — a partial aggregate,
+    so a copy key repeated across a third of the rows collapses map-side;
+    the matched copy keys are one filtered, de-duplicated key set; the
+    de-duplicated pairs are tagged by a left join on that set (1:1, no
+    fan-out, no hot key left) and a second aggregate counts per part. Two
+    plain aggregations replace the two COUNT(DISTINCT)s (no Expand).
     """
     li = ctx.t.lineitem
     loans = (li.filter(in_year("l_shipdate", ctx.as_of.year - years_back)
                        & F.col("l_suppkey").isin(list(suppliers)))
              .select(F.col("l_orderkey").alias("lk_o"), F.col("l_linenumber").alias("lk_l"))
-             .distinct().withColumn("on_loan", F.lit(1)))
-    copies = li.select("l_partkey", "l_orderkey", "l_linenumber")
+             .distinct())
+    copies = li.select("l_partkey", "l_orderkey", "l_linenumber").distinct()
     tagged = copies.join(loans, (F.col("l_orderkey") == F.col("lk_o"))
                          & (F.col("l_linenumber") == F.col("lk_l")), "left")
-    per_copy = (tagged.groupBy("l_partkey", "l_orderkey", "l_linenumber")
-                .agg(F.max(F.coalesce(F.col("on_loan"), F.lit(0))).alias("on_loan")))
-    per_book = (per_copy.groupBy("l_partkey")
-                .agg(F.count(F.lit(1)).alias("total_copies"), F.sum("on_loan").alias("on_loan")))
+    per_book = (tagged.groupBy("l_partkey")
+                .agg(F.count(F.lit(1)).alias("total_copies"), F.count("lk_o").alias("on_loan")))
     j = ctx.t.part.join(per_book, F.col("p_partkey") == F.col("l_partkey"))
     total, out = F.col("total_copies"), F.col("on_loan").cast("long")
     return j.select(

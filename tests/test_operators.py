@@ -146,3 +146,16 @@ def test_audits_find_planted_violations(spark):
     bad = check_rules(child, "child", ["id"], [("state_domain", "state",
                                                 F.col("state").isin("A", "B"))]).collect()
     assert [(r.key_value, r.rule) for r in bad] == [("2", "state_domain")]
+
+
+def test_assign_keys_splits_a_hot_order_value(spark):
+    # a third of the rows share one order value: the row-hash tie-break must
+    # spread them over several range partitions instead of one task
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, payload long")
+    out = assign_keys(df, ["k"], start=1, partitions=6)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 1000
+    keys = [r.key for r in out.select("key").collect()]
+    assert sorted(keys) == list(range(1, 3001))
