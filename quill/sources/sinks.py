@@ -31,31 +31,42 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self, name: str) -> list[int]:
-        """Committed versions of ``name``, oldest first."""
+    def _version_dirs(self, name: str) -> list[int]:
+        """Every version folder, committed or not, oldest first."""
         p, fs = self._fs(f"{self.root}/{name}")
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if st.isDirectory() and n.startswith("v") and n[1:].isdigit():
-                ok, _ = self._fs(f"{self.root}/{name}/{n}/_SUCCESS")
-                if _.exists(ok):
-                    out.append(int(n[1:]))
-        return sorted(out)
+        return sorted(int(st.getPath().getName()[1:]) for st in fs.listStatus(p)
+                      if st.isDirectory() and st.getPath().getName()[:1] == "v"
+                      and st.getPath().getName()[1:].isdigit())
+
+    def _committed(self, name: str, v: int) -> bool:
+        p, fs = self._fs(f"{self._version_path(name, v)}/_SUCCESS")
+        return bool(fs.exists(p))
+
+    def versions(self, name: str) -> list[int]:
+        """Committed versions of ``name``, oldest first."""
+        return [v for v in self._version_dirs(name) if self._committed(name, v)]
 
     def _version_path(self, name: str, v: int) -> str:
         return f"{self.root}/{name}/v{v:06d}"
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
+        return self._latest(name) is not None
+
+    def _latest(self, name: str) -> int | None:
+        """Newest committed version (one marker check per uncommitted folder
+        above it, not one per version in the history)."""
+        for v in reversed(self._version_dirs(name)):
+            if self._committed(name, v):
+                return v
+        return None
 
     def current_path(self, name: str) -> str:
-        vs = self.versions(name)
-        if not vs:
+        v = self._latest(name)
+        if v is None:
             raise FileNotFoundError(f"table {name!r} has no committed version")
-        return self._version_path(name, vs[-1])
+        return self._version_path(name, v)
 
     def read(self, name: str) -> DataFrame:
         """``SELECT * FROM name`` on the newest committed version."""
@@ -64,8 +75,10 @@ class TableStore:
     # -- writes -------------------------------------------------------------
     def _write_new_version(self, df: DataFrame, name: str, partition_by=None,
                            sort_within=None) -> str:
-        vs = self.versions(name)
-        path = self._version_path(name, (vs[-1] + 1) if vs else 1)
+        # after every folder, committed or not: a failed job's leftovers are
+        # never reused and never read
+        dirs = self._version_dirs(name)
+        path = self._version_path(name, (dirs[-1] + 1) if dirs else 1)
         if sort_within:
             # partition columns first: the partitioned writer needs that order
             df = df.sortWithinPartitions(*(list(partition_by or []) + list(sort_within)))

@@ -46,3 +46,14 @@ def test_create_without_replace_refuses(spark, store):
     store.create_as(spark.createDataFrame([(1,)], "k int"), "t")
     with pytest.raises(FileExistsError):
         store.create_as(spark.createDataFrame([(1,)], "k int"), "t", replace=False)
+
+
+def test_failed_version_is_skipped(spark, store):
+    import os
+    store.create_as(spark.createDataFrame([(1,)], "k int"), "t")
+    # a job that died mid-write: folder without the commit marker
+    os.makedirs(store._version_path("t", 2).replace("file:", ""), exist_ok=True)
+    assert store.versions("t") == [1]
+    assert [r.k for r in store.read("t").collect()] == [1]
+    out = store.create_as(spark.createDataFrame([(3,)], "k int"), "t")
+    assert store.versions("t") == [1, 3] and [r.k for r in out.collect()] == [3]
