@@ -25,21 +25,30 @@ BROADCAST_ROWS = 200_000
 TARGET_BUCKETS = 4096
 
 
+def band_stats(rows) -> dict:
+    """Statistics of a literal band list ``[(lo, hi, ...), ...]`` (no job)."""
+    los, his = [float(r[0]) for r in rows], [float(r[1]) for r in rows]
+    return {"mn": min(los, default=None), "mx": max(his, default=None), "n": len(rows),
+            "len": sum(h - lo for lo, h in zip(los, his))}
+
+
 def band_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: str = "hi", *,
               how: str = "inner", broadcast_rows: int = BROADCAST_ROWS,
-              target_buckets: int = TARGET_BUCKETS) -> DataFrame:
+              target_buckets: int = TARGET_BUCKETS, stats: dict | None = None) -> DataFrame:
     """Join each row of ``df`` to every band of ``bands`` with ``lo <= value <= hi``.
 
     ``how`` is ``inner`` (reference semantics) or ``left`` (keep unbanded rows
     with NULL band columns). Band columns other than ``lo``/``hi`` are kept.
+    ``stats`` (see :func:`band_stats`) skips the statistics job when the
+    band table was built from literal rows.
     """
     value = as_col(value)
-    # One small job over the band table: axis range, band count and total
-    # band length. They fix the bucket width and bound the exploded size.
-    st = bands.agg(F.min(lo).cast("double").alias("mn"), F.max(hi).cast("double").alias("mx"),
-                   F.count(F.lit(1)).alias("n"),
-                   F.sum(F.col(hi).cast("double") - F.col(lo).cast("double")).alias("len")
-                   ).first()
+    # Axis range, band count and total band length fix the bucket width and
+    # bound the exploded size: one small job over the band table, unless given.
+    st = stats or bands.agg(
+        F.min(lo).cast("double").alias("mn"), F.max(hi).cast("double").alias("mx"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col(hi).cast("double") - F.col(lo).cast("double")).alias("len")).first()
     n = st["n"] or 0
     mn, mx = (st["mn"], st["mx"]) if n and st["mn"] is not None else (0.0, 0.0)
     width = max((mx - mn) / target_buckets, 1.0) if mx > mn else 1.0

@@ -15,7 +15,7 @@ from quill.operators import (assign_keys, band_join, check_rules, duplicate_keys
                              intersect_distinct, latest_per_key, null_counts, orphans)
 from quill.operators.audit import union_all
 from quill.plans.context import Ctx
-from quill.sources.params import band_table
+from quill.sources.params import literal_bands
 from quill.sources.layout import partitioned_by
 from quill.sources.lenient import lenient_date, lenient_number
 from quill.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
@@ -70,16 +70,17 @@ YEAR_BANDS = [(0, 1, "0.01"), (2, 3, "0.03"), (3, 5, "0.05")]
 def band_join_value(ctx: Ctx) -> DataFrame:
     """Balance BETWEEN band.lo AND band.hi."""
     from pyspark.sql import types as T
-    bands = band_table(ctx.spark, VALUE_BANDS, edge_type=T.DecimalType(18, 2))
+    bands, st = literal_bands(ctx.spark, VALUE_BANDS, edge_type=T.DecimalType(18, 2))
     c = ctx.t.customer.select("c_custkey", dec("c_acctbal").alias("balance"))
-    return band_join(c, F.col("balance"), bands).select(
+    return band_join(c, F.col("balance"), bands, stats=st).select(
         "c_custkey", "balance", "lo", "hi", F.col("rate").alias("band"))
 
 
 def band_join_tenure(ctx: Ctx) -> DataFrame:
     """Whole years since the order date BETWEEN band.lo AND band.hi."""
     o = ctx.t.orders.select("o_orderkey", years_between(ctx.as_of, "o_orderdate").alias("tenure"))
-    return band_join(o, F.col("tenure"), band_table(ctx.spark, YEAR_BANDS)).select(
+    bands, st = literal_bands(ctx.spark, YEAR_BANDS)
+    return band_join(o, F.col("tenure"), bands, stats=st).select(
         "o_orderkey", "tenure", "lo", "hi", "rate")
 
 

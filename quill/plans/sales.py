@@ -23,7 +23,7 @@ from quill.operators import assign_keys, band_join, cond_count, cond_sum, keep_l
 from quill.operators.mutate import update_from_aggregate
 from quill.plans.context import Ctx
 from quill.plans.people import check_char, order_profile, person_id, salary
-from quill.sources.params import band_table
+from quill.sources.params import literal_bands
 
 D = decimal.Decimal
 
@@ -250,7 +250,8 @@ def bonus_detail(ctx: Ctx, bands=TENURE_BANDS) -> DataFrame:
          .join(ctx.t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(ctx.t.region, F.col("n_regionkey") == F.col("r_regionkey"))
          .withColumn("tenure", years_between(ctx.as_of, "first_order")))
-    c = band_join(c, F.col("tenure"), band_table(ctx.spark, bands))
+    tbl, st = literal_bands(ctx.spark, bands)
+    c = band_join(c, F.col("tenure"), tbl, stats=st)
     c = c.join(best_ticket(ctx), "c_custkey", "left")
     sal, amt = salary(), F.col("max_amount")
     bonus = (F.when(amt > 100_000, amt * F.lit(D("0.07")))

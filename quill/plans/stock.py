@@ -12,7 +12,7 @@ from quill.functions import dec, in_year, round0, round_ratio
 from quill.functions.case import simple_case
 from quill.operators import band_join, update_where
 from quill.plans.context import Ctx
-from quill.sources.params import band_table
+from quill.sources.params import literal_bands
 
 D = decimal.Decimal
 
@@ -91,9 +91,9 @@ def payroll(ctx: Ctx) -> DataFrame:
     c = (ctx.t.customer
          .join(ctx.t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(F.broadcast(_contract_table(ctx)), F.col("c_mktsegment") == F.col("seg")))
-    bands = band_table(ctx.spark, SALARY_BANDS, edge_type=T.DecimalType(18, 2),
-                       rate_type=T.DecimalType(5, 2))
-    c = band_join(c, dec("c_acctbal"), bands)
+    bands, st = literal_bands(ctx.spark, SALARY_BANDS, edge_type=T.DecimalType(18, 2),
+                              rate_type=T.DecimalType(5, 2))
+    c = band_join(c, dec("c_acctbal"), bands, stats=st)
     sal = dec("c_acctbal")
     comm = F.coalesce(F.col("commission"), F.lit(D(0)))
     bonus = simple_case(F.col("contract"), MOBILITY, F.col("incentive"))
@@ -129,7 +129,8 @@ def reload_payroll(ctx: Ctx) -> DataFrame:
 # -- R21 --------------------------------------------------------------------
 def update_literal(ctx: Ctx, first=(99, 100), second=(101, 999, 1000)) -> DataFrame:
     """Two ``UPDATE … SET related = k WHERE <literal predicate>`` on the
-    product table (a NULL link column added first), committed as versions.
+    product table (a NULL link column added first), committed together as
+    one new version, as the reference commits once after both.
 
     ``first`` = (max key, link) for ``key <= max``; ``second`` = (lo, hi,
     link) for ``lo <= key AND key <= hi``."""
@@ -138,8 +139,11 @@ def update_literal(ctx: Ctx, first=(99, 100), second=(101, 999, 1000)) -> DataFr
     store = ctx.store
     store.create_as(base, "product")
     key = F.col("p_partkey")
-    store.replace_with(lambda t: update_where(t, {"related_part": F.lit(first[1])},
-                                              key <= first[0]), "product")
-    return store.replace_with(
-        lambda t: update_where(t, {"related_part": F.lit(second[2])},
-                               (key >= second[0]) & (key <= second[1])), "product")
+
+    def both_updates(t: DataFrame) -> DataFrame:
+        # two statements, one transaction: applied in order, one commit
+        t = update_where(t, {"related_part": F.lit(first[1])}, key <= first[0])
+        return update_where(t, {"related_part": F.lit(second[2])},
+                            (key >= second[0]) & (key <= second[1]))
+
+    return store.replace_with(both_updates, "product")

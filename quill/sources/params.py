@@ -9,6 +9,8 @@ import decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quill.operators.joins import band_stats
+
 D = decimal.Decimal
 
 
@@ -19,3 +21,8 @@ def band_table(spark: SparkSession, bands, edge_type: T.DataType = T.IntegerType
                            T.StructField("rate", rate_type)])
     conv = (lambda v: D(str(v))) if isinstance(edge_type, T.DecimalType) else (lambda v: v)
     return spark.createDataFrame([(conv(a), conv(b), D(r)) for a, b, r in bands], schema)
+
+
+def literal_bands(spark: SparkSession, bands, **types) -> tuple[DataFrame, dict]:
+    """:func:`band_table` plus its statistics for ``band_join(stats=…)``."""
+    return band_table(spark, bands, **types), band_stats(bands)
