@@ -2,10 +2,14 @@
 
 A global ``row_number()`` window would pull every row into one task. Instead:
 
-1. range-partition on the order (plus a row hash, so a repeated order value
-   cannot pile into one partition), sort within partitions, and checkpoint to
-   the shared folder so both passes below see the same rows in the same
-   partitions even if an executor is lost;
+1. range-partition on the order plus a row hash (a repeated order value
+   cannot pile into one partition), sort within partitions on that total
+   order, and checkpoint to the shared folder: the partitioning is frozen,
+   so both passes below see the same rows in the same partitions even if an
+   executor is lost (an exchange read twice could be coalesced differently
+   by AQE). The input is cached while the range sampler and the checkpoint
+   job read it, so the upstream plan is not computed twice; the cache is
+   only a cache — losing it recomputes the same rows;
 2. ``monotonically_increasing_id`` gives (partition id, position) per row;
 3. count rows per partition (one row per partition), turn the counts into
    running offsets, broadcast them (size bounded by the partition count) and
@@ -16,6 +20,7 @@ Keys are dense, unique, start at ``start`` and follow the order.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,10 +36,11 @@ def assign_keys(df: DataFrame, order: list[str], key: str = "key", start: int =
     shared_dir(spark)  # make sure the reliable checkpoint folder is set
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
-    ranged = (df.withColumn("_tie", tie)
-              .repartitionByRange(n, *[F.col(c) for c in order], F.col("_tie"))
+    base = df.withColumn("_tie", tie).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (base.repartitionByRange(n, *[F.col(c) for c in order], F.col("_tie"))
               .sortWithinPartitions(*order, "_tie")
               .checkpoint(eager=True))
+    base.unpersist()
     mid = ranged.withColumn("_mid", F.monotonically_increasing_id())
     mid = (mid.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
               .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))

@@ -229,15 +229,22 @@ def fee_before_after(ctx: Ctx, month: int = 3, threshold: int = 240_000,
 TENURE_BANDS = [(0, 2, "0.02"), (3, 5, "0.04"), (5, 6, "0.07")]
 
 
+def _ticket_amount(grain: int):
+    return (F.floor(dec("o_totalprice") / grain) * grain).cast("decimal(18,0)")
+
+
+def _best_ticket_aggs(grain: int):
+    amount = _ticket_amount(grain)
+    return [F.max(amount).alias("max_amount"),
+            keep_last(F.col("o_orderkey"), amount).alias("best_ticket")]
+
+
 def best_ticket(ctx: Ctx, grain: int = 10_000) -> DataFrame:
     """Per customer: the largest ticket amount (order price floored to
     ``grain``, so equal amounts occur) and MAX(order) KEEP (DENSE_RANK LAST
     ORDER BY amount)."""
-    amount = (F.floor(dec("o_totalprice") / grain) * grain).cast("decimal(18,0)")
-    t = ctx.t.orders.select("o_custkey", "o_orderkey", amount.alias("amount"))
-    return t.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.max("amount").alias("max_amount"),
-        keep_last(F.col("o_orderkey"), F.col("amount")).alias("best_ticket"))
+    return ctx.t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        *_best_ticket_aggs(grain))
 
 
 def bonus_detail(ctx: Ctx, bands=TENURE_BANDS) -> DataFrame:
@@ -245,14 +252,14 @@ def bonus_detail(ctx: Ctx, bands=TENURE_BANDS) -> DataFrame:
     whole years since the first order) ⟕ best ticket; bonus 7% above
     100,000, 5% above 50,000, else 0 — an absent ticket yields 0, not the
     'no info' text (the reference's NVL there is dead)."""
-    prof = order_profile(ctx.t.orders).select("c_custkey", "first_order")
+    # first order (tenure) and best ticket from ONE aggregation of orders
+    prof = order_profile(ctx.t.orders, _best_ticket_aggs(10_000))
     c = (ctx.t.customer.join(prof, "c_custkey")
          .join(ctx.t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(ctx.t.region, F.col("n_regionkey") == F.col("r_regionkey"))
          .withColumn("tenure", years_between(ctx.as_of, "first_order")))
     tbl, st = literal_bands(ctx.spark, bands)
     c = band_join(c, F.col("tenure"), tbl, stats=st)
-    c = c.join(best_ticket(ctx), "c_custkey", "left")
     sal, amt = salary(), F.col("max_amount")
     bonus = (F.when(amt > 100_000, amt * F.lit(D("0.07")))
              .when((amt > 50_000) & (amt <= 100_000), amt * F.lit(D("0.05"))).otherwise(F.lit(0)))

@@ -159,3 +159,14 @@ def test_assign_keys_splits_a_hot_order_value(spark):
     assert sum(sizes) == 3000 and max(sizes) < 1000
     keys = [r.key for r in out.select("key").collect()]
     assert sorted(keys) == list(range(1, 3001))
+
+
+def test_assign_keys_dense_under_aqe_coalescing(spark):
+    # enough rows and partitions that AQE coalesces shuffle partitions: the
+    # partitioning must be frozen before counting, or offsets drift
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 20011).alias("k")).distinct()
+    out = assign_keys(df, ["k"], start=80, partitions=16)
+    got = out.orderBy("key").select("key", "k").collect()
+    ks = sorted(r.k for r in got)
+    assert [r.key for r in got] == list(range(80, 80 + len(ks)))
+    assert [r.k for r in got] == ks
