@@ -42,6 +42,9 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # no per-call Python call-site capture (several JVM round trips per
+        # Column function while a plan is built); a documented PySpark switch
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
