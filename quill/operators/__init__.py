@@ -6,11 +6,12 @@ from quill.operators.joins import band_audit, band_join, filtered_left_join
 from quill.operators.keys import assign_keys
 from quill.operators.mutate import update_from_aggregate, update_where
 from quill.operators.sets import intersect_distinct
+from quill.operators.skew import hot_keys, salted_join
 from quill.operators.windows import latest_per_key
 
 __all__ = [
     "assign_keys", "band_audit", "band_join", "check_rules", "cond_count", "cond_sum",
-    "duplicate_keys", "filtered_left_join", "intersect_distinct", "keep_last",
-    "latest_per_key", "null_counts", "orphans", "sum0", "update_from_aggregate",
+    "duplicate_keys", "filtered_left_join", "hot_keys", "intersect_distinct", "keep_last",
+    "latest_per_key", "null_counts", "orphans", "salted_join", "sum0", "update_from_aggregate",
     "update_where",
 ]

@@ -377,6 +377,7 @@ WHERE l_shipdate > o_orderdate AND year(o_orderdate) = {AS_OF.year - 2}
 
 
 ORACLE["view_fines"] = _fines_sql(True)
+ORACLE["view_fines_salted"] = _fines_sql(True)
 ORACLE["view_fines_brief"] = _fines_sql(False)
 
 

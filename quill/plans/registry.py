@@ -34,6 +34,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "view_raises": views.view_raises,
     "view_readback": views.view_readback,
     "view_fines": views.view_fines,
+    "view_fines_salted": views.view_fines_salted,
     "view_fines_brief": views.view_fines_brief,
     "view_clients": views.view_clients,
     "stock_control": stock.stock_control,

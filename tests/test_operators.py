@@ -170,3 +170,30 @@ def test_assign_keys_dense_under_aqe_coalescing(spark):
     ks = sorted(r.k for r in got)
     assert [r.key for r in got] == list(range(80, 80 + len(ks)))
     assert [r.k for r in got] == ks
+
+
+def test_salted_join_exact_and_spread(spark):
+    from quill.operators import salted_join
+    # key 0 holds a third of the big side
+    big = spark.createDataFrame([(0 if i % 3 == 0 else i % 50, i) for i in range(3000)],
+                                "k int, v int")
+    small = spark.createDataFrame([(k, f"t{k}") for k in range(0, 50, 2)] + [(0, "extra")],
+                                  "k int, t string")
+    plain = sorted(map(tuple, big.join(small, ["k"]).select("k", "v", "t").collect()))
+    salted = salted_join(big, small, ["k"], hot_rows=500, salts=8)
+    assert sorted(map(tuple, salted.select("k", "v", "t").collect())) == plain
+    left = salted_join(big, small, ["k"], how="left", hot_rows=500, salts=8)
+    assert left.count() == big.join(small, ["k"], "left").count()
+    # the hot key's rows are spread over several salts
+    spread = (big.join(F.broadcast(small.select("k").distinct()), "k")
+              .filter(F.col("k") == 0).select(F.pmod(F.xxhash64("k", "v"), F.lit(8)).alias("s"))
+              .distinct().count())
+    assert spread > 1
+
+
+def test_salted_join_without_hot_keys_is_plain(spark):
+    from quill.operators import salted_join
+    big = spark.createDataFrame([(i % 10, i) for i in range(100)], "k int, v int")
+    small = spark.createDataFrame([(k, k * 2) for k in range(10)], "k int, w int")
+    out = salted_join(big, small, ["k"], hot_rows=1000)
+    assert "_salt" not in out.columns and out.count() == 100
