@@ -197,3 +197,13 @@ def test_salted_join_without_hot_keys_is_plain(spark):
     small = spark.createDataFrame([(k, k * 2) for k in range(10)], "k int, w int")
     out = salted_join(big, small, ["k"], hot_rows=1000)
     assert "_salt" not in out.columns and out.count() == 100
+
+
+@settings(max_examples=8, deadline=None)
+@given(left=st.lists(st.integers(0, 20), max_size=30), right=st.lists(st.integers(0, 20), max_size=30))
+def test_semi_join_never_adds_rows(spark, left, right):
+    ldf = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k int, i int")
+    rdf = spark.createDataFrame([(k,) for k in right], "k int")
+    out = ldf.join(rdf, "k", "left_semi").collect()
+    assert len(out) <= len(left)
+    assert sorted(r.i for r in out) == sorted(i for i, k in enumerate(left) if k in set(right))

@@ -49,3 +49,9 @@ def test_layout_prunes_partitions(spark):
 def test_upper_key_layout_pushes_equality(spark):
     df = E.queries()["lookup_upper_layout"](spark, SF_SMALL)
     assert "EqualTo(name_key,HOT RING)" in plan_text(df)
+
+
+def test_row_number_form_gets_partial_group_limit(spark, ctx):
+    from quill.plans.basics import latest_status
+    text = plan_text(latest_status(ctx, method="window"))
+    assert "WindowGroupLimit" in text and "Partial" in text
