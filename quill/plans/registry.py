@@ -62,3 +62,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Ctx(spark, sf_dir))
     return {name: bind(fn) for name, fn in BUILDERS.items()}
+
+
+# Reports that write tables (create-as, append, reload, update, layouts):
+# building them has side effects, so they are not offered as views.
+WRITERS = {"ctas_fee_summary", "ctas_stock", "append_bonus_detail", "reload_payroll",
+           "update_by_aggregate", "update_literal", "layout_year_pruned", "lookup_upper_layout"}
+# Reports that run a job while being built (checkpoint; hot-key detection).
+EAGER = {"assign_keys", "view_fines_salted"}
+
+
+def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:
+    """Expose the input tables and every side-effect-free report as temp
+    views, so reports can be queried, joined and filtered with
+    ``spark.sql``. Nothing runs until a view is queried; a filter on a
+    view is planned together with the report, so it is still pushed down.
+    (``assign_keys`` is left out too: it checkpoints while being built.)"""
+    ctx = Ctx(spark, sf_dir)
+    ctx.t.register()
+    names = []
+    for name, fn in BUILDERS.items():
+        if name in WRITERS or name in EAGER:
+            continue
+        fn(ctx).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

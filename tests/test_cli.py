@@ -19,3 +19,13 @@ def test_run_with_params_and_output(spark):
                  "--param", "max_income=2500", "--out", out, "--show", "0"]) == 0
     rows = spark.read.parquet(out).collect()
     assert rows and all(r.income_band == "band 3" for r in rows)
+
+
+def test_register_views_for_sql(spark):
+    from quill.plans.registry import register_views
+    names = register_views(spark, SF_SMALL)
+    assert "salary_listing" in names and "ctas_stock" not in names
+    n = spark.sql("SELECT count(*) FROM salary_listing WHERE city = 'NATION_9'").first()[0]
+    direct = spark.sql("SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey "
+                       "WHERE n_name = 'NATION_9' AND c_acctbal BETWEEN 650 AND 3000").first()[0]
+    assert n == direct
