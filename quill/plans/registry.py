@@ -77,7 +77,7 @@ def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[s
     views, so reports can be queried, joined and filtered with
     ``spark.sql``. Nothing runs until a view is queried; a filter on a
     view is planned together with the report, so it is still pushed down.
-    (``assign_keys`` is left out too: it checkpoints while being built.)"""
+    Writers and reports that run a job while being built are left out."""
     ctx = Ctx(spark, sf_dir)
     ctx.t.register()
     names = []
