@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quill.functions import (day_de_month, dec, fixed2, has_word_starting, in_year, mail_domain,
                              mask_id, money, round0, title_case)
 from quill.functions.case import simple_case
+from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.plans.people import person_id, salary
 from quill.sources.layout import keyed_by
@@ -37,7 +38,7 @@ def salary_listing(ctx: Ctx, low: float = 650, high: float = 3000) -> DataFrame:
 
 
 def invoice_listing(ctx: Ctx, low: int = 100_000, high: int = 250_000,
-                    vat: str = "0.19") -> DataFrame:
+                    vat: str = FX.VAT_RATE) -> DataFrame:
     """Orders of the year before the run date as invoices: Spanish day
     text, net/VAT/total money, amount class and payment form by code."""
     o = ctx.t.orders.filter(in_year("o_orderdate", ctx.as_of.year - 1))
@@ -68,8 +69,8 @@ def client_credit(ctx: Ctx, credit: int = 6000) -> DataFrame:
     cr = F.lit(D(credit))
     ident = F.regexp_replace("c_name", "#", "-")
     mail = F.lower(F.regexp_replace("c_name", "#", "@"))
-    status = (F.when(bal > F.lit(D("0.8")) * cr, F.lit("critical"))
-              .when(bal > F.lit(D("0.5")) * cr,
+    status = (F.when(bal > F.lit(D(FX.CREDIT_RATIO_CRITICAL)) * cr, F.lit("critical"))
+              .when(bal > F.lit(D(FX.CREDIT_RATIO_REGULAR)) * cr,
                     F.concat(F.lit("regular ("), money(bal, symbol_in_mask=True), F.lit(")")))
               .otherwise(F.concat(F.lit("good ("), money(cr - bal, symbol_in_mask=True),
                                   F.lit(")"))))
@@ -82,7 +83,7 @@ def client_credit(ctx: Ctx, credit: int = 6000) -> DataFrame:
 
 
 def stock_report(ctx: Ctx, word: str = "ring", rate: int = 950, low: int = 10, high: int = 30,
-                 offer_min: int = 40, offer_factor: str = "0.9") -> DataFrame:
+                 offer_min: int = 40, offer_factor: str = FX.OFFER_FACTOR) -> DataFrame:
     """Parts whose name has a word starting with ``word`` (INITCAP LIKE):
     cost text, converted cost at ``rate``, stock alert by two thresholds and
     an offer price above ``offer_min`` units."""

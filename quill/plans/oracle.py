@@ -7,6 +7,7 @@ over the driver's views so the check is independent of the Spark code path.
 from __future__ import annotations
 
 from quill.functions.dates import AS_OF
+from quill.plans import fixed as FX
 from quill.plans import sqlkit as K
 from quill.plans.summaries import PART_TYPE_LABELS, REGION_LABELS, SEGMENT_LABELS
 
@@ -65,7 +66,7 @@ WHERE c_acctbal BETWEEN {low} AND {high}
 
 
 @_reg("invoice_listing")
-def _invoice_listing(low=100_000, high=250_000, vat="0.19"):
+def _invoice_listing(low=100_000, high=250_000, vat=FX.VAT_RATE):
     from quill.plans.listings import PAYMENT_LABELS
     net = K.d("o_totalprice")
     tax = K.round0(f"{net} * {vat}")
@@ -92,8 +93,8 @@ def _client_credit(credit=6000):
     return f"""
 SELECT {K.mask_id(ident)} AS masked_id, {K.title_case('c_name')} AS client,
        coalesce(CAST(c_nationkey AS VARCHAR), 'no district') AS district,
-       CASE WHEN {bal} > 0.8 * {credit} THEN 'critical'
-            WHEN {bal} > 0.5 * {credit} THEN 'regular (' || {K.money(bal, in_mask=True)} || ')'
+       CASE WHEN {bal} > {FX.CREDIT_RATIO_CRITICAL} * {credit} THEN 'critical'
+            WHEN {bal} > {FX.CREDIT_RATIO_REGULAR} * {credit} THEN 'regular (' || {K.money(bal, in_mask=True)} || ')'
             ELSE 'good (' || {K.money(f'{credit} - {bal}', in_mask=True)} || ')' END AS credit_status,
        coalesce({K.mail_domain(mail)}, 'no mail') AS mail_domain
 FROM customer WHERE c_acctbal > 0
@@ -101,7 +102,8 @@ FROM customer WHERE c_acctbal > 0
 
 
 @_reg("stock_report")
-def _stock_report(word="ring", rate=950, low=10, high=30, offer_min=40, offer_factor="0.9"):
+def _stock_report(word="ring", rate=950, low=10, high=30, offer_min=40,
+                  offer_factor=FX.OFFER_FACTOR):
     price = K.d("p_retailprice")
     return f"""
 SELECT p_partkey AS part_id, p_name AS description,
@@ -146,7 +148,7 @@ ORACLE["lookup_upper_layout"] = _part_row_sql("upper(p_name) = 'HOT RING'")
 AS_OF_SQL = f"DATE '{AS_OF:%Y-%m-%d}'"
 
 
-def _cashier_sales(fan_out: bool, segment="BUILDING", min_total=50_000):
+def _cashier_sales(fan_out: bool, segment="BUILDING", min_total=FX.SALES_MIN_TOTAL):
     comm = f"{K.d('l_extendedprice')} * {K.d('l_discount')}"
     if fan_out:
         src = f"""customer JOIN nation ON c_nationkey = n_nationkey
@@ -200,9 +202,11 @@ SELECT {PID} AS national_id, {K.title_case('c_name')} AS worker,
        strftime(f.first_order, '%Y') AS hire_year, {ten} AS tenure_years,
        CAST(coalesce(deps.n, 0) AS BIGINT) AS dependants, n_name AS health_system,
        {K.money(sal)} AS base_salary,
-       CASE WHEN upper(n_name) = '{health}' THEN {K.money(K.round0(f'{sal} * 0.01'))}
+       CASE WHEN upper(n_name) = '{health}'
+            THEN {K.money(K.round0(f'{sal} * {FX.HEALTH_BONUS_RATE}'))}
             ELSE '$0' END AS health_bonus,
-       {K.money(K.round0(f"{sal} * CASE WHEN {ten} <= {cut} THEN 0.10 ELSE 0.15 END"))} AS tenure_bonus,
+       {K.money(K.round0(f"{sal} * CASE WHEN {ten} <= {cut} THEN {FX.TENURE_BONUS_RATES[0]} "
+                         f"ELSE {FX.TENURE_BONUS_RATES[1]} END"))} AS tenure_bonus,
        r_name AS pension_fund,
        {K.simple_case('latest.o_orderstatus', STATUS_LABELS, 'unknown')} AS status
 FROM customer c
@@ -257,7 +261,8 @@ def _fees_cte(month=3):
 
 
 def _raised(sal, threshold=240_000):
-    return K.round0(f"{sal} * CASE WHEN fee_sum < {threshold} THEN 1.10 ELSE 1.15 END")
+    low, high = FX.SALARY_RAISE_RATES
+    return K.round0(f"{sal} * CASE WHEN fee_sum < {threshold} THEN {low} ELSE {high} END")
 
 
 ORACLE["fee_before_after"] = f"""
@@ -296,8 +301,9 @@ def _append_bonus_detail():
     bands = ", ".join(f"({a}, {b}, CAST({r} AS DECIMAL(5,2)))" for a, b, r in TENURE_BANDS)
     sal = K.d("c_acctbal")
     amt = "mt.max_amount"
-    bonus = (f"(CASE WHEN {amt} > 100000 THEN {amt} * 0.07 "
-             f"WHEN {amt} > 50000 AND {amt} <= 100000 THEN {amt} * 0.05 ELSE 0 END)")
+    (hi, hr), (mi, mr) = FX.TICKET_BONUS_HIGH, FX.TICKET_BONUS_MID
+    bonus = (f"(CASE WHEN {amt} > {hi} THEN {amt} * {hr} "
+             f"WHEN {amt} > {mi} AND {amt} <= {hi} THEN {amt} * {mr} ELSE 0 END)")
     return f"""
 WITH f AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey),
 bands(lo, hi, rate) AS (VALUES {bands}),
@@ -336,8 +342,8 @@ def _view_raises_sql():
 WITH s(school_key, level, pct) AS (VALUES {vals})
 SELECT CAST(c_custkey AS VARCHAR) || '-' || CAST(c_custkey % 10 AS VARCHAR) AS rut,
        {K.title_case('c_name')} AS worker, s.level AS level, s.pct AS pct, {sal} AS salary,
-       {K.round0(f'{sal} * ({pct} * 0.01)')} AS raise_amount,
-       {K.round0(f'{sal} * (1 + {pct} * 0.01)')} AS raised_salary,
+       {K.round0(f'{sal} * ({pct} * {FX.PERCENT})')} AS raise_amount,
+       {K.round0(f'{sal} * (1 + {pct} * {FX.PERCENT})')} AS raised_salary,
        count(o_orderkey) AS dependants, n_name AS city, c_mktsegment AS contract_type
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 JOIN s ON n_regionkey = s.school_key
@@ -355,13 +361,14 @@ def _fines_sql(rebate: bool):
     from quill.plans.views import REBATE_CAREERS
     price = K.d("p_retailprice")
     days = "CAST(datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER)"
-    fine = f"(CAST({days} AS DECIMAL(10,0)) * ({price} * 0.03))"
+    fine = f"(CAST({days} AS DECIMAL(10,0)) * ({price} * {FX.FINE_RATE_PER_DAY}))"
     careers = ", ".join(f"'{c}'" for c in REBATE_CAREERS)
     extra = ""
     if rebate:
         extra = f""",
-       CASE WHEN c_mktsegment IN ({careers}) THEN 20 ELSE 0 END AS rebate_pct,
-       {K.round0(f"{fine} * (1 - CASE WHEN upper(trim(c_mktsegment)) IN ({careers.upper()}) THEN 0.2 ELSE 0 END)")} AS rebated_fine,
+       CASE WHEN c_mktsegment IN ({careers}) THEN {FX.FINE_REBATE_PCT} ELSE 0 END AS rebate_pct,
+       {K.round0(f"{fine} * (1 - CASE WHEN upper(trim(c_mktsegment)) IN ({careers.upper()}) "
+                 f"THEN {FX.FINE_REBATE_PCT} * {FX.PERCENT} ELSE 0 END)")} AS rebated_fine,
        coalesce(c_mktsegment IN ({careers}), false)
          = coalesce(upper(trim(c_mktsegment)) IN ({careers.upper()}), false) AS rebate_consistent"""
     return f"""
@@ -387,11 +394,12 @@ def _view_clients(status="P", priority="1-URGENT", refund_years=2, free_years=6)
     n = "count(o.o_orderkey)"
     return f"""
 WITH f AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey)
-SELECT {PID} AS company_id, c_name AS company_name, '19%' AS vat, {yrs} AS years_active,
+SELECT {PID} AS company_id, c_name AS company_name, '{FX.VAT_TEXT}' AS vat, {yrs} AS years_active,
        {n} AS total_advisories,
        CASE WHEN {yrs} >= {refund_years}
-            THEN {K.money(K.round0(f"{K.d('c_acctbal')} * 0.05"), in_mask=True)} ELSE '$0' END AS vat_refund,
-       CASE WHEN {n} >= 3 THEN 'major client' WHEN {n} BETWEEN 1 AND 2 THEN 'frequent client'
+            THEN {K.money(K.round0(f"{K.d('c_acctbal')} * {FX.VAT_REFUND_RATE}"), in_mask=True)} ELSE '$0' END AS vat_refund,
+       CASE WHEN {n} >= {FX.MAJOR_CLIENT_MIN} THEN 'major client'
+            WHEN {n} BETWEEN 1 AND {FX.MAJOR_CLIENT_MIN - 1} THEN 'frequent client'
             ELSE 'new client' END AS client_type,
        CASE WHEN {yrs} >= {free_years} THEN 'free advisory' WHEN {n} = 0 THEN 'win client'
             ELSE 'no benefit' END AS benefit
@@ -435,7 +443,7 @@ def _payroll_sql():
                       for a, b, r in SALARY_BANDS)
     sal = K.d("c_acctbal")
     comm = "coalesce(t.commission, 0)"
-    pct = "(b.rate * 0.01)"
+    pct = f"(b.rate * {FX.PERCENT})"
     arms = " ".join(f"WHEN t.contract = '{k}' THEN {v}" for k, v in MOBILITY.items())
     bonus = f"(CASE {arms} ELSE t.incentive END)"
     return f"""

@@ -21,6 +21,7 @@ from quill.functions.case import simple_case
 from quill.functions.dates import add_months_year
 from quill.operators import assign_keys, band_join, cond_count, cond_sum, keep_last
 from quill.operators.mutate import update_from_aggregate
+from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.plans.people import check_char, order_profile, person_id, salary
 from quill.sources.params import literal_bands
@@ -39,7 +40,7 @@ def _line_commissions(ctx: Ctx) -> DataFrame:
                  F.sum(cents("l_extendedprice") * cents("l_discount")).alias("commission_u4")))
 
 
-def cashier_sales(ctx: Ctx, segment: str = "BUILDING", min_total: int = 50_000,
+def cashier_sales(ctx: Ctx, segment: str = "BUILDING", min_total: int = FX.SALES_MIN_TOTAL,
                   fan_out: bool = True) -> DataFrame:
     """R2: per customer of one segment — ticket count, total sold and total
     commission, kept when the total exceeds ``min_total``.
@@ -109,7 +110,8 @@ def bonus_tenure(ctx: Ctx, urgent: str = "1-URGENT", health_name: str = "NATION_
          .join(ctx.t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left"))
     sal = salary()
     tenure = years_between(ctx.as_of, "first_order")
-    rate = F.when(tenure <= tenure_cut, F.lit(D("0.10"))).otherwise(F.lit(D("0.15")))
+    low, high = FX.TENURE_BONUS_RATES
+    rate = F.when(tenure <= tenure_cut, F.lit(D(low))).otherwise(F.lit(D(high)))
     return (c.orderBy("c_custkey").select(
         person_id().alias("national_id"),
         title_case("c_name").alias("worker"),
@@ -118,7 +120,8 @@ def bonus_tenure(ctx: Ctx, urgent: str = "1-URGENT", health_name: str = "NATION_
         F.coalesce(F.col("dependants"), F.lit(0)).cast("long").alias("dependants"),
         F.col("n_name").alias("health_system"),
         money(sal).alias("base_salary"),
-        F.when(F.upper("n_name") == health_name, money(round0(sal * F.lit(D("0.01")))))
+        F.when(F.upper("n_name") == health_name,
+               money(round0(sal * F.lit(D(FX.HEALTH_BONUS_RATE)))))
         .otherwise(F.lit("$0")).alias("health_bonus"),
         money(round0(sal * rate)).alias("tenure_bonus"),
         F.col("r_name").alias("pension_fund"),
@@ -185,7 +188,8 @@ def _month_fees(ctx: Ctx, month: int) -> DataFrame:
 
 
 def raise_salaries(ctx: Ctx, staff: DataFrame, month: int = 3, threshold: int = 240_000,
-                   low_rate: str = "1.10", high_rate: str = "1.15") -> DataFrame:
+                   low_rate: str = FX.SALARY_RAISE_RATES[0],
+                   high_rate: str = FX.SALARY_RAISE_RATES[1]) -> DataFrame:
     """The UPDATE: salary x ``low_rate`` when the month's fee sum is below
     ``threshold``, else x ``high_rate`` (a NULL sum falls to the else arm),
     rounded; only for staff with fees that month (EXISTS)."""
@@ -207,7 +211,8 @@ def update_by_aggregate(ctx: Ctx) -> DataFrame:
 
 
 def fee_before_after(ctx: Ctx, month: int = 3, threshold: int = 240_000,
-                     low_rate: str = "1.10", high_rate: str = "1.15") -> DataFrame:
+                     low_rate: str = FX.SALARY_RAISE_RATES[0],
+                     high_rate: str = FX.SALARY_RAISE_RATES[1]) -> DataFrame:
     """The before/after report around the salary update, side by side.
 
     Both reports list only staff with fees that month, which are exactly the
@@ -261,8 +266,10 @@ def bonus_detail(ctx: Ctx, bands=TENURE_BANDS) -> DataFrame:
     tbl, st = literal_bands(ctx.spark, bands)
     c = band_join(c, F.col("tenure"), tbl, stats=st)
     sal, amt = salary(), F.col("max_amount")
-    bonus = (F.when(amt > 100_000, amt * F.lit(D("0.07")))
-             .when((amt > 50_000) & (amt <= 100_000), amt * F.lit(D("0.05"))).otherwise(F.lit(0)))
+    (hi_min, hi_rate), (mid_min, mid_rate) = FX.TICKET_BONUS_HIGH, FX.TICKET_BONUS_MID
+    bonus = (F.when(amt > hi_min, amt * F.lit(D(hi_rate)))
+             .when((amt > mid_min) & (amt <= hi_min), amt * F.lit(D(mid_rate)))
+             .otherwise(F.lit(0)))
     return c.select(
         "c_custkey", F.col("lo").alias("band_lo"),
         F.concat(F.col("c_custkey").cast("string"), F.lit("-"), check_char()).alias("rut"),

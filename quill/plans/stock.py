@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from quill.functions import dec, in_year, round0, round_ratio
 from quill.functions.case import simple_case
 from quill.operators import band_join, update_where
+from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.sources.params import literal_bands
 
@@ -97,7 +98,7 @@ def payroll(ctx: Ctx) -> DataFrame:
     sal = dec("c_acctbal")
     comm = F.coalesce(F.col("commission"), F.lit(D(0)))
     bonus = simple_case(F.col("contract"), MOBILITY, F.col("incentive"))
-    pct = F.col("rate") * F.lit(D("0.01"))
+    pct = F.col("rate") * F.lit(D(FX.PERCENT))
     return c.select(
         F.col("c_custkey").alias("prof_rut"), F.col("c_name").alias("prof_name"),
         F.col("c_mktsegment").alias("profession"), F.col("n_name").alias("health_plan"),

@@ -19,6 +19,7 @@ from quill.functions import (dec, full_name, in_year, money, round0, title_case,
                              years_between)
 from quill.functions.dates import days_between, to_day, ts_lit, year_bounds
 from quill.operators.skew import salted_join
+from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.plans.people import check_char, order_profile, person_id, salary
 
@@ -57,8 +58,8 @@ def view_raises(ctx: Ctx, urgent: str = "1-URGENT", name: str = "v_raises") -> D
         title_case("c_name").alias("worker"),
         F.col("level").alias("level"), F.col("pct").alias("pct"),
         sal.alias("salary"),
-        round0(sal * (pct * F.lit(D("0.01")))).alias("raise_amount"),
-        round0(sal * (F.lit(1) + pct * F.lit(D("0.01")))).alias("raised_salary"),
+        round0(sal * (pct * F.lit(D(FX.PERCENT)))).alias("raise_amount"),
+        round0(sal * (F.lit(1) + pct * F.lit(D(FX.PERCENT)))).alias("raised_salary"),
         F.coalesce(F.col("dependants"), F.lit(0)).cast("long").alias("dependants"),
         F.col("n_name").alias("city"), F.col("c_mktsegment").alias("contract_type"))
     v.createOrReplaceTempView(name)
@@ -108,7 +109,8 @@ def _late_loans(ctx: Ctx, years_back: int = 2, skew: str = "aqe",
     return j
 
 
-def _fine_columns(rebate: bool, rate: str = "0.03", rebate_pct: int = 20):
+def _fine_columns(rebate: bool, rate: str = FX.FINE_RATE_PER_DAY,
+                  rebate_pct: int = FX.FINE_REBATE_PCT):
     price = dec("p_retailprice")
     days = days_between("l_shipdate", "o_orderdate")
     fine = days.cast("decimal(10,0)") * (price * F.lit(D(rate)))
@@ -167,12 +169,13 @@ def view_clients(ctx: Ctx, status: str = "P", priority: str = "1-URGENT",
     n = F.coalesce(F.col("advisories"), F.lit(0))
     v = c.select(
         person_id().alias("company_id"), F.col("c_name").alias("company_name"),
-        F.lit("19%").alias("vat"), years.alias("years_active"),
+        F.lit(FX.VAT_TEXT).alias("vat"), years.alias("years_active"),
         n.cast("long").alias("total_advisories"),
         F.when(years >= refund_years,
-               money(round0(salary() * F.lit(D("0.05"))), symbol_in_mask=True))
+               money(round0(salary() * F.lit(D(FX.VAT_REFUND_RATE))), symbol_in_mask=True))
         .otherwise(F.lit("$0")).alias("vat_refund"),
-        F.when(n >= 3, "major client").when(n.between(1, 2), "frequent client")
+        F.when(n >= FX.MAJOR_CLIENT_MIN, "major client")
+        .when(n.between(1, FX.MAJOR_CLIENT_MIN - 1), "frequent client")
         .otherwise("new client").alias("client_type"),
         F.when(years >= free_years, "free advisory").when(n == 0, "win client")
         .otherwise("no benefit").alias("benefit"))
