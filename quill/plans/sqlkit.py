@@ -101,12 +101,6 @@ def day_de_month(x: str) -> str:
             f"[{names}][month({x})])")
 
 
-def lit_ts(t) -> str:
-    if isinstance(t, dt.datetime):
-        return f"TIMESTAMP '{t:%Y-%m-%d %H:%M:%S}'"
-    return f"DATE '{t:%Y-%m-%d}'"
-
-
 def in_year(x: str, year: int) -> str:
     return f"({x} >= TIMESTAMP '{year}-01-01 00:00:00' AND {x} < TIMESTAMP '{year + 1}-01-01 00:00:00')"
 
