@@ -95,13 +95,27 @@ def _late_loans(ctx: Ctx, years_back: int = 2, skew: str = "aqe",
     o = ctx.t.orders.filter(in_year("o_orderdate", year))
     li = ctx.t.lineitem.filter(F.col("l_shipdate") > ts_lit(lo))
     if skew == "salt":
-        def sj(big, small, key, small_key):
+        # Hot keys from cheap aggregates of the scans, not from the joined
+        # rows (which would recompute each join): lines per order, lines per
+        # customer (per-order counts joined to orders: one row per order),
+        # lines per part (an upper bound — salting an extra key is harmless).
+        lines = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+        per_cust = (lines.join(o.select("o_orderkey", "o_custkey"),
+                               F.col("l_orderkey") == F.col("o_orderkey"))
+                    .groupBy("o_custkey").agg(F.sum("_n").alias("_n")))
+        per_part = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("_n"))
+
+        def heavy(df: DataFrame) -> DataFrame:
+            return df.filter(F.col("_n") > hot_rows).orderBy(F.col("_n").desc())
+
+        def sj(big, small, key, small_key, hot):
             out = salted_join(big, small.withColumnRenamed(small_key, key), [key],
-                              hot_rows=hot_rows, salts=salts)
+                              hot_rows=hot_rows, salts=salts, hot=hot)
             return out.withColumn(small_key, F.col(key))
-        j = sj(li, o, "l_orderkey", "o_orderkey").filter(F.col("l_shipdate") > F.col("o_orderdate"))
-        j = sj(j, ctx.t.customer, "o_custkey", "c_custkey")
-        return sj(j, ctx.t.part, "l_partkey", "p_partkey")
+        j = sj(li, o, "l_orderkey", "o_orderkey", heavy(lines))
+        j = j.filter(F.col("l_shipdate") > F.col("o_orderdate"))
+        j = sj(j, ctx.t.customer, "o_custkey", "c_custkey", heavy(per_cust))
+        return sj(j, ctx.t.part, "l_partkey", "p_partkey", heavy(per_part))
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .filter(F.col("l_shipdate") > F.col("o_orderdate"))
          .join(ctx.t.customer, F.col("o_custkey") == F.col("c_custkey"))
