@@ -19,7 +19,7 @@ from quill.functions import (cents, dec, from_units, full_name, grouped, in_mont
                              mean_rounded, money, round0, round_ratio, title_case, years_between)
 from quill.functions.case import simple_case
 from quill.functions.dates import add_months_year
-from quill.operators import assign_keys, band_join, cond_count, cond_sum, keep_last
+from quill.operators import band_join, cond_count, cond_sum, keep_last
 from quill.operators.mutate import update_from_aggregate
 from quill.plans import fixed as FX
 from quill.plans.context import Ctx
@@ -298,8 +298,8 @@ def append_bonus_detail(ctx: Ctx, start: int = 1) -> DataFrame:
     created (empty) table, then ``SELECT *``. Keys follow worker order; rows
     duplicated by overlapping bands get consecutive keys."""
     ctx.store.create_empty("bonus_detail", BONUS_DETAIL_SCHEMA)
-    rows = assign_keys(bonus_detail(ctx), ["c_custkey", "band_lo"], key="num", start=start)
-    return ctx.store.append(rows.drop("c_custkey", "band_lo"), "bonus_detail")
+    return ctx.store.append_keyed(bonus_detail(ctx), "bonus_detail", key="num",
+                                  order=["c_custkey", "band_lo"], start=start)
 
 
 def keep_last_ticket(ctx: Ctx) -> DataFrame:

@@ -121,6 +121,18 @@ class TableStore:
         df.write.mode("append").parquet(path)
         return self.read(name)
 
+    def append_keyed(self, df: DataFrame, name: str, key: str, order: list[str],
+                     start: int = 1, step: int = 1) -> DataFrame:
+        """``INSERT INTO name SELECT seq.NEXTVAL, …``: dense keys in ``order``,
+        continuing after the largest key already in the table (a sequence
+        keeps its position between inserts); ``start`` when it is empty."""
+        from quill.operators.keys import assign_keys
+        top = self.read(name).agg(F.max(key)).first()[0]
+        first = start if top is None else top + step
+        keyed = assign_keys(df, order, key=key, start=first, step=step)
+        return self.append(keyed.drop(*[c for c in order if c not in self.read(name).columns]),
+                           name)
+
     def replace_with(self, df_fn, name: str) -> DataFrame:
         """Rewrite a table from its own current content (``UPDATE``): the new
         content is computed from version N and committed as N+1."""

@@ -57,3 +57,12 @@ def test_failed_version_is_skipped(spark, store):
     assert [r.k for r in store.read("t").collect()] == [1]
     out = store.create_as(spark.createDataFrame([(3,)], "k int"), "t")
     assert store.versions("t") == [1, 3] and [r.k for r in out.collect()] == [3]
+
+
+def test_append_keyed_continues_the_sequence(spark, store):
+    store.create_empty("t", spark.createDataFrame([], "num long, v string").schema)
+    first = spark.createDataFrame([("b",), ("a",)], "v string")
+    store.append_keyed(first, "t", key="num", order=["v"], start=80)
+    second = spark.createDataFrame([("d",), ("c",)], "v string")
+    out = store.append_keyed(second, "t", key="num", order=["v"], start=80)
+    assert sorted(map(tuple, out.collect())) == [(80, "a"), (81, "b"), (82, "c"), (83, "d")]
