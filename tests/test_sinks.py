@@ -66,3 +66,15 @@ def test_append_keyed_continues_the_sequence(spark, store):
     second = spark.createDataFrame([("d",), ("c",)], "v string")
     out = store.append_keyed(second, "t", key="num", order=["v"], start=80)
     assert sorted(map(tuple, out.collect())) == [(80, "a"), (81, "b"), (82, "c"), (83, "d")]
+
+
+@pytest.mark.parametrize("name", ["append_bonus_detail", "update_literal", "update_by_aggregate",
+                                  "reload_payroll", "ctas_stock", "layout_year_pruned"])
+def test_writer_queries_are_repeatable(spark, name):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from tools.compare import rows_key
+    first = E.queries()[name](spark, SF_SMALL)
+    a = rows_key(first.columns, first.collect())
+    second = E.queries()[name](spark, SF_SMALL)
+    assert rows_key(second.columns, second.collect()) == a
