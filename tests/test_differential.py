@@ -54,3 +54,23 @@ def test_date_queries_independent_of_session_zone(spark, con, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     res = con.execute(E.oracle_sql()[name])
     assert rows_key(df.columns, rows) == rows_key([d[0] for d in res.description], res.fetchall())
+
+
+@pytest.mark.parametrize("name", ["cashier_sales", "bonus_tenure", "view_fines", "stock_control",
+                                  "payroll", "append_bonus_detail", "two_sector_advisers",
+                                  "audit_fk", "intersect_keys"])
+def test_cluster_shaped_plans(spark, con, name):
+    """As at scale: no automatic broadcast, no AQE re-planning — every data
+    join is a sort-merge join — and the results are unchanged."""
+    keys = ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = df.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    res = con.execute(E.oracle_sql()[name])
+    assert rows_key(df.columns, rows) == rows_key([d[0] for d in res.description], res.fetchall())

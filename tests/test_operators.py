@@ -207,3 +207,12 @@ def test_semi_join_never_adds_rows(spark, left, right):
     out = ldf.join(rdf, "k", "left_semi").collect()
     assert len(out) <= len(left)
     assert sorted(r.i for r in out) == sorted(i for i, k in enumerate(left) if k in set(right))
+
+
+def test_band_join_shuffled_path_matches_broadcast(spark):
+    bands = spark.createDataFrame([(0, 9, "a"), (10, 12, "b"), (13, 16, "c"), (16, 30, "d")],
+                                  "lo int, hi int, tag string")
+    vals = spark.createDataFrame([(v,) for v in range(-3, 35)], "v int")
+    b = sorted(map(tuple, band_join(vals, F.col("v"), bands).collect()))
+    s = band_join(vals, F.col("v"), bands, broadcast_rows=0)
+    assert sorted(map(tuple, s.collect())) == b
