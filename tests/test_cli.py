@@ -29,3 +29,10 @@ def test_register_views_for_sql(spark):
     direct = spark.sql("SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey "
                        "WHERE n_name = 'NATION_9' AND c_acctbal BETWEEN 650 AND 3000").first()[0]
     assert n == direct
+
+
+def test_parameterised_sql_over_views(spark):
+    from quill.plans.registry import register_views
+    register_views(spark, SF_SMALL)
+    df = spark.sql("SELECT * FROM income_bands WHERE income_band = :band", args={"band": "band 1"})
+    assert df.count() > 0 and {r.income_band for r in df.collect()} == {"band 1"}
