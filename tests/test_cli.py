@@ -36,3 +36,12 @@ def test_parameterised_sql_over_views(spark):
     register_views(spark, SF_SMALL)
     df = spark.sql("SELECT * FROM income_bands WHERE income_band = :band", args={"band": "band 1"})
     assert df.count() > 0 and {r.income_band for r in df.collect()} == {"band 1"}
+
+
+def test_run_all_writes_every_plain_report(spark):
+    from quill.plans.registry import BUILDERS, EAGER, WRITERS
+    out = tempfile.mkdtemp(prefix="quill-all-") + "/reports"
+    assert main(["run-all", "--data", SF_SMALL, "--out", out]) == 0
+    expected = set(BUILDERS) - WRITERS - EAGER
+    for name in expected:
+        assert spark.read.parquet(f"{out}/{name}").schema.fieldNames()
