@@ -31,12 +31,18 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
 
 def assign_keys(df: DataFrame, order: list[str], key: str = "key", start: int = 1,
-                step: int = 1, partitions: int | None = None) -> DataFrame:
+                step: int = 1, partitions: int | None = None,
+                rows_per_partition: int = 2_000_000) -> DataFrame:
+    """Dense keys ``start, start+step, …`` following ``order``.
+
+    Without ``partitions``, the range partition count follows the data: one
+    count of the cached input, about ``rows_per_partition`` rows each (a
+    single partition needs no range sampling at all)."""
     spark = df.sparkSession
     shared_dir(spark)  # make sure the reliable checkpoint folder is set
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
     base = df.withColumn("_tie", tie).persist(StorageLevel.MEMORY_AND_DISK)
+    n = partitions or max(1, -(-base.count() // rows_per_partition))
     ranged = (base.repartitionByRange(n, *[F.col(c) for c in order], F.col("_tie"))
               .sortWithinPartitions(*order, "_tie")
               .checkpoint(eager=True))

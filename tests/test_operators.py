@@ -216,3 +216,12 @@ def test_band_join_shuffled_path_matches_broadcast(spark):
     b = sorted(map(tuple, band_join(vals, F.col("v"), bands).collect()))
     s = band_join(vals, F.col("v"), bands, broadcast_rows=0)
     assert sorted(map(tuple, s.collect())) == b
+
+
+def test_assign_keys_partition_count_follows_rows(spark):
+    df = spark.range(0, 3000).select(((F.col("id") * 37) % 3001).alias("k"))
+    out = assign_keys(df, ["k"], start=1, rows_per_partition=500)
+    assert len(out.select(F.spark_partition_id()).distinct().collect()) == 6
+    got = out.orderBy("key").collect()
+    assert [r.key for r in got] == list(range(1, 3001))
+    assert [r.k for r in got] == sorted(r.k for r in got)
