@@ -34,8 +34,10 @@ def table_root(spark: SparkSession) -> str:
 
 
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None,
-                  app: str = "quill") -> SparkSession:
-    """Local session used by tests and bench.py; clusters bring their own."""
+                  app: str = "quill", event_log_dir: str | None = None) -> SparkSession:
+    """Local session used by tests and bench.py; clusters bring their own.
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    without the UI; see tools/stages.py)."""
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -52,6 +54,10 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
