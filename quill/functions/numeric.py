@@ -51,12 +51,19 @@ def mean_rounded(sum_units, count, units_per_one: int = 100) -> Column:
 
 
 def units(c, scale: int = 2) -> Column:
-    """A number with ``scale`` decimals as an exact long count of 10^-scale.
-
-    Sums of longs stay in the compact, codegen'd fast path; sums of wide
-    decimals (precision > 18) fall back to BigDecimal and run ~2x slower.
-    """
-    return (dec(c, 18, scale) * (10 ** scale)).cast("long")
+    """A number as a long count of 10^-scale, rounded half away from zero.
+
+    Sums of longs stay in the compact, code-generated path; sums of wide
+    decimals (precision > 18) fall back to BigDecimal and measured ~2x
+    slower. For DOUBLE input this is double arithmetic (no per-row
+    BigDecimal, which a cast to DECIMAL costs) and equals the value's
+    cents whenever it carries at most ``scale`` decimals, as money does;
+    on half-cent doubles it rounds the binary value, as DuckDB's
+    ``CAST(x AS DECIMAL)`` does. DECIMAL input stays exact (0.5 is a
+    decimal literal)."""
+    x = as_col(c)
+    m = F.floor(F.abs(x) * (10 ** scale) + F.lit(decimal.Decimal("0.5")))
+    return F.when(x < 0, -m).otherwise(m).cast("long")
 
 
 def cents(c) -> Column:

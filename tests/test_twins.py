@@ -69,3 +69,13 @@ def test_text_helpers_agree(spark, con, vals):
         a = spark_col(spark, col_fn(F.col("x")), vals, "string")
         b = duck(con, sql_fn("x"), vals, "VARCHAR")
         assert a == b, col_fn.__name__
+
+
+def test_cents_of_doubles_match_duckdb_cast(spark, con):
+    from quill.functions import cents
+    vals = [0.145, 0.125, 0.135, 2.675, -0.145, 1.005, 1863.84, -994.28, 0.0]
+    a = spark_col(spark, cents(F.col("x")), vals, "double")
+    b = duck(con, K.cents("x"), vals, "DOUBLE")
+    assert a == b
+    exact = spark_col(spark, cents(F.col("x")), [D("0.145"), D("-2.675")], "decimal(10,3)")
+    assert exact == [15, -268]   # decimal input: exact half away from zero
