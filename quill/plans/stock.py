@@ -19,7 +19,8 @@ D = decimal.Decimal
 
 
 # -- R18 --------------------------------------------------------------------
-def stock_control(ctx: Ctx, suppliers=(1, 5, 9), years_back: int = 2) -> DataFrame:
+def stock_control(ctx: Ctx, suppliers=(1, 5, 9), years_back: int = 2, approx: bool = False,
+                  rsd: float = 0.02) -> DataFrame:
     """Per book (part) — copies, copies on loan, available, percentage
     on loan and a flag that is 'S' when more than two copies are free.
 
@@ -35,17 +36,36 @@ def stock_control(ctx: Ctx, suppliers=(1, 5, 9), years_back: int = 2) -> DataFra
     de-duplicated pairs are tagged by a left join on that set (1:1, no
     fan-out, no hot key left) and a second aggregate counts per part. Two
     plain aggregations replace the two COUNT(DISTINCT)s (no Expand).
+
+    ``approx=True`` (opt-in) counts with HyperLogLog sketches instead
+    (``approx_count_distinct``, relative error ``rsd``): sketches merge
+    map-side, so the copy keys are never de-duplicated through a shuffle
+    (the small loan-key set still joins in, broadcast when small enough).
     """
     li = ctx.t.lineitem
     loans = (li.filter(in_year("l_shipdate", ctx.as_of.year - years_back)
                        & F.col("l_suppkey").isin(list(suppliers)))
              .select(F.col("l_orderkey").alias("lk_o"), F.col("l_linenumber").alias("lk_l"))
              .distinct())
+    if approx:
+        copy_id = F.struct("l_orderkey", "l_linenumber")
+        tagged = li.select("l_partkey", "l_orderkey", "l_linenumber").join(
+            loans, (F.col("l_orderkey") == F.col("lk_o")) & (F.col("l_linenumber") == F.col("lk_l")),
+            "left")
+        per_book = tagged.groupBy("l_partkey").agg(
+            F.approx_count_distinct(copy_id, rsd).alias("total_copies"),
+            F.approx_count_distinct(F.when(F.col("lk_o").isNotNull(), copy_id), rsd)
+            .alias("on_loan"))
+        return _stock_columns(ctx, per_book)
     copies = li.select("l_partkey", "l_orderkey", "l_linenumber").distinct()
     tagged = copies.join(loans, (F.col("l_orderkey") == F.col("lk_o"))
                          & (F.col("l_linenumber") == F.col("lk_l")), "left")
     per_book = (tagged.groupBy("l_partkey")
                 .agg(F.count(F.lit(1)).alias("total_copies"), F.count("lk_o").alias("on_loan")))
+    return _stock_columns(ctx, per_book)
+
+
+def _stock_columns(ctx: Ctx, per_book: DataFrame) -> DataFrame:
     j = ctx.t.part.join(per_book, F.col("p_partkey") == F.col("l_partkey"))
     total, out = F.col("total_copies"), F.col("on_loan").cast("long")
     return j.select(

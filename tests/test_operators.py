@@ -225,3 +225,12 @@ def test_assign_keys_partition_count_follows_rows(spark):
     got = out.orderBy("key").collect()
     assert [r.key for r in got] == list(range(1, 3001))
     assert [r.k for r in got] == sorted(r.k for r in got)
+
+
+def test_stock_control_approx_is_close(ctx):
+    from quill.plans.stock import stock_control
+    exact = {r.book_id: r.total_copies for r in stock_control(ctx).collect()}
+    approx = {r.book_id: r.total_copies for r in stock_control(ctx, approx=True).collect()}
+    assert set(exact) == set(approx)
+    err = sum(abs(approx[k] - exact[k]) for k in exact) / sum(exact.values())
+    assert err < 0.05
