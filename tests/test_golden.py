@@ -113,3 +113,53 @@ def test_payroll_drops_unbanded_and_guards_null_commission(fx):
     r1 = got[1]   # BUILDING: commission NULL → pct NULL, value 0
     assert r1.commission_pct is None and r1.commission_value == D(0)
     assert r1.fee_value == D(480) and r1.mobility_bonus == 1200
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    """Balances and order totals exactly on the reports' band edges."""
+    root = tempfile.mkdtemp(prefix="quill-edges-")
+    rows = {
+        "region": [(0, "AFRICA")],
+        "nation": [(0, "NATION_0", 0)],
+        "customer": [(i, f"Customer#{i:09d}", 0, bal, "BUILDING") for i, bal in
+                     enumerate([5000.00, 5000.01, 3999.99, 4000.00, 2000.00, 1999.99])],
+        # totals chosen so net + 19% VAT lands exactly on / just above an edge
+        # total = net + ROUND(net * 0.19)
+        "orders": [(1, 0, "F", 84034.00, T0(2000, 5, 1), "1-URGENT"),    # total 100000.00
+                   (2, 1, "F", 84034.01, T0(2000, 5, 2), "2-HIGH"),      # total 100000.01
+                   (3, 2, "F", 210084.00, T0(2000, 5, 3), "3-MEDIUM"),   # total 250000.00
+                   (4, 3, "O", 10.00, T0(1999, 5, 3), "4-NOT SPECIFIED")],
+        "lineitem": [], "part": [], "supplier": [],
+    }
+    for name, data in rows.items():
+        spark.createDataFrame(data, SCHEMAS[name]).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return Ctx(spark, root, store_root=f"{root}/_tables")
+
+
+def test_income_band_edges(edges):
+    bands = {r.full_name: r.income_band for r in listings.income_bands(edges).collect()}
+    assert bands["Customer#000000000"] == "band 2"    # 5000.00: not > 5000, in 4000..5000
+    assert bands["Customer#000000001"] == "band 1"    # 5000.01
+    assert bands["Customer#000000002"] == "band 3"    # 3999.99
+    assert bands["Customer#000000003"] == "band 2"    # 4000.00
+    assert bands["Customer#000000004"] == "band 3"    # 2000.00
+    assert bands["Customer#000000005"] == "band 4"    # 1999.99
+
+
+def test_invoice_class_edges(edges):
+    got = {r.invoice_no: (r.total_amount, r.amount_class)
+           for r in listings.invoice_listing(edges).collect()}
+    assert got[1] == ("$100.000", "low")       # total 100000.00 <= 100000
+    assert got[2] == ("$100.000", "medium")    # 100000.01: shown rounded, classed exactly
+    assert got[3] == ("$250.000", "medium")    # <= 250000
+    assert 4 not in got                        # 1999: not last year
+
+
+def test_tenure_bonus_switch_at_cut(edges):
+    rows = {r.worker: r for r in sales.bonus_tenure(edges, tenure_cut=1).collect()}
+    # first orders in 2000-05 → 1 whole year at 2001-08-15: 10%; cut 0 → 15%
+    assert rows["Customer#000000000"].tenure_years == 1
+    assert rows["Customer#000000000"].tenure_bonus == "$500"
+    rows0 = {r.worker: r for r in sales.bonus_tenure(edges, tenure_cut=0).collect()}
+    assert rows0["Customer#000000000"].tenure_bonus == "$750"
