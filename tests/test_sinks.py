@@ -78,3 +78,26 @@ def test_writer_queries_are_repeatable(spark, name):
     a = rows_key(first.columns, first.collect())
     second = E.queries()[name](spark, SF_SMALL)
     assert rows_key(second.columns, second.collect()) == a
+
+
+def test_keyed_layout_files_cover_disjoint_key_ranges(spark, store, ctx):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from quill.sources.layout import keyed_by
+    keyed_by(store, ctx.t.part, "parts", "name_key", F.upper("p_name"), partitions=4)
+    ranges = []
+    for f in glob.glob(store.current_path("parts").replace("file:", "") + "/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        col = [i for i in range(meta.num_columns) if meta.schema.column(i).name == "name_key"][0]
+        for rg in range(meta.num_row_groups):
+            st = meta.row_group(rg).column(col).statistics
+            if st is not None and st.has_min_max:
+                ranges.append((st.min, st.max))
+    assert len(ranges) >= 2
+    ranges.sort()
+    # range clustering: each file's keys start at or after the previous file's end
+    # (a key shared by two files can only be a boundary value)
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
