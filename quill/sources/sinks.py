@@ -133,6 +133,25 @@ class TableStore:
         return self.append(keyed.drop(*[c for c in order if c not in self.read(name).columns]),
                            name)
 
+    def vacuum(self, name: str, keep: int = 2) -> list[int]:
+        """Retention: delete committed versions older than the newest ``keep``,
+        and uncommitted leftovers older than the newest committed version.
+        A folder newer than the newest commit may be a running write and is
+        never touched. Readers of a removed version must have finished."""
+        dirs = self._version_dirs(name)
+        committed = [v for v in dirs if self._committed(name, v)]
+        if not committed:
+            return []
+        kept, newest = set(committed[-max(keep, 1):]), committed[-1]
+        removed = []
+        for v in dirs:
+            if v in kept or v > newest:
+                continue
+            p, fs = self._fs(self._version_path(name, v))
+            fs.delete(p, True)
+            removed.append(v)
+        return removed
+
     def replace_with(self, df_fn, name: str) -> DataFrame:
         """Rewrite a table from its own current content (``UPDATE``): the new
         content is computed from version N and committed as N+1."""

@@ -101,3 +101,14 @@ def test_keyed_layout_files_cover_disjoint_key_ranges(spark, store, ctx):
     # range clustering: each file's keys start at or after the previous file's end
     # (a key shared by two files can only be a boundary value)
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_vacuum_keeps_newest_and_running(spark, store):
+    import os
+    for i in range(4):
+        store.create_as(spark.createDataFrame([(i,)], "k int"), "t")
+    os.makedirs(store._version_path("t", 5).replace("file:", ""))   # a write in progress
+    assert store.vacuum("t", keep=2) == [1, 2]
+    assert store.versions("t") == [3, 4]
+    assert [r.k for r in store.read("t").collect()] == [3]
+    assert os.path.isdir(store._version_path("t", 5).replace("file:", ""))
