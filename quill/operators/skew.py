@@ -30,17 +30,21 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, max_hot: int = 1000)
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
                 hot_rows: int = 1_000_000, salts: int = 32, max_hot: int = 1000,
-                hot: DataFrame | None = None) -> DataFrame:
+                hot: DataFrame | list | None = None) -> DataFrame:
     """``big JOIN small USING (keys)`` with hot keys of ``big`` salted.
 
     ``how`` is ``inner`` or ``left`` (every ``big`` row kept). Column names of
     the two sides must not overlap except for ``keys``. ``hot`` may give the
-    hot keys (columns ``keys``) computed more cheaply than by aggregating
-    ``big`` — e.g. from base tables before an upstream join; any key set
-    gives the exact result, a missed hot key only loses the spreading.
+    hot keys (a DataFrame with columns ``keys``, or a list of key tuples)
+    computed more cheaply than by aggregating ``big`` — e.g. from base tables
+    before an upstream join; any key set gives the exact result, a missed
+    hot key only loses the spreading.
     """
-    hot_src = hot if hot is not None else hot_keys(big, keys, hot_rows, max_hot)
-    hot = hot_src.select(*keys).limit(max_hot).collect()
+    if isinstance(hot, list):
+        hot = [tuple(h) if isinstance(h, (tuple, list)) else (h,) for h in hot][:max_hot]
+    else:
+        hot_src = hot if hot is not None else hot_keys(big, keys, hot_rows, max_hot)
+        hot = hot_src.select(*keys).limit(max_hot).collect()
     if not hot:
         return big.join(small, keys, how)
     hot_df = F.broadcast(big.sparkSession.createDataFrame(hot, big.select(*keys).schema)

@@ -105,17 +105,24 @@ def _late_loans(ctx: Ctx, years_back: int = 2, skew: str = "aqe",
                     .groupBy("o_custkey").agg(F.sum("_n").alias("_n")))
         per_part = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("_n"))
 
-        def heavy(df: DataFrame) -> DataFrame:
-            return df.filter(F.col("_n") > hot_rows).orderBy(F.col("_n").desc())
+        def heavy(df: DataFrame, key: str, max_hot: int = 1000) -> DataFrame:
+            return (df.filter(F.col("_n") > hot_rows).orderBy(F.col("_n").desc())
+                    .limit(max_hot).select(F.lit(key).alias("_k"),
+                                           F.col(key).cast("long").alias("_v")))
 
-        def sj(big, small, key, small_key, hot):
+        # all three bounded hot-key lists in one job
+        hot = (heavy(lines, "l_orderkey").unionByName(heavy(per_cust, "o_custkey"))
+               .unionByName(heavy(per_part, "l_partkey")).collect())
+
+        def sj(big, small, key, small_key):
             out = salted_join(big, small.withColumnRenamed(small_key, key), [key],
-                              hot_rows=hot_rows, salts=salts, hot=hot)
+                              hot_rows=hot_rows, salts=salts,
+                              hot=[(r["_v"],) for r in hot if r["_k"] == key])
             return out.withColumn(small_key, F.col(key))
-        j = sj(li, o, "l_orderkey", "o_orderkey", heavy(lines))
+        j = sj(li, o, "l_orderkey", "o_orderkey")
         j = j.filter(F.col("l_shipdate") > F.col("o_orderdate"))
-        j = sj(j, ctx.t.customer, "o_custkey", "c_custkey", heavy(per_cust))
-        return sj(j, ctx.t.part, "l_partkey", "p_partkey", heavy(per_part))
+        j = sj(j, ctx.t.customer, "o_custkey", "c_custkey")
+        return sj(j, ctx.t.part, "l_partkey", "p_partkey")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .filter(F.col("l_shipdate") > F.col("o_orderdate"))
          .join(ctx.t.customer, F.col("o_custkey") == F.col("c_custkey"))
