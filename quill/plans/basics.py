@@ -15,6 +15,7 @@ from quill.operators import (assign_keys, band_join, check_rules, duplicate_keys
                              intersect_distinct, latest_per_key, null_counts, orphans)
 from quill.operators.audit import union_all
 from quill.plans.context import Ctx
+from quill.plans.people import open_at
 from quill.sources.params import literal_bands
 from quill.sources.layout import partitioned_by
 from quill.sources.lenient import lenient_date, lenient_number
@@ -103,9 +104,7 @@ def intersect_keys(ctx: Ctx, a: str = "F", b: str = "O") -> DataFrame:
 def latest_status(ctx: Ctx, valid_days: int = 730, method: str = "aggregate") -> DataFrame:
     """Per customer, the latest status row still open at the run date
     (orders as status history, see R3), tie-broken by order key."""
-    valid_to = F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date")).otherwise(
-        F.date_add(F.to_date("o_orderdate"), valid_days))
-    o = (ctx.t.orders.filter(valid_to.isNull() | (valid_to > F.lit(ctx.as_of)))
+    o = (ctx.t.orders.filter(open_at(ctx.as_of, valid_days))
          .select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate"))
     return latest_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], method=method)
 

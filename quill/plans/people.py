@@ -36,3 +36,12 @@ def order_profile(orders: DataFrame, extra: list[Column] | None = None) -> DataF
     aggs = [F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"),
             F.count(F.lit(1)).alias("order_count")] + list(extra or [])
     return orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*aggs)
+
+
+def open_at(as_of, valid_days: int = 730) -> Column:
+    """Orders as status history: a row is valid from its order day for
+    ``valid_days``, or open-ended while the order is open (``O``); true when
+    still valid at ``as_of`` (``end IS NULL OR end > as_of``)."""
+    valid_to = F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date")).otherwise(
+        F.date_add(F.to_date("o_orderdate"), valid_days))
+    return valid_to.isNull() | (valid_to > F.lit(as_of))

@@ -23,7 +23,7 @@ from quill.operators import band_join, cond_count, cond_sum, keep_last
 from quill.operators.mutate import update_from_aggregate
 from quill.plans import fixed as FX
 from quill.plans.context import Ctx
-from quill.plans.people import check_char, order_profile, person_id, salary
+from quill.plans.people import check_char, open_at, order_profile, person_id, salary
 from quill.sources.params import literal_bands
 
 D = decimal.Decimal
@@ -95,10 +95,7 @@ def bonus_tenure(ctx: Ctx, urgent: str = "1-URGENT", health_name: str = "NATION_
     inner join on that aggregate's non-NULL latest row.
     """
     o = ctx.t.orders
-    as_of = F.lit(ctx.as_of)
-    valid_to = F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date")).otherwise(
-        F.date_add(F.to_date("o_orderdate"), valid_days))
-    is_open = valid_to.isNull() | (valid_to > as_of)
+    is_open = open_at(ctx.as_of, valid_days)
     latest = F.max(F.when(is_open, F.struct(F.col("o_orderdate").alias("d"),
                                             F.col("o_orderkey").alias("k"),
                                             F.col("o_orderstatus").alias("s"))))
