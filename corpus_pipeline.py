@@ -12,19 +12,52 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quill.llm.common import keep, sized, table
-from quill.llm.neardup import near_duplicates
+from quill.llm.common import table
+from quill.llm.lines import cut_lines
+from quill.llm.mixing import mix
+from quill.llm.neardup import keep_one
+from quill.llm.packing import pack_documents
+from quill.llm.quality import keep_good
+from quill.llm.queries import REST, WEIGHTS
 from quill.session import shared_dir
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines are cut from the texts (``n_chars`` follows); a document of
+    which no word is left goes, since all it said stays elsewhere."""
+    out = cut_lines(docs).filter((F.col("n_cut") == 0) | F.col("text").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("n_cut") > 0, size).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays (the smallest id)."""
-    found = keep(near_duplicates(docs).filter("not kept").select("doc_id").distinct())
-    return docs.join(sized(found), "doc_id", "left_anti")
+    """One document of each group of near-duplicates stays."""
+    return keep_one(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by their source's rate, globally shuffled."""
+    return mix(docs, WEIGHTS, REST).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return pack_documents(docs)
 
 
 STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
 ]
 
 #: MinHash, exact binomial bounds and best-fit packing have no SQL form.

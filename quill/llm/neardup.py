@@ -191,3 +191,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.coalesce("low", "rep").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the document
+    with the smallest id stays, once if rows repeat that id."""
+    found = keep(near_duplicates(docs, id_col, text_col, **options).select("doc_id", "kept"))
+    gone = keep(found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct())
+    out = docs.join(sized(gone), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    again = keep(found.filter("kept and doc_id is not null").groupBy("doc_id")
+                 .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")))
+    if not again.count():
+        return out
+    is_again = F.col(id_col).cast("long") == F.col("_again")
+    once = out.join(sized(again), is_again, "left_semi").dropDuplicates([id_col])
+    return out.join(sized(again), is_again, "left_anti").unionByName(once)

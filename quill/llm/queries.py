@@ -3,16 +3,96 @@ with production parameters to its whole table."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quill.llm.common import table
+from quill.llm.lengths import length_table
+from quill.llm.lines import dedup_lines
+from quill.llm.mixing import mix
 from quill.llm.neardup import near_duplicates
+from quill.llm.packing import pack_documents
+from quill.llm.pii import personal_data
+from quill.llm.quality import judge
+from quill.llm.toxicity import toxicity
+from quill.llm.urls import filter_urls
+from quill.llm.vectors import embedding_links
+
+#: target shares of the corpus; all other sources together get the rest
+WEIGHTS = {"src0": 0.10, "src1": 0.15, "src2": 0.10, "src3": 0.05}
+REST = 0.60
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+#: host words that mark a page as bad for mining, besides its document's labels
+BAD_HOST_WORDS = ("casino", "pills", "bets", "adult", "spam")
+
+
+def op1_poisson_mix(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), WEIGHTS, REST)
+
+
+def op2_toxicity_grammar(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_minhash_near_dup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark, sf_dir):
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
+def op5_best_fit_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark, sf_dir):
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op7_length_histogram(spark, sf_dir):
+    return length_table(table(spark, sf_dir, "documents"))
+
+
+def page_labels(pages, labels):
+    """``(page_id, bad)``: a page shows the document whose id ends its path; it is
+    bad if that document is labelled low in quality or toxic, or if its host has
+    one of ``BAD_HOST_WORDS``."""
+    at = pages.select("page_id", F.regexp_extract("url", r"://[^/?#]*/(?:[^?#]*/)?([0-9]+)", 1)
+                      .try_cast("long").alias("doc_id"),
+                      F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1)).alias("host"))
+    seed = F.col("host").rlike(r"(^|[^a-z])(" + "|".join(BAD_HOST_WORDS) + r")([^a-z]|$)")
+    marked = at.join(labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("low")),
+                     "doc_id", "left")
+    return (marked.select("page_id", F.when(seed, True).otherwise(F.col("low")).alias("bad"))
+            .filter("bad is not null"))
+
+
+def op8_url_rules(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, page_labels(pages, table(spark, sf_dir, "labels")), URL_RULES)
+
+
+def op9_personal_data(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op10_embedding_links(spark, sf_dir):
+    return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_poisson_mix": op1_poisson_mix,
+    "op2_toxicity_grammar": op2_toxicity_grammar,
     "op3_minhash_near_dup": op3_minhash_near_dup,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_length_histogram": op7_length_histogram,
+    "op8_url_rules": op8_url_rules,
+    "op9_personal_data": op9_personal_data,
+    "op10_embedding_links": op10_embedding_links,
 }
 
 ORACLE: dict[str, str] = {}
