@@ -3,17 +3,20 @@
 Matched clauses are scored, not isolated words. Four transducers rewrite a
 clause's words to symbols, and a small automaton composes them:
 
-* insult: weighted arcs for whole words and word stems, learned from labels
-  (log-odds of toxic against clean documents) on top of a few fixed words;
+* insult: weighted arcs for whole words and word stems, learned from labels on
+  top of a few fixed words;
 * threat: fixed verbs of violence;
 * target: second-person forms;
 * negation and reported speech: words that open a scope over what follows.
 
-The composed automaton leaves a clause with its strongest weight and a context
-(plain, targeted, negated, reported). What a context is worth is learned from
-labels too, shrunk towards a fixed prior. A document's evidence is the noisy-or
-over its clauses; a monotone calibration on labelled documents that the
-lexicon has not seen turns it into a probability.
+An arc's weight is the log-ratio of its rates (occurrences per character) in
+toxic and clean documents. The composed automaton leaves a clause with the sum
+of its weights and a context (plain, targeted, negated, reported); what a
+context is worth is learned too, shrunk towards a fixed prior. A document's
+log-odds are the prior, plus its clauses, minus what a toxic text of its length
+would be expected to hold (a Poisson likelihood ratio: one rare stem in a long
+text says little, several in a short one say much). A monotone calibration on
+labelled documents that the lexicon has not seen turns them into a probability.
 
 Everything is learned from at most ``max_labels`` labelled documents (in order
 of a hash), the documented bound of the fit; scoring covers all documents and
@@ -36,9 +39,9 @@ from quill.llm.quality import binomial_cdf
 
 MAX_LABELS = 16_000
 MIN_DOCS = 4             # toxic documents that a learned arc needs
-MIN_ODDS = 2.5           # log-odds that a learned arc needs
+MIN_WEIGHT = 2.0         # log-ratio of rates that a learned arc needs
 CHANCE = 0.05            # probability that any learned arc is there by chance
-MAX_ARCS = 20_000        # strongest arcs kept; bounds the lexicon
+MAX_ARCS = 20_000        # candidate arcs looked at, the most frequent first
 HELD_OUT, FOLDS = 2, 4
 CALIBRATION_FOLD = 3
 STEM = (3, 12)           # length of learned stems
@@ -54,12 +57,13 @@ NEGATIONS = frozenset(("not", "no", "never", "isn't", "aren't", "don't", "nicht"
                        "pas", "jamais", "ni", "nunca", "tampoco"))
 REPORTS = frozenset(("said", "says", "called", "wrote", "claimed", "quoted", "sagte", "nannte", "schrieb",
                      "dit", "appelle", "écrit", "dijo", "llamó", "escribió"))
-FIXED_ODDS = {"insult": 4.0, "threat": 2.0}
+#: occurrences that a fixed word counts as having in toxic and clean texts
+FIXED_COUNTS = {"insult": (1.0, 0.02), "threat": (1.0, 0.15)}
 #: worth of a context against a plain clause, and the documents that prior counts for
-CONTEXTS = {"plain": 1.0, "targeted": 1.1, "negated": 0.5, "reported": 0.5}
+CONTEXTS = {"plain": 1.0, "targeted": 1.1, "negated": 0.7, "reported": 0.7}
 PRIOR_DOCS = 20.0
 SCOPE = 4                # words that a negation covers
-BINS = (0.0, 0.3, 0.5, 0.7, 0.85, 0.95)
+BINS = (-30.0, -8.0, -5.0, -3.0, -2.0, -1.0, 0.0, 1.0, 2.0, 3.0, 5.0, 8.0, 30.0)
 
 _CLAUSE = re.compile(r"[^.!?;\n]+")
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
@@ -73,29 +77,32 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def arcs_of(text: str | None) -> set[str]:
-    """Arcs a text can take: its words, and ``stem*`` for proper stems of them."""
-    out: set[str] = set()
-    for w in set(_WORD.findall(text.lower())) if text else ():
-        if len(w) >= STEM[0]:
-            out.add(w)
-            out.update(w[:k] + "*" for k in range(STEM[0], min(len(w) - 1, STEM[1]) + 1))
+def arcs_of(text: str | None) -> dict[str, list]:
+    """Arcs a text can take, its words and ``stem*`` for proper stems of them:
+    ``[occurrences, smallest word, largest word]``."""
+    out: dict[str, list] = {}
+    for w, n in Counter(_WORD.findall(text.lower())).items() if text else ():
+        if len(w) < STEM[0]:
+            continue
+        for arc in (w, *(w[:k] + "*" for k in range(STEM[0], min(len(w) - 1, STEM[1]) + 1))):
+            x = out.get(arc)
+            if x is None:
+                out[arc] = [n, w, w]
+            else:
+                x[0] += n
+                x[1], x[2] = min(x[1], w), max(x[2], w)
     return out
 
 
 class Grammar:
     """The insult and threat transducers as one automaton over characters, and
-    the clause automaton over word classes."""
+    the clause automaton over word classes. ``weights``: arc -> log-ratio."""
 
-    def __init__(self, odds: dict[str, float], prior: float):
+    def __init__(self, weights: dict[str, float]):
         import ahocorasick
 
-        self.prior = prior
         arcs: dict[str, dict[str, float]] = {}
-        for kind, words in (("insult", INSULTS), ("threat", THREATS)):
-            for w in words:
-                arcs.setdefault(w, {})["word"] = FIXED_ODDS[kind]
-        for arc, value in odds.items():
+        for arc, value in weights.items():
             arcs.setdefault(arc.rstrip("*"), {})["stem" if arc[-1] == "*" else "word"] = value
         self.auto = ahocorasick.Automaton()
         for stem, found in arcs.items():
@@ -103,7 +110,7 @@ class Grammar:
         self.auto.make_automaton()
 
     def words(self, low: str) -> dict[int, float]:
-        """Position of a word -> strongest log-odds of its arcs."""
+        """Position of a word -> largest weight of its arcs."""
         out: dict[int, float] = {}
         n = len(low)
         for last, (size, found) in self.auto.iter(low):
@@ -111,13 +118,13 @@ class Grammar:
             if at and low[at - 1].isalnum():
                 continue
             inside = last + 1 < n and low[last + 1].isalnum()
-            odds = found.get("stem" if inside else "word")
-            if odds is not None and odds > out.get(at, -math.inf):
-                out[at] = odds
+            weight = found.get("stem" if inside else "word")
+            if weight is not None and weight > out.get(at, -math.inf):
+                out[at] = weight
         return out
 
     def clauses(self, text: str | None) -> list[tuple[str, float]]:
-        """``(context, probability of the plain pattern)`` of every matched clause."""
+        """``(context, weight)`` of every matched clause."""
         if not text:
             return []
         low = text.lower()
@@ -141,57 +148,78 @@ class Grammar:
         """Runs the clause's word classes through the automaton."""
         targeted = reported = False
         negation = 0                     # words that the open negation still covers
-        free, covered = [], []
+        free = covered = 0
         for m in _WORD.finditer(low, start, end):
             w = m.group()
-            odds = hits.get(m.start())
-            if odds is not None:
-                (covered if negation else free).append(odds)
+            if m.start() in hits:
+                if negation:
+                    covered += 1
+                else:
+                    free += 1
             if w in TARGETS:
                 targeted = True
             elif w in REPORTS and not (free or covered):
                 reported = True
             negation = SCOPE if w in NEGATIONS else max(negation - 1, 0)
-        every = free or covered or list(hits.values())
         if reported:
             context = "reported"
-        elif not free and covered:
+        elif covered and not free:
             context = "negated"
         else:
             context = "targeted" if targeted else "plain"
-        odds = max(every) + math.log1p(len(every) - 1) + math.log(self.prior / (1 - self.prior))
-        return context, 1 / (1 + math.exp(-odds))
+        return context, sum(hits.values())
 
 
-def evidence(clauses: list[tuple[str, float]], worth: dict[str, float]) -> float:
-    """Noisy-or over the clauses."""
-    rest = 1.0
-    for context, p in clauses:
-        rest *= 1 - min(p * worth[context], 0.999)
-    return 1 - rest
+class Model:
+    """``weights`` of arcs, ``worth`` of contexts, the log-odds of the prior, the
+    expected weight per character, and the calibrated level of each bin."""
+
+    def __init__(self, weights: dict[str, float], worth: dict[str, float], prior: float, per_char: float,
+                 levels: list[float] | None = None):
+        self.weights, self.worth, self.levels = weights, worth, levels
+        self.prior, self.per_char = prior, per_char
+
+    def log_odds(self, clauses: list[tuple[str, float]], size: int) -> float:
+        return self.prior + sum(self.worth[c] * w for c, w in clauses) - self.per_char * size
+
+    def score(self, z: float) -> float:
+        """Calibrated probability: the bin's level, rising inside the bin."""
+        z = min(max(z, BINS[0]), BINS[-1] - 1e-9)
+        k = max(i for i, b in enumerate(BINS[:-1]) if z >= b)
+        up = self.levels[k + 1] if k + 1 < len(self.levels) else 1.0
+        inside = (z - BINS[k]) / (BINS[k + 1] - BINS[k])
+        return min(max(self.levels[k] + 0.5 * (up - self.levels[k]) * inside, 0.0), 1.0)
 
 
 def _arcs(wanted: frozenset | None):
-    """Documents per arc and label; with ``wanted``, only these arcs."""
+    """Documents and occurrences per arc; with ``wanted``, only of these arcs."""
     def run(batches):
-        n: dict[bool, Counter] = {True: Counter(), False: Counter()}
+        n: dict[str, list] = {}
         for b in batches:
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = arcs_of(text)
-                n[toxic].update(found if wanted is None else found & wanted)
-        rows = [(a, t, c) for t in n for a, c in n[t].items()]
+            for text in b.column(0).to_pylist():
+                for arc, (k, lo, hi) in arcs_of(text).items():
+                    if wanted is None or arc in wanted:
+                        x = n.get(arc)
+                        if x is None:
+                            n[arc] = [1, k, lo, hi]
+                        else:
+                            x[0] += 1
+                            x[1] += k
+                            x[2], x[3] = min(x[2], lo), max(x[3], hi)
+        rows = list(n.items())
         for i in range(0, len(rows), 50_000):
             part = rows[i:i + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.string()), pa.array([r[1] for r in part], pa.bool_()),
-                 pa.array([r[2] for r in part], pa.int64())], ["arc", "toxic", "n"])
+                [pa.array([r[0] for r in part], pa.string())]
+                + [pa.array([r[1][k] for r in part], pa.int64() if k < 2 else pa.string()) for k in range(4)],
+                ["arc", "docs", "n", "lo", "hi"])
     return run
 
 
-def _contexts(odds: dict[str, float], prior: float):
+def _contexts(weights: dict[str, float]):
     """Matched documents per context of their first matched clause, and label."""
     def run(batches):
-        g = Grammar(odds, prior)
+        g = Grammar(weights)
         for b in batches:
             first = [c[0][0] if (c := g.clauses(t)) else None for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(first, pa.string()), b.column(1)],
@@ -199,16 +227,55 @@ def _contexts(odds: dict[str, float], prior: float):
     return run
 
 
-def _evidence(odds: dict[str, float], prior: float, worth: dict[str, float]):
+def _log_odds(model: Model):
     def run(batches):
-        g = Grammar(odds, prior)
+        g = Grammar(model.weights)
         for b in batches:
-            e = [evidence(g.clauses(t), worth) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(e, pa.float64()), b.column(1)],
-                                             ["evidence", "toxic"])
+            z = [model.log_odds(g.clauses(t), len(t or "")) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(z, pa.float64()), b.column(1)], ["z", "toxic"])
     return run
 
 
+def choose_arcs(toxic: dict[str, tuple], clean: dict[str, tuple], n_toxic: int, n_clean: int,
+                size_toxic: float, size_clean: float) -> tuple[dict[str, float], float]:
+    """Weights of the kept arcs and their expected total per character, from
+    ``arc -> (documents, occurrences, smallest word, largest word)``.
+
+    A stem must stand for two words at least. Of arcs that extend each other
+    the one that explains most toxic occurrences is kept."""
+    prior = (n_toxic + 1) / (n_toxic + n_clean + 2)
+    fixed = {w: FIXED_COUNTS[k] for k, ws in (("insult", INSULTS), ("threat", THREATS)) for w in ws}
+    found = []
+    for arc in {*toxic, *fixed}:
+        d1, t, lo, hi = toxic.get(arc, (0, 0, "", ""))
+        d0, c = clean.get(arc, (0, 0))[:2]
+        add1, add0 = fixed.get(arc, (0.5, 0.5))
+        r1, r0 = (t + add1) / (size_toxic + 1e4), (c + add0) / (size_clean + 1e4)
+        weight = math.log(r1 / r0)
+        if arc not in fixed and (
+                weight < MIN_WEIGHT or (arc[-1] == "*" and lo == hi)
+                or binomial_cdf(d0, d1 + d0, 1 - prior) > CHANCE / max(len(toxic), 1)):
+            continue
+        if weight > 0:
+            found.append(((t + add1) * weight, arc, weight, r1 - r0 if t else 0.0))
+    found.sort(key=lambda x: (-x[0], x[1]))
+    weights: dict[str, float] = {}
+    stems: set[str] = set()
+    inner: set[str] = set()          # every prefix of a kept arc
+    per_char = 0.0
+    for _, arc, weight, rate in found:
+        body = arc.rstrip("*")
+        if (arc[-1] == "*" and body in inner) or any(body[:k] in stems for k in range(1, len(body))) or (
+                arc[-1] == "*" and body in stems):
+            continue
+        weights[arc] = weight
+        per_char += rate
+        if arc[-1] == "*":
+            stems.add(body)
+        inner.update(body[:k] for k in range(1, len(body)))
+    return weights, per_char
+
+
 def monotone(rates: list[tuple[float, float]]) -> list[float]:
     """Pool adjacent violators over ``(toxic, documents)`` of ascending bins."""
     pools: list[list[float]] = []
@@ -220,20 +287,6 @@ def monotone(rates: list[tuple[float, float]]) -> list[float]:
     return [p[0] / p[1] for p in pools for _ in range(int(p[2]))]
 
 
-class Model:
-    def __init__(self, odds: dict[str, float], prior: float, worth: dict[str, float], levels: list[float]):
-        self.odds, self.prior, self.worth, self.levels = odds, prior, worth, levels
-
-    def score(self, e: float) -> float:
-        """Calibrated probability: the bin's level, rising inside the bin."""
-        k = max(i for i, b in enumerate(BINS) if e >= b) if e > 0 else 0
-        low = BINS[k]
-        high = BINS[k + 1] if k + 1 < len(BINS) else 1.0
-        up = self.levels[k + 1] if k + 1 < len(self.levels) else 1.0
-        inside = (e - low) / (high - low) if e > 0 else 0.0
-        return min(max(self.levels[k] + 0.5 * (up - self.levels[k]) * inside, 0.0), 1.0)
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         max_labels: int = MAX_LABELS) -> Model:
     """Learns from at most ``max_labels`` labelled documents outside the held-out
@@ -247,53 +300,55 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = keep(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
                  .join(ids, "id").select("text", "toxic", "fold"))
     learn = known.filter(F.col("fold") != CALIBRATION_FOLD).select("text", "toxic")
-    size = {r["toxic"]: r["n"] for r in learn.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = size.get(True, 0), size.get(False, 0)
-    prior = (n_toxic + 1) / (n_toxic + n_clean + 10)
-    schema = "arc string, toxic boolean, n long"
+    seen = {r["toxic"]: r for r in learn.groupBy("toxic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("size")).collect()}
+    n = {t: seen[t]["n"] if t in seen else 0 for t in (True, False)}
+    size = {t: seen[t]["size"] if t in seen else 0 for t in (True, False)}
+
+    def counts(frame: DataFrame, wanted: frozenset | None) -> DataFrame:
+        return (arrow(frame.select("text"), _arcs(wanted), "arc string, docs long, n long, lo string, hi string")
+                .groupBy("arc").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"),
+                                    F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+
     # the sample bounds the arcs; those of toxic documents first
-    hits = {r["arc"]: r["n"] for r in
-            arrow(learn.filter("toxic"), _arcs(None), schema).groupBy("arc").agg(F.sum("n").alias("n"))
-            .filter(F.col("n") >= MIN_DOCS).orderBy(F.desc("n"), "arc").limit(10 * MAX_ARCS).collect()}
-    misses = {r["arc"]: r["n"] for r in
-              arrow(learn.filter("not toxic"), _arcs(frozenset(hits)), schema)
-              .groupBy("arc").agg(F.sum("n").alias("n")).collect()} if hits else {}
-    odds = {a: math.log((n + 0.5) / (n_toxic + 1)) - math.log((misses.get(a, 0) + 0.5) / (n_clean + 1))
-            for a, n in hits.items()}
-    # kept: what chance would hardly give any of so many arcs (binomial tail)
-    odds = {a: v for a, v in odds.items() if v >= MIN_ODDS
-            and binomial_cdf(misses.get(a, 0), hits[a] + misses.get(a, 0), 1 - prior) <= CHANCE / len(hits)}
-    odds = dict(sorted(odds.items(), key=lambda x: (-hits[x[0]] * x[1], x[0]))[:MAX_ARCS])
+    toxic = {r["arc"]: tuple(r)[1:] for r in counts(learn.filter("toxic"), None)
+             .filter(F.col("docs") >= MIN_DOCS).orderBy(F.desc("docs"), "arc").limit(10 * MAX_ARCS).collect()}
+    clean = {r["arc"]: tuple(r)[1:] for r in counts(
+        learn.filter("not toxic"), frozenset((*toxic, *INSULTS, *THREATS))).collect()}
+    weights, per_char = choose_arcs(toxic, clean, n[True], n[False], size[True], size[False])
 
     worth = dict(CONTEXTS)
-    seen = {(r["context"], r["toxic"]): r["n"] for r in
-            arrow(learn, _contexts(odds, prior), "context string, toxic boolean").filter("context is not null")
-            .groupBy("context", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = {c: seen.get((c, True), 0) + seen.get((c, False), 0) for c in CONTEXTS}
+    met = {(r["context"], r["toxic"]): r["n"] for r in
+           arrow(learn, _contexts(weights), "context string, toxic boolean").filter("context is not null")
+           .groupBy("context", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = {c: met.get((c, True), 0) + met.get((c, False), 0) for c in CONTEXTS}
     if total["plain"]:
-        base = (seen.get(("plain", True), 0) + 1) / (total["plain"] + 1)
-        worth = {c: (seen.get((c, True), 0) / base + w * PRIOR_DOCS) / (total[c] + PRIOR_DOCS)
+        base = (met.get(("plain", True), 0) + 1) / (total["plain"] + 1)
+        worth = {c: (met.get((c, True), 0) / base + w * PRIOR_DOCS) / (total[c] + PRIOR_DOCS)
                  for c, w in CONTEXTS.items()}
-        worth = {c: min(w / worth["plain"], 1.5) for c, w in worth.items()}
+        worth = {c: min(w / worth["plain"], 1.2) for c, w in worth.items()}
 
-    check = arrow(known.filter(F.col("fold") == CALIBRATION_FOLD).select("text", "toxic"),
-                  _evidence(odds, prior, worth), "evidence double, toxic boolean")
-    step = sum((F.col("evidence") >= b).cast("int") for b in BINS[1:]) if len(BINS) > 1 else F.lit(0)
+    share = (n[True] + 1) / (n[True] + n[False] + 10)
+    model = Model(weights, worth, math.log(share / (1 - share)), per_char)
+    step = sum((F.col("z") >= b).cast("int") for b in BINS[1:-1])
     bins = {(r["k"], r["toxic"]): r["n"] for r in
-            check.groupBy(F.when(F.col("evidence") > 0, step).otherwise(0).alias("k"), "toxic")
-            .agg(F.count(F.lit(1)).alias("n")).collect()}
-    mid = [prior / 4] + [(BINS[i] + (BINS[i + 1] if i + 1 < len(BINS) else 1.0)) / 2 for i in range(1, len(BINS))]
-    levels = monotone([(bins.get((k, True), 0) + 4 * mid[k],
-                        bins.get((k, True), 0) + bins.get((k, False), 0) + 4.0) for k in range(len(BINS))])
-    return Model(odds, prior, worth, levels)
+            arrow(known.filter(F.col("fold") == CALIBRATION_FOLD).select("text", "toxic"),
+                  _log_odds(model), "z double, toxic boolean")
+            .groupBy(step.alias("k"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # four documents' worth of what the log-odds say by themselves
+    said = [1 / (1 + math.exp(-(BINS[k] + BINS[k + 1]) / 2)) for k in range(len(BINS) - 1)]
+    model.levels = monotone([(bins.get((k, True), 0) + 4 * p,
+                              bins.get((k, True), 0) + bins.get((k, False), 0) + 4.0) for k, p in enumerate(said)])
+    return model
 
 
 def _scored(model: Model):
     def run(batches):
-        g = Grammar(model.odds, model.prior)
+        g = Grammar(model.weights)
         for b in batches:
-            found = [g.clauses(t) for t in b.column(1).to_pylist()]
-            score = [model.score(evidence(c, model.worth)) for c in found]
+            texts = b.column(1).to_pylist()
+            found = [g.clauses(t) for t in texts]
+            score = [model.score(model.log_odds(c, len(t or ""))) for c, t in zip(found, texts)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(score, pa.float64()), pa.array(map(len, found), pa.int64())],
                 ["doc_id", "score", "n_clauses"])
@@ -304,7 +359,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              threshold: float = 0.3, max_labels: int = MAX_LABELS) -> DataFrame:
     """One row per input row: ``(doc_id, held_out, score, predicted, n_clauses)``.
 
-    Null and empty texts match no clause and get the score of such texts; a
+    Null and empty texts match no clause and get the score of the prior; a
     null id stays null (held out is null). Repeated rows get equal scores; a
     document labelled twice is toxic if one label says so; null labels are
     left out. Without labels the fixed words and priors score alone. Other

@@ -1,0 +1,100 @@
+import random
+import zlib
+
+from pyspark.sql import functions as F
+
+from quill.llm.toxicity import Grammar, Model, arcs_of, choose_arcs, fit, fold, monotone, toxicity
+
+from llm_helpers import sentence
+
+
+def corpus(n, seed, insult=("grobian", "zottelig")):
+    """Toxic documents hold an unknown insult or a word on an unknown stem."""
+    r = random.Random(seed)
+    docs, labels = [], []
+    for i in range(n):
+        words = sentence(r, 40 + r.randrange(40)).split()
+        toxic = i % 8 == 0
+        if toxic:
+            for _ in range(2):
+                w = r.choice(insult)
+                words.insert(r.randrange(len(words)), w if w == insult[0] else w + r.choice(["en", "ung", "keit"]))
+        docs.append((i, ". ".join(" ".join(words[k:k + 9]) for k in range(0, len(words), 9)), "xx", "src"))
+        labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+def frames(spark, docs, labels):
+    return (spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(3),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = corpus(2400, 1)
+    d, lab = frames(spark, docs, labels)
+    out = toxicity(d, lab).collect()
+    truth = {i: t for i, _, t in labels}
+    assert len(out) == len(docs)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in out)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in out)
+    held = [r for r in out if r["held_out"]]
+    assert all(r["predicted"] == truth[r["doc_id"]] for r in held)
+
+
+def test_held_out_labels_are_not_read(spark):
+    docs, labels = corpus(800, 2)
+    d, lab = frames(spark, docs, labels)
+    flipped = lab.withColumn("toxic", F.when(fold(F.col("doc_id")) == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a = sorted((r["doc_id"], r["score"]) for r in toxicity(d, lab).collect())
+    b = sorted((r["doc_id"], r["score"]) for r in toxicity(d, flipped).collect())
+    assert a == b
+    other = d.withColumn("lang", F.lit("zz")).withColumn("source", F.lit(None).cast("string"))
+    assert a == sorted((r["doc_id"], r["score"]) for r in toxicity(other, lab).collect())
+
+
+def test_clause_contexts():
+    g = Grammar({"grobian": 5.0, "zottel*": 4.0})
+    assert [c for c, _ in g.clauses("He is a grobian. You grobian! All fine; she said he is a grobian")] == \
+        ["plain", "targeted", "reported"]
+    assert [c for c, _ in g.clauses("this is not a grobian\nnot this one, the other there is a grobian")] == \
+        ["negated", "plain"]
+    assert g.clauses("a zottel, azottelung, grobiane") == []            # the stem needs a longer word
+    assert g.clauses("Zottelung### and GROBIAN$$$") == [("plain", 9.0)]
+    m = Model({}, {"plain": 1.0, "targeted": 1.1, "negated": 0.5, "reported": 0.5}, -2.0, 0.001)
+    z = {c: m.log_odds([(c, 4.0)], 100) for c in m.worth}
+    assert z["targeted"] > z["plain"] > z["negated"] == z["reported"]
+    assert m.log_odds([("plain", 4.0)], 5000) < m.log_odds([("plain", 4.0)], 50)
+
+
+def test_arcs():
+    assert arcs_of("Abcde x abcdf abcde") == {
+        "abcde": [2, "abcde", "abcde"], "abcdf": [1, "abcdf", "abcdf"], "abc*": [3, "abcde", "abcdf"],
+        "abcd*": [3, "abcde", "abcdf"]}
+    assert arcs_of(None) == {}
+    toxic = {"abc*": (50, 200, "abcd", "abcz"), "abcd": (40, 60, "abcd", "abcd"), "ab*": (50, 210, "abc", "abz"),
+             "lonely*": (50, 60, "lonelyx", "lonelyx"), "lonelyx": (50, 60, "lonelyx", "lonelyx"),
+             "common": (50, 60, "common", "common")}
+    clean = {"abc*": (2, 2), "abcd": (1, 1), "ab*": (400, 900), "common": (400, 500)}
+    w, per_char = choose_arcs(toxic, clean, 60, 500, 1e5, 1e6)
+    learned = {a for a in w if a in toxic}
+    assert learned == {"abc*", "lonelyx"} and 0 < per_char < 0.01     # one level per word family; stems need two words
+    assert choose_arcs({}, {}, 0, 0, 0, 0)[0]["idiot"] > choose_arcs({}, {}, 0, 0, 0, 0)[0]["kill"] > 0
+    assert monotone([(5, 10), (1, 10), (9, 10)]) == [0.3, 0.3, 0.9]
+
+
+def test_bound_and_nasty(spark, nasty):
+    docs, labels = corpus(400, 3)
+    d, lab = frames(spark, docs, labels)
+    fit(d, lab, max_labels=50)
+    none = lab.limit(0)
+    rows = toxicity(nasty, none).collect()
+    assert len(rows) == nasty.count()
+    assert all(r["held_out"] is None for r in rows if r["doc_id"] is None)
+    low = {r["score"] for r in rows}
+    assert len(low) == 1 and low.pop() < 0.3                              # nothing matched, empty texts too
+    fixed = spark.createDataFrame([(1, "you are an idiot and a moron"), (2, "fine weather")], "doc_id long, text string")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity(fixed, none).collect()}
+    assert got == {1: 1, 2: 0}
+    odd = spark.createDataFrame([(1, None, None), (None, 1, 1), (1, 1, 1), (1, 1, 0)], lab.schema)
+    assert toxicity(nasty, odd).count() == nasty.count()
+    assert toxicity(nasty.limit(0), none).collect() == []
