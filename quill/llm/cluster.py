@@ -19,7 +19,7 @@ from quill.llm.graph import components
 from quill.llm.texts import overlap
 
 Shingle = Callable[[str], np.ndarray]     # text -> sorted distinct hashes
-BLOCK = 64                                # texts per block
+BLOCK = 128                               # texts per block
 
 
 def buckets(items: DataFrame) -> DataFrame:
@@ -122,10 +122,16 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
     block = keep(side.join(sized(parts), ["c", "left"]).join(texts, "id")
                  .groupBy("c", "left", F.pmod(F.xxhash64("id"), "parts").alias("part"))
                  .agg(F.collect_list(F.struct("id", "text")).alias("rows")))
-    l, r = block.filter("left").alias("l"), block.alias("r")
-    met = (l.join(r, F.col("l.c") == F.col("r.c"))
-           .filter(~F.col("r.left") | (F.col("l.part") <= F.col("r.part")))
-           .select(F.col("l.rows").alias("left"), F.col("r.rows").alias("right")))
+    # the list of block pairs first, so that blocks are joined by their own key
+    # and a component of very many blocks is dealt over all tasks
+    have = block.select("c", "left", "part")
+    l, r = have.filter("left").alias("l"), have.alias("r")
+    todo = (l.join(r, F.col("l.c") == F.col("r.c"))
+            .filter(~F.col("r.left") | (F.col("l.part") <= F.col("r.part")))
+            .select("l.c", F.col("l.part").alias("lp"), F.col("r.left").alias("rl"), F.col("r.part").alias("rp")))
+    lrows = block.filter("left").select("c", F.col("part").alias("lp"), F.col("rows").alias("left"))
+    rrows = block.select("c", F.col("left").alias("rl"), F.col("part").alias("rp"), F.col("rows").alias("right"))
+    met = todo.join(lrows, ["c", "lp"]).join(rrows, ["c", "rl", "rp"]).select("left", "right")
     near = arrow(met, _blocks(shingle, share, whole), "a long, b long")
 
     # buckets of single items

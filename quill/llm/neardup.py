@@ -9,14 +9,9 @@ contiguous slice of ``pi``, so a signature is one gather and a minimum.
 1. one pass over the texts: set size, fingerprint of the full set, band keys;
 2. equal sets form a class, represented by its smallest id (copies are never
    paired);
-3. representatives sharing a band key are compared with the smallest id of
-   that bucket (a star: linear in the bucket);
-4. verified links are merged into components; only buckets that still hold
-   more than one component compare members across components, and of those
-   the pairs that set sizes and the distances to the star's centre rule out
-   (Jaccard distance is a metric) are never built;
-5. every link is confirmed on the full sets of both texts, and components are
-   taken again over the contracted graph.
+3. representatives sharing a band key are compared on the full sets of their
+   texts, star by star and, where components still meet, block by block (see
+   ``cluster``), and linked ones are merged into components.
 
 No bucket is capped. A pair at exactly the threshold is missed with
 probability (1 - 0.75^5)^40 = 2e-5, a closer pair with less. Sets are
@@ -32,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quill.llm.cluster import buckets, clusters
 from quill.llm.common import arrow, keep, sized
-from quill.llm.graph import components
-from quill.llm.texts import mix, overlap, word_shingles
+from quill.llm.texts import mix, word_shingles
 
 WORDS, SHARE, WHOLE = 5, 75, 100     # link if 100 * intersection >= 75 * union
 BANDS, ROWS = 40, 5
@@ -92,36 +87,6 @@ def _signed(words: int, bands: int, rows: int, seed: int):
     return run
 
 
-def _measured(words: int):
-    def run(batches):
-        last, sa = None, None
-        for b in batches:
-            inter, na, nb = [], [], []
-            for a, ta, tb in zip(b.column(0).to_pylist(), b.column(2).to_pylist(),
-                                 b.column(3).to_pylist()):
-                if a != last:
-                    last, sa = a, word_shingles(ta, words)
-                sb = word_shingles(tb, words)
-                inter.append(overlap(sa, sb))
-                na.append(len(sa))
-                nb.append(len(sb))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(inter, pa.int64()), pa.array(na, pa.int64()),
-                 pa.array(nb, pa.int64())], ["a", "b", "both", "na", "nb"])
-    return run
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """``(a, b)`` -> ``(a, b, jac, link)``, from the full sets of both texts."""
-    ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-    got = arrow(both, _measured(words), "a long, b long, both long, na long, nb long")
-    union = F.col("na") + F.col("nb") - F.col("both")
-    return keep(got.select("a", "b", (F.col("both") / union).alias("jac"),
-                           (F.col("both") * WHOLE >= union * SHARE).alias("link")))
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = WORDS, bands: int = BANDS, rows: int = ROWS,
                     seed: int = 11) -> DataFrame:
@@ -143,47 +108,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("id", "n", "keys", F.coalesce("rep", "id").alias("rep")))
     reps = keep(member.filter("id = rep").select("id", "n", "keys"))
 
-    # buckets with two members or more, and the star around their smallest id
-    rows_ = reps.select("id", "n", F.explode("keys").alias("key"))
-    hot = keep(rows_.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("top"))
-               .filter("centre < top").select("key", "centre"))
-    bucket = keep(rows_.join(hot, "key"))
+    bucket = buckets(reps.select("id", "keys"))
     ids = keep(bucket.select("id").distinct())
     texts = keep(src.join(sized(ids), "id", "left_semi").dropDuplicates(["id"]))
-    star = _verify(bucket.filter("id <> centre")
-                   .select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(),
-                   texts, words)
-    comp = keep(components(star.filter("link")))
-
-    # whatever a star leaves in different components
-    at = bucket.join(comp, bucket["id"] == comp["node"], "left").select(
-        "key", "id", "n", "centre", F.coalesce("comp", "id").alias("label"))
-    split = keep(at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
-                 .filter("l0 < l1").select("key"))
-    dist = star.select(F.col("a").alias("centre"), F.col("b").alias("id"), "jac")
-    open_ = keep(at.join(split, "key").join(dist, ["centre", "id"], "left").select(
-        "key", "id", "n", "label",
-        F.when(F.col("id") == F.col("centre"), 0.0).otherwise(1 - F.col("jac")).alias("d")))
-    x, y = open_.alias("x"), open_.alias("y")
-    far = 1 - SHARE / WHOLE + 1e-9
-    rest = (x.join(y, F.col("x.key") == F.col("y.key"))
-            .filter((F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-                    & (F.least("x.n", "y.n") * WHOLE >= F.greatest("x.n", "y.n") * SHARE)
-                    & (F.abs(F.col("x.d") - F.col("y.d")) <= far))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    rest = _verify(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), texts, words)
-    ca = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-    cb = comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-    joined = (rest.filter("link").join(ca, "a", "left").join(cb, "b", "left")
-              .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    merged = keep(components(joined))
-    top = merged.select(F.col("node").alias("label"), F.col("comp").alias("top"))
-    # representative -> smallest reachable id, where it is another than itself
-    low = comp.select(F.col("node").alias("rep"), F.col("comp").alias("label")).unionByName(
-        merged.join(comp, "node", "left_anti").select(F.col("node").alias("rep"),
-                                                      F.col("node").alias("label")))
-    low = keep(low.join(top, "label", "left").select("rep", F.coalesce("top", "label").alias("low"))
-               .filter("low <> rep"))
+    low = (clusters(bucket, texts, lambda text: word_shingles(text, words), SHARE, WHOLE)
+           .withColumnRenamed("id", "rep"))
     rep_of = sig.join(same, "fp", "left").select(
         "id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("rep", "id"))
         .otherwise(F.col("id")).alias("rep"))
