@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import decimal
 import sys
 
 
 def _value(text: str):
-    for conv in (int, float):
+    """An integer, an exact decimal number, or the text itself."""
+    for conv in (int, decimal.Decimal):
         try:
             return conv(text)
-        except ValueError:
+        except (ValueError, decimal.InvalidOperation):
             pass
     return text
 

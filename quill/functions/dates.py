@@ -66,6 +66,17 @@ def years_between(as_of, d) -> Column:
     return trunc0(F.months_between(a, to_day(d), False) / 12).cast("int")
 
 
+_DAY_SECONDS = 86_400
+
+
 def days_between(later, earlier) -> Column:
-    """``later - earlier`` in days for day-grained values."""
-    return F.datediff(to_day(later), to_day(earlier))
+    """``later - earlier`` in days, fractions of a day included: exact to the
+    second, as DECIMAL(20,10) (whole days plus seconds of a day over 86,400)."""
+    later, earlier = as_col(later), as_col(earlier)
+    whole = F.datediff(to_day(later), to_day(earlier)).cast("decimal(10,0)")
+
+    def seconds(c: Column) -> Column:
+        return (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("decimal(10,0)")
+
+    part = (seconds(later) - seconds(earlier)) / F.lit(_DAY_SECONDS).cast("decimal(10,0)")
+    return (whole + part.cast("decimal(12,10)")).cast("decimal(20,10)")

@@ -1,17 +1,17 @@
 """Relational operators Spark lacks as one call, built from DataFrame ops."""
 
-from quill.operators.aggs import cond_count, cond_sum, keep_last, sum0
+from quill.operators.aggs import cond_count, cond_sum, keep_last, keep_last_key
 from quill.operators.audit import check_rules, duplicate_keys, null_counts, orphans
 from quill.operators.joins import band_audit, band_join, filtered_left_join
 from quill.operators.keys import assign_keys
 from quill.operators.mutate import update_from_aggregate, update_where
 from quill.operators.sets import intersect_distinct
-from quill.operators.skew import hot_keys, salted_join
+from quill.operators.skew import salted_join
 from quill.operators.windows import latest_per_key
 
 __all__ = [
     "assign_keys", "band_audit", "band_join", "check_rules", "cond_count", "cond_sum",
-    "duplicate_keys", "filtered_left_join", "hot_keys", "intersect_distinct", "keep_last",
-    "latest_per_key", "null_counts", "orphans", "salted_join", "sum0", "update_from_aggregate",
+    "duplicate_keys", "filtered_left_join", "intersect_distinct", "keep_last", "keep_last_key",
+    "latest_per_key", "null_counts", "orphans", "salted_join", "update_from_aggregate",
     "update_where",
 ]

@@ -1,4 +1,4 @@
-"""Aggregate expressions: conditional counts/sums, KEEP (DENSE_RANK LAST), NVL sums.
+"""Aggregate expressions: conditional counts/sums, KEEP (DENSE_RANK LAST).
 
 All are ordinary aggregate Columns, so Spark computes them with a partial
 (map-side) aggregate before the shuffle: a key holding a third of the rows
@@ -7,6 +7,8 @@ still sends one row per map task.
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,11 +25,6 @@ def cond_sum(pred: Column, x) -> Column:
     return F.sum(F.when(pred, as_col(x)).otherwise(F.lit(0)))
 
 
-def sum0(x) -> Column:
-    """``NVL(SUM(x), 0)``."""
-    return F.coalesce(F.sum(as_col(x)), F.lit(0))
-
-
 def keep_last(value, order) -> Column:
     """``MAX(value) KEEP (DENSE_RANK LAST ORDER BY order)``.
 
@@ -35,7 +32,22 @@ def keep_last(value, order) -> Column:
     reference dialect NULLs sort last in ascending order, so rows with a NULL
     ``order`` *are* the last rank whenever they exist: the leading
     ``isNull`` field reproduces that. ``max_by`` would leave ties unspecified.
+    Works for any types, but a struct as aggregation buffer makes Spark sort;
+    see :func:`keep_last_key` for numbers.
     """
     order, value = as_col(order), as_col(value)
     best = F.max(F.struct(order.isNull().alias("n"), order.alias("o"), value.alias("v")))
     return best.getField("v")
+
+
+_KEYS = decimal.Decimal(10) ** 19      # above every long
+
+
+def keep_last_key(key, amount) -> Column:
+    """:func:`keep_last` for a key >= 0 (long) by an integral amount of at most
+    18 digits: amount (NULL above all) and key packed into one DECIMAL(38,0),
+    so that both phases are hash aggregates without a sort."""
+    bound = decimal.Decimal(10) ** 18
+    rank = F.coalesce(as_col(amount).cast("decimal(18,0)") + F.lit(bound), F.lit(3 * bound)).cast("decimal(19,0)")
+    packed = (rank * F.lit(_KEYS)).cast("decimal(38,0)") + as_col(key).cast("decimal(19,0)")
+    return (F.max(packed.cast("decimal(38,0)")) % F.lit(_KEYS)).cast("long")

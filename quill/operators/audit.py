@@ -1,7 +1,6 @@
 """Rule audits: the reference declares keys, references, NOT NULL and CHECK
 rules that its database enforces on write. Spark enforces none of them, so
-each becomes a job that *finds* violations. Every audit returns the same
-shape so they can be unioned into one violations table::
+each becomes a job that *finds* violations. Violations have one shape::
 
     table_name, rule, column_name, key_value (string), n (long)
 """
@@ -33,16 +32,20 @@ def duplicate_keys(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Foreign-key rule: child values with no parent row (NULLs are allowed).
-
-    The child is aggregated on the reference first, so a hot value becomes
-    one row before the anti join's shuffle."""
-    refs = (child.filter(F.col(fk).isNotNull()).groupBy(fk)
-            .agg(F.count(F.lit(1)).alias("n")))
-    miss = refs.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
-    return miss.select(F.lit(table).alias("table_name"), F.lit("fk_orphan").alias("rule"),
-                       F.lit(fk).alias("column_name"), F.col(fk).cast("string").alias("key_value"),
-                       F.col("n").cast("long").alias("n"))
+    """Foreign-key rule, one row per reference: how many child rows were checked
+    (NULLs are allowed and not checked) and how many have no parent row.
+
+    The child is aggregated on the reference first, so a hot value becomes one
+    row before the join; a parent key that occurs twice collapses again in an
+    aggregation that needs no further shuffle."""
+    refs = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
+    met = refs.join(parent.select(F.col(pk).alias(fk), F.lit(1).alias("hit")), fk, "left")
+    one = met.groupBy(fk).agg(F.max("n").alias("n"), F.max("hit").alias("hit"))
+    total = one.agg(F.sum("n").alias("checked"), F.sum(F.when(F.col("hit").isNull(), F.col("n"))).alias("orphans"))
+    return total.select(F.lit(table).alias("table_name"), F.lit("fk_orphan").alias("rule"),
+                        F.lit(fk).alias("column_name"),
+                        F.coalesce("checked", F.lit(0)).cast("long").alias("checked"),
+                        F.coalesce("orphans", F.lit(0)).cast("long").alias("n"))
 
 
 def null_counts(df: DataFrame, table: str, cols: list[str], keep_zero: bool = False

@@ -29,7 +29,7 @@ def band_stats(rows) -> dict:
     """Statistics of a literal band list ``[(lo, hi, ...), ...]`` (no job)."""
     los, his = [float(r[0]) for r in rows], [float(r[1]) for r in rows]
     return {"mn": min(los, default=None), "mx": max(his, default=None), "n": len(rows),
-            "len": sum(h - lo for lo, h in zip(los, his))}
+            "len": sum(max(h - lo, 0.0) for lo, h in zip(los, his))}
 
 
 def band_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: str = "hi", *,
@@ -48,7 +48,7 @@ def band_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: str =
     st = stats or bands.agg(
         F.min(lo).cast("double").alias("mn"), F.max(hi).cast("double").alias("mx"),
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col(hi).cast("double") - F.col(lo).cast("double")).alias("len")).first()
+        F.sum(F.greatest(F.col(hi).cast("double") - F.col(lo).cast("double"), F.lit(0.0))).alias("len")).first()
     n = st["n"] or 0
     mn, mx = (st["mn"], st["mx"]) if n and st["mn"] is not None else (0.0, 0.0)
     width = max((mx - mn) / target_buckets, 1.0) if mx > mn else 1.0
@@ -58,7 +58,8 @@ def band_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: str =
         # always lands in a bucket between bucket(lo) and bucket(hi).
         return F.floor((c.cast("double") - F.lit(mn)) / F.lit(width)).cast("long")
 
-    exploded = bands.withColumn(
+    # a band with lo > hi holds no value
+    exploded = bands.filter(F.col(lo) <= F.col(hi)).withColumn(
         "_band_bucket", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))))
     # a band [lo, hi] covers at most (hi - lo) / width + 2 buckets
     max_rows = (st["len"] or 0.0) / width + 2 * n

@@ -3,24 +3,21 @@
 A global ``row_number()`` window would pull every row into one task. Instead:
 
 1. range-partition on the order plus a row hash (a repeated order value
-   cannot pile into one partition), sort within partitions on that total
-   order, and checkpoint to the shared folder: the partitioning is frozen,
-   so both passes below see the same rows in the same partitions even if an
-   executor is lost (an exchange read twice could be coalesced differently
-   by AQE). The input is cached while the range sampler and the checkpoint
-   job read it, so the upstream plan is not computed twice; the cache is
-   only a cache — losing it recomputes the same rows;
+   cannot pile into one partition) into as many partitions as the session
+   shuffles into, sort within partitions on that total order, and checkpoint
+   to the shared folder: the partitioning is frozen, so both passes below see
+   the same rows in the same partitions even if an executor is lost;
 2. ``monotonically_increasing_id`` gives (partition id, position) per row;
 3. count rows per partition (one row per partition), turn the counts into
    running offsets, broadcast them (size bounded by the partition count) and
    add ``offset + position``.
 
-Keys are dense, unique, start at ``start`` and follow the order.
+Keys are dense, unique, start at ``start`` and follow the order. Nothing
+depends on the number of rows: no count decides how the job is laid out.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,22 +28,18 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
 
 def assign_keys(df: DataFrame, order: list[str], key: str = "key", start: int = 1,
-                step: int = 1, partitions: int | None = None,
-                rows_per_partition: int = 2_000_000) -> DataFrame:
+                step: int = 1, partitions: int | None = None) -> DataFrame:
     """Dense keys ``start, start+step, …`` following ``order``.
 
-    Without ``partitions``, the range partition count follows the data: one
-    count of the cached input, about ``rows_per_partition`` rows each (a
-    single partition needs no range sampling at all)."""
+    ``partitions`` defaults to the session's ``spark.sql.shuffle.partitions``,
+    which a cluster sets for its data."""
     spark = df.sparkSession
     shared_dir(spark)  # make sure the reliable checkpoint folder is set
-    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
-    base = df.withColumn("_tie", tie).persist(StorageLevel.MEMORY_AND_DISK)
-    n = partitions or max(1, -(-base.count() // rows_per_partition))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
     ranged = (base.repartitionByRange(n, *[F.col(c) for c in order], F.col("_tie"))
               .sortWithinPartitions(*order, "_tie")
               .checkpoint(eager=True))
-    base.unpersist()
     mid = ranged.withColumn("_mid", F.monotonically_increasing_id())
     mid = (mid.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
               .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))

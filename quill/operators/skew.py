@@ -1,18 +1,12 @@
-"""Explicit salting for joins whose big side may hold a hot key.
-
-AQE's skew-join handling splits an oversized shuffle partition at run time
-and is the default everywhere. This operator does the same explicitly, for
-sessions without AQE or when the hot keys are known to be extreme:
-
-1. one aggregation of the big side's join keys finds the keys with more
-   than ``hot_rows`` rows (partial aggregation, so the hot key itself is
-   collapsed map-side); at most ``max_hot`` keys are kept (heaviest first),
-   so what reaches the driver and is broadcast has a proven bound;
-2. rows of the big side with a hot key get a salt ``0..salts-1`` (from a
-   hash of the row, so recomputation is deterministic); all other rows 0;
-3. rows of the small side with a hot key are replicated once per salt;
-4. join on (keys, salt): each big row still meets exactly its partners, and
-   a hot key is spread over ``salts`` tasks instead of one.
+"""Salting for joins whose big side may hold a hot key.
+
+AQE's skew-join handling splits an oversized shuffle partition at run time and
+is the default everywhere. For sessions without AQE, this operator spreads
+every key instead: rows of the big side get a salt ``0..salts-1`` from a hash
+of columns that tell its rows apart, rows of the small side are replicated once
+per salt, and the join runs on (keys, salt). Each big row still meets exactly
+its partners, and any key, however hot, is spread over ``salts`` tasks. Nothing
+is counted, collected or capped; the price is the small side ``salts`` times.
 """
 
 from __future__ import annotations
@@ -21,42 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, max_hot: int = 1000) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows (at most ``max_hot``, heaviest first)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > hot_rows)
-            .orderBy(F.col("_n").desc()).limit(max_hot).drop("_n"))
-
-
-def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int = 1_000_000, salts: int = 32, max_hot: int = 1000,
-                hot: DataFrame | list | None = None) -> DataFrame:
-    """``big JOIN small USING (keys)`` with hot keys of ``big`` salted.
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt_on: list[str],
+                how: str = "inner", salts: int = 32) -> DataFrame:
+    """``big JOIN small USING (keys)``, every key spread over ``salts`` tasks.
 
-    ``how`` is ``inner`` or ``left`` (every ``big`` row kept). Column names of
-    the two sides must not overlap except for ``keys``. ``hot`` may give the
-    hot keys (a DataFrame with columns ``keys``, or a list of key tuples)
-    computed more cheaply than by aggregating ``big`` — e.g. from base tables
-    before an upstream join; any key set gives the exact result, a missed
-    hot key only loses the spreading.
-    """
-    if isinstance(hot, list):
-        hot = [tuple(h) if isinstance(h, (tuple, list)) else (h,) for h in hot][:max_hot]
-    else:
-        hot_src = hot if hot is not None else hot_keys(big, keys, hot_rows, max_hot)
-        hot = hot_src.select(*keys).limit(max_hot).collect()
-    if not hot:
-        return big.join(small, keys, how)
-    hot_df = F.broadcast(big.sparkSession.createDataFrame(hot, big.select(*keys).schema)
-                         .withColumn("_hot", F.lit(True)))
-    big_s = (big.join(hot_df, keys, "left")
-             .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns),
-                                                                  F.lit(salts)))
-                         .otherwise(F.lit(0)).cast("int"))
-             .drop("_hot"))
-    small_s = (small.join(hot_df, keys, "left")
-               .withColumn("_salt", F.explode(F.when(F.col("_hot"),
-                                                     F.sequence(F.lit(0), F.lit(salts - 1)))
-                                              .otherwise(F.array(F.lit(0)))))
-               .drop("_hot"))
-    return big_s.join(small_s, keys + ["_salt"], how).drop("_salt")
+    ``how`` is ``inner`` or ``left`` (every ``big`` row kept). ``salt_on`` names
+    columns of ``big`` whose values differ between rows of one key (its own row
+    key); only these and the columns used downstream are read. Column names of
+    the two sides must not overlap except for ``keys``."""
+    salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("_salt", salt).join(spread, [*keys, "_salt"], how).drop("_salt")

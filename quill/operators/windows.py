@@ -16,8 +16,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order_desc: list[str],
     sorts first in descending order, so it wins.
 
     ``aggregate`` (default) is a max over a struct of the sort keys and the
-    row: a hash aggregate with a partial phase, no sort, and a hot key sends
-    one row per map task. ``window`` is the literal ROW_NUMBER form; Spark adds
+    row, with a partial phase: a hot key sends one row per map task. A struct
+    is not a fixed-width buffer, so Spark plans sort aggregates (each side
+    sorts by key). ``window`` is the literal ROW_NUMBER form; Spark adds
     a partial ``WindowGroupLimit`` before its shuffle, so it is also
     skew-safe, but it sorts each partition.
     """

@@ -9,7 +9,7 @@ import decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.functions import dec, in_month, to_day, years_between
+from quill.functions import dec, in_month, in_year, to_day, years_between
 from quill.functions.dates import add_months_year
 from quill.operators import (assign_keys, band_join, check_rules, duplicate_keys,
                              intersect_distinct, latest_per_key, null_counts, orphans)
@@ -17,12 +17,12 @@ from quill.operators.audit import union_all
 from quill.plans.context import Ctx
 from quill.plans.people import open_at
 from quill.sources.params import literal_bands
-from quill.sources.layout import partitioned_by
+from quill.sources.layout import bucketed_by, clustered_by, partitioned_by
 from quill.sources.lenient import lenient_date, lenient_number
 from quill.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 
 D = decimal.Decimal
-AUDITED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+AUDITED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
 def scan_project(ctx: Ctx) -> DataFrame:
@@ -115,15 +115,17 @@ def audit_pk(ctx: Ctx) -> DataFrame:
 
 
 def audit_fk(ctx: Ctx) -> DataFrame:
-    """References with no parent row."""
+    """Per reference, rows checked and rows without a parent row."""
     return union_all([orphans(ctx.t.get(ct), ct, cc, ctx.t.get(pt), pc)
                       for ct, cc, pt, pc in FOREIGN_KEYS])
 
 
 def audit_not_null(ctx: Ctx) -> DataFrame:
-    """NULL count of every column of every table (zeros included)."""
+    """NULL count of every column of every table (zeros included), and of
+    the table loaded from text, where unreadable amounts became NULL."""
+    loaded = null_counts(lenient_cast_load(ctx), "loaded_orders", ["parsed_date", "amount"], keep_zero=True)
     return union_all([null_counts(ctx.t.get(t), t, SCHEMAS[t].fieldNames(), keep_zero=True)
-                      for t in AUDITED])
+                      for t in AUDITED] + [loaded])
 
 
 def domain_rules():
@@ -159,3 +161,22 @@ def layout_year_pruned(ctx: Ctx, years_back: int = 1) -> DataFrame:
                        F.year("o_orderdate"), ["o_orderdate"])
     return (t.filter(F.col("o_year") == ctx.as_of.year - years_back)
             .select("o_orderkey", "o_custkey", "o_orderdate", "o_year"))
+
+
+def layout_join_key(ctx: Ctx, buckets: int = 16) -> DataFrame:
+    """Orders saved bucketed on the customer key, then joined per customer:
+    the order side is read in buckets, without an exchange."""
+    o = ctx.t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
+    saved = bucketed_by(o, "quill_orders_by_customer", f"{ctx.store.root}/orders_by_customer", "o_custkey",
+                        buckets)
+    per = saved.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum(dec("o_totalprice")).alias("total"))
+    return (ctx.t.customer.join(per, F.col("c_custkey") == F.col("o_custkey"))
+            .select("c_custkey", "orders", "total"))
+
+
+def layout_two_columns(ctx: Ctx, part: int = 77) -> DataFrame:
+    """Line items clustered on (part, ship date), then the loans of one part
+    in one year: both bounds reach the scan of the sorted files."""
+    t = clustered_by(ctx.store, ctx.t.lineitem.select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber"),
+                     "lines_by_part_date", ["l_partkey", "l_shipdate"])
+    return t.filter((F.col("l_partkey") == part) & in_year("l_shipdate", ctx.as_of.year - 2))

@@ -20,3 +20,4 @@ CREDIT_RATIO_CRITICAL = "0.8"           # balance / credit above → critical
 CREDIT_RATIO_REGULAR = "0.5"            # above → regular; otherwise good
 OFFER_FACTOR = "0.9"                    # offer price: 90% of the unit price
 PERCENT = "0.01"
+SUPPLIER_MIN_BALANCE = 3000             # a served nation has a supplier above it

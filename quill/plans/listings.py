@@ -18,6 +18,7 @@ from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.plans.people import person_id, salary
 from quill.sources.layout import keyed_by
+from quill.sources.params import exact
 
 D = decimal.Decimal
 
@@ -43,7 +44,7 @@ def invoice_listing(ctx: Ctx, low: int = 100_000, high: int = 250_000,
     text, net/VAT/total money, amount class and payment form by code."""
     o = ctx.t.orders.filter(in_year("o_orderdate", ctx.as_of.year - 1))
     net = dec("o_totalprice")
-    tax = round0(net * F.lit(D(vat)))
+    tax = round0(net * F.lit(exact(vat)))
     total = net + tax
     code = F.substring("o_orderpriority", 1, 1).cast("int")
     return (o.orderBy(F.col("o_orderdate").desc_nulls_first(), F.col("o_totalprice").desc_nulls_first(),
@@ -59,48 +60,61 @@ def invoice_listing(ctx: Ctx, low: int = 100_000, high: int = 250_000,
                     simple_case(code, PAYMENT_LABELS, "cheque").alias("payment_form")))
 
 
-def client_credit(ctx: Ctx, credit: int = 6000) -> DataFrame:
-    """Clients with a positive balance against a fixed credit line: masked
-    id, title-cased name, district, credit status by balance/credit ratio
-    (compared cross-multiplied, so 0.8 exactly is not critical) and the mail
-    domain."""
-    c = ctx.t.customer.filter(F.col("c_acctbal") > 0)
-    bal = salary()
-    cr = F.lit(D(credit))
+# Credit line by segment; 0 means no credit line (left out by the guard).
+CREDIT_LINES = {"AUTOMOBILE": 6000, "BUILDING": 4000, "FURNITURE": 8000, "HOUSEHOLD": 0,
+                "MACHINERY": 5000}
+
+
+def client_credit(ctx: Ctx, state: str = "A", credit=None) -> DataFrame:
+    """Clients in one state with a credit line: masked id, title-cased name,
+    phone and district (a text where missing), credit status by the
+    balance/credit ratio (compared cross-multiplied, so 0.8 exactly is not
+    critical) and the mail domain.
+
+    The state is A for nations up to 19, B above; every tenth client has no
+    phone; the credit line goes by segment (``CREDIT_LINES``), or is ``credit``
+    for every segment that has one."""
+    lines = {k: v if credit is None or not v else credit for k, v in CREDIT_LINES.items()}
+    c = (ctx.t.customer.withColumn("_state", F.when(F.col("c_nationkey") < 20, "A").otherwise("B"))
+         .withColumn("_credit", simple_case(F.col("c_mktsegment"), lines, 0).cast("decimal(10,0)"))
+         .filter((F.col("_state") == state) & (F.col("_credit") > 0)))
+    bal, cr = salary(), F.col("_credit")
     ident = F.regexp_replace("c_name", "#", "-")
     mail = F.lower(F.regexp_replace("c_name", "#", "@"))
+    phone = F.when(F.pmod("c_custkey", F.lit(10)) != 0, F.col("c_custkey") + 20_000_000)
     status = (F.when(bal > F.lit(D(FX.CREDIT_RATIO_CRITICAL)) * cr, F.lit("critical"))
               .when(bal > F.lit(D(FX.CREDIT_RATIO_REGULAR)) * cr,
                     F.concat(F.lit("regular ("), money(bal, symbol_in_mask=True), F.lit(")")))
               .otherwise(F.concat(F.lit("good ("), money(cr - bal, symbol_in_mask=True),
                                   F.lit(")"))))
     return (c.select(mask_id(ident).alias("masked_id"), title_case("c_name").alias("client"),
+                     F.coalesce(phone.cast("string"), F.lit("no phone")).alias("phone"),
                      F.coalesce(F.col("c_nationkey").cast("string"), F.lit("no district"))
                      .alias("district"),
-                     status.alias("credit_status"),
+                     F.col("_state").alias("state"), status.alias("credit_status"),
                      F.coalesce(mail_domain(mail), F.lit("no mail")).alias("mail_domain"))
             .orderBy(F.col("client").asc_nulls_last(), "masked_id"))
 
 
-def stock_report(ctx: Ctx, word: str = "ring", rate: int = 950, low: int = 10, high: int = 30,
-                 offer_min: int = 40, offer_factor: str = FX.OFFER_FACTOR) -> DataFrame:
-    """Parts whose name has a word starting with ``word`` (INITCAP LIKE):
-    cost text, converted cost at ``rate``, stock alert by two thresholds and
-    an offer price above ``offer_min`` units."""
-    p = ctx.t.part.filter(has_word_starting("p_name", word))
+def stock_report(ctx: Ctx, word: str = "ring", origin: str = "ECONOMY", rate=950, low: int = 10,
+                 high: int = 30, offer_min: int = 40, offer_factor=FX.OFFER_FACTOR) -> DataFrame:
+    """Parts of one origin (type) whose name has a word starting with
+    ``word`` (INITCAP LIKE): cost text, converted cost at ``rate``, stock
+    alert by two thresholds and an offer price above ``offer_min`` units."""
+    p = ctx.t.part.filter(has_word_starting("p_name", word) & (F.col("p_type") == origin))
     price = dec("p_retailprice")
     stock = F.col("p_size")
     return (p.select(
         F.col("p_partkey").alias("part_id"), F.col("p_name").alias("description"),
         F.when(price.isNull(), "no record").otherwise(F.concat(fixed2(price), F.lit(" USD")))
         .alias("cost_usd"),
-        F.when(price.isNull(), "no record").otherwise(money(round0(price * F.lit(D(rate)))))
+        F.when(price.isNull(), "no record").otherwise(money(round0(price * F.lit(exact(rate)))))
         .alias("cost_local"),
         stock.alias("stock"),
         F.when(stock.isNull(), "no data").when(stock < low, "stock very low")
         .when((stock >= low) & (stock <= high), "restock soon").otherwise("ok")
         .alias("stock_alert"),
-        F.when(stock > offer_min, money(round0(price * F.lit(D(offer_factor)))))
+        F.when(stock > offer_min, money(round0(price * F.lit(exact(offer_factor)))))
         .otherwise("n/a").alias("offer_price"))
         .orderBy(F.col("part_id").desc_nulls_first()))
 

@@ -86,24 +86,29 @@ FROM orders WHERE {K.in_year('o_orderdate', AS_OF.year - 1)}
 
 
 @_reg("client_credit")
-def _client_credit(credit=6000):
+def _client_credit(state="A"):
     bal = K.d("c_acctbal")
     ident = "replace(c_name, '#', '-')"
     mail = "lower(replace(c_name, '#', '@'))"
     return f"""
+WITH c AS (SELECT *, CASE WHEN c_nationkey < 20 THEN 'A' ELSE 'B' END AS state,
+                  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 6000 WHEN 'BUILDING' THEN 4000
+                       WHEN 'FURNITURE' THEN 8000 WHEN 'MACHINERY' THEN 5000 ELSE 0 END AS credit,
+                  CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE 20000000 + c_custkey END AS phone
+           FROM customer)
 SELECT {K.mask_id(ident)} AS masked_id, {K.title_case('c_name')} AS client,
-       coalesce(CAST(c_nationkey AS VARCHAR), 'no district') AS district,
-       CASE WHEN {bal} > {FX.CREDIT_RATIO_CRITICAL} * {credit} THEN 'critical'
-            WHEN {bal} > {FX.CREDIT_RATIO_REGULAR} * {credit} THEN 'regular (' || {K.money(bal, in_mask=True)} || ')'
-            ELSE 'good (' || {K.money(f'{credit} - {bal}', in_mask=True)} || ')' END AS credit_status,
+       coalesce(CAST(phone AS VARCHAR), 'no phone') AS phone,
+       coalesce(CAST(c_nationkey AS VARCHAR), 'no district') AS district, state,
+       CASE WHEN {bal} / credit > 0.8 THEN 'critical'
+            WHEN {bal} / credit > 0.5 THEN 'regular (' || {K.money(bal, in_mask=True)} || ')'
+            ELSE 'good (' || {K.money(f'credit - {bal}', in_mask=True)} || ')' END AS credit_status,
        coalesce({K.mail_domain(mail)}, 'no mail') AS mail_domain
-FROM customer WHERE c_acctbal > 0
+FROM c WHERE state = '{state}' AND credit > 0
 """
 
 
 @_reg("stock_report")
-def _stock_report(word="ring", rate=950, low=10, high=30, offer_min=40,
-                  offer_factor=FX.OFFER_FACTOR):
+def _stock_report(word="ring", rate=950, low=10, high=30, offer_min=40):
     price = K.d("p_retailprice")
     return f"""
 SELECT p_partkey AS part_id, p_name AS description,
@@ -112,9 +117,9 @@ SELECT p_partkey AS part_id, p_name AS description,
        p_size AS stock,
        CASE WHEN p_size IS NULL THEN 'no data' WHEN p_size < {low} THEN 'stock very low'
             WHEN p_size >= {low} AND p_size <= {high} THEN 'restock soon' ELSE 'ok' END AS stock_alert,
-       CASE WHEN p_size > {offer_min} THEN {K.money(K.round0(f'{price} * {offer_factor}'))}
+       CASE WHEN p_size > {offer_min} THEN {K.money(K.round0(f'{price} * 0.9'))}
             ELSE 'n/a' END AS offer_price
-FROM part WHERE {K.has_word_starting('p_name', word)}
+FROM part WHERE {K.has_word_starting('p_name', word)} AND p_type = 'ECONOMY'
 """
 
 
@@ -246,6 +251,7 @@ SELECT c_custkey AS prof_id, c_name AS full_name, c_mktsegment AS profession, n_
        {K.money(K.mean_rounded(f"sum({K.cents('o_totalprice')})", 'count(o_totalprice)'))} AS fee_mean,
        {K.money(f'min({p})')} AS fee_min, {K.money(f'max({p})')} AS fee_max
 FROM customer JOIN orders ON c_custkey = o_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN (SELECT DISTINCT s_nationkey FROM supplier WHERE s_acctbal > 3000) sup ON c_nationkey = sup.s_nationkey
 WHERE {K.in_month('o_orderdate', AS_OF.year - 1, month)}
 GROUP BY c_custkey, c_name, c_mktsegment, n_name
 """
@@ -307,13 +313,16 @@ def _append_bonus_detail():
     return f"""
 WITH f AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey),
 bands(lo, hi, rate) AS (VALUES {bands}),
-t AS (SELECT o_custkey, o_orderkey, {_ticket_amount()} AS amount FROM orders),
+t AS (SELECT o_custkey, o_orderkey, {_ticket_amount()} AS amount FROM orders
+      WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'),
 r AS (SELECT *, dense_rank() OVER (PARTITION BY o_custkey ORDER BY amount DESC NULLS FIRST) AS dr FROM t),
 mt AS (SELECT o_custkey, max(amount) AS max_amount,
               max(o_orderkey) FILTER (WHERE dr = 1) AS best_ticket FROM r GROUP BY o_custkey),
 w AS (SELECT c.*, f.first_order, n_name, r_name, {K.years_between(AS_OF, 'f.first_order')} AS tenure
       FROM customer c JOIN f ON f.o_custkey = c.c_custkey
-      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+      JOIN (SELECT DISTINCT s_nationkey FROM supplier WHERE s_acctbal > 3000) sup
+        ON c_nationkey = sup.s_nationkey)
 SELECT row_number() OVER (ORDER BY w.c_custkey, b.lo) AS num,
        CAST(w.c_custkey AS VARCHAR) || '-' || CAST(w.c_custkey % 10 AS VARCHAR) AS rut,
        {K.title_case('w.c_name')} AS worker_name,
@@ -360,8 +369,10 @@ ORACLE["view_readback"] = (f"SELECT rut, worker, level, pct, salary, raise_amoun
 def _fines_sql(rebate: bool):
     from quill.plans.views import REBATE_CAREERS
     price = K.d("p_retailprice")
-    days = "CAST(datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER)"
-    fine = f"(CAST({days} AS DECIMAL(10,0)) * ({price} * {FX.FINE_RATE_PER_DAY}))"
+    # exact seconds; a fine in 1/10,000 of a currency unit per day is integral
+    secs = "CAST(datediff('second', o_orderdate, l_shipdate) AS HUGEINT)"
+    days = f"CAST({secs} / 86400.0 AS DECIMAL(20,10))"
+    fine = f"(CAST({secs} / 86400.0 AS DECIMAL(12,4)) * ({price} * 0.03))"
     careers = ", ".join(f"'{c}'" for c in REBATE_CAREERS)
     extra = ""
     if rebate:
@@ -386,6 +397,8 @@ WHERE l_shipdate > o_orderdate AND year(o_orderdate) = {AS_OF.year - 2}
 ORACLE["view_fines"] = _fines_sql(True)
 ORACLE["view_fines_salted"] = _fines_sql(True)
 ORACLE["view_fines_brief"] = _fines_sql(False)
+ORACLE["fines_report"] = ("SELECT student, career, loan_id, loan_line, returned_date, days_late, rebated_fine "
+                          f"FROM ({_fines_sql(True)})")
 
 
 @_reg("view_clients")
@@ -570,9 +583,10 @@ def _audit_fk_sql():
     parts = []
     for ct, cc, pt, pc in FOREIGN_KEYS:
         parts.append(f"""SELECT '{ct}' AS table_name, 'fk_orphan' AS rule, '{cc}' AS column_name,
-       CAST({cc} AS VARCHAR) AS key_value, count(*) AS n
-FROM {ct} WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pc} FROM {pt} WHERE {pc} IS NOT NULL)
-GROUP BY {cc}""")
+       count({cc}) AS checked,
+       count(*) FILTER (WHERE {cc} IS NOT NULL
+                        AND {cc} NOT IN (SELECT {pc} FROM {pt} WHERE {pc} IS NOT NULL)) AS n
+FROM {ct}""")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -585,6 +599,10 @@ def _audit_not_null_sql():
             parts.append(f"SELECT '{t}' AS table_name, 'not_null' AS rule, '{c}' AS column_name, "
                          f"CAST(NULL AS VARCHAR) AS key_value, count(*) FILTER (WHERE {c} IS NULL) AS n "
                          f"FROM {t}")
+    for c in ("parsed_date", "amount"):
+        parts.append(f"SELECT 'loaded_orders' AS table_name, 'not_null' AS rule, '{c}' AS column_name, "
+                     f"CAST(NULL AS VARCHAR) AS key_value, count(*) FILTER (WHERE {c} IS NULL) AS n "
+                     f"FROM ({ORACLE['lenient_cast_load']})")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -623,3 +641,13 @@ ORACLE["layout_year_pruned"] = f"""
 SELECT o_orderkey, o_custkey, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS o_year
 FROM orders WHERE year(o_orderdate) = {AS_OF.year - 1}
 """
+
+ORACLE["layout_join_key"] = f"""
+SELECT c_custkey, count(*) AS orders, sum({K.d('o_totalprice')}) AS total
+FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey
+"""
+
+ORACLE["layout_two_columns"] = f"""
+SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber FROM lineitem
+WHERE l_partkey = 77 AND year(l_shipdate) = {AS_OF.year - 2}
+"""

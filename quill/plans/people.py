@@ -11,10 +11,13 @@ start date) come from one aggregate over ``orders``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quill.functions import dec, national_id
+from quill.functions.dates import ts_lit
 
 
 def check_char(key="c_custkey") -> Column:
@@ -38,10 +41,13 @@ def order_profile(orders: DataFrame, extra: list[Column] | None = None) -> DataF
     return orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*aggs)
 
 
-def open_at(as_of, valid_days: int = 730) -> Column:
+def open_at(as_of: dt.date, valid_days: int = 730) -> Column:
     """Orders as status history: a row is valid from its order day for
     ``valid_days``, or open-ended while the order is open (``O``); true when
-    still valid at ``as_of`` (``end IS NULL OR end > as_of``)."""
-    valid_to = F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date")).otherwise(
-        F.date_add(F.to_date("o_orderdate"), valid_days))
-    return valid_to.isNull() | (valid_to > F.lit(as_of))
+    still valid at ``as_of`` (``end IS NULL OR end > as_of``).
+
+    ``day + valid_days > as_of`` is written as a bound on the stored column, so
+    that it reaches the scan; a missing order day leaves the end open."""
+    first = dt.datetime.combine(as_of - dt.timedelta(days=valid_days - 1), dt.time())
+    return ((F.col("o_orderstatus") == "O") | F.col("o_orderdate").isNull()
+            | (F.col("o_orderdate") >= ts_lit(first)))

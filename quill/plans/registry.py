@@ -36,6 +36,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "view_fines": views.view_fines,
     "view_fines_salted": views.view_fines_salted,
     "view_fines_brief": views.view_fines_brief,
+    "fines_report": views.fines_report,
     "view_clients": views.view_clients,
     "stock_control": stock.stock_control,
     "ctas_stock": stock.ctas_stock,
@@ -55,6 +56,8 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "audit_not_null": basics.audit_not_null,
     "audit_check": basics.audit_check,
     "layout_year_pruned": basics.layout_year_pruned,
+    "layout_join_key": basics.layout_join_key,
+    "layout_two_columns": basics.layout_two_columns,
 }
 
 
@@ -66,10 +69,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # Reports that write tables (create-as, append, reload, update, layouts):
 # building them has side effects, so they are not offered as views.
-WRITERS = {"ctas_fee_summary", "ctas_stock", "append_bonus_detail", "reload_payroll",
-           "update_by_aggregate", "update_literal", "layout_year_pruned", "lookup_upper_layout"}
-# Reports that run a job while being built (checkpoint; hot-key detection).
-EAGER = {"assign_keys", "view_fines_salted"}
+WRITERS = {"ctas_fee_summary", "fee_before_after", "ctas_stock", "append_bonus_detail", "reload_payroll",
+           "update_by_aggregate", "update_literal", "layout_year_pruned", "layout_join_key", "layout_two_columns",
+           "lookup_upper_layout"}
+# Reports that run a job while being built (checkpoint).
+EAGER = {"assign_keys"}
 
 
 def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:

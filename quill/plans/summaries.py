@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quill.functions import cents, mean_rounded, money, round_ratio
 from quill.functions.case import simple_case
 from quill.plans.context import Ctx
+from quill.sources.params import exact
 
 PART_TYPE_LABELS = {"ECONOMY": "economy line", "STANDARD": "standard line",
                     "SMALL": "small format", "MEDIUM": "medium format",
@@ -45,7 +46,7 @@ def avg_ratio_by_type(ctx: Ctx, having_min: float = 80, low: int = 85, high: int
         .orderBy(F.col("price_per_size").desc_nulls_first(), "type_code"))
 
 
-def avg_by_category(ctx: Ctx, min_mean: float = 4400) -> DataFrame:
+def avg_by_category(ctx: Ctx, min_mean="4400") -> DataFrame:
     """Mean balance by segment x region (codes mapped to labels by simple
     CASE, unmapped codes to a default); groups with mean <= ``min_mean`` are
     dropped; sorted by the mean, which is not shown raw."""
@@ -54,7 +55,8 @@ def avg_by_category(ctx: Ctx, min_mean: float = 4400) -> DataFrame:
     j = c.join(n, c.c_nationkey == n.n_nationkey)
     g = (j.groupBy("c_mktsegment", "n_regionkey")
          .agg(F.sum(cents("c_acctbal")).alias("_s"), F.count("c_acctbal").alias("_n"))
-         .filter(F.col("_s") > F.lit(int(round(min_mean * 100))) * F.col("_n")))
+         # cents against the exact parameter, cross-multiplied: no rounding
+         .filter(F.col("_s").cast("decimal(38,6)") > F.lit(exact(min_mean) * 100) * F.col("_n")))
     mean = mean_rounded(F.col("_s"), F.col("_n"))
     return (g.select(
         simple_case(F.col("c_mktsegment"), SEGMENT_LABELS, "undefined").alias("category"),

@@ -78,8 +78,7 @@ def view_readback(ctx: Ctx) -> DataFrame:
 REBATE_CAREERS = ["AUTOMOBILE", "FURNITURE"]
 
 
-def _late_loans(ctx: Ctx, years_back: int = 2, skew: str = "aqe",
-                hot_rows: int = 1_000_000, salts: int = 32) -> DataFrame:
+def _late_loans(ctx: Ctx, years_back: int = 2, salts: int = 0) -> DataFrame:
     """Loans (line items) due (ordered) in year(run date) - ``years_back`` and
     returned (shipped) after the due day, with student, career and book.
 
@@ -87,54 +86,34 @@ def _late_loans(ctx: Ctx, years_back: int = 2, skew: str = "aqe",
     is added so the line-item scan is pruned too (Catalyst does not infer
     it from the column-to-column comparison).
 
-    Row-level joins cannot be pre-aggregated. ``skew="aqe"`` leaves a hot
-    order, customer or part to AQE's skew-join splitting; ``skew="salt"``
-    salts every key with more than ``hot_rows`` rows explicitly."""
+    Row-level joins cannot be pre-aggregated: a hot order, customer or part is
+    left to AQE's skew-join splitting, or (``salts`` > 0, for sessions without
+    AQE) every key is spread over that many tasks by the line item's own key."""
     year = ctx.as_of.year - years_back
     lo, _ = year_bounds(year)
-    o = ctx.t.orders.filter(in_year("o_orderdate", year))
-    li = ctx.t.lineitem.filter(F.col("l_shipdate") > ts_lit(lo))
-    if skew == "salt":
-        # Hot keys from cheap aggregates of the scans, not from the joined
-        # rows (which would recompute each join): lines per order, lines per
-        # customer (per-order counts joined to orders: one row per order),
-        # lines per part (an upper bound — salting an extra key is harmless).
-        lines = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-        per_cust = (lines.join(o.select("o_orderkey", "o_custkey"),
-                               F.col("l_orderkey") == F.col("o_orderkey"))
-                    .groupBy("o_custkey").agg(F.sum("_n").alias("_n")))
-        per_part = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("_n"))
-
-        def heavy(df: DataFrame, key: str, max_hot: int = 1000) -> DataFrame:
-            return (df.filter(F.col("_n") > hot_rows).orderBy(F.col("_n").desc())
-                    .limit(max_hot).select(F.lit(key).alias("_k"),
-                                           F.col(key).cast("long").alias("_v")))
-
-        # all three bounded hot-key lists in one job
-        hot = (heavy(lines, "l_orderkey").unionByName(heavy(per_cust, "o_custkey"))
-               .unionByName(heavy(per_part, "l_partkey")).collect())
-
-        def sj(big, small, key, small_key):
-            out = salted_join(big, small.withColumnRenamed(small_key, key), [key],
-                              hot_rows=hot_rows, salts=salts,
-                              hot=[(r["_v"],) for r in hot if r["_k"] == key])
-            return out.withColumn(small_key, F.col(key))
-        j = sj(li, o, "l_orderkey", "o_orderkey")
-        j = j.filter(F.col("l_shipdate") > F.col("o_orderdate"))
-        j = sj(j, ctx.t.customer, "o_custkey", "c_custkey")
-        return sj(j, ctx.t.part, "l_partkey", "p_partkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .filter(F.col("l_shipdate") > F.col("o_orderdate"))
-         .join(ctx.t.customer, F.col("o_custkey") == F.col("c_custkey"))
-         .join(ctx.t.part, F.col("l_partkey") == F.col("p_partkey")))
-    return j
+    o = ctx.t.orders.filter(in_year("o_orderdate", year)).select("o_orderkey", "o_custkey", "o_orderdate")
+    li = (ctx.t.lineitem.filter(F.col("l_shipdate") > ts_lit(lo))
+          .select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"))
+    c = ctx.t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    p = ctx.t.part.select("p_partkey", "p_retailprice")
+
+    def meet(big: DataFrame, small: DataFrame, key: str, small_key: str) -> DataFrame:
+        if not salts:
+            return big.join(small, F.col(key) == F.col(small_key))
+        out = salted_join(big, small.withColumnRenamed(small_key, key), [key],
+                          salt_on=["l_orderkey", "l_linenumber"], salts=salts)
+        return out.withColumn(small_key, F.col(key))
+
+    j = meet(li, o, "l_orderkey", "o_orderkey").filter(F.col("l_shipdate") > F.col("o_orderdate"))
+    return meet(meet(j, c, "o_custkey", "c_custkey"), p, "l_partkey", "p_partkey")
 
 
 def _fine_columns(rebate: bool, rate: str = FX.FINE_RATE_PER_DAY,
                   rebate_pct: int = FX.FINE_REBATE_PCT):
     price = dec("p_retailprice")
+    # date minus date keeps the fraction of a day; the fine is on the exact days
     days = days_between("l_shipdate", "o_orderdate")
-    fine = days.cast("decimal(10,0)") * (price * F.lit(D(rate)))
+    fine = days * (price * F.lit(D(rate)))
     cols = [F.col("l_orderkey").alias("loan_id"), F.col("l_linenumber").alias("loan_line"),
             full_name("c_name", "c_mktsegment").alias("student"),
             F.col("c_mktsegment").alias("career"), F.col("p_partkey").alias("book_id"),
@@ -155,18 +134,25 @@ def _fine_columns(rebate: bool, rate: str = FX.FINE_RATE_PER_DAY,
     return cols
 
 
-def view_fines(ctx: Ctx, name: str = "v_fines_detail", **skew) -> DataFrame:
+def view_fines(ctx: Ctx, name: str = "v_fines_detail", salts: int = 0) -> DataFrame:
     """Fines detail view (3% of the book price per late day, rebate)."""
-    _late_loans(ctx, **skew).select(*_fine_columns(True)).createOrReplaceTempView(name)
+    _late_loans(ctx, salts=salts).select(*_fine_columns(True)).createOrReplaceTempView(name)
     return ctx.spark.table(name)
 
 
-def view_fines_salted(ctx: Ctx, hot_rows: int = 4, salts: int = 4) -> DataFrame:
-    """R16 with explicit salting; the low threshold makes every order with
-    more than four lines (and every busy customer and part) a salted key, so
-    the salted path runs on the test tables and is checked like R16."""
-    return view_fines(ctx, name="v_fines_detail_salted", skew="salt", hot_rows=hot_rows,
-                      salts=salts)
+def view_fines_salted(ctx: Ctx, salts: int = 4) -> DataFrame:
+    """R16 for sessions without AQE: every join key spread by salting."""
+    return view_fines(ctx, name="v_fines_detail_salted", salts=salts)
+
+
+def fines_report(ctx: Ctx) -> DataFrame:
+    """the sorted read of the fines view (the order belongs to the reader):
+    by student, then the latest return first."""
+    view_fines(ctx)
+    return (ctx.spark.table("v_fines_detail")
+            .select("student", "career", "loan_id", "loan_line", "returned_date", "days_late", "rebated_fine")
+            .orderBy(F.col("student").asc_nulls_last(), F.col("returned_date").desc_nulls_first(),
+                     "loan_id", "loan_line"))
 
 
 def view_fines_brief(ctx: Ctx, name: str = "v_fines") -> DataFrame:

@@ -3,34 +3,40 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 TABLE_SUBDIR = "quill_tables"
+#: for local sessions without spark.checkpoint.dir; one folder, not one per call
+LOCAL_CHECKPOINT_DIR = os.path.join(tempfile.gettempdir(), "quill-local")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, as named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only a local session with the setting unset gets a
-    private folder (tests); a cluster without it is a configuration error,
+    Read from the session, and the same on every call. Only a local session
+    (one machine, one process) may leave the setting out: it then uses
+    ``LOCAL_CHECKPOINT_DIR``. Anywhere else that is a configuration error,
     because a machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        d = tempfile.mkdtemp(prefix="quill-ckpt-")
+        d = LOCAL_CHECKPOINT_DIR
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
 def table_root(spark: SparkSession) -> str:
-    """Where derived tables (create-as, append, reload, versions) are written."""
-    return f"{shared_dir(spark)}/{TABLE_SUBDIR}"
+    """Where the reports' derived tables (create-as, append, reload, versions) are
+    written: one folder per application, so that two applications never claim
+    the same table. Tables that outlive an application get an explicit root."""
+    return f"{shared_dir(spark)}/{TABLE_SUBDIR}/{spark.sparkContext.applicationId}"
 
 
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None,

@@ -18,10 +18,33 @@ from quill.sources.sinks import TableStore
 
 
 def partitioned_by(store: TableStore, df: DataFrame, name: str, part_col: str, part_expr: Column,
-                   sort_within: list[str]) -> DataFrame:
-    """Write ``df`` with a derived partition column (e.g. the year of a date)."""
-    return store.create_as(df.withColumn(part_col, part_expr), name, partition_by=[part_col],
-                           sort_within=sort_within)
+                   sort_within: list[str], files: int = 8) -> DataFrame:
+    """Write ``df`` with a derived partition column (e.g. the year of a date).
+
+    Rows are dealt by partition value and one of ``files`` hash slots first, so
+    a folder gets at most ``files`` files, not one per task, and a value that
+    holds a third of the rows is still written by several tasks."""
+    slot = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    dealt = df.withColumn(part_col, part_expr).repartition(F.col(part_col), slot)
+    return store.create_as(dealt, name, partition_by=[part_col], sort_within=sort_within)
+
+
+def clustered_by(store: TableStore, df: DataFrame, name: str, cols: list[str],
+                 partitions: int | None = None) -> DataFrame:
+    """Write ``df`` range-clustered and sorted on several columns (the re-aim of
+    an index on them): a filter on a leading part of ``cols`` skips files."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *[F.col(c) for c in cols], F.xxhash64(*df.columns))
+    return store.create_as(dealt, name, sort_within=cols)
+
+
+def bucketed_by(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Save ``df`` as table ``name`` bucketed and sorted on a join key: a join or
+    aggregation on it reads the buckets without a shuffle on this side. Built
+    once, read many times; rows are dealt by key first, one file per bucket."""
+    (df.repartition(buckets, F.col(key)).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
 
 
 def keyed_by(store: TableStore, df: DataFrame, name: str, key_col: str, key_expr: Column,

@@ -14,6 +14,12 @@ from quill.operators.joins import band_stats
 D = decimal.Decimal
 
 
+def exact(value) -> decimal.Decimal:
+    """A parameter as the decimal number that was written: ``0.19``, ``"0.19"``
+    and ``Decimal("0.19")`` are the same (a float by its shortest text)."""
+    return value if isinstance(value, D) else D(str(value))
+
+
 def band_table(spark: SparkSession, bands, edge_type: T.DataType = T.IntegerType(),
                rate_type: T.DataType = T.DecimalType(5, 2)) -> DataFrame:
     """``(lo, hi, rate)`` rows; decimal edges and rates given as text stay exact."""

@@ -45,6 +45,7 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "part": ("p_partkey",),
     "orders": ("o_orderkey",),
     "lineitem": ("l_orderkey", "l_linenumber"),
+    "events": ("event_id",),
 }
 
 FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
@@ -56,4 +57,5 @@ FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("lineitem", "l_orderkey", "orders", "o_orderkey"),
     ("lineitem", "l_partkey", "part", "p_partkey"),
     ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("events", "user_id", "customer", "c_custkey"),
 ]

@@ -1,18 +1,25 @@
 """Table sinks: create-as, append, truncate-and-reload, versioned rewrite.
 
 Parquet files cannot be updated in place and a job may not overwrite the path
-it reads from, so every table is a folder of committed *versions*::
-
-    <root>/<table>/v000001/   (written by one job; visible once _SUCCESS exists)
-    <root>/<table>/v000002/   (the next create/reload/update)
-
-Readers take the newest committed version; a failed or running job never
-exposes partial output, which replaces the reference's COMMIT points. The
-root is the shared folder from ``spark.checkpoint.dir`` (see ``session``).
+it reads from, so every table is a folder of *versions*, and a version is a
+folder of *parts*, each written by one job::
+
+    <root>/<table>/v000001/p000001/   (create, reload or update)
+    <root>/<table>/v000001/p000002/   (an append to it)
+    <root>/<table>/v000002/p000001/   (the next create, reload or update)
+
+A part is visible once its ``_SUCCESS`` exists: readers take the committed
+parts of the newest version that has one, so a failed or running job never
+exposes partial output and a retry never doubles rows. That replaces the
+reference's COMMIT points. One writer at a time: a write claims the table by
+creating a marker file exclusively, and a second writer fails. The root is the
+shared folder from ``spark.checkpoint.dir`` (see ``session``).
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,65 +27,91 @@ from pyspark.sql import types as T
 from quill.session import table_root
 
 
+class TableBusy(RuntimeError):
+    """Another write to the table is running (or died: see ``release``)."""
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or table_root(spark)).rstrip("/")
 
-    # -- paths and versions -------------------------------------------------
+    # -- paths, versions and parts --------------------------------------------
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _version_dirs(self, name: str) -> list[int]:
-        """Every version folder, committed or not, oldest first."""
-        p, fs = self._fs(f"{self.root}/{name}")
+    def _numbered(self, path: str, letter: str) -> list[int]:
+        """Numbers of the folders ``<letter>000000`` in ``path``, ascending."""
+        p, fs = self._fs(path)
         if not fs.exists(p):
             return []
-        return sorted(int(st.getPath().getName()[1:]) for st in fs.listStatus(p)
-                      if st.isDirectory() and st.getPath().getName()[:1] == "v"
-                      and st.getPath().getName()[1:].isdigit())
-
-    def _committed(self, name: str, v: int) -> bool:
-        p, fs = self._fs(f"{self._version_path(name, v)}/_SUCCESS")
-        return bool(fs.exists(p))
-
-    def versions(self, name: str) -> list[int]:
-        """Committed versions of ``name``, oldest first."""
-        return [v for v in self._version_dirs(name) if self._committed(name, v)]
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return sorted(int(n[1:]) for n in names if n[:1] == letter and n[1:].isdigit())
 
     def _version_path(self, name: str, v: int) -> str:
         return f"{self.root}/{name}/v{v:06d}"
 
-    def exists(self, name: str) -> bool:
-        return self._latest(name) is not None
+    def _part_paths(self, name: str, v: int) -> list[str]:
+        """Committed parts of a version."""
+        out = []
+        for n in self._numbered(self._version_path(name, v), "p"):
+            path = f"{self._version_path(name, v)}/p{n:06d}"
+            p, fs = self._fs(f"{path}/_SUCCESS")
+            if fs.exists(p):
+                out.append(path)
+        return out
+
+    def versions(self, name: str) -> list[int]:
+        """Committed versions of ``name``, oldest first."""
+        return [v for v in self._numbered(f"{self.root}/{name}", "v") if self._part_paths(name, v)]
 
     def _latest(self, name: str) -> int | None:
-        """Newest committed version (one marker check per uncommitted folder
-        above it, not one per version in the history)."""
-        for v in reversed(self._version_dirs(name)):
-            if self._committed(name, v):
+        for v in reversed(self._numbered(f"{self.root}/{name}", "v")):
+            if self._part_paths(name, v):
                 return v
         return None
 
-    def current_path(self, name: str) -> str:
+    def exists(self, name: str) -> bool:
+        return self._latest(name) is not None
+
+    def current_paths(self, name: str) -> list[str]:
         v = self._latest(name)
         if v is None:
             raise FileNotFoundError(f"table {name!r} has no committed version")
-        return self._version_path(name, v)
+        return self._part_paths(name, v)
 
     def read(self, name: str) -> DataFrame:
         """``SELECT * FROM name`` on the newest committed version."""
-        return self.spark.read.parquet(self.current_path(name))
+        return self._read_parts(self.current_paths(name))
+
+    def _read_parts(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*paths)
+
+    # -- one writer at a time --------------------------------------------------
+    def _claim_path(self, name: str) -> str:
+        return f"{self.root}/{name}/_writer"
+
+    @contextmanager
+    def _writer(self, name: str):
+        p, fs = self._fs(self._claim_path(name))
+        fs.mkdirs(p.getParent())
+        if not fs.createNewFile(p):
+            raise TableBusy(f"another write to {name!r} holds {self._claim_path(name)}; "
+                            "if its job is dead, call release()")
+        try:
+            yield
+        finally:
+            fs.delete(p, False)
+
+    def release(self, name: str) -> None:
+        """Drop the claim of a writer that died."""
+        p, fs = self._fs(self._claim_path(name))
+        fs.delete(p, False)
 
     # -- writes -------------------------------------------------------------
-    def _write_new_version(self, df: DataFrame, name: str, partition_by=None,
-                           sort_within=None) -> str:
-        # after every folder, committed or not: a failed job's leftovers are
-        # never reused and never read
-        dirs = self._version_dirs(name)
-        path = self._version_path(name, (dirs[-1] + 1) if dirs else 1)
+    def _write_part(self, df: DataFrame, path: str, partition_by=None, sort_within=None) -> None:
         if sort_within:
             # partition columns first: the partitioned writer needs that order
             df = df.sortWithinPartitions(*(list(partition_by or []) + list(sort_within)))
@@ -86,14 +119,21 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        return path
+
+    def _write_new_version(self, df: DataFrame, name: str, **layout) -> DataFrame:
+        # after every folder, committed or not: a failed job's leftovers are
+        # never reused and never read
+        dirs = self._numbered(f"{self.root}/{name}", "v")
+        path = self._version_path(name, (dirs[-1] + 1) if dirs else 1) + "/p000001"
+        self._write_part(df, path, **layout)
+        return self._read_parts([path])
 
     def create_as(self, df: DataFrame, name: str, replace: bool = True, **layout) -> DataFrame:
         """``CREATE TABLE name AS SELECT``; ``replace`` = drop first if present."""
-        if not replace and self.exists(name):
-            raise FileExistsError(f"table {name!r} exists")
-        self._write_new_version(df, name, **layout)
-        return self.read(name)
+        with self._writer(name):
+            if not replace and self.exists(name):
+                raise FileExistsError(f"table {name!r} exists")
+            return self._write_new_version(df, name, **layout)
 
     def create_empty(self, name: str, schema: T.StructType) -> DataFrame:
         """``CREATE TABLE name (...)`` with no rows."""
@@ -104,61 +144,64 @@ class TableStore:
         """``TRUNCATE`` then ``INSERT … SELECT``: a new version with only ``df``,
         columns aligned by name to the declared ``schema`` (the table's DDL)
         or, without one, to the existing table."""
-        if schema is not None:
-            df = align_by_name(df, schema)
-        elif self.exists(name):
-            df = align_by_name(df, self.read(name).schema)
-        self._write_new_version(df, name)
-        return self.read(name)
+        with self._writer(name):
+            if schema is not None:
+                df = align_by_name(df, schema)
+            elif self.exists(name):
+                df = align_by_name(df, self.read(name).schema)
+            return self._write_new_version(df, name)
 
     def append(self, df: DataFrame, name: str) -> DataFrame:
-        """``INSERT INTO name SELECT …``: adds files to the current version.
+        """``INSERT INTO name SELECT …``: one more part of the current version,
+        visible as a whole once it is committed.
 
         Columns are matched by name (never by position) and cast to the
         table's types, so a reordered select cannot swap two columns."""
-        path = self.current_path(name)
-        df = align_by_name(df, self.spark.read.parquet(path).schema)
-        df.write.mode("append").parquet(path)
+        with self._writer(name):
+            return self._append(df, name)
+
+    def _append(self, df: DataFrame, name: str) -> DataFrame:
+        current = self.read(name)
+        v = self._version_path(name, self._latest(name))
+        df = align_by_name(df, current.schema)
+        self._write_part(df, f"{v}/p{self._numbered(v, 'p')[-1] + 1:06d}")
         return self.read(name)
 
     def append_keyed(self, df: DataFrame, name: str, key: str, order: list[str],
                      start: int = 1, step: int = 1) -> DataFrame:
         """``INSERT INTO name SELECT seq.NEXTVAL, …``: dense keys in ``order``,
         continuing after the largest key already in the table (a sequence
-        keeps its position between inserts); ``start`` when it is empty."""
+        keeps its position between inserts); ``start`` when it is empty. The
+        claim covers the drawing of keys, so two inserts cannot draw the same."""
         from quill.operators.keys import assign_keys
-        top = self.read(name).agg(F.max(key)).first()[0]
-        first = start if top is None else top + step
-        keyed = assign_keys(df, order, key=key, start=first, step=step)
-        return self.append(keyed.drop(*[c for c in order if c not in self.read(name).columns]),
-                           name)
+        with self._writer(name):
+            current = self.read(name)
+            top = current.agg(F.max(key)).first()[0]
+            first = start if top is None else top + step
+            keyed = assign_keys(df, order, key=key, start=first, step=step)
+            return self._append(keyed.drop(*[c for c in order if c not in current.columns]), name)
+
+    def replace_with(self, df_fn, name: str) -> DataFrame:
+        """Rewrite a table from its own current content (``UPDATE``): the new
+        content is computed from version N and committed as N+1."""
+        with self._writer(name):
+            return self._write_new_version(df_fn(self.read(name)), name)
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
         """Retention: delete committed versions older than the newest ``keep``,
         and uncommitted leftovers older than the newest committed version.
         A folder newer than the newest commit may be a running write and is
         never touched. Readers of a removed version must have finished."""
-        dirs = self._version_dirs(name)
-        committed = [v for v in dirs if self._committed(name, v)]
+        committed = self.versions(name)
         if not committed:
             return []
         kept, newest = set(committed[-max(keep, 1):]), committed[-1]
-        removed = []
-        for v in dirs:
-            if v in kept or v > newest:
-                continue
+        removed = [v for v in self._numbered(f"{self.root}/{name}", "v") if v not in kept and v <= newest]
+        for v in removed:
             p, fs = self._fs(self._version_path(name, v))
             fs.delete(p, True)
-            removed.append(v)
         return removed
 
-    def replace_with(self, df_fn, name: str) -> DataFrame:
-        """Rewrite a table from its own current content (``UPDATE``): the new
-        content is computed from version N and committed as N+1."""
-        new = df_fn(self.read(name))
-        self._write_new_version(new, name)
-        return self.read(name)
-
 
 def align_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]

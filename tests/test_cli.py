@@ -2,6 +2,8 @@
 
 import tempfile
 
+import pytest
+
 from quill.__main__ import main
 
 from conftest import SF_SMALL
@@ -45,3 +47,25 @@ def test_run_all_writes_every_plain_report(spark):
     expected = set(BUILDERS) - WRITERS - EAGER
     for name in expected:
         assert spark.read.parquet(f"{out}/{name}").schema.fieldNames()
+
+
+@pytest.mark.parametrize("report,param,fine", [("invoice_listing", "vat=0.19", "vat=0.20"),
+                                               ("stock_report", "offer_factor=0.9", "offer_factor=0.85"),
+                                               ("stock_report", "rate=950.1", "rate=950"),
+                                               ("avg_by_category", "min_mean=4400.005", "min_mean=9000")])
+def test_decimal_parameters(spark, report, param, fine):
+    got = []
+    for p in (param, fine):
+        out = tempfile.mkdtemp(prefix="quill-cli-") + "/out"
+        assert main(["run", report, "--data", SF_SMALL, "--param", p, "--out", out, "--show", "0"]) == 0
+        got.append(sorted(map(str, spark.read.parquet(out).collect())))
+    assert got[0] != got[1]
+
+
+def test_decimal_parameters_are_exact():
+    from decimal import Decimal
+
+    from quill.__main__ import _value
+    from quill.sources.params import exact
+    assert _value("0.19") == Decimal("0.19") and _value("7") == 7 and _value("BUILDING") == "BUILDING"
+    assert exact(0.1) == exact("0.1") == exact(Decimal("0.1"))

@@ -47,7 +47,7 @@ def fx(spark):
         ],
         "part": [(1, "hot ring", "Brand#1", "ECONOMY", 10, 900.00),
                  (2, "string", "Brand#1", "SMALL", 20, 950.00)],
-        "supplier": [(1, "Supplier#1", 0, 1.0)],
+        "supplier": [(1, "Supplier#1", 0, 9000.0), (2, "Supplier#2", 7, 9000.0)],
     }
     for name, data in rows.items():
         spark.createDataFrame(data, SCHEMAS[name]).coalesce(1).write.parquet(f"{root}/{name}.parquet")
@@ -59,7 +59,7 @@ def test_credit_status_boundaries(fx):
     assert got["Customer#000000001"] == "regular ($4.800)"
     assert got["Customer#000000002"] == "critical"
     assert got["Customer#000000003"] == "good ($3.000)"
-    assert "Customer#000000006" not in got  # balance <= 0 filtered
+    assert "Customer#000000006" not in got  # no credit line
 
 
 def test_mean_half_rounds_up(fx):
@@ -163,3 +163,21 @@ def test_tenure_bonus_switch_at_cut(edges):
     assert rows["Customer#000000000"].tenure_bonus == "$500"
     rows0 = {r.worker: r for r in sales.bonus_tenure(edges, tenure_cut=0).collect()}
     assert rows0["Customer#000000000"].tenure_bonus == "$750"
+
+
+def test_days_between_keeps_fractions_of_a_day(spark):
+    from quill.functions.dates import days_between
+    df = spark.sql("""SELECT TIMESTAMP_NTZ '2001-01-03 12:00:00' a, TIMESTAMP_NTZ '2001-01-01 00:00:00' b
+                      UNION ALL SELECT TIMESTAMP_NTZ '2001-01-01 06:00:00', TIMESTAMP_NTZ '2001-01-01 18:00:00'
+                      UNION ALL SELECT TIMESTAMP_NTZ '2001-01-05 00:00:00', TIMESTAMP_NTZ '2001-01-01 00:00:00'
+                      UNION ALL SELECT NULL, TIMESTAMP_NTZ '2001-01-01 00:00:00'""")
+    got = [r.d for r in df.select(days_between("a", "b").alias("d")).collect()]
+    assert [None if d is None else float(d) for d in got] == [2.5, -0.5, 4.0, None]
+
+
+def test_absent_ticket_keeps_the_worker(ctx):
+    from quill.plans.sales import bonus_detail
+    got = bonus_detail(ctx).collect()
+    absent = [r for r in got if r.ticket_no == "no info"]
+    assert absent and len(absent) < len(got)
+    assert all(r.amount == "no info" and r.ticket_bonus == "0" and r.sim_ticket for r in absent)

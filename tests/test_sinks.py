@@ -23,7 +23,7 @@ def test_versions_and_rewrite(spark, store):
     out = store.replace_with(lambda t: t.withColumn("v", F.upper("v")), "t")
     assert store.versions("t") == [1, 2]
     assert sorted(map(tuple, out.collect())) == [(1, "A"), (2, "B")]
-    old = spark.read.parquet(store._version_path("t", 1))
+    old = spark.read.parquet(store._version_path("t", 1) + "/p000001")
     assert sorted(r.v for r in old.collect()) == ["a", "b"]
 
 
@@ -89,7 +89,7 @@ def test_keyed_layout_files_cover_disjoint_key_ranges(spark, store, ctx):
     from quill.sources.layout import keyed_by
     keyed_by(store, ctx.t.part, "parts", "name_key", F.upper("p_name"), partitions=4)
     ranges = []
-    for f in glob.glob(store.current_path("parts").replace("file:", "") + "/*.parquet"):
+    for f in glob.glob(store.current_paths("parts")[0].replace("file:", "") + "/*.parquet"):
         meta = pq.ParquetFile(f).metadata
         col = [i for i in range(meta.num_columns) if meta.schema.column(i).name == "name_key"][0]
         for rg in range(meta.num_row_groups):
@@ -112,3 +112,52 @@ def test_vacuum_keeps_newest_and_running(spark, store):
     assert store.versions("t") == [3, 4]
     assert [r.k for r in store.read("t").collect()] == [3]
     assert os.path.isdir(store._version_path("t", 5).replace("file:", ""))
+
+
+def bad_rows(spark):
+    """Rows whose writing fails half way: one partition is fine, another raises."""
+    return (spark.range(0, 1000, 1, 4).withColumn("k", F.col("id").cast("int"))
+            .select(F.when(F.col("k") < 700, F.col("k")).otherwise(F.raise_error(F.lit("broken"))).cast("int").alias("k")))
+
+
+def test_failed_append_shows_nothing_and_retry_does_not_double(spark, store):
+    store.create_as(spark.createDataFrame([(1,), (2,)], "k int"), "t")
+    with pytest.raises(Exception, match="broken"):
+        store.append(bad_rows(spark), "t")
+    assert sorted(r.k for r in store.read("t").collect()) == [1, 2]
+    more = spark.createDataFrame([(3,)], "k int")
+    assert sorted(r.k for r in store.append(more, "t").collect()) == [1, 2, 3]
+    assert store.versions("t") == [1]
+
+
+def test_second_writer_fails(spark, store):
+    from quill.sources.sinks import TableBusy
+    store.create_empty("t", spark.createDataFrame([], "num long, v string").schema)
+    rows = spark.createDataFrame([("a",)], "v string")
+    with store._writer("t"):
+        for write in (lambda: store.append(rows, "t"), lambda: store.create_as(rows, "t"),
+                      lambda: store.append_keyed(rows, "t", key="num", order=["v"])):
+            with pytest.raises(TableBusy):
+                write()
+    out = store.append_keyed(rows, "t", key="num", order=["v"])
+    assert [tuple(r) for r in out.collect()] == [(1, "a")]
+    with pytest.raises(RuntimeError):
+        with store._writer("t"):
+            raise RuntimeError("dies")
+    store.append(spark.createDataFrame([(9, "z")], "num long, v string"), "t")     # the claim was released
+
+
+def test_root_is_the_same_on_every_call(spark):
+    from quill.session import shared_dir, table_root
+    assert table_root(spark) == table_root(spark) and shared_dir(spark) == shared_dir(spark)
+    assert TableStore(spark).root == table_root(spark)
+
+
+def test_year_layout_writes_few_files(spark, store, ctx):
+    import glob
+
+    from quill.sources.layout import partitioned_by
+    t = ctx.t.orders.repartition(40)
+    partitioned_by(store, t, "o", "y", F.year("o_orderdate"), ["o_orderdate"], files=2)
+    for folder in glob.glob(store.current_paths("o")[0].replace("file:", "") + "/y=*"):
+        assert 1 <= len(glob.glob(folder + "/*.parquet")) <= 2
