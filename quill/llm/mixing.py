@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 20
-MAX_RATE = 512.0     # rates above are refused, not cut: exp(-rate) must not vanish
+MAX_RATE = 512.0     # a larger rate is the sum of equal draws below it: exp(-rate) must not vanish
 _REST = "rest of sources"
 
 
@@ -57,10 +57,7 @@ def rates(docs: DataFrame, weights: dict[str, float], rest: float = 0.0,
         raise ValueError("weights must not be negative and must not all be zero")
     out = []
     for g, w in asked.items():
-        rate = w / whole * total / size[g] if size.get(g) else (1.0 if w else 0.0)
-        if rate > MAX_RATE:
-            raise ValueError(f"source {g!r} would be repeated {rate:.0f} times: weight too large")
-        out.append((g, rate))
+        out.append((g, w / whole * total / size[g] if size.get(g) else (1.0 if w else 0.0)))
     return out
 
 
@@ -82,15 +79,23 @@ def mix(docs: DataFrame, weights: dict[str, float], rest: float = 0.0, seed: int
     """
     table = rates(docs, weights, rest, source_col, text_col)
     spark = docs.sparkSession
+    parts = [max(1, math.ceil(r / MAX_RATE)) for _, r in table]
     cdf = F.broadcast(spark.createDataFrame(
-        [(g, poisson_cdf(r)) for g, r in table], "_mix_group string, _mix_cdf array<double>"))
+        [(g, poisson_cdf(r / k), k) for (g, r), k in zip(table, parts)],
+        "_mix_group string, _mix_cdf array<double>, _mix_parts int"))
     cols = [c for c in docs.columns if c not in (copy_col, key_col)]
-    u = uniform(seed, "count", F.col(id_col))
-    drawn = (docs.select(*cols, _group(F.col(source_col), weights).alias("_mix_group"), u.alias("_mix_u"))
-             .join(cdf, "_mix_group")
-             # smallest n with P(N <= n) > u
-             .withColumn("_mix_n", F.size(F.filter("_mix_cdf", lambda p: p <= F.col("_mix_u"))))
-             .filter("_mix_n > 0"))
+
+    def draw(u: Column) -> Column:
+        """Smallest n with P(N <= n) > u."""
+        return F.size(F.filter("_mix_cdf", lambda p: p <= u))
+
+    n = draw(F.col("_mix_u"))
+    if max(parts, default=1) > 1:       # Poisson draws add up
+        n = n + F.aggregate(F.sequence(F.lit(1), F.col("_mix_parts")), F.lit(0), lambda acc, j: acc + F.when(
+            j < F.col("_mix_parts"), draw(uniform(seed, "count", F.col(id_col), j))).otherwise(0))
+    drawn = (docs.select(*cols, _group(F.col(source_col), weights).alias("_mix_group"),
+                         uniform(seed, "count", F.col(id_col)).alias("_mix_u"))
+             .join(cdf, "_mix_group").withColumn("_mix_n", n).filter("_mix_n > 0"))
     return (drawn.select(*cols, F.explode(F.sequence(F.lit(0), F.col("_mix_n") - 1)).alias(copy_col))
             .withColumn(key_col, uniform(seed, "place", F.col(id_col), F.col(copy_col)))
             .repartition(F.col(key_col)).sortWithinPartitions(key_col, id_col))

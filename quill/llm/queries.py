@@ -95,4 +95,69 @@ QUERIES = {
     "op10_embedding_links": op10_embedding_links,
 }
 
-ORACLE: dict[str, str] = {}
+def _op1_sql(seed: int = 20) -> str:
+    weights = ", ".join(f"('{s}', CAST({w} AS DOUBLE))" for s, w in [*WEIGHTS.items(), ("rest of sources", REST)])
+    named = ", ".join(f"'{s}'" for s in WEIGHTS)
+    return f"""
+WITH RECURSIVE w(g, weight) AS (VALUES {weights}),
+d AS (SELECT *, CASE WHEN source IN ({named}) THEN source ELSE 'rest of sources' END AS g FROM documents),
+z AS (SELECT g, sum(coalesce(length(text), 0)) AS size FROM d GROUP BY g),
+r AS (SELECT w.g, weight / (SELECT sum(weight) FROM w) * (SELECT sum(size) FROM z) / z.size AS rate
+      FROM w JOIN z USING (g) WHERE z.size > 0),
+c(g, rate, k, p, total) AS (
+  SELECT g, rate, 0, exp(-rate), exp(-rate) FROM r
+  UNION ALL SELECT g, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) FROM c WHERE k < 60),
+u AS (SELECT *, CAST('0x' || substr(md5('{seed}:count:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13)
+                     AS BIGINT) / 4503599627370496.0 AS u FROM d),
+n AS (SELECT u.doc_id, u.text, u.lang, u.source, u.n_chars,
+             (SELECT count(*) FROM c WHERE c.g = u.g AND c.total <= u.u) AS n FROM u),
+x AS (SELECT * EXCLUDE (n), CAST(unnest(range(n)) AS INTEGER) AS copy FROM n)
+SELECT *, CAST('0x' || substr(md5('{seed}:place:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || copy), 1, 13)
+               AS BIGINT) / 4503599627370496.0 AS shuffle_key FROM x
+"""
+
+
+#: components by reachability, for the small tables that the SQL check uses
+_REACH = """,
+reach(a, b) AS (SELECT a, b FROM (SELECT a, b FROM link UNION ALL SELECT b, a FROM link)
+                UNION SELECT r.a, e.b FROM reach r
+                JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) e ON r.b = e.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)"""
+
+_OP3_SQL = f"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS h
+      FROM t),
+e AS (SELECT doc_id, unnest(h) AS h FROM s),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM e x JOIN e y ON x.h = y.h AND x.doc_id < y.doc_id
+         GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+         WHERE 100 * n >= 75 * (len(x.h) + len(y.h) - n)){_REACH}
+SELECT doc_id, CAST(len(h) AS BIGINT) AS n_shingles, least(doc_id, coalesce(low.b, doc_id)) AS component_id,
+       least(doc_id, coalesce(low.b, doc_id)) = doc_id AS kept
+FROM s LEFT JOIN low ON low.a = doc_id
+"""
+
+_OP10_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+         WHERE list_cosine_similarity(x.e, y.e) >= 0.9){_REACH},
+deg AS (SELECT a, count(*) AS n FROM (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) GROUP BY a)
+SELECT vec_id, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id,
+       least(vec_id, coalesce(low.b, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN deg ON deg.a = vec_id
+"""
+
+#: where SQL can say it; the others are tested against brute force in tests/llm
+ORACLE: dict[str, str] = {
+    "op1_poisson_mix": _op1_sql(),
+    "op3_minhash_near_dup": _OP3_SQL,
+    "op10_embedding_links": _OP10_SQL,
+}

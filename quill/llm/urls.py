@@ -75,7 +75,7 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
                   .select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD))))
                           .otherwise(F.col("items")).alias("items")))
     n = marked.count()
-    if not n:
+    if n < min_rows:
         return spark.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / n),
                      minConfidence=min_confidence).fit(marked)
@@ -93,14 +93,13 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
                         "need", "confidence")
     less = less.join(rules.select(F.col("need").alias("inner"), F.col("confidence").alias("c")), "inner")
     narrow = less.filter("c >= confidence").select("need").distinct()
-    kept = keep(rules.join(narrow, "need", "left_anti"))
-    return kept.select(F.monotonically_increasing_id().alias("rule_id"), "need", "confidence", "support")
+    return keep(rules.join(narrow, "need", "left_anti")
+                .select(F.monotonically_increasing_id().alias("rule_id"), "need", "confidence", "support"))
 
 
 def match(pages: DataFrame, rules: DataFrame, id_col: str) -> DataFrame:
     """``pages(id, items)``, ``rules`` -> ``(id, rule_id, need, confidence)`` of
     the most confident rule that a page meets in full; pages without one are left out."""
-    rules = keep(rules)
     uses = rules.select(F.explode("need").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
     # the rarest token among rules is long and specific: a hot token indexes
     # no rule that has a rarer one

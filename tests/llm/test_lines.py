@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from quill.llm.lines import MIN_CHARS, WIDTH, canonical, char_shingles, cut_lines, dedup_lines, signatures
+from quill.llm.lines import MIN_CHARS, POSITIONS, WIDTH, canonical, char_shingles, cut_lines, dedup_lines, signatures
 from quill.llm.neardup import Circulant
 
 from llm_helpers import sentence
@@ -90,9 +90,15 @@ def test_nasty(spark, nasty):
 def test_signature_of_joined_lines_equals_single():
     r = random.Random(1)
     lines = [canonical(sentence(r, 1 + r.randrange(30)) + "é中\U0001f600") for _ in range(200)]
-    lines += ["y" * 50_000]
+    lines += ["y" * 50_000, sentence(r, 9000)]
     lines = [x for x in lines if len(x) >= WIDTH]
-    circ = Circulant(32)
+    circ = Circulant(32, 3, POSITIONS)
     got = signatures(lines, circ, WIDTH)
-    assert all((got[k] == circ.signature(char_shingles(x))).all() for k, x in enumerate(lines))
+    assert all((got[k] == signatures([x], circ, WIDTH)[0]).all() for k, x in enumerate(lines))
+    # coordinates agree as often as the sets overlap
+    x, y = lines[0] * 3, (lines[0] * 3)[:-12] + "another end!"
+    a, b = set(char_shingles(x).tolist()), set(char_shingles(y).tolist())
+    many = Circulant(1000, 4, POSITIONS)
+    same = (signatures([x], many, WIDTH) == signatures([y], many, WIDTH)).mean()
+    assert abs(same - len(a & b) / len(a | b)) < 0.15
     assert np.array_equal(char_shingles("abc"), char_shingles("abc")) and len(char_shingles("abc")) == 1

@@ -54,9 +54,11 @@ def test_zero_and_refused_weights(spark):
         mix(d, {"hot": -1.0}, 1.0)
     with pytest.raises(ValueError):
         mix(d, {}, 0.0)
-    tiny = d.unionByName(spark.createDataFrame([(10 ** 6, "tiny", "x")], "doc_id long, source string, text string"))
-    with pytest.raises(ValueError):
-        mix(tiny, {"tiny": 0.9}, 0.1)
+    # a tiny source with a large weight: the rate is far beyond one draw
+    tiny = d.unionByName(spark.createDataFrame([(10 ** 6, "tiny", "xxxxx")], "doc_id long, source string, text string"))
+    rate = dict(rates(tiny, {"tiny": 0.5}, 0.5))["tiny"]
+    assert rate > 900
+    assert mix(tiny, {"tiny": 0.5}, 0.5).filter("source = 'tiny'").count() == pytest.approx(rate, rel=0.15)
 
 
 def test_nasty(spark, nasty):

@@ -114,19 +114,37 @@ def test_circulant_signature_estimates_jaccard():
     assert (s == circ.shifts[circ.places(both[:1])][0]).all()
 
 
-def test_blocks_equal_pairs():
+def test_blocks_connect_what_pairs_connect():
     import pyarrow as pa
     rows = [(i, t) for i, t in near_rows(4, groups=3) if t]
     left, right = rows[:30], rows[20:]
-    batch = pa.RecordBatch.from_pylist([{"left": [{"id": i, "text": t} for i, t in left],
-                                         "right": [{"id": i, "text": t} for i, t in right]}])
-    got = set()
-    for b in _blocks(word_shingles, 75, 100)([batch]):
-        got |= set(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
     want = set()
     for (i, s), (j, t) in itertools.product(left, right):
         x, y = word_shingles(s), word_shingles(t)
         both = overlap(x, y)
         if i != j and both * 100 >= 75 * (len(x) + len(y) - both):
             want.add((min(i, j), max(i, j)))
-    assert got == want
+
+    def got(mode):
+        batch = pa.RecordBatch.from_pylist([{"mode": mode, "left": [{"id": i, "text": t} for i, t in left],
+                                             "right": [{"id": i, "text": t} for i, t in right]}])
+        return [p for b in _blocks(word_shingles, 75, 100)([batch])
+                for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if p[0] != p[1]]
+
+    def parts(edges):
+        root = {i: i for i, _ in rows}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            root[find(a)] = find(b)
+        return {frozenset(i for i in root if find(i) == r) for r in {find(i) for i in root}}
+
+    forest = got(2)
+    assert set(forest) <= want and parts(forest) == parts(want) and len(forest) < len(rows)
+    inside = {i for p in want for i in p} & {i for i, _ in left}
+    assert {a for p in got(1) for a in p} >= {i for i in inside if i not in dict(right)}
+    assert len(got(0)) <= 1
