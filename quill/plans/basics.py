@@ -68,15 +68,21 @@ VALUE_BANDS = [("-1000", "0", "1"), ("0", "5000", "2"), ("5000", "8000", "3"),
 YEAR_BANDS = [(0, 1, "0.01"), (2, 3, "0.03"), (3, 5, "0.05")]
 
 
-def band_join_value(ctx: Ctx) -> DataFrame:
+def band_join_value(ctx: Ctx, **options) -> DataFrame:
     """Balance BETWEEN band.lo AND band.hi."""
     from pyspark.sql import types as T
     bands, st = literal_bands(ctx.spark, VALUE_BANDS, edge_type=T.DecimalType(18, 2))
     c = ctx.t.customer.select("c_custkey", dec("c_acctbal").alias("balance"))
-    return band_join(c, F.col("balance"), bands, stats=st).select(
+    return band_join(c, F.col("balance"), bands, stats=st, **options).select(
         "c_custkey", "balance", "lo", "hi", F.col("rate").alias("band"))
 
 
+def band_join_shuffled(ctx: Ctx) -> DataFrame:
+    """C6 as for a band table too large to broadcast: both sides are shuffled on
+    the bucket."""
+    return band_join_value(ctx, broadcast_rows=0)
+
+
 def band_join_tenure(ctx: Ctx) -> DataFrame:
     """Whole years since the order date BETWEEN band.lo AND band.hi."""
     o = ctx.t.orders.select("o_orderkey", years_between(ctx.as_of, "o_orderdate").alias("tenure"))

@@ -9,10 +9,16 @@ from __future__ import annotations
 from quill.functions.dates import AS_OF
 from quill.plans import fixed as FX
 from quill.plans import sqlkit as K
-from quill.plans.summaries import PART_TYPE_LABELS, REGION_LABELS, SEGMENT_LABELS
 
 ORACLE: dict[str, str] = {}
 
+# written out here, not taken from the builders that they check
+PART_TYPE_LABELS = {"ECONOMY": "economy line", "STANDARD": "standard line", "SMALL": "small format",
+                    "MEDIUM": "medium format", "LARGE": "large format"}
+SEGMENT_LABELS = {"AUTOMOBILE": "automotive", "BUILDING": "construction", "FURNITURE": "furnishing",
+                  "MACHINERY": "industrial"}
+REGION_LABELS = {0: "branch africa", 1: "branch america", 2: "branch asia", 3: "branch europe"}
+
 
 def _reg(name):
     def deco(fn):
@@ -185,7 +191,7 @@ ORACLE["cashier_sales_safe"] = _cashier_sales(False)
 
 @_reg("bonus_tenure")
 def _bonus_tenure(urgent="1-URGENT", health="NATION_7", cut=5, valid_days=730):
-    from quill.plans.sales import STATUS_LABELS
+    STATUS_LABELS = {"F": "finished", "O": "open", "P": "partial"}
     sal = K.d("c_acctbal")
     ten = K.years_between(AS_OF, "f.first_order")
     return f"""
@@ -303,7 +309,7 @@ FROM r GROUP BY o_custkey
 
 
 def _append_bonus_detail():
-    from quill.plans.sales import TENURE_BANDS
+    TENURE_BANDS = [(0, 2, "0.02"), (3, 5, "0.04"), (5, 6, "0.07")]
     bands = ", ".join(f"({a}, {b}, CAST({r} AS DECIMAL(5,2)))" for a, b, r in TENURE_BANDS)
     sal = K.d("c_acctbal")
     amt = "mt.max_amount"
@@ -343,7 +349,7 @@ ORACLE["append_bonus_detail"] = _append_bonus_detail()
 
 # -- views ------------------------------------------------------------------
 def _view_raises_sql():
-    from quill.plans.views import SCHOOL_BONUS
+    SCHOOL_BONUS = {0: ("primary", 4), 1: ("secondary", 6), 2: ("technical", 8), 3: ("university", 10)}
     vals = ", ".join(f"({k}, '{v[0]}', {v[1]})" for k, v in SCHOOL_BONUS.items())
     sal = K.d("c_acctbal")
     pct = "CAST(s.pct AS DECIMAL(5,0))"
@@ -367,7 +373,7 @@ ORACLE["view_readback"] = (f"SELECT rut, worker, level, pct, salary, raise_amoun
 
 
 def _fines_sql(rebate: bool):
-    from quill.plans.views import REBATE_CAREERS
+    REBATE_CAREERS = ["AUTOMOBILE", "FURNITURE"]
     price = K.d("p_retailprice")
     # exact seconds; a fine in 1/10,000 of a currency unit per day is integral
     secs = "CAST(datediff('second', o_orderdate, l_shipdate) AS HUGEINT)"
@@ -517,7 +523,7 @@ SELECT row_number() OVER (ORDER BY o_orderkey) + 79 AS key, o_orderkey, o_custke
 
 
 def _band_join_value_sql():
-    from quill.plans.basics import VALUE_BANDS
+    VALUE_BANDS = [("-1000", "0", "1"), ("0", "5000", "2"), ("5000", "8000", "3"), ("9000", "10000", "4")]
     vals = ", ".join(f"(CAST({a} AS DECIMAL(18,2)), CAST({b} AS DECIMAL(18,2)), CAST({r} AS DECIMAL(5,2)))"
                      for a, b, r in VALUE_BANDS)
     return f"""
@@ -528,7 +534,7 @@ FROM customer JOIN b ON {K.d('c_acctbal')} BETWEEN b.lo AND b.hi
 
 
 def _band_join_tenure_sql():
-    from quill.plans.basics import YEAR_BANDS
+    YEAR_BANDS = [(0, 1, "0.01"), (2, 3, "0.03"), (3, 5, "0.05")]
     vals = ", ".join(f"({a}, {b}, CAST({r} AS DECIMAL(5,2)))" for a, b, r in YEAR_BANDS)
     ten = K.years_between(AS_OF, "o_orderdate")
     return f"""
@@ -539,6 +545,7 @@ FROM orders JOIN b ON {ten} BETWEEN b.lo AND b.hi
 
 
 ORACLE["band_join_value"] = _band_join_value_sql()
+ORACLE["band_join_shuffled"] = _band_join_value_sql()
 ORACLE["band_join_tenure"] = _band_join_tenure_sql()
 
 ORACLE["semi_exists"] = f"""

@@ -47,6 +47,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "lenient_cast_load": basics.lenient_cast_load,
     "assign_keys": basics.assign_order_keys,
     "band_join_value": basics.band_join_value,
+    "band_join_shuffled": basics.band_join_shuffled,
     "band_join_tenure": basics.band_join_tenure,
     "semi_exists": basics.semi_exists,
     "intersect_keys": basics.intersect_keys,

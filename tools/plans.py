@@ -10,11 +10,12 @@ import sys
 
 sys.path.insert(0, ".")
 
-import __spark_entry__ as E  # noqa: E402
+from quill.plans.context import Ctx  # noqa: E402
+from quill.plans.registry import BUILDERS  # noqa: E402
 from quill.session import local_session  # noqa: E402
 
 WATCH = ["CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "BatchEvalPython",
-         "ArrowEvalPython", "SinglePartition"]
+         "ArrowEvalPython", "SinglePartition", "SortAggregate"]
 
 
 def summarize(text: str) -> dict:
@@ -41,8 +42,8 @@ def main():
              "assignment.", "",
              "| query | shuffles | BHJ | SMJ | SHJ | partial aggs | watch | pushed filters |",
              "| --- | --- | --- | --- | --- | --- | --- | --- |"]
-    for name, fn in E.queries().items():
-        df = fn(spark, sf)
+    for name, fn in BUILDERS.items():
+        df = fn(Ctx(spark, sf))
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
         pushed = "; ".join(p[:90] for p in s["pushed"])[:240]
         lines.append(f"| `{name}` | {s['shuffles']} | {s['broadcast_hash_joins']} | "
