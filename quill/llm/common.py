@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +14,18 @@ BROADCAST_BYTES = 16 << 20    # a side is broadcast only if measured below this
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there: the
-    rows survive the loss of an executor and are computed once."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and read it from there: the
+    rows survive the loss of an executor and are computed once.
+
+    A table rather than ``checkpoint()``: the plan that reads it knows its real
+    size. A checkpoint carries the estimate of the plan it cut off, and in
+    rounds of joins these estimates multiply without bound. The tables lie in
+    ``<spark.checkpoint.dir>/quill-kept/<application>``; like checkpoints they
+    can go when the application has ended."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/quill-kept/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def arrow(df: DataFrame, fn, schema: str) -> DataFrame:

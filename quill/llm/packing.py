@@ -142,7 +142,7 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = cuts.sparkSession
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cells = cuts.withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
-    per_cell = keep(cells.groupBy("length", "cell").agg(F.count(F.lit(1)).alias("n")))
+    per_cell = cells.groupBy("length", "cell").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in                      # at most ``capacity`` rows
               per_cell.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
