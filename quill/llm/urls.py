@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quill.llm.common import keep, sized
 
 BAD = "label=bad"
-MIN_SUPPORT_ROWS, MIN_SUPPORT, MIN_CONFIDENCE = 5, 0.0005, 0.8
+MIN_SUPPORT_ROWS, MIN_SUPPORT, MIN_CONFIDENCE = 5, 0.001, 0.8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,8 +56,8 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     every = F.concat(
         F.array(F.concat(F.lit("scheme="), F.lower(F.regexp_extract(url, r"^([^:/]*)://", 1))),
                 F.concat(F.lit("tld="), F.element_at(labels, -1))),
-        F.transform(F.filter(F.split(host, r"[^\p{L}\p{N}]+"), lambda x: x != ""),
-                    lambda x: F.concat(F.lit("host="), x)),
+        F.transform(F.filter(F.split(F.regexp_replace(host, r"[.][^.]*$", ""), r"[^\p{L}\p{N}]+"),
+                             lambda x: x != ""), lambda x: F.concat(F.lit("host="), x)),
         F.transform(words, lambda x: F.concat(F.lit("path="), x)),
         F.transform(query, lambda x: F.concat(F.lit("query="), x)))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(every))
