@@ -33,8 +33,9 @@ def buckets(items: DataFrame) -> DataFrame:
     return keep(rows.join(sized(hot), "key"))
 
 
-def _pairs(shingle: Shingle, share: int, whole: int):
-    """``(a, b, ta, tb)`` -> ``(a, b, link)``; equal neighbours in ``a`` share their set."""
+def _pairs(shingle: Shingle, share: int, whole: int, most: Callable[[str], int] | None):
+    """``(a, b, ta, tb)`` -> ``(a, b, link)``; equal neighbours in ``a`` share their
+    set. ``most`` bounds a text's set size: too small a set is not built."""
     def run(batches):
         last, sa = None, None
         for b in batches:
@@ -42,6 +43,9 @@ def _pairs(shingle: Shingle, share: int, whole: int):
             for a, ta, tb in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if a != last:
                     last, sa = a, shingle(ta)
+                if most and most(tb) * whole < len(sa) * share:
+                    link.append(False)
+                    continue
                 sb = shingle(tb)
                 both = overlap(sa, sb)
                 link.append(both * whole >= (len(sa) + len(sb) - both) * share)
@@ -51,43 +55,90 @@ def _pairs(shingle: Shingle, share: int, whole: int):
 
 
 def _blocks(shingle: Shingle, share: int, whole: int):
-    """``(left, right)`` blocks of ``(id, text)`` -> links between them: one inverted
-    index per right block counts the overlaps of a text with all of it at once."""
+    """Rows ``(single, left, right)`` of two blocks of ``(id, label, text)`` -> links
+    that connect them, never all of them. The right block belongs to one
+    component: one link per label on the left is enough. Or (``single``) both
+    hold items that are their own label: a spanning forest.
+
+    One inverted index per right block counts the overlaps of a text with all of
+    it at once."""
     def run(batches):
         for batch in batches:
             found: tuple[list, list] = ([], [])
             for row in batch.to_pylist():
-                ids = np.array([x["id"] for x in row["right"]], np.int64)
+                ids = [x["id"] for x in row["right"]]
                 sets = [shingle(x["text"]) for x in row["right"]]
                 size = np.array([len(s) for s in sets])
                 owner = np.repeat(np.arange(len(sets)), size)
                 flat = np.concatenate(sets)
                 order = np.argsort(flat, kind="stable")
                 flat, owner = flat[order], owner[order]
+                root: dict[int, int] = {}
+
+                def top(x: int) -> int:
+                    while root.setdefault(x, x) != x:
+                        x = root[x]
+                    return x
+
                 for x in row["left"]:
+                    if not row["single"] and x["label"] in root:
+                        continue                 # its component is connected already
                     s = shingle(x["text"])
                     lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
                     n = hi - lo
                     at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     both = np.bincount(owner[at], minlength=len(sets))
-                    for b in ids[(both * whole >= (size + len(s) - both) * share) & (ids != x["id"])].tolist():
-                        found[0].append(min(x["id"], b))
-                        found[1].append(max(x["id"], b))
+                    hits = np.nonzero(both * whole >= (size + len(s) - both) * share)[0]
+                    for k in hits if row["single"] else hits[:1]:
+                        y = ids[k]
+                        if row["single"]:
+                            u, v = top(x["id"]), top(y)
+                            if u == v:
+                                continue
+                            root[u] = v
+                        else:
+                            root[x["label"]] = y
+                        found[0].append(min(x["id"], y))
+                        found[1].append(max(x["id"], y))
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], ["a", "b"])
     return run
 
 
-def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int, whole: int) -> DataFrame:
+def _block_pairs(side: DataFrame, texts: DataFrame, single: bool) -> DataFrame:
+    """``side(c, left, id, label)`` -> rows of ``_blocks``: per ``c``, the blocks of
+    the left side with those of the right side (``single``: of one side with
+    each other). Items are dealt to blocks by hash."""
+    side = keep(side)
+    parts = keep(side.groupBy("c", "left").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")))
+    block = keep(side.join(sized(parts, 32), ["c", "left"]).join(texts, "id")
+                 .groupBy("c", "left", F.pmod(F.xxhash64("id"), "parts").alias("part"))
+                 .agg(F.collect_list(F.struct("id", "label", "text")).alias("rows")))
+    # the list of block pairs first, so that blocks are joined by their own key
+    # and a component of very many blocks is dealt over all tasks
+    have = block.select("c", "left", "part")
+    l, r = have.filter("left").alias("l"), have.filter("left" if single else "not left").alias("r")
+    todo = (l.join(r, F.col("l.c") == F.col("r.c")).filter("l.part <= r.part" if single else "true")
+            .select("l.c", F.col("l.part").alias("lp"), F.col("r.part").alias("rp")))
+    lrows = block.filter("left").select("c", F.col("part").alias("lp"), F.col("rows").alias("left"))
+    rrows = (block.filter("left" if single else "not left")
+             .select("c", F.col("part").alias("rp"), F.col("rows").alias("right")))
+    return (todo.join(lrows, ["c", "lp"]).join(rrows, ["c", "rp"])
+            .select(F.lit(single).alias("single"), "left", "right"))
+
+
+def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int, whole: int,
+             most: Callable[[str], int] | None = None) -> DataFrame:
     """``(id, low)``: the smallest id reachable over links with ``whole *
     intersection >= share * union``, for items where that is another id.
 
     1. star: every item of a bucket is compared with the bucket's centre;
     2. verified links give components; a bucket inside one component is done;
-    3. in other buckets, an item meets a larger component: it is compared with
-       all members of it, and with the others that meet it. Both sides are cut
-       into blocks of about ``BLOCK`` texts, a task compares two blocks and
-       returns links only. Buckets without any component hold single items:
-       their pairs are compared one by one;
+    3. in other buckets, an item that meets a larger component is compared with
+       all members of it, and single items with those of their bucket. Both
+       sides are cut into blocks of about ``BLOCK`` texts; a task compares two
+       blocks and returns as many links as it takes to connect them. Buckets
+       without any component hold single items: their pairs are compared one
+       by one;
     4. components again, over the graph contracted by the first ones.
     """
     ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
@@ -95,7 +146,7 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
 
     def verify(pairs: DataFrame) -> DataFrame:
         both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-        return (arrow(both, _pairs(shingle, share, whole), "a long, b long, link boolean")
+        return (arrow(both, _pairs(shingle, share, whole, most), "a long, b long, link boolean")
                 .filter("link").select("a", "b"))
 
     star = verify(bucket.filter("id <> centre")
@@ -111,27 +162,18 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
     open_ = keep(at.join(sized(split), "key").select("key", "id", "label", "size", "top"))
 
     # items that meet a larger component
-    big = open_.filter("size > 1").select("key", F.col("label").alias("c"), F.col("size").alias("cs")).distinct()
-    meets = keep(open_.filter("top > 1").join(big, "key")
-                 .filter("(size < cs) or (size = cs and label < c)").select("id", "c").distinct())
-    side = (meets.select("c", "id", F.lit(True).alias("left")).unionByName(
-        comp.join(sized(keep(meets.select(F.col("c").alias("comp")).distinct())), "comp")
-        .select(F.col("comp").alias("c"), F.col("node").alias("id"), F.lit(False).alias("left"))))
-    side = keep(side)
-    parts = keep(side.groupBy("c", "left").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")))
-    block = keep(side.join(sized(parts), ["c", "left"]).join(texts, "id")
-                 .groupBy("c", "left", F.pmod(F.xxhash64("id"), "parts").alias("part"))
-                 .agg(F.collect_list(F.struct("id", "text")).alias("rows")))
-    # the list of block pairs first, so that blocks are joined by their own key
-    # and a component of very many blocks is dealt over all tasks
-    have = block.select("c", "left", "part")
-    l, r = have.filter("left").alias("l"), have.alias("r")
-    todo = (l.join(r, F.col("l.c") == F.col("r.c"))
-            .filter(~F.col("r.left") | (F.col("l.part") <= F.col("r.part")))
-            .select("l.c", F.col("l.part").alias("lp"), F.col("r.left").alias("rl"), F.col("r.part").alias("rp")))
-    lrows = block.filter("left").select("c", F.col("part").alias("lp"), F.col("rows").alias("left"))
-    rrows = block.select("c", F.col("left").alias("rl"), F.col("part").alias("rp"), F.col("rows").alias("right"))
-    met = todo.join(lrows, ["c", "lp"]).join(rrows, ["c", "rl", "rp"]).select("left", "right")
+    mixed = open_.filter("top > 1")
+    big = mixed.filter("size > 1").select("key", F.col("label").alias("c"), F.col("size").alias("cs")).distinct()
+    meets = keep(mixed.join(big, "key").filter("(size < cs) or (size = cs and label < c)")
+                 .select("c", F.lit(True).alias("left"), "id", "label").distinct())
+    hosts = keep(meets.select(F.col("c").alias("comp")).distinct())
+    side = meets.unionByName(comp.join(sized(hosts), "comp").select(
+        F.col("comp").alias("c"), F.lit(False).alias("left"), F.col("node").alias("id"), F.col("comp").alias("label")))
+    # single items of a bucket that holds a component too
+    lone = mixed.filter("size = 1").select(F.col("key").alias("c"), F.lit(True).alias("left"), "id", "label")
+    several = keep(lone.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("c"))
+    met = _block_pairs(side, texts, single=False).unionByName(
+        _block_pairs(lone.join(sized(several), "c"), texts, single=True))
     near = arrow(met, _blocks(shingle, share, whole), "a long, b long")
 
     # buckets of single items

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quill.session import shared_dir
 
 BATCH_ROWS = 512              # texts per Arrow batch: bounds a Python worker's memory
-BROADCAST_BYTES = 16 << 20    # a side is broadcast only if measured below this
+BROADCAST_BYTES = 32 << 20    # a side is broadcast only if measured below this
 
 
 def keep(df: DataFrame) -> DataFrame:

@@ -33,7 +33,9 @@ WIDTH, SHARE, WHOLE = 7, 80, 100
 BANDS, ROWS = 8, 4
 MIN_CHARS = 20
 CHUNK = 1 << 14      # characters signed at once
+POSITIONS = 1 << 16  # universe of the two permutations (a small table stays in cache)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE32, _MIX32 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 
 def canonical(line: str) -> str:
@@ -55,6 +57,19 @@ def char_shingles(line: str, width: int = WIDTH) -> np.ndarray:
     return np.unique(windows(codes, width)) if len(codes) else np.zeros(0, np.uint64)
 
 
+def _spots(codes: np.ndarray, width: int) -> np.ndarray:
+    """Positions (below ``POSITIONS``) of all ``width``-character windows: a light
+    32-bit hash, since band keys only propose lines to compare."""
+    m = len(codes) - width + 1
+    h = codes[:m].copy()
+    for j in range(1, width):
+        np.multiply(h, _BASE32, out=h)
+        np.add(h, codes[j:m + j], out=h)
+    h ^= h >> np.uint32(15)
+    h *= _MIX32
+    return h >> np.uint32(16)
+
+
 def signatures(lines: list[str], circ: Circulant, width: int) -> np.ndarray:
     """Signatures of canonical lines, each at least ``width`` long: one pass over
     their joined characters, windows that cross a line's end left out."""
@@ -67,40 +82,45 @@ def signatures(lines: list[str], circ: Circulant, width: int) -> np.ndarray:
             j += 1
         part = lines[i:j]
         i = j
-        if len(part) == 1:       # a very long line: in pieces
-            codes = np.frombuffer(part[0].encode("utf-32-le", "surrogatepass"), np.uint32)
-            out.append(circ.signature(windows(codes, width))[None, :])
-            continue
         codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(part) == 1:       # a long line: in pieces
+            spots = circ.sigma[_spots(codes, width)]
+            got = [circ.shifts[spots[k:k + CHUNK]].min(axis=0) for k in range(0, len(spots), CHUNK)]
+            out.append(np.min(got, axis=0)[None, :])
+            continue
         ends = np.cumsum([len(x) for x in part])
-        h = windows(codes, width)
         inside = np.ones(len(codes), bool)
         for k in range(1, width):
             inside[ends - k] = False
-        inside = inside[:len(h)]
-        n = np.array([len(x) - width + 1 for x in part])
-        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-        out.append(np.minimum.reduceat(circ.shifts[circ.places(h[inside])], starts, axis=0))
+        spots = circ.sigma[_spots(codes, width)[inside[:len(codes) - width + 1]]]
+        starts = np.cumsum([0] + [len(x) - width + 1 for x in part[:-1]])
+        out.append(np.minimum.reduceat(circ.shifts[spots], starts, axis=0))
     return np.concatenate(out)
 
 
 def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
     def run(batches):
-        circ = Circulant(bands * rows, seed)
+        circ = Circulant(bands * rows, seed, POSITIONS)
         for b in batches:
             ids = b.column(0).to_pylist()
             texts = b.column(1).to_pylist()
             at = 0
             while at < len(texts):
-                doc, no, lines, size = [], [], [], 0
+                doc, no, n, lines, size = [], [], [], [], 0
                 while at < len(texts) and size < 16 * CHUNK:
                     if texts[at]:
                         size += len(texts[at])
+                        own: dict[str, int] = {}        # a document's line, once
                         for k, line in enumerate(texts[at].split("\n")):
                             line = canonical(line)
                             if len(line) >= min_chars:
+                                j = own.setdefault(line, len(lines))
+                                if j < len(lines):
+                                    n[j] += 1
+                                    continue
                                 doc.append(ids[at])
                                 no.append(k)
+                                n.append(1)
                                 lines.append(line)
                     at += 1
                 if not lines:
@@ -109,9 +129,8 @@ def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
                 digest = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(no, pa.int32()),
-                     pa.ListArray.from_arrays(
-                         pa.array(np.arange(len(lines) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))],
-                    ["line", "doc", "no", "keys"])
+                     pa.array(n, pa.int64()), *[pa.array(keys[:, k]) for k in range(bands)]],
+                    ["line", "doc", "no", "n", *[f"k{k}" for k in range(bands)]])
     return run
 
 
@@ -128,23 +147,6 @@ def _chosen(batches):
                                          ["id", "text"])
 
 
-def _cut(batches):
-    """(text, drop, ...) -> (text without these lines, n_lines, n_cut, ...)."""
-    for b in batches:
-        texts, total, cut = [], [], []
-        for text, drop in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            lines = text.split("\n") if text else []
-            total.append(len(lines))
-            cut.append(len(drop) if drop and lines else 0)
-            if drop and lines:
-                gone = set(drop)
-                text = "\n".join(x for k, x in enumerate(lines) if k not in gone)
-            texts.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(cut, pa.int64()),
-             *b.columns[2:]], ["text", "n_lines", "n_cut", *b.schema.names[2:]])
-
-
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   width: int = WIDTH, min_chars: int = MIN_CHARS, bands: int = BANDS,
                   rows: int = ROWS, seed: int = 13) -> DataFrame:
@@ -154,22 +156,25 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError("min_chars must be at least the shingle width")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     src = src.filter("id is not null and text is not null")
+    ks = [f"k{k}" for k in range(bands)]
     found = arrow(src, _signed(width, min_chars, bands, rows, seed),
-                  "line binary, doc long, no int, keys array<long>")
+                  "line binary, doc long, no int, n long, " + ", ".join(f"{k} long" for k in ks))
+    # fixed-width columns: the aggregation hashes, it does not sort
     lines = keep(found.groupBy("line").agg(
-        F.min(F.struct("doc", "no")).alias("first"), F.count(F.lit(1)).alias("n"),
-        F.first("keys").alias("keys")))
-    # after the checkpoint, row ids are the same whenever they are read
-    lines = lines.select(F.monotonically_increasing_id().alias("id"), "line", "first", "n", "keys")
+        F.min("doc").alias("doc"), F.min_by("no", "doc").alias("no"), F.sum("n").alias("n"),
+        *[F.first(k).alias(k) for k in ks]).select(
+        F.monotonically_increasing_id().alias("id"), "line", F.struct("doc", "no").alias("first"), "n",
+        F.array(*ks).alias("keys")))
     bucket = buckets(lines.select("id", "keys"))
     wanted = keep(lines.select("id", "first").join(bucket.select("id").distinct(), "id")
                   .groupBy(F.col("first.doc").alias("doc"))
                   .agg(F.collect_list(F.struct("id", F.col("first.no").alias("no"))).alias("wanted")))
-    texts = keep(arrow(src.join(sized(wanted.withColumnRenamed("doc", "id"), 96), "id")
-                       .dropDuplicates(["id"]).select("id", "text", "wanted"), _chosen,
-                       "id long, text string"))
+    texts = keep(arrow(src.join(sized(wanted.withColumnRenamed("doc", "id"), 400), "id")
+                       .select("id", "text", "wanted"), _chosen, "id long, text string")
+                 .dropDuplicates(["id"]))
 
-    low = clusters(bucket, texts, lambda line: char_shingles(line, width), SHARE, WHOLE)
+    low = clusters(bucket, texts, lambda line: char_shingles(line, width), SHARE, WHOLE,
+                   most=len)
     # of each component, the first occurrence stays
     member = low.unionByName(low.select(F.col("low").alias("id"), "low").distinct())
     member = lines.select("id", "line", "first").join(member, "id")
@@ -206,16 +211,16 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """All columns of ``docs``, ``text_col`` without its repeated lines, plus
     ``(n_lines, n_cut)``, which replace columns of these names."""
     drop = dropped_lines(docs, id_col, text_col, **options)
-    rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_cut")]
-    # other columns travel in one struct, so that no name can clash
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
-                      F.struct(*rest).alias("rest"))
-    out = (src.join(sized(drop.withColumnRenamed("doc", "id"), 96), "id", "left")
-           .select("text", "drop", "rest"))
-    kind = src.schema["rest"].dataType.simpleString()
-    out = arrow(out, _cut, f"text string, n_lines long, n_cut long, rest {kind}")
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c)
-                        for c in docs.columns if c not in ("n_lines", "n_cut")], "n_lines", "n_cut")
+    drop = drop.select(F.col("doc").alias("_doc"), F.col("drop").alias("_drop"))
+    cols = [c for c in docs.columns if c not in ("n_lines", "n_cut")]
+    out = docs.select(*cols).join(sized(drop, 128), F.col(id_col).cast("long") == F.col("_doc"), "left")
+    text = F.col(text_col)
+    lines = F.split(text, "\n", -1)
+    cut = F.col("_drop").isNotNull() & (text != "")
+    left = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("_drop", k)), "\n")
+    return out.select(*[F.when(cut, left).otherwise(text).alias(c) if c == text_col else F.col(c) for c in cols],
+                      F.when(text != "", F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
+                      F.when(cut, F.size("_drop")).otherwise(0).cast("long").alias("n_cut"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -43,7 +43,7 @@ class Circulant:
         rng = np.random.default_rng(seed)
         self.positions = positions
         self.sigma = rng.permutation(positions)
-        pi = rng.permutation(positions).astype(np.uint32)
+        pi = rng.permutation(positions).astype(np.uint16 if positions <= 1 << 16 else np.uint32)
         self.shifts = np.lib.stride_tricks.sliding_window_view(
             np.concatenate([pi, pi[:coords]]), coords)
 

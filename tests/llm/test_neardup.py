@@ -125,9 +125,9 @@ def test_blocks_connect_what_pairs_connect():
         if i != j and both * 100 >= 75 * (len(x) + len(y) - both):
             want.add((min(i, j), max(i, j)))
 
-    def got(mode):
-        batch = pa.RecordBatch.from_pylist([{"mode": mode, "left": [{"id": i, "text": t} for i, t in left],
-                                             "right": [{"id": i, "text": t} for i, t in right]}])
+    def got(single, label):
+        rows = [[{"id": i, "label": label(i), "text": t} for i, t in side] for side in (left, right)]
+        batch = pa.RecordBatch.from_pylist([{"single": single, "left": rows[0], "right": rows[1]}])
         return [p for b in _blocks(word_shingles, 75, 100)([batch])
                 for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if p[0] != p[1]]
 
@@ -143,8 +143,8 @@ def test_blocks_connect_what_pairs_connect():
             root[find(a)] = find(b)
         return {frozenset(i for i in root if find(i) == r) for r in {find(i) for i in root}}
 
-    forest = got(2)
+    forest = got(True, lambda i: i)
     assert set(forest) <= want and parts(forest) == parts(want) and len(forest) < len(rows)
     inside = {i for p in want for i in p} & {i for i, _ in left}
-    assert {a for p in got(1) for a in p} >= {i for i in inside if i not in dict(right)}
-    assert len(got(0)) <= 1
+    assert {a for p in got(False, lambda i: i) for a in p} >= {i for i in inside if i not in dict(right)}
+    assert len(got(False, lambda i: -1)) <= 1
