@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quill.llm.common import table
-from quill.llm.lines import cut_lines
+from quill.llm.lines import EVERY, cut_lines
 from quill.llm.mixing import mix
 from quill.llm.neardup import keep_one
 from quill.llm.packing import pack_documents
@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines are cut from the texts (``n_chars`` follows); a document of
     which no word is left goes, since all it said stays elsewhere."""
-    out = cut_lines(docs).filter((F.col("n_cut") == 0) | F.col("text").rlike(r"\S"))
+    out = cut_lines(docs, min_chars=EVERY).filter((F.col("n_cut") == 0) | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("n_cut") > 0, size).otherwise(F.col("n_chars")))

@@ -9,11 +9,13 @@
    distributed union-find gives the components;
 4. of each component the first occurrence stays; all others are cut.
 
-Lines are compared lower-cased and without surrounding white space. Lines of
-fewer than ``MIN_CHARS`` code points recur by chance and say nothing about
-copying: they are left alone, like blank lines. A pair at exactly 0.8 is
-missed with probability (1 - 0.8^4)^8 = 1.5 %, at 0.85 with 0.3 %, at 0.9
-with 0.02 %.
+Lines are compared lower-cased and without surrounding white space; blank
+lines are left alone. The registered query and the pipeline let every other
+line take part (``min_chars=EVERY``). A line shorter than a shingle is one
+shingle, the whole line, so it has no near copy that is not an equal one: it
+goes without a signature. Called without ``min_chars``, lines of fewer than
+``MIN_CHARS`` code points stay. A pair at exactly 0.8 is missed with
+probability (1 - 0.8^4)^8 = 1.5 %, at 0.85 with 0.3 %, at 0.9 with 0.02 %.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from quill.llm.texts import mix
 
 WIDTH, SHARE, WHOLE = 7, 80, 100
 BANDS, ROWS = 8, 4
-MIN_CHARS = 20
+MIN_CHARS = 20       # default of the functions
+EVERY = 1            # min_chars of the query and the pipeline: all lines but blank ones
 CHUNK = 1 << 14      # characters signed at once
 POSITIONS = 1 << 16  # universe of the two permutations (a small table stays in cache)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -125,11 +128,16 @@ def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
                     at += 1
                 if not lines:
                     continue
-                keys = band_keys(signatures(lines, circ, width), bands, rows)
+                whole = [len(x) >= width for x in lines]
+                keys = np.zeros((len(lines), bands), np.int64)
+                if any(whole):
+                    keys[whole] = band_keys(signatures([x for x in lines if len(x) >= width], circ, width),
+                                            bands, rows)
+                without = ~np.array(whole)
                 digest = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(no, pa.int32()),
-                     pa.array(n, pa.int64()), *[pa.array(keys[:, k]) for k in range(bands)]],
+                     pa.array(n, pa.int64()), *[pa.array(keys[:, k], mask=without) for k in range(bands)]],
                     ["line", "doc", "no", "n", *[f"k{k}" for k in range(bands)]])
     return run
 
@@ -152,8 +160,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   rows: int = ROWS, seed: int = 13) -> DataFrame:
     """``(doc, drop)``: the numbers (from 0) of the lines to cut, per document
     that has any. Kept (in the checkpoint folder)."""
-    if min_chars < width:
-        raise ValueError("min_chars must be at least the shingle width")
+    if min_chars < 1:
+        raise ValueError("min_chars must be at least 1: blank lines stay")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     src = src.filter("id is not null and text is not null")
     ks = [f"k{k}" for k in range(bands)]
@@ -164,7 +172,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.min("doc").alias("doc"), F.min_by("no", "doc").alias("no"), F.sum("n").alias("n"),
         *[F.first(k).alias(k) for k in ks]).select(
         F.monotonically_increasing_id().alias("id"), "line", F.struct("doc", "no").alias("first"), "n",
-        F.array(*ks).alias("keys")))
+        F.when(F.col("k0").isNotNull(), F.array(*ks)).alias("keys")))
     bucket = buckets(lines.select("id", "keys"))
     wanted = keep(lines.select("id", "first").join(bucket.select("id").distinct(), "id")
                   .groupBy(F.col("first.doc").alias("doc"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quill.llm.common import table
 from quill.llm.lengths import length_table
-from quill.llm.lines import dedup_lines
+from quill.llm.lines import EVERY, dedup_lines
 from quill.llm.mixing import mix
 from quill.llm.neardup import near_duplicates
 from quill.llm.packing import pack_documents
@@ -48,7 +48,7 @@ def op5_best_fit_packing(spark, sf_dir):
 
 
 def op6_line_dedup(spark, sf_dir):
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return dedup_lines(table(spark, sf_dir, "documents"), min_chars=EVERY)
 
 
 def op7_length_histogram(spark, sf_dir):
