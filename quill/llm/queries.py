@@ -23,8 +23,6 @@ REST = 0.60
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
              ("block", "net/es/"), ("block", "net/fr/")]
-#: host words that mark a page as bad for mining, besides its document's labels
-BAD_HOST_WORDS = ("casino", "pills", "bets", "adult", "spam")
 
 
 def op1_poisson_mix(spark, sf_dir):
@@ -57,16 +55,12 @@ def op7_length_histogram(spark, sf_dir):
 
 def page_labels(pages, labels):
     """``(page_id, bad)``: a page shows the document whose id ends its path; it is
-    bad if that document is labelled low in quality or toxic, or if its host has
-    one of ``BAD_HOST_WORDS``."""
+    bad if that document is labelled low in quality or toxic. Nothing but the
+    given labels counts."""
     at = pages.select("page_id", F.regexp_extract("url", r"://[^/?#]*/(?:[^?#]*/)?([0-9]+)", 1)
-                      .try_cast("long").alias("doc_id"),
-                      F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1)).alias("host"))
-    seed = F.col("host").rlike(r"(^|[^a-z])(" + "|".join(BAD_HOST_WORDS) + r")([^a-z]|$)")
-    marked = at.join(labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("low")),
-                     "doc_id", "left")
-    return (marked.select("page_id", F.when(seed, True).otherwise(F.col("low")).alias("bad"))
-            .filter("bad is not null"))
+                      .try_cast("long").alias("doc_id"))
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    return at.join(labels.select("doc_id", bad.alias("bad")), "doc_id").select("page_id", "bad").filter("bad is not null")
 
 
 def op8_url_rules(spark, sf_dir):

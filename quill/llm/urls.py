@@ -8,21 +8,25 @@ URLs without a rule are judged by mined rules:
    host, path and query keys (numbers as one token);
 2. Spark's FP-growth mines token combinations together with the label from
    the labelled baskets; rules "tokens -> bad" are pruned by support and
-   confidence, and a rule that only narrows an at least as confident one goes;
+   confidence, a rule that only narrows an at least as confident one goes, and
+   so does one that the base rate of bad pages explains (exact binomial bound);
 3. every rule is indexed under its rarest token: a URL looks up its tokens
    and checks the few rules found there in full.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.common import keep, sized
+from quill.llm.common import arrow, keep, sized
+from quill.llm.quality import binomial_cdf
 
 BAD = "label=bad"
 MIN_SUPPORT_ROWS, MIN_SUPPORT, MIN_CONFIDENCE = 5, 0.001, 0.8
+CHANCE = 0.05        # probability that any mined rule holds by chance
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -63,6 +67,17 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(every))
 
 
+def _beyond_chance(base: float, level: float):
+    """Rules of which so few pages are good with probability ``level`` at most, if
+    they were bad at the base rate."""
+    def run(batches):
+        for b in batches:
+            good = [binomial_cdf(f - h, f, 1 - base) <= level
+                    for h, f in zip(b.column("hits").to_pylist(), b.column("freq").to_pylist())]
+            yield b.filter(pa.array(good, pa.bool_()))
+    return run
+
+
 def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = MIN_SUPPORT_ROWS,
          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``baskets(items, bad)`` -> ``(rule_id, need, confidence, support)``.
@@ -74,9 +89,10 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
     marked = keep(baskets.filter("bad is not null and size(items) > 0")
                   .select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD))))
                           .otherwise(F.col("items")).alias("items")))
-    n = marked.count()
-    if n < min_rows:
+    n, n_bad = marked.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
+    if n_bad < min_rows or n_bad == n:          # no rule can beat a base rate of 1
         return spark.createDataFrame([], schema)
+    base = n_bad / n
     model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / n),
                      minConfidence=min_confidence).fit(marked)
     # confidence from the itemsets with and without the label
@@ -84,7 +100,7 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
     bad = sets.filter(F.array_contains("items", BAD)).select(
         F.array_remove("items", BAD).alias("need"), F.col("freq").alias("hits")).filter("size(need) > 0")
     rules = keep(bad.join(sets.select(F.col("items").alias("need"), "freq"), "need")
-                 .select("need", (F.col("hits") / F.col("freq")).alias("confidence"),
+                 .select("need", "hits", "freq", (F.col("hits") / F.col("freq")).alias("confidence"),
                          (F.col("hits") / n).alias("support"))
                  .filter(F.col("confidence") >= min_confidence))
     # a rule narrower than an at least as confident one adds nothing: a rule of n
@@ -93,8 +109,10 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
                         "need", "confidence")
     less = less.join(rules.select(F.col("need").alias("inner"), F.col("confidence").alias("c")), "inner")
     narrow = less.filter("c >= confidence").select("need").distinct()
-    return keep(rules.join(narrow, "need", "left_anti")
-                .select(F.monotonically_increasing_id().alias("rule_id"), "need", "confidence", "support"))
+    # lift: the base rate does not explain the rule, whatever number of sets was tried
+    tried = bad.count()
+    rules = arrow(rules.join(narrow, "need", "left_anti"), _beyond_chance(base, CHANCE / max(tried, 1)), rules.schema)
+    return keep(rules.select(F.monotonically_increasing_id().alias("rule_id"), "need", "confidence", "support"))
 
 
 def match(pages: DataFrame, rules: DataFrame, id_col: str) -> DataFrame:
