@@ -6,9 +6,10 @@ URLs without a rule are judged by mined rules:
 
 1. a URL is a basket of tokens: scheme, top-level domain, the parts of its
    host, path and query keys (numbers as one token);
-2. Spark's FP-growth mines token combinations together with the label from
-   the labelled baskets; rules "tokens -> bad" are pruned by support and
-   confidence, a rule that only narrows an at least as confident one goes, and
+2. Spark's FP-growth mines token combinations from the baskets labelled bad; an
+   absolute number of them is enough at every table size. One join over all
+   labelled baskets counts how often a combination occurs; rules "tokens -> bad"
+   are pruned by confidence, a rule that only narrows an at least as confident one goes, and
    so does one that the base rate of bad pages explains (exact binomial bound);
 3. every rule is indexed under its rarest token: a URL looks up its tokens
    and checks the few rules found there in full.
@@ -16,6 +17,8 @@ URLs without a rule are judged by mined rules:
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -24,8 +27,7 @@ from pyspark.sql import functions as F
 from quill.llm.common import arrow, keep, sized
 from quill.llm.quality import binomial_cdf
 
-BAD = "label=bad"
-MIN_SUPPORT_ROWS, MIN_SUPPORT, MIN_CONFIDENCE = 5, 0.001, 0.8
+MIN_SUPPORT_ROWS, MIN_SUPPORT, MIN_CONFIDENCE = 5, 0.0, 0.8
 CHANCE = 0.05        # probability that any mined rule holds by chance
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -82,26 +84,44 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``baskets(items, bad)`` -> ``(rule_id, need, confidence, support)``.
 
-    The support bounds the number of rules: a rule holds in ``min_rows`` bad
-    baskets and in a share ``min_support`` of all at least."""
+    A rule holds in ``min_rows`` bad baskets at least, however many there are
+    (and in a share ``min_support`` of all, if that is given)."""
     schema = "rule_id long, need array<string>, confidence double, support double"
     spark = baskets.sparkSession
     marked = keep(baskets.filter("bad is not null and size(items) > 0")
-                  .select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD))))
-                          .otherwise(F.col("items")).alias("items")))
-    n, n_bad = marked.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
+                  .groupBy(F.array_sort("items").alias("items"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("hits")))
+    n, n_bad = marked.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("hits"), F.lit(0))).first()
     if n_bad < min_rows or n_bad == n:          # no rule can beat a base rate of 1
         return spark.createDataFrame([], schema)
-    base = n_bad / n
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / n),
-                     minConfidence=min_confidence).fit(marked)
-    # confidence from the itemsets with and without the label
-    sets = keep(model.freqItemsets.select(F.sort_array("items").alias("items"), "freq"))
-    bad = sets.filter(F.array_contains("items", BAD)).select(
-        F.array_remove("items", BAD).alias("need"), F.col("freq").alias("hits")).filter("size(need) > 0")
-    rules = keep(bad.join(sets.select(F.col("items").alias("need"), "freq"), "need")
-                 .select("need", "hits", "freq", (F.col("hits") / F.col("freq")).alias("confidence"),
-                         (F.col("hits") / n).alias("support"))
+    rows, base = max(min_rows, math.ceil(min_support * n)), n_bad / n
+    token = keep(marked.select(F.explode("items").alias("token"), "n", "hits").groupBy("token")
+                 .agg(F.sum("n").alias("freq"), F.sum("hits").alias("hits")).filter(F.col("hits") >= rows))
+    # wider sets need neither a token that is bad wherever it stands (a rule by
+    # itself, none is more confident) nor one that every basket holds
+    some = keep(token.filter((F.col("hits") < F.col("freq")) & (F.col("freq") < n)).select("token", "freq"))
+    bad = (marked.filter("hits > 0").select(F.monotonically_increasing_id().alias("id"), "items", "hits")
+           .select("id", "hits", F.explode("items").alias("token")).join(some.select("token"), "token")
+           .groupBy("id", "hits").agg(F.collect_list("token").alias("items")))
+    bad = keep(bad.select("items", F.explode(F.sequence(F.lit(1), F.col("hits")))).select("items"))
+    one = token.select(F.array("token").alias("need"), "hits", "freq")
+    sets, left = one, bad.count()
+    if left >= rows:
+        # FP-growth rounds minSupport * rows up: half a row less is safe
+        model = FPGrowth(itemsCol="items", minSupport=(rows - 0.5) / left).fit(bad)
+        wide = keep(model.freqItemsets.filter("size(items) > 1")
+                    .select(F.monotonically_increasing_id().alias("id"), F.sort_array("items").alias("need"),
+                            F.col("freq").alias("hits")))
+        # in how many labelled baskets a set occurs: looked up by its rarest token
+        index = keep(wide.select("id", "need", F.explode("need").alias("token")).join(some, "token")
+                     .groupBy("id", "need").agg(F.min(F.struct("freq", "token")).alias("key"))
+                     .select("id", "need", F.col("key.token").alias("token")))
+        freq = (marked.select("items", "n", F.explode("items").alias("token")).join(index, "token")
+                .filter(F.size(F.array_except("need", "items")) == 0)
+                .groupBy("id").agg(F.sum("n").alias("freq")))
+        sets = keep(one.unionByName(wide.join(freq, "id").select("need", "hits", "freq")))
+    rules = keep(sets.select("need", "hits", "freq", (F.col("hits") / F.col("freq")).alias("confidence"),
+                             (F.col("hits") / n).alias("support"))
                  .filter(F.col("confidence") >= min_confidence))
     # a rule narrower than an at least as confident one adds nothing: a rule of n
     # tokens looks for those with one token less (chains reach the shortest)
@@ -110,7 +130,7 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
     less = less.join(rules.select(F.col("need").alias("inner"), F.col("confidence").alias("c")), "inner")
     narrow = less.filter("c >= confidence").select("need").distinct()
     # lift: the base rate does not explain the rule, whatever number of sets was tried
-    tried = bad.count()
+    tried = sets.count()
     rules = arrow(rules.join(narrow, "need", "left_anti"), _beyond_chance(base, CHANCE / max(tried, 1)), rules.schema)
     return keep(rules.select(F.monotonically_increasing_id().alias("rule_id"), "need", "confidence", "support"))
 

@@ -18,3 +18,15 @@ def test_base_rate_is_no_rule(spark):
     df = spark.createDataFrame(data, "items array<string>, bad boolean")
     assert mine(df).collect() == []
     assert mine(df.filter("bad")).collect() == []
+
+
+def test_support_does_not_grow_with_the_table(spark):
+    # 16,000 labelled pages, 12 of them on a bad host: a rule, as in a small table
+    pages = spark.range(16_000).selectExpr(
+        "id as page_id", "concat('http://', if(id < 12, 'pillmart', concat('news', id % 50)), '.org/en/', id) as url")
+    labels = pages.selectExpr("page_id", "page_id < 12 or page_id % 20 = 0 as bad")
+    new = spark.createDataFrame([(-1, "https://pillmart.org/fr/1"), (-2, "https://news3.org/fr/1")], pages.schema)
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(pages.unionByName(new), labels, []).collect()
+           if r["page_id"] < 15}
+    assert got[-1] == "block" and got[-2] == "allow"
+    assert all(got[i] == "block" for i in range(12)) and got[14] == "allow"
