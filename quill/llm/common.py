@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quill.session import shared_dir
 
 BATCH_ROWS = 512              # texts per Arrow batch: bounds a Python worker's memory
-BROADCAST_BYTES = 32 << 20    # a side is broadcast only if measured below this
+BROADCAST_BYTES = 10 << 20    # a side is broadcast only if measured below this (Spark's own default)
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -36,10 +37,28 @@ def arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def _bytes(col: Column, kind: T.DataType) -> Column | None:
+    """Bytes of a value beyond its place in the row; None if it has no such."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.octet_length(col)
+    if isinstance(kind, T.ArrayType):
+        inner = kind.elementType
+        fixed = 8 * (len(inner.fields) + 2) if isinstance(inner, T.StructType) else 8
+        if _bytes(F.lit(None), inner) is None:
+            return F.size(col) * fixed
+        return F.aggregate(col, F.lit(0).cast("long"),
+                           lambda total, x: total + fixed + F.coalesce(_bytes(x, inner), F.lit(0)))
+    return None
+
+
 def sized(df: DataFrame, row_bytes: int = 24, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` (already kept), marked for broadcast if its rows are counted to fit in
-    ``limit`` bytes; otherwise as it is, and the join shuffles both sides."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    """``df`` (already kept), marked for broadcast if its rows are measured to fit in
+    ``limit`` bytes; otherwise as it is, and the join shuffles both sides. Columns
+    of any length (arrays, texts) are summed up, ``row_bytes`` is a row without them."""
+    more = [F.coalesce(b.cast("long"), F.lit(0)) for f in df.schema
+            if (b := _bytes(F.col(f.name), f.dataType)) is not None]
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(more, F.lit(0).cast("long"))), F.lit(0))).first()
+    return F.broadcast(df) if rows * row_bytes + size <= limit else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
