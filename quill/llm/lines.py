@@ -107,9 +107,10 @@ def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
         for b in batches:
             ids = b.column(0).to_pylist()
             texts = b.column(1).to_pylist()
+            hashes = b.column(2).to_pylist()
             at = 0
             while at < len(texts):
-                doc, no, n, lines, size = [], [], [], [], 0
+                doc, th, no, n, lines, size = [], [], [], [], [], 0
                 while at < len(texts) and size < 16 * CHUNK:
                     if texts[at]:
                         size += len(texts[at])
@@ -122,6 +123,7 @@ def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
                                     n[j] += 1
                                     continue
                                 doc.append(ids[at])
+                                th.append(hashes[at])
                                 no.append(k)
                                 n.append(1)
                                 lines.append(line)
@@ -136,9 +138,9 @@ def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
                 without = ~np.array(whole)
                 digest = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(no, pa.int32()),
-                     pa.array(n, pa.int64()), *[pa.array(keys[:, k], mask=without) for k in range(bands)]],
-                    ["line", "doc", "no", "n", *[f"k{k}" for k in range(bands)]])
+                    [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()),
+                     pa.array(no, pa.int32()), pa.array(n, pa.int64()), *[pa.array(keys[:, k], mask=without) for k in range(bands)]],
+                    ["line", "doc", "th", "no", "n", *[f"k{k}" for k in range(bands)]])
     return run
 
 
@@ -158,26 +160,32 @@ def _chosen(batches):
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   width: int = WIDTH, min_chars: int = MIN_CHARS, bands: int = BANDS,
                   rows: int = ROWS, seed: int = 13) -> DataFrame:
-    """``(doc, drop)``: the numbers (from 0) of the lines to cut, per document
-    that has any. Kept (in the checkpoint folder)."""
+    """``(doc, th, drop)``: the numbers (from 0) of the lines to cut, per document
+    id and ``xxhash64`` of its text that has any. Kept (in the checkpoint folder)."""
     if min_chars < 1:
         raise ValueError("min_chars must be at least 1: blank lines stay")
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                      F.xxhash64(text_col).alias("th"))
     src = src.filter("id is not null and text is not null")
     ks = [f"k{k}" for k in range(bands)]
     found = arrow(src, _signed(width, min_chars, bands, rows, seed),
-                  "line binary, doc long, no int, n long, " + ", ".join(f"{k} long" for k in ks))
-    # fixed-width columns: the aggregation hashes, it does not sort
+                  "line binary, doc long, th long, no int, n long, " + ", ".join(f"{k} long" for k in ks))
+    # fixed-width columns: the aggregation hashes, it does not sort. Only where an
+    # id has two texts does the smallest id alone not tell the first line
+    two = src.groupBy("id").agg(F.min("th").alias("a"), F.max("th").alias("b")).filter("a <> b")
+    if two.isEmpty():
+        first = F.struct(F.min("doc").alias("doc"), F.min_by("th", "doc").alias("th"), F.min_by("no", "doc").alias("no"))
+    else:
+        first = F.min(F.struct("doc", "th", "no"))
     lines = keep(found.groupBy("line").agg(
-        F.min("doc").alias("doc"), F.min_by("no", "doc").alias("no"), F.sum("n").alias("n"),
-        *[F.first(k).alias(k) for k in ks]).select(
-        F.monotonically_increasing_id().alias("id"), "line", F.struct("doc", "no").alias("first"), "n",
+        first.alias("first"), F.sum("n").alias("n"), *[F.first(k).alias(k) for k in ks]).select(
+        F.monotonically_increasing_id().alias("id"), "line", "first", "n",
         F.when(F.col("k0").isNotNull(), F.array(*ks)).alias("keys")))
     bucket = buckets(lines.select("id", "keys"))
     wanted = keep(lines.select("id", "first").join(bucket.select("id").distinct(), "id")
-                  .groupBy(F.col("first.doc").alias("doc"))
+                  .groupBy(F.col("first.doc").alias("doc"), F.col("first.th").alias("th"))
                   .agg(F.collect_list(F.struct("id", F.col("first.no").alias("no"))).alias("wanted")))
-    texts = keep(arrow(src.join(sized(wanted.withColumnRenamed("doc", "id"), 400), "id")
+    texts = keep(arrow(src.join(sized(wanted.withColumnRenamed("doc", "id"), 64), ["id", "th"])
                        .select("id", "text", "wanted"), _chosen, "id long, text string")
                  .dropDuplicates(["id"]))
 
@@ -192,26 +200,28 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  .join(fuzzy, "line", "left_anti").select("line", F.col("first").alias("stays"))
                  .unionByName(fuzzy))
     # occurrences come from a second, light pass: the first one carries the keys
-    seen = arrow(src, _hashed(min_chars), "line binary, doc long, no int")
+    seen = arrow(src, _hashed(min_chars), "line binary, doc long, th long, no int")
     return keep(seen.join(sized(again, 64), "line")
-                .filter((F.col("doc") != F.col("stays.doc")) | (F.col("no") != F.col("stays.no")))
-                .groupBy("doc").agg(F.collect_set("no").alias("drop")))
+                .filter((F.col("doc") != F.col("stays.doc")) | (F.col("th") != F.col("stays.th"))
+                        | (F.col("no") != F.col("stays.no")))
+                .groupBy("doc", "th").agg(F.collect_set("no").alias("drop")))
 
 
 def _hashed(min_chars: int):
     def run(batches):
         for b in batches:
-            digest, doc, no = [], [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            digest, doc, th, no = [], [], [], []
+            for i, text, h in zip(*(b.column(k).to_pylist() for k in range(3))):
                 for k, line in enumerate(text.split("\n")):
                     line = canonical(line)
                     if len(line) >= min_chars:
                         digest.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
                         doc.append(i)
+                        th.append(h)
                         no.append(k)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(no, pa.int32())],
-                ["line", "doc", "no"])
+                [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()),
+                 pa.array(no, pa.int32())], ["line", "doc", "th", "no"])
     return run
 
 
@@ -219,10 +229,11 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """All columns of ``docs``, ``text_col`` without its repeated lines, plus
     ``(n_lines, n_cut)``, which replace columns of these names."""
     drop = dropped_lines(docs, id_col, text_col, **options)
-    drop = drop.select(F.col("doc").alias("_doc"), F.col("drop").alias("_drop"))
+    drop = drop.select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("drop").alias("_drop"))
     cols = [c for c in docs.columns if c not in ("n_lines", "n_cut")]
-    out = docs.select(*cols).join(sized(drop, 128), F.col(id_col).cast("long") == F.col("_doc"), "left")
     text = F.col(text_col)
+    same = (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_th"))
+    out = docs.select(*cols).join(sized(drop, 64), same, "left")
     lines = F.split(text, "\n", -1)
     cut = F.col("_drop").isNotNull() & (text != "")
     left = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("_drop", k)), "\n")
@@ -237,7 +248,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null texts stay null and empty ones empty (0 lines); a text of which every
     line is cut becomes empty. Rows with a null id pass unchanged. Rows that
-    repeat an id are the same document and lose the same lines. Among ties the
+    repeat an id and its text are the same document and lose the same lines;
+    rows of one id with other texts are documents of their own. Among ties the
     smallest document id, then the first line stays. Other columns are
     ignored, whatever their names.
     """

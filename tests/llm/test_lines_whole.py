@@ -55,3 +55,14 @@ def test_near_copies_of_short_lines(spark, tmp_path):
     assert {x["doc_id"]: x["text"] for x in op6_line_dedup(spark, sf).collect()} == brute(rows)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert {x["doc_id"]: x["text"] for x in line_dedup(spark, docs, sf).collect()} == {1: rows[0][1], 2: "abcd"}
+
+
+def test_one_id_with_two_texts(spark, tmp_path):
+    line, other = "a line that two documents carry", "text that stands here and nowhere else"
+    rows = [(1, f"{line}\nfirst of its kind"), (2, f"{other}\nxyz\n{line}\nlast line of the long one"),
+            (2, f"short {other[::-1]}"), (2, f"{line}\nmiddle {line[::-1]}"), (2, f"{line}\nmiddle {line[::-1]}"),
+            (3, f"head of the third\n{line}s")]
+    got = sorted((x["doc_id"], x["text"], x["n_cut"]) for x in
+                 op6_line_dedup(spark, documents(spark, tmp_path, rows)).collect())
+    assert got == sorted([(1, rows[0][1], 0), (2, f"{other}\nxyz\nlast line of the long one", 1), (2, rows[2][1], 0),
+                          (2, f"middle {line[::-1]}", 1), (2, f"middle {line[::-1]}", 1), (3, "head of the third", 1)])
