@@ -14,7 +14,7 @@ BATCH_ROWS = 512              # texts per Arrow batch: bounds a Python worker's
 BROADCAST_BYTES = 10 << 20    # a side is broadcast only if measured below this (Spark's own default)
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it from there: the
     rows survive the loss of an executor and are computed once.
 
@@ -22,10 +22,10 @@ def keep(df: DataFrame) -> DataFrame:
     size. A checkpoint carries the estimate of the plan it cut off, and in
     rounds of joins these estimates multiply without bound. The tables lie in
     ``<spark.checkpoint.dir>/quill-kept/<application>``; like checkpoints they
-    can go when the application has ended."""
+    can go when the application has ended. ``options`` go to the Parquet writer."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quill-kept/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quill.llm.bpe import round_trip
 from quill.llm.common import table
 from quill.llm.lengths import length_table
 from quill.llm.lines import EVERY, dedup_lines
@@ -13,6 +14,8 @@ from quill.llm.neardup import near_duplicates
 from quill.llm.packing import pack_documents
 from quill.llm.pii import personal_data
 from quill.llm.quality import judge
+from quill.llm.runs import run_digests
+from quill.llm.search import search
 from quill.llm.toxicity import toxicity
 from quill.llm.urls import filter_urls
 from quill.llm.vectors import embedding_links
@@ -76,6 +79,18 @@ def op10_embedding_links(spark, sf_dir):
     return embedding_links(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return run_digests(table(spark, sf_dir, "documents"), repeat_tails=True)
+
+
+def op12_max_sketch_search(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_bpe_round_trip(spark, sf_dir):
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_poisson_mix": op1_poisson_mix,
     "op2_toxicity_grammar": op2_toxicity_grammar,
@@ -87,6 +102,9 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_personal_data": op9_personal_data,
     "op10_embedding_links": op10_embedding_links,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_max_sketch_search": op12_max_sketch_search,
+    "op13_bpe_round_trip": op13_bpe_round_trip,
 }
 
 def _op1_sql(seed: int = 20) -> str:
@@ -149,9 +167,28 @@ SELECT vec_id, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links, least(vec_id, coal
 FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN deg ON deg.a = vec_id
 """
 
+_OP12_SQL = """
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\\x00-\\x7F])+') AS w
+           FROM documents),
+d AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM t WHERE len(w) > 0),
+c AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(n) AS BIGINT) AS nl FROM d),
+tf AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, c GROUP BY term, nd),
+q AS (SELECT i, item_id, unnest(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\\x00-\\x7F])+')) AS term
+      FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+s AS (SELECT i, item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // nl)))) AS BIGINT) AS score
+      FROM q JOIN df USING (term) JOIN tf USING (term) JOIN d USING (r), c GROUP BY i, item_id, r, doc_id),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT * FROM k WHERE rank <= 10
+"""
+
 #: where SQL can say it; the others are tested against brute force in tests/llm
 ORACLE: dict[str, str] = {
     "op1_poisson_mix": _op1_sql(),
     "op3_minhash_near_dup": _OP3_SQL,
     "op10_embedding_links": _OP10_SQL,
+    "op12_max_sketch_search": _OP12_SQL,
 }
