@@ -2,6 +2,7 @@
 
 from quill.operators.aggs import cond_count, cond_sum, keep_last, keep_last_key
 from quill.operators.audit import check_rules, duplicate_keys, null_counts, orphans
+from quill.operators.intervals import interval_audit, interval_join
 from quill.operators.joins import band_audit, band_join, filtered_left_join
 from quill.operators.keys import assign_keys
 from quill.operators.mutate import update_from_aggregate, update_where
@@ -11,7 +12,7 @@ from quill.operators.windows import latest_per_key
 
 __all__ = [
     "assign_keys", "band_audit", "band_join", "check_rules", "cond_count", "cond_sum",
-    "duplicate_keys", "filtered_left_join", "intersect_distinct", "keep_last", "keep_last_key",
-    "latest_per_key", "null_counts", "orphans", "salted_join", "update_from_aggregate",
+    "duplicate_keys", "filtered_left_join", "interval_audit", "interval_join", "intersect_distinct", "keep_last",
+    "keep_last_key", "latest_per_key", "null_counts", "orphans", "salted_join", "update_from_aggregate",
     "update_where",
 ]

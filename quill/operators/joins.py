@@ -7,7 +7,8 @@ bucket id, and the exact inclusive comparison is the residual filter. The
 band side is broadcast only when an upper bound on its exploded row count —
 computed from the band table, not guessed — is under a limit; otherwise both
 sides shuffle on the bucket id (AQE may still switch to broadcast at run
-time, and splits a hot bucket).
+time, and splits a hot bucket). For bands as many as the data see
+``intervals.interval_join``: no bucket width fits wide and narrow bands alike.
 
 Semantics kept from the reference: both ends inclusive, a value in no band
 drops the row (inner join), a value in two overlapping bands yields two rows.
@@ -17,9 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quill.functions._col import as_col
+from quill.operators.intervals import interval_audit
 
 BROADCAST_ROWS = 200_000
 TARGET_BUCKETS = 4096
@@ -72,22 +73,12 @@ def band_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: str =
     return out.drop(left["_band_bucket"]).drop(exploded["_band_bucket"])
 
 
-def band_audit(bands: DataFrame, lo: str = "lo", hi: str = "hi", step=None) -> DataFrame:
-    """Gaps and overlaps between consecutive bands (ordered by ``lo``).
+def band_audit(bands: DataFrame, lo: str = "lo", hi: str = "hi", step=0) -> DataFrame:
+    """Gaps and overlaps of one band table: :func:`interval_audit` without a key.
 
-    ``step`` is the grid of an integral axis (1 for years): a gap exists when
-    the next band starts more than ``step`` after this one ends. Band tables
-    are parameter-sized, so one window over all bands is fine here.
-    """
-    w = Window.orderBy(F.col(lo), F.col(hi))
-    nxt = F.lead(F.col(lo)).over(w)
-    nxt_hi = F.lead(F.col(hi)).over(w)
-    edge = F.col(hi) + F.lit(step) if step is not None else F.col(hi)
-    return (bands.select(F.col(lo).alias("lo"), F.col(hi).alias("hi"),
-                         nxt.alias("next_lo"), nxt_hi.alias("next_hi"),
-                         F.when(nxt <= F.col(hi), "overlap")
-                          .when(nxt > edge, "gap").alias("issue"))
-            .filter(F.col("issue").isNotNull()))
+    ``step`` is the grid of an integral axis (1 for years): a gap exists when a
+    band starts more than ``step`` after every band before it has ended."""
+    return interval_audit(bands, lo, hi, step=step)
 
 
 def filtered_left_join(left: DataFrame, right: DataFrame, on, right_filter: Column | None = None

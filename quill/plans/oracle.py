@@ -658,3 +658,55 @@ ORACLE["layout_two_columns"] = f"""
 SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber FROM lineitem
 WHERE l_partkey = 77 AND year(l_shipdate) = {AS_OF.year - 2}
 """
+
+
+# -- intervals from the data -------------------------------------------------
+@_reg("interval_join_status")
+def _interval_join_status():
+    return """
+WITH p AS (SELECT o_custkey, o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS valid_from,
+                  lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS nxt
+           FROM orders)
+SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_day, p.o_orderkey AS status_order,
+       p.o_orderstatus AS status, p.valid_from
+FROM lineitem JOIN orders o ON o.o_orderkey = l_orderkey
+JOIN p ON p.o_custkey = o.o_custkey AND CAST(l_shipdate AS DATE) >= p.valid_from
+      AND (p.nxt IS NULL OR CAST(l_shipdate AS DATE) < p.nxt)
+"""
+
+
+_SPANS = f"""SELECT p_brand, p_size, min({K.d('p_retailprice')}) AS lo, max({K.d('p_retailprice')}) AS hi
+           FROM part GROUP BY p_brand, p_size"""
+
+
+@_reg("interval_join_prices")
+def _interval_join_prices():
+    return f"""
+WITH s AS ({_SPANS})
+SELECT c_custkey, {K.d('c_acctbal')} AS balance, count(*) AS n_spans, min(hi - lo) AS narrowest
+FROM customer JOIN s ON {K.d('c_acctbal')} BETWEEN lo AND hi GROUP BY ALL
+"""
+
+
+def _audit_intervals(rows: str, on: str, gap: str) -> str:
+    part, cols = (f"PARTITION BY {on} ", f"{on}, ") if on else ("", "")
+    return f"""
+WITH i AS ({rows}),
+u AS (SELECT {cols}lo, hi, count(*) AS n FROM i GROUP BY ALL),
+w AS (SELECT *, max(hi) OVER ({part}ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM u)
+SELECT {cols}lo, hi, n, coalesce(prev, hi) AS prev_hi,
+       CASE WHEN n > 1 OR lo <= prev THEN 'overlap' ELSE 'gap' END AS issue
+FROM w WHERE n > 1 OR lo <= prev OR {gap}
+"""
+
+
+@_reg("interval_audit_deliveries")
+def _interval_audit_deliveries():
+    return _audit_intervals("""SELECT o_custkey, min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi
+           FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey, o_orderkey""",
+                            "o_custkey", "lo - prev > 1")
+
+
+@_reg("interval_audit_prices")
+def _interval_audit_prices():
+    return _audit_intervals(_SPANS, "", "lo > prev + CAST(0.01 AS DECIMAL(18,2))")

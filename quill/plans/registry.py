@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.plans import basics, listings, sales, stock, summaries, views
+from quill.plans import basics, intervals, listings, sales, stock, summaries, views
 from quill.plans.context import Ctx
 
 BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
@@ -49,6 +49,10 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "band_join_value": basics.band_join_value,
     "band_join_shuffled": basics.band_join_shuffled,
     "band_join_tenure": basics.band_join_tenure,
+    "interval_join_status": intervals.interval_join_status,
+    "interval_join_prices": intervals.interval_join_prices,
+    "interval_audit_deliveries": intervals.interval_audit_deliveries,
+    "interval_audit_prices": intervals.interval_audit_prices,
     "semi_exists": basics.semi_exists,
     "intersect_keys": basics.intersect_keys,
     "latest_status": basics.latest_status,
@@ -73,8 +77,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 WRITERS = {"ctas_fee_summary", "fee_before_after", "ctas_stock", "append_bonus_detail", "reload_payroll",
            "update_by_aggregate", "update_literal", "layout_year_pruned", "layout_join_key", "layout_two_columns",
            "lookup_upper_layout"}
-# Reports that run a job while being built (checkpoint).
-EAGER = {"assign_keys"}
+# Reports that run a job while being built (checkpoint, axis range).
+EAGER = {"assign_keys", "interval_join_status", "interval_join_prices", "interval_audit_deliveries",
+         "interval_audit_prices"}
 
 
 def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:

@@ -48,8 +48,8 @@ def test_band_join_counts_property(spark, values, bands):
 
 def test_band_audit(spark):
     bands = spark.createDataFrame([(0, 9), (10, 12), (13, 16), (16, 30), (35, 40)], "lo int, hi int")
-    out = sorted((r.lo, r.issue) for r in band_audit(bands, step=1).collect())
-    assert out == [(13, "overlap"), (16, "gap")]
+    out = sorted((r.lo, r.prev_hi, r.issue) for r in band_audit(bands, step=1).collect())
+    assert out == [(16, 16, "overlap"), (35, 30, "gap")]
 
 
 def test_keep_last_ties_and_nulls(spark):
