@@ -142,28 +142,30 @@ def interval_audit(df: DataFrame, lo: str = "lo", hi: str = "hi", on: list[str]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = (df.filter(F.coalesce(F.col(lo) <= F.col(hi), F.lit(True)))
            .groupBy(*on, F.col(lo).alias("lo"), F.col(hi).alias("hi")).agg(F.count(F.lit(1)).alias("n")))
-    # an open end is above every other one
-    last = F.struct(F.col("hi").isNull().alias("open"), F.col("hi").alias("hi"))
     order = [F.col("lo").asc_nulls_first(), F.col("hi").asc_nulls_last()]
     ranged = (own.repartitionByRange(n, *[F.col(c) for c in on], *order).sortWithinPartitions(*on, *order)
-              .withColumn("_part", F.spark_partition_id()).withColumn("_last", last).checkpoint(eager=True))
+              .withColumn("_part", F.spark_partition_id()).withColumn("_open", F.col("hi").isNull()).checkpoint(eager=True))
 
-    tops = ranged.groupBy("_part", *on).agg(F.max("_last").alias("_top"))
+    def latest(over, top: str, is_open: str, part: str) -> list[Column]:
+        """Greatest end of a window's rows, whether one is open, and whether it has any."""
+        return [F.max(top).over(over).alias(f"{part}_top"), F.max(is_open).over(over).alias(f"{part}_open")]
+
+    tops = ranged.groupBy("_part", *on).agg(F.max("hi").alias("_top"), F.max("_open").alias("_open"))
     before = Window.partitionBy(*(on or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # at most one key reaches over each boundary between two partitions
-    carried = (tops.withColumn("_carry", F.max("_top").over(before)).filter("_carry is not null")
-               .select(F.col("_part").alias("_p"), *[F.col(c).alias(f"_on_{c}") for c in on], "_carry"))
+    carried = (tops.select("_part", *on, *latest(before, "_top", "_open", "_c")).filter("_c_open is not null")
+               .select(F.col("_part").alias("_p"), *[F.col(c).alias(f"_on_{c}") for c in on], "_c_top", "_c_open"))
     same = F.col("_part") == F.col("_p")
     for c in on:
         same = same & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
     within = Window.partitionBy("_part", *on).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = (ranged.withColumn("_run", F.max("_last").over(within)).join(F.broadcast(carried), same, "left")
-            .withColumn("_prev", F.greatest("_run", "_carry")))
-    prev = F.col("_prev.hi")
+    rows = ranged.select("*", *latest(within, "hi", "_open", "_w")).join(F.broadcast(carried), same, "left")
+    first = F.col("_w_open").isNull() & F.col("_c_open").isNull()
+    is_open = F.coalesce(F.col("_w_open"), F.lit(False)) | F.coalesce(F.col("_c_open"), F.lit(False))
+    prev = F.when(~is_open, F.greatest("_w_top", "_c_top"))
     beyond = (F.datediff("lo", prev) > step if isinstance(df.schema[lo].dataType, T.DateType)
               else F.col("lo") > prev + F.lit(step))
-    issue = (F.when((F.col("n") > 1) | F.col("_prev.open") | (F.col("_prev").isNotNull() & F.col("lo").isNull())
-                    | (F.col("lo") <= prev), "overlap").when(beyond, "gap"))
+    issue = (F.when((F.col("n") > 1) | is_open | (~first & F.col("lo").isNull()) | (F.col("lo") <= prev), "overlap")
+             .when(beyond, "gap"))
     return (rows.withColumn("issue", issue).filter("issue is not null")
-            .select(*on, "lo", "hi", "n", F.when(F.col("_prev").isNull(), F.col("hi")).otherwise(prev).alias("prev_hi"),
-                    "issue"))
+            .select(*on, "lo", "hi", "n", F.when(first, F.col("hi")).otherwise(prev).alias("prev_hi"), "issue"))
