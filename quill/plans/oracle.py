@@ -710,3 +710,8 @@ def _interval_audit_deliveries():
 @_reg("interval_audit_prices")
 def _interval_audit_prices():
     return _audit_intervals(_SPANS, "", "lo > prev + CAST(0.01 AS DECIMAL(18,2))")
+
+
+# the same updates on tables cut into key ranges
+ORACLE["update_literal_ranged"] = ORACLE["update_literal"]
+ORACLE["update_by_aggregate_ranged"] = ORACLE["update_by_aggregate"]

@@ -29,6 +29,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "ctas_fee_summary": sales.ctas_fee_summary,
     "fee_before_after": sales.fee_before_after,
     "update_by_aggregate": sales.update_by_aggregate,
+    "update_by_aggregate_ranged": sales.update_by_aggregate_ranged,
     "keep_last": sales.keep_last_ticket,
     "append_bonus_detail": sales.append_bonus_detail,
     "view_raises": views.view_raises,
@@ -43,6 +44,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "payroll": stock.payroll,
     "reload_payroll": stock.reload_payroll,
     "update_literal": stock.update_literal,
+    "update_literal_ranged": stock.update_literal_ranged,
     "scan_project": basics.scan_project,
     "lenient_cast_load": basics.lenient_cast_load,
     "assign_keys": basics.assign_order_keys,
@@ -76,7 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # building them has side effects, so they are not offered as views.
 WRITERS = {"ctas_fee_summary", "fee_before_after", "ctas_stock", "append_bonus_detail", "reload_payroll",
            "update_by_aggregate", "update_literal", "layout_year_pruned", "layout_join_key", "layout_two_columns",
-           "lookup_upper_layout"}
+           "lookup_upper_layout", "update_literal_ranged", "update_by_aggregate_ranged"}
 # Reports that run a job while being built (checkpoint, axis range).
 EAGER = {"assign_keys", "interval_join_status", "interval_join_prices", "interval_audit_deliveries",
          "interval_audit_prices"}

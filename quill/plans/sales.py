@@ -25,6 +25,7 @@ from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.plans.people import check_char, open_at, order_profile, person_id, salary
 from quill.sources.params import exact, literal_bands
+from quill.sources.ranged import RangedTable
 
 D = decimal.Decimal
 
@@ -206,16 +207,28 @@ def raise_salaries(ctx: Ctx, staff: DataFrame, month: int = 3, threshold: int =
     """The UPDATE: salary x ``low_rate`` when the month's fee sum is below
     ``threshold``, else x ``high_rate`` (a NULL sum falls to the else arm),
     rounded; only for staff with fees that month (EXISTS)."""
-    fees = _month_fees(ctx, month)
+    return update_from_aggregate(staff, "c_custkey", _month_fees(ctx, month), "fee_key",
+                                 _raise(threshold, low_rate, high_rate))
+
+
+def _raise(threshold: int = 240_000, low_rate: str = FX.SALARY_RAISE_RATES[0],
+           high_rate: str = FX.SALARY_RAISE_RATES[1]) -> dict:
     factor = F.when(F.col("fee_sum") < F.lit(exact(threshold)), F.lit(exact(low_rate))).otherwise(F.lit(exact(high_rate)))
-    return update_from_aggregate(staff, "c_custkey", fees, "fee_key",
-                                 {"salary": round0(F.col("salary") * factor)})
+    return {"salary": round0(F.col("salary") * factor)}
 
 
 def staff_table(ctx: Ctx) -> DataFrame:
     return ctx.t.customer.select("c_custkey", salary().alias("salary"))
 
 
+def update_by_aggregate_ranged(ctx: Ctx, month: int = 3, ranges: int = 16) -> DataFrame:
+    """A13 on a table cut into key ranges: the month's fee keys name the ranges to
+    read and write again."""
+    t = RangedTable(ctx.store, "staff_ranged", "c_custkey")
+    t.create(staff_table(ctx), ranges)
+    return t.update_from_aggregate(_month_fees(ctx, month), "fee_key", _raise())
+
+
 def update_by_aggregate(ctx: Ctx) -> DataFrame:
     """Commit the raised salaries as the next version of the staff
     table (write new version, then read it), starting from a fresh copy."""

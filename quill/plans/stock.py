@@ -14,6 +14,7 @@ from quill.operators import band_join, update_where
 from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.sources.params import literal_bands
+from quill.sources.ranged import RangedTable
 
 D = decimal.Decimal
 
@@ -132,6 +133,21 @@ def reload_payroll(ctx: Ctx) -> DataFrame:
 
 
 # -- R21 --------------------------------------------------------------------
+def product_table(ctx: Ctx) -> DataFrame:
+    """The product table with the link column that R21 adds."""
+    return ctx.t.part.select("p_partkey", "p_name", "p_brand", F.lit(None).cast("long").alias("related_part"))
+
+
+def update_literal_ranged(ctx: Ctx, first=(99, 100), second=(101, 999, 1000), ranges: int = 16) -> DataFrame:
+    """R21 on a table cut into key ranges: only the ranges that hold keys of the
+    two predicates are read and written again, in one commit."""
+    t = RangedTable(ctx.store, "product_ranged", "p_partkey")
+    t.create(product_table(ctx), ranges)
+    key = F.col("p_partkey")
+    return t.update_where(({"related_part": F.lit(first[1])}, key <= first[0]),
+                          ({"related_part": F.lit(second[2])}, (key >= second[0]) & (key <= second[1])))
+
+
 def update_literal(ctx: Ctx, first=(99, 100), second=(101, 999, 1000)) -> DataFrame:
     """Two ``UPDATE … SET related = k WHERE <literal predicate>`` on the
     product table (a NULL link column added first), committed together as
@@ -139,10 +155,8 @@ def update_literal(ctx: Ctx, first=(99, 100), second=(101, 999, 1000)) -> DataFr
 
     ``first`` = (max key, link) for ``key <= max``; ``second`` = (lo, hi,
     link) for ``lo <= key AND key <= hi``."""
-    base = ctx.t.part.select("p_partkey", "p_name", "p_brand",
-                             F.lit(None).cast("long").alias("related_part"))
     store = ctx.store
-    store.create_as(base, "product")
+    store.create_as(product_table(ctx), "product")
     key = F.col("p_partkey")
 
     def both_updates(t: DataFrame) -> DataFrame:

@@ -39,6 +39,8 @@ WRITTEN = {
     "update_by_aggregate": lambda c: sales.raise_salaries(c, sales.staff_table(c)),
     "update_literal": lambda c: update_where(c.t.part.withColumn("related_part", F.lit(None).cast("long")),
                                              {"related_part": F.lit(1)}, F.col("p_partkey") <= 99),
+    "update_literal_ranged": stock.product_table,
+    "update_by_aggregate_ranged": lambda c: sales.raise_salaries(c, sales.staff_table(c)),
     "layout_year_pruned": lambda c: c.t.orders,
     "layout_join_key": lambda c: c.t.orders,
     "layout_two_columns": lambda c: c.t.lineitem,
