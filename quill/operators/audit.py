@@ -78,5 +78,23 @@ def check_rules(df: DataFrame, table: str, keys: list[str],
                     F.lit(1).cast("long").alias("n")))
 
 
+def orphan_keys(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """Foreign-key rule, the offenders: each reference without a parent row and
+    how many child rows carry it. The child is aggregated first, so the anti
+    join sees a hot value once."""
+    refs = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
+    lost = refs.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+    return lost.select(F.lit(table).alias("table_name"), F.lit("fk_orphan").alias("rule"),
+                       F.lit(fk).alias("column_name"), F.col(fk).cast("string").alias("key_value"),
+                       F.col("n").cast("long").alias("n"))
+
+
+def write_rules(schema, not_null: list[str] = (), rules: list[tuple[str, str, Column]] = ()) -> dict[str, Column]:
+    """Rules for an audited write (``TableStore``): NOT NULL columns and CHECK rules
+    as ``{rule: what must not be FALSE}``."""
+    out = {f"not_null:{c}": F.col(c).isNotNull() for c in not_null if c in schema.fieldNames()}
+    return out | {f"{r}:{c}": ok for r, c, ok in rules}
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -17,7 +17,7 @@ from quill.functions.case import simple_case
 from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.plans.people import person_id, salary
-from quill.sources.layout import keyed_by
+from quill.sources.layout import inverted_by_word, keyed_by, with_word_starting
 from quill.sources.params import exact
 
 D = decimal.Decimal
@@ -101,7 +101,20 @@ def stock_report(ctx: Ctx, word: str = "ring", origin: str = "ECONOMY", rate=950
     """Parts of one origin (type) whose name has a word starting with
     ``word`` (INITCAP LIKE): cost text, converted cost at ``rate``, stock
     alert by two thresholds and an offer price above ``offer_min`` units."""
-    p = ctx.t.part.filter(has_word_starting("p_name", word) & (F.col("p_type") == origin))
+    return _stock_rows(ctx.t.part.filter(has_word_starting("p_name", word) & (F.col("p_type") == origin)),
+                       rate, low, high, offer_min, offer_factor)
+
+
+def stock_report_layout(ctx: Ctx, word: str = "ring", origin: str = "ECONOMY", rate=950, low: int = 10,
+                        high: int = 30, offer_min: int = 40, offer_factor=FX.OFFER_FACTOR) -> DataFrame:
+    """R6 through an inverted table of the names' words (A14): the word prefix is
+    pushed into the scan of the sorted words, and its parts join back."""
+    words = inverted_by_word(ctx.store, ctx.t.part, "part_words", "p_partkey", "p_name")
+    found = with_word_starting(ctx.t.part.filter(F.col("p_type") == origin), words, "p_partkey", word)
+    return _stock_rows(found, rate, low, high, offer_min, offer_factor)
+
+
+def _stock_rows(p: DataFrame, rate, low: int, high: int, offer_min: int, offer_factor) -> DataFrame:
     price = dec("p_retailprice")
     stock = F.col("p_size")
     return (p.select(

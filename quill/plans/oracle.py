@@ -715,3 +715,69 @@ def _interval_audit_prices():
 # the same updates on tables cut into key ranges
 ORACLE["update_literal_ranged"] = ORACLE["update_literal"]
 ORACLE["update_by_aggregate_ranged"] = ORACLE["update_by_aggregate"]
+ORACLE["stock_report_layout"] = ORACLE["stock_report"]
+
+
+@_reg("csv_load")
+def _csv_load():
+    date = """CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%d%m%Y') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y')
+               ELSE strftime(o_orderdate, '%d-%m-%Y') END"""
+    amount = f"CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST({K.d('o_totalprice')} AS VARCHAR) END"
+    return f"""
+WITH l AS (SELECT *, concat_ws(';', CAST(o_orderkey AS VARCHAR),
+                    CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE CAST(o_custkey AS VARCHAR) END, o_orderstatus, {amount}) AS head,
+                  {date} AS day,
+                  o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 AS torn FROM orders),
+r AS (SELECT *, CASE WHEN o_orderkey % 11 = 0 THEN head WHEN o_orderkey % 13 = 0 THEN head || ';' || day || ';extra'
+                     ELSE head || ';' || day END AS text,
+             CASE WHEN torn THEN 'fields'
+                  ELSE concat_ws(', ', CASE WHEN o_orderkey % 17 = 0 THEN 'o_custkey: missing' END,
+                                 CASE WHEN o_orderkey % 7 = 0 THEN 'o_totalprice: not decimal(18,2)' END) END AS reasons FROM l)
+SELECT CASE WHEN reasons = '' THEN o_orderkey END AS o_orderkey, CASE WHEN reasons = '' THEN o_custkey END AS o_custkey,
+       CASE WHEN reasons = '' THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN reasons = '' THEN {K.d('o_totalprice')} END AS o_totalprice,
+       CASE WHEN reasons = '' THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+       CASE WHEN reasons <> '' THEN text END AS line, reasons
+FROM r
+"""
+
+
+@_reg("audit_fk_keys")
+def _audit_fk_keys():
+    refs = [("nation", "n_regionkey", "n_regionkey", "region", "r_regionkey"),
+            ("customer", "c_nationkey", "c_nationkey", "nation", "n_nationkey"),
+            ("supplier", "s_nationkey", "s_nationkey", "nation", "n_nationkey"),
+            ("orders", "o_custkey", "o_custkey", "customer", "c_custkey"),
+            ("lineitem", "l_orderkey", "l_orderkey", "orders", "o_orderkey"),
+            ("lineitem", "l_partkey", "l_partkey", "part", "p_partkey"),
+            ("lineitem", "l_suppkey", "l_suppkey", "supplier", "s_suppkey"),
+            ("events", "user_id", "user_id", "customer", "c_custkey"),
+            ("events", "value", "CAST(floor(value) AS BIGINT)", "orders", "o_orderkey"),
+            ("part", "p_size", "p_size", "nation", "n_nationkey")]
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'fk_orphan' AS rule, '{c}' AS column_name, CAST({e} AS VARCHAR) AS key_value, "
+        f"count(*) AS n FROM {t} WHERE {e} IS NOT NULL AND {e} NOT IN (SELECT {pk} FROM {pt}) GROUP BY {e}"
+        for t, c, e, pt, pk in refs)
+
+
+@_reg("audit_on_write")
+def _audit_on_write():
+    columns = {"customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+               "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+               "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+                           "l_returnflag l_linestatus l_shipdate",
+               "part": "p_partkey p_name p_brand p_type p_size p_retailprice"}
+    checks = [("customer", "segment_domain", "c_mktsegment",
+               "c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"),
+              ("customer", "balance_non_negative", "c_acctbal", "c_acctbal < 0"),
+              ("customer", "name_length_25", "c_name", "length(c_name) > 25"),
+              ("orders", "status_domain", "o_orderstatus", "o_orderstatus NOT IN ('F', 'O', 'P')"),
+              ("orders", "price_precision_8_2", "o_totalprice", "abs(o_totalprice) >= 1000000"),
+              ("lineitem", "returnflag_domain", "l_returnflag", "l_returnflag NOT IN ('A', 'N', 'R')"),
+              ("lineitem", "linestatus_domain", "l_linestatus", "l_linestatus NOT IN ('O', 'F')"),
+              ("lineitem", "discount_range", "l_discount", "l_discount < 0 OR l_discount > 0.1"),
+              ("lineitem", "quantity_positive", "l_quantity", "l_quantity <= 0"),
+              ("part", "size_range", "p_size", "p_size < 1 OR p_size > 50")]
+    checks = [(t, "not_null", c, f"{c} IS NULL") for t, own in columns.items() for c in own.split()] + checks
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{r}' AS rule, '{c}' AS column_name, "
+                              f"count(*) FILTER (WHERE {bad}) AS n FROM {t}" for t, r, c, bad in checks)

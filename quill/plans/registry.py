@@ -17,6 +17,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "invoice_listing": listings.invoice_listing,
     "client_credit": listings.client_credit,
     "stock_report": listings.stock_report,
+    "stock_report_layout": listings.stock_report_layout,
     "income_bands": listings.income_bands,
     "lookup_plain": listings.lookup_plain,
     "lookup_by_upper": listings.lookup_by_upper,
@@ -47,6 +48,7 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "update_literal_ranged": stock.update_literal_ranged,
     "scan_project": basics.scan_project,
     "lenient_cast_load": basics.lenient_cast_load,
+    "csv_load": basics.csv_load,
     "assign_keys": basics.assign_order_keys,
     "band_join_value": basics.band_join_value,
     "band_join_shuffled": basics.band_join_shuffled,
@@ -60,6 +62,8 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "latest_status": basics.latest_status,
     "audit_pk": basics.audit_pk,
     "audit_fk": basics.audit_fk,
+    "audit_fk_keys": basics.audit_fk_keys,
+    "audit_on_write": basics.audit_on_write,
     "audit_not_null": basics.audit_not_null,
     "audit_check": basics.audit_check,
     "layout_year_pruned": basics.layout_year_pruned,
@@ -78,7 +82,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # building them has side effects, so they are not offered as views.
 WRITERS = {"ctas_fee_summary", "fee_before_after", "ctas_stock", "append_bonus_detail", "reload_payroll",
            "update_by_aggregate", "update_literal", "layout_year_pruned", "layout_join_key", "layout_two_columns",
-           "lookup_upper_layout", "update_literal_ranged", "update_by_aggregate_ranged"}
+           "lookup_upper_layout", "update_literal_ranged", "update_by_aggregate_ranged",
+           "stock_report_layout", "csv_load", "audit_on_write"}
 # Reports that run a job while being built (checkpoint, axis range).
 EAGER = {"assign_keys", "interval_join_status", "interval_join_prices", "interval_audit_deliveries",
          "interval_audit_prices"}

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quill.functions._col import as_col
 from quill.sources.sinks import TableStore
 
 
@@ -61,3 +62,27 @@ def keyed_by(store: TableStore, df: DataFrame, name: str, key_col: str, key_expr
     tie = F.xxhash64(*[F.col(c) for c in keyed.columns])
     clustered = keyed.repartitionByRange(n, F.col(key_col), tie)
     return store.create_as(clustered, name, sort_within=[key_col])
+
+
+def words_of(text) -> Column:
+    """Distinct words of a text: runs of letters and digits, lower-cased."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(as_col(text)), F.lit(r"([\p{L}\p{N}]+)"), 1))
+
+
+def inverted_by_word(store: TableStore, df: DataFrame, name: str, key: str, text: str,
+                     partitions: int | None = None) -> DataFrame:
+    """Write the table ``(word, <key>)`` of all words of ``text``, range-clustered and
+    sorted by word: the rows whose word starts with a prefix lie together, so
+    ``LIKE '%Prefix%'`` over words becomes a pushed prefix filter that skips all
+    other row groups. A word of very many rows is split over several files by
+    its key."""
+    words = df.select(F.explode(words_of(text)).alias("word"), F.col(key))
+    return clustered_by(store, words, name, ["word", key], partitions)
+
+
+def with_word_starting(df: DataFrame, inverted: DataFrame, key: str, prefix: str) -> DataFrame:
+    """Rows of ``df`` with a word that starts with ``prefix`` (letters and digits),
+    found in its inverted table; each row once."""
+    if not prefix.isalnum():
+        raise ValueError("a word prefix is letters and digits")
+    return df.join(inverted.filter(F.col("word").startswith(prefix.lower())).select(key), key, "left_semi")

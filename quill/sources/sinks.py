@@ -20,13 +20,21 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quill.session import table_root
 
 
+class RuleViolation(ValueError):
+    """Rows to write broke a rule of the table; ``counts`` has rows per rule."""
+
+    def __init__(self, name: str, counts: dict[str, int]):
+        super().__init__(f"{name!r} not written: " + ", ".join(f"{r}: {n} rows" for r, n in counts.items()))
+        self.counts = counts
+
+
 class TableBusy(RuntimeError):
     """Another write to the table is running (or died: see ``release``)."""
 
@@ -35,6 +43,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or table_root(spark)).rstrip("/")
+        self.audited: dict[str, int] = {}      # rows per rule that the last audited write broke
 
     # -- paths, versions and parts --------------------------------------------
     def _fs(self, path: str):
@@ -111,14 +120,35 @@ class TableStore:
         fs.delete(p, False)
 
     # -- writes -------------------------------------------------------------
-    def _write_part(self, df: DataFrame, path: str, partition_by=None, sort_within=None) -> None:
+    def _write_part(self, df: DataFrame, path: str, partition_by=None, sort_within=None,
+                    rules: dict[str, Column] | None = None, enforce: bool = True) -> None:
+        """One job. With ``rules`` (name -> what must not be FALSE, as in a SQL CHECK)
+        the rows that break each are counted by that job itself; a part that
+        breaks one is deleted instead of committed, unless ``enforce`` is off."""
+        seen = None
+        if rules:
+            seen = Observation()
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                            *[F.count_if(~F.coalesce(ok, F.lit(True))).alias(r) for r, ok in rules.items()])
         if sort_within:
             # partition columns first: the partitioned writer needs that order
             df = df.sortWithinPartitions(*(list(partition_by or []) + list(sort_within)))
         w = df.write.mode("errorifexists")
+        if rules:
+            # the commit marker comes after the rules have been looked at
+            w = w.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        if seen is not None:
+            self.audited = {r: n for r, n in seen.get.items() if r != "rows"}
+            broken = {r: n for r, n in self.audited.items() if n}
+            if broken and enforce:
+                p, fs = self._fs(path)
+                fs.delete(p, True)
+                raise RuleViolation(path[len(self.root) + 1:].split("/")[0], broken)
+            p, fs = self._fs(f"{path}/_SUCCESS")
+            fs.create(p).close()
 
     def _write_new_version(self, df: DataFrame, name: str, **layout) -> DataFrame:
         # after every folder, committed or not: a failed job's leftovers are
@@ -139,7 +169,7 @@ class TableStore:
         """``CREATE TABLE name (...)`` with no rows."""
         return self.create_as(self.spark.createDataFrame([], schema), name)
 
-    def reload(self, df: DataFrame, name: str, schema: T.StructType | None = None
+    def reload(self, df: DataFrame, name: str, schema: T.StructType | None = None, **layout
                ) -> DataFrame:
         """``TRUNCATE`` then ``INSERT … SELECT``: a new version with only ``df``,
         columns aligned by name to the declared ``schema`` (the table's DDL)
@@ -149,22 +179,22 @@ class TableStore:
                 df = align_by_name(df, schema)
             elif self.exists(name):
                 df = align_by_name(df, self.read(name).schema)
-            return self._write_new_version(df, name)
+            return self._write_new_version(df, name, **layout)
 
-    def append(self, df: DataFrame, name: str) -> DataFrame:
+    def append(self, df: DataFrame, name: str, **audit) -> DataFrame:
         """``INSERT INTO name SELECT …``: one more part of the current version,
         visible as a whole once it is committed.
 
         Columns are matched by name (never by position) and cast to the
         table's types, so a reordered select cannot swap two columns."""
         with self._writer(name):
-            return self._append(df, name)
+            return self._append(df, name, **audit)
 
-    def _append(self, df: DataFrame, name: str) -> DataFrame:
+    def _append(self, df: DataFrame, name: str, **audit) -> DataFrame:
         current = self.read(name)
         v = self._version_path(name, self._latest(name))
         df = align_by_name(df, current.schema)
-        self._write_part(df, f"{v}/p{self._numbered(v, 'p')[-1] + 1:06d}")
+        self._write_part(df, f"{v}/p{self._numbered(v, 'p')[-1] + 1:06d}", **audit)
         return self.read(name)
 
     def append_keyed(self, df: DataFrame, name: str, key: str, order: list[str],

@@ -45,6 +45,9 @@ WRITTEN = {
     "layout_join_key": lambda c: c.t.orders,
     "layout_two_columns": lambda c: c.t.lineitem,
     "lookup_upper_layout": lambda c: c.t.part,
+    "stock_report_layout": lambda c: c.t.part,
+    "csv_load": basics.order_lines,
+    "audit_on_write": lambda c: c.t.customer,
 }
 
 
@@ -130,3 +133,32 @@ def test_row_number_form_gets_partial_group_limit(spark, ctx):
     from quill.plans.basics import latest_status
     text = plan_text(latest_status(ctx, method="window"))
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_word_prefix_is_pushed_into_the_inverted_table(spark, no_broadcast):
+    from quill.plans import listings
+    ctx = Ctx(spark, SF_SMALL)
+    text = plan_text(listings.stock_report_layout(ctx))
+    assert "StringStartsWith(word,ring)" in text and "LeftSemi" in text
+
+
+def test_prefix_search_skips_row_groups(spark):
+    """Words are sorted over the files: the footers' ranges leave few groups for a prefix."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from quill.sources.layout import inverted_by_word, with_word_starting
+    ctx = Ctx(spark, SF_SMALL)
+    df = spark.range(4000).select("id", F.format_string("Word%03d-tail x%d", F.col("id") % 500, F.col("id")).alias("t"))
+    words = inverted_by_word(ctx.store, df, "words_test", "id", "t", partitions=8)
+    got = with_word_starting(df, words, "id", "Word12")
+    assert sorted(r.id for r in got.collect()) == [i for i in range(4000) if f"{i % 500:03d}".startswith("12")]
+    groups = hit = 0
+    for f in glob.glob(f"{ctx.store.current_paths('words_test')[0]}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            st = meta.row_group(g).column(0).statistics
+            groups += 1
+            hit += st.min <= "word12￿" and st.max >= "word12"
+    assert groups >= 6 and hit <= 2

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quill.sources import TableStore
+from quill.sources.sinks import RuleViolation
 
 D = decimal.Decimal
 
@@ -161,3 +162,36 @@ def test_year_layout_writes_few_files(spark, store, ctx):
     partitioned_by(store, t, "o", "y", F.year("o_orderdate"), ["o_orderdate"], files=2)
     for folder in glob.glob(store.current_paths("o")[0].replace("file:", "") + "/y=*"):
         assert 1 <= len(glob.glob(folder + "/*.parquet")) <= 2
+
+
+def _rules():
+    return {"not_null:v": F.col("v").isNotNull(), "short:v": F.length("v") <= 3, "even:k": F.col("k") % 2 == 0}
+
+
+def test_rules_are_audited_by_the_writing_job(spark, store):
+    good = spark.createDataFrame([(2, "a"), (4, "abc")], "k int, v string")
+    bad = spark.createDataFrame([(1, "abcd"), (3, None), (None, "x"), (2, "y")], "k int, v string")
+    store.create_as(good, "t", rules=_rules())
+    assert store.audited == {"not_null:v": 0, "short:v": 0, "even:k": 0}
+    for write in (store.create_as, store.append, store.reload):
+        with pytest.raises(RuleViolation) as e:
+            write(bad, "t", rules=_rules())
+        # NULL passes a CHECK, not a NOT NULL
+        assert e.value.counts == {"not_null:v": 1, "short:v": 1, "even:k": 2}
+        assert sorted(map(tuple, store.read("t").collect())) == [(2, "a"), (4, "abc")]
+    store.append(spark.createDataFrame([(6, "q")], "k int, v string"), "t", rules=_rules())
+    assert store.read("t").count() == 3
+    store.append(bad, "t", rules=_rules(), enforce=False)
+    assert store.read("t").count() == 7 and store.audited["even:k"] == 2
+    # what was refused is gone, and the claim is free
+    assert store.versions("t") == [1]
+
+
+def test_audited_write_is_one_job(spark, store):
+    sc = spark.sparkContext
+    sc.setJobGroup("audited", "one write")
+    try:
+        store.create_as(spark.range(100).withColumn("v", F.lit("x")), "u", rules={"positive:id": F.col("id") >= 0})
+        assert len(sc.statusTracker().getJobIdsForGroup("audited")) <= 2      # the write; the schema of what it wrote
+    finally:
+        sc._jsc.sc().clearJobGroup()
