@@ -40,14 +40,17 @@ def keep_last(value, order) -> Column:
     return best.getField("v")
 
 
-_KEYS = decimal.Decimal(10) ** 19      # above every long
+_LOW = decimal.Decimal(2) ** 63 + 1    # takes every long above 0, which is left for NULL
+_KEYS = 2 * decimal.Decimal(10) ** 19   # above every long so moved
 
 
 def keep_last_key(key, amount) -> Column:
-    """:func:`keep_last` for a key >= 0 (long) by an integral amount of at most
-    18 digits: amount (NULL above all) and key packed into one DECIMAL(38,0),
-    so that both phases are hash aggregates without a sort."""
+    """:func:`keep_last` for a key (any long, or NULL) by an integral amount of at
+    most 18 digits: amount (NULL above all) and key (NULL below all) packed into
+    one DECIMAL(38,0), so that both phases are hash aggregates without a sort."""
     bound = decimal.Decimal(10) ** 18
     rank = F.coalesce(as_col(amount).cast("decimal(18,0)") + F.lit(bound), F.lit(3 * bound)).cast("decimal(19,0)")
-    packed = (rank * F.lit(_KEYS)).cast("decimal(38,0)") + as_col(key).cast("decimal(19,0)")
-    return (F.max(packed.cast("decimal(38,0)")) % F.lit(_KEYS)).cast("long")
+    place = F.coalesce(as_col(key).cast("decimal(20,0)") + F.lit(_LOW), F.lit(decimal.Decimal(0))).cast("decimal(20,0)")
+    packed = ((rank * F.lit(_KEYS)).cast("decimal(38,0)") + place).cast("decimal(38,0)")
+    best = (F.max(packed) % F.lit(_KEYS)).cast("decimal(20,0)")
+    return F.when(best > 0, best - F.lit(_LOW)).cast("long")

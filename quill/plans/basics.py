@@ -20,7 +20,7 @@ from quill.plans.context import Ctx
 from quill.plans.people import open_at
 from quill.sources.delimited import Field, load_delimited
 from quill.sources.params import literal_bands
-from quill.sources.layout import bucketed_by, clustered_by, partitioned_by
+from quill.sources.layout import bucketed_by, catalog_name, clustered_by, partitioned_by
 from quill.sources.lenient import lenient_date, lenient_number
 from quill.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 
@@ -236,8 +236,8 @@ def layout_join_key(ctx: Ctx, buckets: int = 16) -> DataFrame:
     """Orders saved bucketed on the customer key, then joined per customer:
     the order side is read in buckets, without an exchange."""
     o = ctx.t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
-    saved = bucketed_by(o, "quill_orders_by_customer", f"{ctx.store.root}/orders_by_customer", "o_custkey",
-                        buckets)
+    saved = bucketed_by(o, catalog_name(ctx.spark, "quill_orders_by_customer"), f"{ctx.store.root}/orders_by_customer",
+                        "o_custkey", buckets)
     per = saved.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum(dec("o_totalprice")).alias("total"))
     return (ctx.t.customer.join(per, F.col("c_custkey") == F.col("o_custkey"))
             .select("c_custkey", "orders", "total"))

@@ -17,6 +17,27 @@ PART_TYPE_LABELS = {"ECONOMY": "economy line", "STANDARD": "standard line", "SMA
                     "MEDIUM": "medium format", "LARGE": "large format"}
 SEGMENT_LABELS = {"AUTOMOBILE": "automotive", "BUILDING": "construction", "FURNITURE": "furnishing",
                   "MACHINERY": "industrial"}
+PAYMENT_LABELS = {1: "cash", 2: "debit card", 3: "credit card"}
+CONTRACTS = {"AUTOMOBILE": ("full-time permanent", 900, "0.05"), "BUILDING": ("part-time permanent", 700, None),
+             "FURNITURE": ("fixed term", 400, "0.03"), "HOUSEHOLD": ("fee based", 300, "0.02"),
+             "MACHINERY": ("seasonal", 250, "0.04")}
+MOBILITY = {"full-time permanent": 1500, "part-time permanent": 1200, "fixed term": 600, "fee based": 500}
+SALARY_BANDS = [(-1000, "1999.99", "5"), (2000, "5999.99", "10"), (6000, "8999.99", "15")]
+COLUMNS = {"region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+           "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+           "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+           "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+           "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+           "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+                       "l_returnflag l_linestatus l_shipdate",
+           "events": "event_id ts user_id event_type value props"}
+PRIMARY_KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
+                "supplier": ["s_suppkey"], "part": ["p_partkey"], "orders": ["o_orderkey"],
+                "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
+FOREIGN_KEYS = [("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
+                ("supplier", "s_nationkey", "nation", "n_nationkey"), ("orders", "o_custkey", "customer", "c_custkey"),
+                ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+                ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("events", "user_id", "customer", "c_custkey")]
 REGION_LABELS = {0: "branch africa", 1: "branch america", 2: "branch asia", 3: "branch europe"}
 
 
@@ -73,7 +94,6 @@ WHERE c_acctbal BETWEEN {low} AND {high}
 
 @_reg("invoice_listing")
 def _invoice_listing(low=100_000, high=250_000, vat=FX.VAT_RATE):
-    from quill.plans.listings import PAYMENT_LABELS
     net = K.d("o_totalprice")
     tax = K.round0(f"{net} * {vat}")
     total = f"({net} + {tax})"
@@ -454,7 +474,6 @@ ORACLE["ctas_stock"] = _stock_sql()
 
 
 def _payroll_sql():
-    from quill.plans.stock import CONTRACTS, MOBILITY, SALARY_BANDS
     cvals = ", ".join(
         f"('{k}', '{v[0]}', {v[1]}, {('CAST(' + v[2] + ' AS DECIMAL(4,2))') if v[2] else 'CAST(NULL AS DECIMAL(4,2))'})"
         for k, v in CONTRACTS.items())
@@ -571,10 +590,8 @@ WHERE rn = 1
 
 
 def _audit_pk_sql():
-    from quill.plans.basics import AUDITED
-    from quill.sources.schemas import PRIMARY_KEYS
     parts = []
-    for t in AUDITED:
+    for t in COLUMNS:
         ks = PRIMARY_KEYS[t]
         key_text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in ks)
         has_null = " OR ".join(f"{k} IS NULL" for k in ks)
@@ -586,7 +603,6 @@ FROM {t} GROUP BY {', '.join(ks)} HAVING count(*) > 1 OR {has_null}""")
 
 
 def _audit_fk_sql():
-    from quill.sources.schemas import FOREIGN_KEYS
     parts = []
     for ct, cc, pt, pc in FOREIGN_KEYS:
         parts.append(f"""SELECT '{ct}' AS table_name, 'fk_orphan' AS rule, '{cc}' AS column_name,
@@ -598,11 +614,9 @@ FROM {ct}""")
 
 
 def _audit_not_null_sql():
-    from quill.plans.basics import AUDITED
-    from quill.sources.schemas import SCHEMAS
     parts = []
-    for t in AUDITED:
-        for c in SCHEMAS[t].fieldNames():
+    for t in COLUMNS:
+        for c in COLUMNS[t].split():
             parts.append(f"SELECT '{t}' AS table_name, 'not_null' AS rule, '{c}' AS column_name, "
                          f"CAST(NULL AS VARCHAR) AS key_value, count(*) FILTER (WHERE {c} IS NULL) AS n "
                          f"FROM {t}")
@@ -614,7 +628,6 @@ def _audit_not_null_sql():
 
 
 def _audit_check_sql():
-    from quill.sources.schemas import PRIMARY_KEYS
     rules = {
         "customer": [("segment_domain", "c_mktsegment",
                       "c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"),
@@ -744,16 +757,9 @@ FROM r
 
 @_reg("audit_fk_keys")
 def _audit_fk_keys():
-    refs = [("nation", "n_regionkey", "n_regionkey", "region", "r_regionkey"),
-            ("customer", "c_nationkey", "c_nationkey", "nation", "n_nationkey"),
-            ("supplier", "s_nationkey", "s_nationkey", "nation", "n_nationkey"),
-            ("orders", "o_custkey", "o_custkey", "customer", "c_custkey"),
-            ("lineitem", "l_orderkey", "l_orderkey", "orders", "o_orderkey"),
-            ("lineitem", "l_partkey", "l_partkey", "part", "p_partkey"),
-            ("lineitem", "l_suppkey", "l_suppkey", "supplier", "s_suppkey"),
-            ("events", "user_id", "user_id", "customer", "c_custkey"),
-            ("events", "value", "CAST(floor(value) AS BIGINT)", "orders", "o_orderkey"),
-            ("part", "p_size", "p_size", "nation", "n_nationkey")]
+    refs = [(t, c, c, pt, pk) for t, c, pt, pk in FOREIGN_KEYS]
+    refs += [("events", "value", "CAST(floor(value) AS BIGINT)", "orders", "o_orderkey"),
+             ("part", "p_size", "p_size", "nation", "n_nationkey")]
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, 'fk_orphan' AS rule, '{c}' AS column_name, CAST({e} AS VARCHAR) AS key_value, "
         f"count(*) AS n FROM {t} WHERE {e} IS NOT NULL AND {e} NOT IN (SELECT {pk} FROM {pt}) GROUP BY {e}"
@@ -762,11 +768,7 @@ def _audit_fk_keys():
 
 @_reg("audit_on_write")
 def _audit_on_write():
-    columns = {"customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
-               "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
-               "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-                           "l_returnflag l_linestatus l_shipdate",
-               "part": "p_partkey p_name p_brand p_type p_size p_retailprice"}
+    columns = {t: COLUMNS[t] for t in ("customer", "orders", "lineitem", "part")}
     checks = [("customer", "segment_domain", "c_mktsegment",
                "c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"),
               ("customer", "balance_non_negative", "c_acctbal", "c_acctbal < 0"),

@@ -102,16 +102,18 @@ def bonus_tenure(ctx: Ctx, urgent: str = "1-URGENT", health_name: str = "NATION_
     """
     o = ctx.t.orders
     is_open = open_at(ctx.as_of, valid_days)
-    # day, key and status code of the latest open row, packed into one number:
-    # a fixed-width buffer keeps both phases hash aggregates
+    # day and key of the latest open row, packed into one number: a fixed-width
+    # buffer keeps both phases hash aggregates; the key then fetches the status
     day = F.coalesce(F.unix_date(to_day("o_orderdate")) + 10_000_000, F.lit(0)).cast("decimal(8,0)")
-    packed = (day * F.lit(D(10) ** 22) + F.col("o_orderkey").cast("decimal(19,0)") * 1000
-              + F.coalesce(F.ascii("o_orderstatus"), F.lit(0)))
+    packed = day * F.lit(D(10) ** 19) + F.col("o_orderkey").cast("decimal(19,0)")
     latest = F.max(F.when(is_open, packed.cast("decimal(38,0)")))
     prof = order_profile(o, [cond_count(F.col("o_orderpriority") == urgent).alias("dependants"),
                              latest.alias("latest_open")])
     prof = prof.filter(F.col("latest_open").isNotNull())
-    status = F.char((F.col("latest_open") % 1000).cast("int"))
+    key = (F.col("latest_open") % F.lit(D(10) ** 19)).cast("long")
+    rows = o.filter(is_open).select(F.col("o_orderkey").alias("status_key"), F.col("o_orderstatus").alias("open_status"))
+    prof = prof.withColumn("status_key", key).join(rows, "status_key")
+    status = F.col("open_status")
     c = ctx.t.customer.join(prof, "c_custkey")
     c = (c.join(ctx.t.nation, c.c_nationkey == F.col("n_nationkey"), "left")
          .join(ctx.t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left"))
@@ -245,10 +247,11 @@ def fee_before_after(ctx: Ctx, month: int = 3, threshold: int = 240_000,
     from the committed table, not from the update's formula. Staff with fees
     that month are listed."""
     store, name = ctx.store, "staff_fees"
+    fees = store.create_as(_month_fees(ctx, month), "month_fees")       # aggregated once, used by both
     before = store.create_as(staff_table(ctx), name)
-    after = store.replace_with(lambda cur: raise_salaries(ctx, cur, month, threshold, low_rate, high_rate),
-                               name)
-    j = (_month_fees(ctx, month).withColumnRenamed("fee_key", "c_custkey")
+    after = store.replace_with(lambda cur: update_from_aggregate(cur, "c_custkey", fees, "fee_key",
+                                                                 _raise(threshold, low_rate, high_rate)), name)
+    j = (fees.withColumnRenamed("fee_key", "c_custkey")
          .join(before.withColumnRenamed("salary", "old"), "c_custkey")
          .join(after.withColumnRenamed("salary", "new"), "c_custkey"))
     return (j.orderBy("c_custkey").select(

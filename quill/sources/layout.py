@@ -11,6 +11,8 @@ a function of a column cannot be pushed into the scan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,12 @@ def clustered_by(store: TableStore, df: DataFrame, name: str, cols: list[str],
     return store.create_as(dealt, name, sort_within=cols)
 
 
+def catalog_name(spark, name: str) -> str:
+    """``name`` with the application's id: applications that share a metastore do
+    not replace each other's tables."""
+    return f"{name}_{re.sub('[^0-9A-Za-z]', '_', spark.sparkContext.applicationId)}"
+
+
 def bucketed_by(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
     """Save ``df`` as table ``name`` bucketed and sorted on a join key: a join or
     aggregation on it reads the buckets without a shuffle on this side. Built

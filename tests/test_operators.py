@@ -63,6 +63,15 @@ def test_keep_last_ties_and_nulls(spark):
         assert out == {1: (11, D(5)), 2: (21, D(7)), 3: (30, None)}
 
 
+def test_keep_last_null_and_negative_keys(spark):
+    rows = [(1, None, 10), (1, 7, 5), (2, None, 10), (2, -3, 10), (2, -4, 10), (3, -2 ** 63, 1), (3, None, 1),
+            (4, 0, None), (4, 9, 8), (5, None, None), (5, 1, 2), (6, -1, -5), (6, 8, -6)]
+    df = spark.createDataFrame(rows, "k int, id long, amount long")
+    want = {1: None, 2: -3, 3: -2 ** 63, 4: 0, 5: None, 6: -1}
+    for keep in (keep_last, keep_last_key):
+        assert {r.k: r.best for r in df.groupBy("k").agg(keep("id", "amount").alias("best")).collect()} == want
+
+
 def test_keep_last_key_extremes_and_plan(spark):
     big = 10 ** 18 - 1
     df = spark.createDataFrame([(1, 2 ** 63 - 1, D(big)), (1, 0, D(big - 1)), (2, 5, D(-big)), (2, 4, D(-big))],
