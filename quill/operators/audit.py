@@ -89,6 +89,29 @@ def orphan_keys(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: st
                        F.col("n").cast("long").alias("n"))
 
 
+def dependences(df: DataFrame, table: str, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """Functional dependences: for each of ``keys``, which other columns do not follow
+    from it, ``(table_name, key_column, column_name, groups, n)`` with the number
+    of key values and of those that carry more than one value (NULL is one).
+
+    A column depends on the key where the least and the greatest hash of its
+    values agree in every group: one aggregation, one shuffle per key, of two
+    numbers a column. NULL keys are a group."""
+    out = []
+    for key in keys:
+        own = [c for c in columns or df.columns if c != key]
+        hashes = {c: F.xxhash64(F.col(c).isNull(), c) for c in own}
+        g = df.groupBy(key).agg(*[f(h).alias(f"{part}_{c}") for c, h in hashes.items()
+                                  for f, part in ((F.min, "lo"), (F.max, "hi"))])
+        one = g.agg(F.count(F.lit(1)).alias("groups"),
+                    *[F.count_if(F.col(f"lo_{c}") != F.col(f"hi_{c}")).alias(c) for c in own])
+        rows = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("n")) for c in own]))
+        out.append(one.select("groups", rows.alias("r")).select(
+            F.lit(table).alias("table_name"), F.lit(key).alias("key_column"), F.col("r.c").alias("column_name"),
+            F.col("groups").cast("long").alias("groups"), F.col("r.n").cast("long").alias("n")))
+    return union_all(out)
+
+
 def write_rules(schema, not_null: list[str] = (), rules: list[tuple[str, str, Column]] = ()) -> dict[str, Column]:
     """Rules for an audited write (``TableStore``): NOT NULL columns and CHECK rules
     as ``{rule: what must not be FALSE}``."""

@@ -14,6 +14,10 @@ A global ``row_number()`` window would pull every row into one task. Instead:
 
 Keys are dense, unique, start at ``start`` and follow the order. Nothing
 depends on the number of rows: no count decides how the job is laid out.
+
+A sequence that only has to be unique and rising between inserts needs none of
+this: ``block_keys`` hands every task blocks of keys of its own, in one pass
+without a shuffle, and leaves gaps where a block is not used up.
 """
 
 from __future__ import annotations
@@ -51,3 +55,20 @@ def assign_keys(df: DataFrame, order: list[str], key: str = "key", start: int =
     out = mid.join(F.broadcast(offsets), "_pid")
     keyed = F.lit(start) + F.lit(step) * (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos"))
     return out.select(keyed.cast("long").alias(key), *df.columns)
+
+
+BLOCK, TASKS = 1 << 12, 1 << 17     # keys per block; tasks that can draw blocks at once
+
+
+def block_keys(df: DataFrame, key: str = "key", start: int = 1, step: int = 1, block: int = BLOCK) -> DataFrame:
+    """Sparse keys: ``start + step * i``, unique, in no order.
+
+    The ``n``-th block of a task is number ``n * TASKS + task``, so tasks never
+    meet and no one counts rows. As long as no task has more than ``block``
+    rows, the keys stay below ``start + step * block * tasks``."""
+    place = F.monotonically_increasing_id()
+    task = F.shiftright(place, _POS_BITS)
+    pos = place.bitwiseAND((1 << _POS_BITS) - 1)
+    fits = F.when(task < TASKS, task).otherwise(F.raise_error(F.lit(f"more than {TASKS} tasks draw keys")).cast("long"))
+    number = (F.floor(pos / block).cast("long") * TASKS + fits) * block + F.pmod(pos, F.lit(block))
+    return df.select((F.lit(start) + F.lit(step) * number).cast("long").alias(key), *df.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from quill.functions import dec, in_month, in_year, to_day, years_between
 from quill.functions.dates import add_months_year
-from quill.operators import (assign_keys, band_join, check_rules, duplicate_keys,
+from quill.operators import (assign_keys, band_join, check_rules, dependences, duplicate_keys,
                              intersect_distinct, latest_per_key, null_counts, orphan_keys, orphans, write_rules)
 from quill.operators.audit import union_all
 from quill.plans.context import Ctx
@@ -177,6 +177,17 @@ def audit_fk_keys(ctx: Ctx) -> DataFrame:
                       for ct, cc, pt, pc in [*FOREIGN_KEYS, *LOOSE_KEYS]])
 
 
+def audit_dependence(ctx: Ctx) -> DataFrame:
+    """Columns carried along a grouping key that do not follow from it, for the
+    keys that the reports group by; the report lists the broken pairs."""
+    li = ctx.t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")
+    found = [dependences(ctx.t.customer, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"]),
+             dependences(ctx.t.part, "part", ["p_partkey", "p_name", "p_type"]),
+             dependences(ctx.t.orders, "orders", ["o_custkey"]),
+             dependences(li, "lineitem", ["l_orderkey", "l_returnflag"])]
+    return union_all(found).filter("n > 0")
+
+
 def audit_on_write(ctx: Ctx) -> DataFrame:
     """A15 within A5: the tables are written, and the job that writes counts the
     rows that break each NOT NULL and CHECK rule; no second scan."""
@@ -232,6 +243,39 @@ def layout_year_pruned(ctx: Ctx, years_back: int = 1) -> DataFrame:
             .select("o_orderkey", "o_custkey", "o_orderdate", "o_year"))
 
 
+def calendar_table(ctx: Ctx) -> DataFrame:
+    """The years that occur in the data, with their distance to the run date."""
+    years = ctx.t.orders.groupBy(F.year("o_orderdate").alias("c_year")).agg(F.count(F.lit(1)).alias("orders"))
+    return years.select("c_year", "orders", (F.lit(ctx.as_of.year) - F.col("c_year")).alias("years_ago"))
+
+
+def calendar_pruned(ctx: Ctx, low: int = 1, high: int = 2) -> DataFrame:
+    """Orders of the years that a calendar table picks by the run date. The
+    filter is on the calendar; Spark prunes the year folders of the orders with
+    what it finds there (dynamic partition pruning)."""
+    fact = partitioned_by(ctx.store, ctx.t.orders, "orders_by_year_c", "o_year", F.year("o_orderdate"), ["o_orderdate"])
+    cal = ctx.store.create_as(calendar_table(ctx), "calendar")
+    picked = cal.filter(F.col("years_ago").between(low, high))
+    return (fact.join(picked, F.col("o_year") == F.col("c_year"))
+            .select("o_orderkey", "o_custkey", "o_orderdate", "o_year", "years_ago"))
+
+
+def append_sparse_keys(ctx: Ctx) -> DataFrame:
+    """A11, the sparse form: two inserts draw keys in blocks. Which row gets which
+    key is open; the report shows what holds of the keys of each status."""
+    o = ctx.t.orders.select("o_orderkey", "o_orderstatus")
+    ctx.store.create_empty("sparse", T.StructType([T.StructField("num", T.LongType()), *o.schema.fields]))
+    ctx.store.append_sparse(o.filter(F.col("o_orderstatus") == "F"), "sparse", "num", start=80, step=10)
+    first_top = ctx.store.high_water("sparse", "num")
+    t = ctx.store.append_sparse(o.filter(F.col("o_orderstatus") != "F"), "sparse", "num", start=80, step=10)
+    per = t.groupBy("num").agg(F.count(F.lit(1)).alias("uses"), F.min("o_orderkey").alias("o_orderkey"))
+    status = ctx.t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    return per.join(status, "o_orderkey").groupBy("status").agg(
+        F.sum("uses").alias("rows"), F.count(F.lit(1)).alias("keys"), F.min(F.col("num") >= 80).alias("from_start"),
+        F.min(F.pmod(F.col("num") - 80, F.lit(10)) == 0).alias("on_step"),
+        F.min(F.when(F.col("status") != "F", F.col("num") > first_top)).alias("above_first"))
+
+
 def layout_join_key(ctx: Ctx, buckets: int = 16) -> DataFrame:
     """Orders saved bucketed on the customer key, then joined per customer:
     the order side is read in buckets, without an exchange."""

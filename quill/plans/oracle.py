@@ -783,3 +783,36 @@ def _audit_on_write():
     checks = [(t, "not_null", c, f"{c} IS NULL") for t, own in columns.items() for c in own.split()] + checks
     return " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{r}' AS rule, '{c}' AS column_name, "
                               f"count(*) FILTER (WHERE {bad}) AS n FROM {t}" for t, r, c, bad in checks)
+
+
+ORACLE["status_at_run_date"] = ORACLE["latest_status"]
+
+ORACLE["approx_distinct"] = f"""
+SELECT p_brand, count(DISTINCT o_custkey) AS customers, false AS off
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+WHERE year(l_shipdate) >= {AS_OF.year - 4} GROUP BY p_brand
+"""
+
+ORACLE["calendar_pruned"] = f"""
+SELECT o_orderkey, o_custkey, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+       CAST({AS_OF.year} - year(o_orderdate) AS INTEGER) AS years_ago
+FROM orders WHERE {AS_OF.year} - year(o_orderdate) BETWEEN 1 AND 2
+"""
+
+ORACLE["append_sparse_keys"] = """
+SELECT o_orderstatus AS status, count(*) AS rows, count(DISTINCT o_orderkey) AS keys, true AS from_start, true AS on_step,
+       CASE WHEN o_orderstatus <> 'F' THEN true END AS above_first
+FROM orders GROUP BY o_orderstatus
+"""
+
+
+@_reg("audit_dependence")
+def _audit_dependence():
+    wanted = [("customer", COLUMNS["customer"], ["c_custkey", "c_nationkey", "c_mktsegment"]),
+              ("part", COLUMNS["part"], ["p_partkey", "p_name", "p_type"]), ("orders", COLUMNS["orders"], ["o_custkey"]),
+              ("lineitem", "l_orderkey l_linenumber l_suppkey l_returnflag l_linestatus", ["l_orderkey", "l_returnflag"])]
+    parts = [f"""SELECT '{t}' AS table_name, '{k}' AS key_column, '{c}' AS column_name, count(*) AS groups,
+       count(*) FILTER (WHERE n > 1) AS n
+FROM (SELECT {k}, count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n FROM {t} GROUP BY {k})"""
+             for t, cols, keys in wanted for k in keys for c in cols.split() if c != k]
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n > 0"

@@ -40,6 +40,8 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "view_fines_brief": views.view_fines_brief,
     "fines_report": views.fines_report,
     "view_clients": views.view_clients,
+    "status_at_run_date": views.status_at_run_date,
+    "approx_distinct": stock.approx_distinct,
     "stock_control": stock.stock_control,
     "ctas_stock": stock.ctas_stock,
     "payroll": stock.payroll,
@@ -63,6 +65,9 @@ BUILDERS: dict[str, Callable[[Ctx], DataFrame]] = {
     "audit_pk": basics.audit_pk,
     "audit_fk": basics.audit_fk,
     "audit_fk_keys": basics.audit_fk_keys,
+    "audit_dependence": basics.audit_dependence,
+    "append_sparse_keys": basics.append_sparse_keys,
+    "calendar_pruned": basics.calendar_pruned,
     "audit_on_write": basics.audit_on_write,
     "audit_not_null": basics.audit_not_null,
     "audit_check": basics.audit_check,
@@ -83,7 +88,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 WRITERS = {"ctas_fee_summary", "fee_before_after", "ctas_stock", "append_bonus_detail", "reload_payroll",
            "update_by_aggregate", "update_literal", "layout_year_pruned", "layout_join_key", "layout_two_columns",
            "lookup_upper_layout", "update_literal_ranged", "update_by_aggregate_ranged",
-           "stock_report_layout", "csv_load", "audit_on_write"}
+           "stock_report_layout", "csv_load", "audit_on_write", "append_sparse_keys", "calendar_pruned", "approx_distinct",
+           "status_at_run_date"}
 # Reports that run a job while being built (checkpoint, axis range).
 EAGER = {"assign_keys", "interval_join_status", "interval_join_prices", "interval_audit_deliveries",
          "interval_audit_prices"}

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from quill.functions import dec, in_year, round0, round_ratio
 from quill.functions.case import simple_case
 from quill.operators import band_join, update_where
+from quill.operators.sketches import distinct_sketches, merged_distinct
 from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.sources.params import literal_bands
@@ -66,6 +67,21 @@ def ctas_stock(ctx: Ctx) -> DataFrame:
     return ctx.store.create_as(stock_control(ctx), "stock_control", sort_within=["book_id"])
 
 
+def approx_distinct(ctx: Ctx, years_back: int = 4, within: float = 0.03) -> DataFrame:
+    """D3, opt-in: customers per brand over the last ``years_back`` years from stored
+    sketches per brand and year, beside the exact count. Which estimates are
+    more than ``within`` off is part of the report: none."""
+    rows = (ctx.t.lineitem.join(ctx.t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(ctx.t.part, F.col("l_partkey") == F.col("p_partkey"))
+            .select("p_brand", F.year("l_shipdate").alias("year"), "o_custkey"))
+    saved = ctx.store.create_as(distinct_sketches(rows, ["p_brand", "year"], "o_custkey"), "brand_sketches")
+    first = ctx.as_of.year - years_back
+    estimate = merged_distinct(saved.filter(F.col("year") >= first), ["p_brand"])
+    exact = rows.filter(F.col("year") >= first).groupBy("p_brand").agg(F.count_distinct("o_custkey").alias("customers"))
+    off = F.abs(F.col("estimate") - F.col("customers")) > F.col("customers") * F.lit(within)
+    return exact.join(estimate, "p_brand").select("p_brand", "customers", off.alias("off"))
+
+
 # -- R20 --------------------------------------------------------------------
 # Contract by segment: (contract name, incentive, commission fraction or None).
 CONTRACTS = {"AUTOMOBILE": ("full-time permanent", 900, "0.05"),

@@ -22,6 +22,7 @@ from quill.operators.skew import salted_join
 from quill.plans import fixed as FX
 from quill.plans.context import Ctx
 from quill.plans.people import check_char, order_profile, person_id, salary
+from quill.sources.catalog import Database
 
 D = decimal.Decimal
 
@@ -188,3 +189,27 @@ def view_clients(ctx: Ctx, status: str = "P", priority: str = "1-URGENT",
         .otherwise("no benefit").alias("benefit"))
     v.createOrReplaceTempView(name)
     return ctx.spark.table(name)
+
+
+def define_status_views(ctx: Ctx, valid_days: int = 730) -> Database:
+    """Catalog definitions over the input tables: a view of order days, and the
+    status that is valid at a run date (E1) as a function of that date."""
+    db = Database.over(ctx.spark, ctx.root)
+    db.define_tables(ctx.t, ["orders", "customer"])
+    db.define_view("order_days", "SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate, "
+                                 "to_date(o_orderdate) AS order_day FROM orders")
+    db.define_function(
+        "status_at", {"run_date": "DATE"},
+        "o_custkey BIGINT, o_orderkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ",
+        f"""SELECT o_custkey, last.o_orderkey, last.o_orderstatus, last.o_orderdate
+            FROM (SELECT o_custkey, max(struct(o_orderdate, o_orderkey, o_orderstatus)) AS last FROM order_days
+                  WHERE o_orderstatus = 'O' OR o_orderdate IS NULL
+                     OR o_orderdate >= CAST(date_sub(run_date, {valid_days - 1}) AS TIMESTAMP_NTZ)
+                  GROUP BY o_custkey)""")
+    return db
+
+
+def status_at_run_date(ctx: Ctx) -> DataFrame:
+    """Defined in this session, read by another one with its run date."""
+    name = define_status_views(ctx).name
+    return Database(ctx.spark.newSession(), name).call("status_at", ctx.as_of)

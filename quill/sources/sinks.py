@@ -211,6 +211,30 @@ class TableStore:
             keyed = assign_keys(df, order, key=key, start=first, step=step)
             return self._append(keyed.drop(*[c for c in order if c not in current.columns]), name)
 
+    def append_sparse(self, df: DataFrame, name: str, key: str, start: int = 1, step: int = 1,
+                      **block) -> DataFrame:
+        """``INSERT INTO name SELECT seq.NEXTVAL, …`` with keys that are only unique and
+        above all earlier ones (a sequence with a cache leaves gaps too): drawn
+        in blocks by the tasks that write, one pass, no shuffle. The greatest key
+        is measured by the write itself and kept as the table's high-water mark,
+        so that neither this insert nor the next one reads the table."""
+        from quill.operators.keys import block_keys
+        with self._writer(name):
+            top = self.high_water(name, key)
+            keyed = block_keys(df, key, start if top is None else top + step, step, **block)
+            seen = Observation()
+            out = self._append(keyed.observe(seen, F.max(key).alias("top")), name)
+            if seen.get["top"] is not None:
+                p, fs = self._fs(f"{self.root}/{name}/_top_{key}/{seen.get['top']}")
+                fs.create(p).close()
+            return out
+
+    def high_water(self, name: str, key: str) -> int | None:
+        """The greatest key that :meth:`append_sparse` has given out."""
+        p, fs = self._fs(f"{self.root}/{name}/_top_{key}")
+        marks = [int(st.getPath().getName()) for st in fs.listStatus(p)] if fs.exists(p) else []
+        return max(marks, default=None)
+
     def replace_with(self, df_fn, name: str) -> DataFrame:
         """Rewrite a table from its own current content (``UPDATE``): the new
         content is computed from version N and committed as N+1."""

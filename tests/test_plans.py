@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from quill.operators.keys import block_keys
 from quill.operators.mutate import update_where
 from quill.plans import basics, sales, stock
 from quill.plans.context import Ctx
@@ -48,6 +49,10 @@ WRITTEN = {
     "stock_report_layout": lambda c: c.t.part,
     "csv_load": basics.order_lines,
     "audit_on_write": lambda c: c.t.customer,
+    "append_sparse_keys": lambda c: block_keys(c.t.orders),
+    "calendar_pruned": basics.calendar_table,
+    "approx_distinct": lambda c: c.t.lineitem,
+    "status_at_run_date": lambda c: c.t.orders,
 }
 
 
@@ -65,7 +70,7 @@ def test_no_slow_operators(spark, name, no_broadcast):
 
 
 # a struct buffer (rows of any type) sorts; everything else hashes
-SORTS = {"latest_status"}
+SORTS = {"latest_status", "status_at_run_date"}
 
 
 @pytest.mark.parametrize("name", sorted(set(BUILDERS) - SORTS))
@@ -162,3 +167,31 @@ def test_prefix_search_skips_row_groups(spark):
             groups += 1
             hit += st.min <= "word12￿" and st.max >= "word12"
     assert groups >= 6 and hit <= 2
+
+
+def test_calendar_prunes_folders_at_run_time(spark):
+    ctx = Ctx(spark, SF_SMALL)
+    df = basics.calendar_pruned(ctx)
+    years = {r.o_year for r in df.select("o_year").distinct().collect()}
+    assert years == {ctx.as_of.year - 1, ctx.as_of.year - 2}
+    assert "dynamicpruning" in plan_text(df)
+    df.collect()
+    plan, read = df._jdf.queryExecution().executedPlan(), []
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    todo = [plan]
+    while todo:
+        p = todo.pop()
+        if "Scan parquet" in p.nodeName() and p.metrics().contains("numPartitions"):
+            read.append(p.metrics().apply("numPartitions").value())
+        for attr in ("plan", "child"):
+            if "QueryStage" in p.nodeName() and attr == "plan":
+                todo.append(p.plan())
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    assert 2 in read, read
+
+
+def test_block_keys_are_one_pass(spark):
+    text = plan_text(block_keys(spark.read.parquet(f"{SF_SMALL}/orders.parquet")))
+    assert "Exchange" not in text and "Sort" not in text
