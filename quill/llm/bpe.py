@@ -18,6 +18,8 @@ import codecs
 import hashlib
 import heapq
 import json
+import re
+import struct
 from collections.abc import Iterable, Iterator
 from itertools import islice, repeat
 
@@ -32,22 +34,40 @@ from quill.llm.common import arrow
 VOCABULARY = "byte_bpe_50k"
 CHUNK = 1 << 16        # characters cut into pre-tokens at once
 WINDOW = 16            # an open pre-token is encoded per this many lookaheads
-MEMO = 1 << 18         # short pre-tokens remembered per task
+MEMO = 1 << 18         # short pre-tokens remembered per task, twice
 SHORT = 64             # bytes of a pre-token that may be remembered
 PART = 1 << 16         # token ids per row of ``encode``
 NEVER, TOKEN = 1 << 62, (1 << 32) - 1     # no such merge; the token in a merge's value
-#: fixed values: the vocabulary's pre-token pattern and the runs it is made of
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-RUNS = {"L": r"\p{L}*", "N": r"\p{N}*", "O": r"[^\s\p{L}\p{N}]*", "S": r"\s*"}
+#: fixed values: the vocabulary's pre-token pattern over classes of characters
+#: (letters L, numbers N, white space S, others O), and the runs it is made of
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[^SLN]+|[S]+(?![^S])|[S]+"
+RUNS = {"L": "[L]*", "N": "[N]*", "O": "[^SLN]*", "S": "[S]*"}
 #: the longest way a match of PATTERN looks beyond its end
 MARGIN = 2
 #: blocks whose characters every Unicode version since 6.0 puts into the same class
-SETTLED = regex.compile("[\x00-՗‐-‧‰-⁞₠-₵぀-ゖ゠-ヿ"
-                        "一-龥가-힣！-ﾾ]*")
+BLOCKS = [(0x00, 0x557), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20B5), (0x3041, 0x3096), (0x30A0, 0x30FF),
+          (0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0xFF01, 0xFF9E)]
+SETTLED = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in BLOCKS) + "]*")
 #: one settled character per class, in no contraction
 STANDS_FOR = {"L": "ª", "N": "²", "O": "§", "S": " "}
 
 
+def class_ranges() -> dict[str, str]:
+    """The settled letters, numbers and white space as ranges of a character class."""
+    out = {"L": [], "N": [], "S": []}
+    for a, b in BLOCKS:
+        text = "".join(map(chr, range(a, b + 1)))
+        for kind, one in (("L", r"\p{L}+"), ("N", r"\p{N}+"), ("S", r"\s+")):
+            out[kind] += [f"{re.escape(m[0])}-{re.escape(m[-1])}" for m in regex.findall(one, text)]
+    return {kind: "".join(parts) for kind, parts in out.items()}
+
+
+def over_classes(pattern: str, ranges: dict[str, str]) -> re.Pattern:
+    """``pattern`` with the class names in its brackets spelled out."""
+    return re.compile(re.sub(r"\[(\^?)([LNS]+)\]",
+                             lambda m: f"[{m[1]}{''.join(ranges[k] for k in m[2])}]", pattern))
+
+
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in the vocabulary file: printable
     Latin-1 characters for themselves, the other bytes from U+0100 on."""
@@ -104,25 +124,34 @@ class Vocabulary:
         self.first = [0] * 256
         for letter, b in byte.items():
             self.first[b] = ids[letter]
-        self.bytes = {i: bytes(byte[c] for c in token) for token, i in ids.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes.update({i: t.encode("utf-8") for t, i in self.special.items()})
+        self.bytes = [b""] * (1 + max([*ids.values(), *self.special.values()]))
+        for token, i in ids.items():
+            self.bytes[i] = bytes(map(byte.__getitem__, token))
+        for token, i in self.special.items():
+            self.bytes[i] = token.encode("utf-8")
         self.far = lookahead(merges)
 
     def ids(self, raw: bytes) -> list[int]:
         """Token ids of one whole pre-token or window."""
-        ids = [self.first[b] for b in raw]
+        ids = list(map(self.first.__getitem__, raw))
         return self._long(ids) if len(ids) > SHORT else self._brief(ids)
 
     def _brief(self, ids: list[int]) -> list[int]:
         get = self.merge.get
-        while len(ids) > 1:
-            found = list(map(get, zip(ids, islice(ids, 1, None)), repeat(NEVER)))
+        found = list(map(get, zip(ids, islice(ids, 1, None)), repeat(NEVER)))
+        while found:
             best = min(found)
             if best == NEVER:
                 break
             at = found.index(best)
-            ids[at:at + 2] = [best & TOKEN]
+            ids[at] = best & TOKEN
+            del ids[at + 1], found[at]
+            # only the pairs beside the new token have changed
+            if at:
+                found[at - 1] = get((ids[at - 1], ids[at]), NEVER)
+            if at < len(found):
+                found[at] = get((ids[at], ids[at + 1]), NEVER)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
@@ -173,28 +202,30 @@ class Classes:
 
 
 class _Memo(dict):
-    """Short pre-token -> its ids as little-endian bytes."""
+    """Short pre-token -> its ids as little-endian bytes. Two generations of at most
+    ``MEMO`` words: when the young one is full it becomes the old one, and words
+    met again move back, so frequent words stay whatever passes by."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.old = vocabulary, {}
 
     def __missing__(self, word: str) -> bytes:
-        raw = word.encode("utf-8")
-        out = pack(self.vocabulary.ids(raw)) if len(raw) <= SHORT else b"".join(self._open(raw))
-        if len(raw) <= SHORT:
-            if len(self) >= MEMO:
-                self.clear()
-            self[word] = out
+        out = self.old.get(word)
+        if out is None:
+            raw = word.encode("utf-8")
+            if len(raw) > SHORT:
+                run = OpenWord(self.vocabulary)
+                return run.feed(raw) + run.close()
+            out = pack(self.vocabulary.ids(raw))
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[word] = out
         return out
 
-    def _open(self, raw: bytes) -> Iterator[bytes]:
-        run = OpenWord(self.vocabulary)
-        yield run.feed(raw)
-        yield run.close()
-
 
-def pack(ids: Iterable[int]) -> bytes:
-    return np.fromiter(ids, "<u4").tobytes()
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class OpenWord:
@@ -231,9 +262,10 @@ class Encoder:
         self.vocabulary = vocabulary
         self.memo = _Memo(vocabulary)
         self.classes = Classes(vocabulary.file)
-        self.words = regex.compile(PATTERN)
-        self.runs = {k: regex.compile(p) for k, p in RUNS.items()}
-        self.marks = regex.compile("|".join(map(regex.escape, vocabulary.special))) if vocabulary.special else None
+        ranges = class_ranges()
+        self.words = over_classes(PATTERN, ranges)
+        self.runs = {k: over_classes(p, ranges) for k, p in RUNS.items()}
+        self.marks = re.compile("|".join(map(re.escape, vocabulary.special))) if vocabulary.special else None
         self.mark_room = max(map(len, vocabulary.special), default=1) - 1
 
     def encode(self, chunks: Iterable[str]) -> Iterator[bytes]:
@@ -326,13 +358,12 @@ class Decoder:
     """Token ids in, text out as soon as its bytes are whole. Bytes that are no
     UTF-8 become U+FFFD, one per longest broken sequence."""
 
-    def __init__(self, table: dict[int, bytes]):
+    def __init__(self, table: list[bytes]):
         self.table = table
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int], last: bool = False) -> str:
-        table = self.table
-        return self.state.decode(b"".join([table[i] for i in ids]), last)
+        return self.state.decode(b"".join(map(self.table.__getitem__, ids)), last)
 
 
 def _digests(vocabulary: str):
