@@ -273,7 +273,8 @@ def _ranked(block: Block, src: DataFrame, sketches: DataFrame, k: int) -> DataFr
     queries = range(len(block.ids))
 
     def rescore(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.groupBy("doc", "th").agg(F.collect_set("q").alias("queries"))
+        # kept, so that its size is known when the join with the texts is planned
+        wanted = keep(pairs.groupBy("doc", "th").agg(F.collect_set("q").alias("queries")))
         same = F.col("d.doc").eqNullSafe(F.col("w.doc")) & (F.col("d.th") == F.col("w.th"))
         both = src.alias("d").join(wanted.alias("w"), same).select("d.doc", "d.text", "w.queries")
         return arrow(both, _scored(block), "q int, doc long, score long")
