@@ -45,7 +45,7 @@ def _bytes(col: Column, kind: T.DataType) -> Column | None:
         inner = kind.elementType
         fixed = 8 * (len(inner.fields) + 2) if isinstance(inner, T.StructType) else 8
         if _bytes(F.lit(None), inner) is None:
-            return F.size(col) * fixed
+            return F.size(col) * (4 if isinstance(inner, T.IntegerType) else fixed)
         return F.aggregate(col, F.lit(0).cast("long"),
                            lambda total, x: total + fixed + F.coalesce(_bytes(x, inner), F.lit(0)))
     return None

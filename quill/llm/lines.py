@@ -35,6 +35,7 @@ WIDTH, SHARE, WHOLE = 7, 80, 100
 BANDS, ROWS = 8, 4
 MIN_CHARS = 20       # default of the functions
 EVERY = 1            # min_chars of the query and the pipeline: all lines but blank ones
+LINE = ["h1", "h2"]   # a line's 128-bit hash
 CHUNK = 1 << 14      # characters signed at once
 POSITIONS = 1 << 16  # universe of the two permutations (a small table stays in cache)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -101,6 +102,11 @@ def signatures(lines: list[str], circ: Circulant, width: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _halves(digests: list[bytes]) -> np.ndarray:
+    """128-bit hashes as two columns of 64 bits: fixed-width keys."""
+    return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T.copy()
+
+
 def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
     def run(batches):
         circ = Circulant(bands * rows, seed, POSITIONS)
@@ -136,23 +142,22 @@ def _signed(width: int, min_chars: int, bands: int, rows: int, seed: int):
                     keys[whole] = band_keys(signatures([x for x in lines if len(x) >= width], circ, width),
                                             bands, rows)
                 without = ~np.array(whole)
-                digest = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
+                digest = _halves([xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()),
+                    [pa.array(digest[0]), pa.array(digest[1]), pa.array(doc, pa.int64()), pa.array(th, pa.int64()),
                      pa.array(no, pa.int32()), pa.array(n, pa.int64()), *[pa.array(keys[:, k], mask=without) for k in range(bands)]],
-                    ["line", "doc", "th", "no", "n", *[f"k{k}" for k in range(bands)]])
+                    ["h1", "h2", "doc", "th", "no", "n", *[f"k{k}" for k in range(bands)]])
     return run
 
 
 def _chosen(batches):
-    """(doc, text, [(id, no), ...]) -> (id, text of that line)."""
+    """(text, ids, line numbers) -> (id, text of that line)."""
     for b in batches:
         ids, texts = [], []
-        for text, wanted in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+        for text, own, nos in zip(*(b.column(k).to_pylist() for k in range(3))):
             lines = text.split("\n")
-            for w in wanted:
-                ids.append(w["id"])
-                texts.append(canonical(lines[w["no"]]))
+            ids += own
+            texts += [canonical(lines[no]) for no in nos]
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())],
                                          ["id", "text"])
 
@@ -169,39 +174,39 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     src = src.filter("id is not null and text is not null")
     ks = [f"k{k}" for k in range(bands)]
     found = arrow(src, _signed(width, min_chars, bands, rows, seed),
-                  "line binary, doc long, th long, no int, n long, " + ", ".join(f"{k} long" for k in ks))
+                  "h1 long, h2 long, doc long, th long, no int, n long, " + ", ".join(f"{k} long" for k in ks))
     # fixed-width columns: the aggregation hashes, it does not sort. Only where an
-    # id has two texts does the smallest id alone not tell the first line
-    two = src.groupBy("id").agg(F.min("th").alias("a"), F.max("th").alias("b")).filter("a <> b")
-    if two.isEmpty():
+    # id has two rows does the smallest id alone not tell the first line
+    if src.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         first = F.struct(F.min("doc").alias("doc"), F.min_by("th", "doc").alias("th"), F.min_by("no", "doc").alias("no"))
     else:
         first = F.min(F.struct("doc", "th", "no"))
-    lines = keep(found.groupBy("line").agg(
+    lines = keep(found.groupBy(*LINE).agg(
         first.alias("first"), F.sum("n").alias("n"), *[F.first(k).alias(k) for k in ks]).select(
-        F.monotonically_increasing_id().alias("id"), "line", "first", "n",
+        F.monotonically_increasing_id().alias("id"), *LINE, "first", "n",
         F.when(F.col("k0").isNotNull(), F.array(*ks)).alias("keys")))
     bucket = buckets(lines.select("id", "keys"))
     wanted = keep(lines.select("id", "first").join(bucket.select("id").distinct(), "id")
                   .groupBy(F.col("first.doc").alias("doc"), F.col("first.th").alias("th"))
-                  .agg(F.collect_list(F.struct("id", F.col("first.no").alias("no"))).alias("wanted")))
-    texts = keep(arrow(src.join(sized(wanted.withColumnRenamed("doc", "id"), 64), ["id", "th"])
-                       .select("id", "text", "wanted"), _chosen, "id long, text string")
+                  .agg(F.collect_list(F.struct("id", F.col("first.no").alias("no"))).alias("wanted"))
+                  .select(F.col("doc").alias("id"), "th", F.col("wanted.id").alias("ids"), F.col("wanted.no").alias("nos")))
+    texts = keep(arrow(src.join(sized(wanted, 72), ["id", "th"])
+                       .select("text", "ids", "nos"), _chosen, "id long, text string")
                  .dropDuplicates(["id"]))
 
     low = clusters(bucket, texts, lambda line: char_shingles(line, width), SHARE, WHOLE,
                    most=len)
     # of each component, the first occurrence stays
     member = low.unionByName(low.select(F.col("low").alias("id"), "low").distinct())
-    member = lines.select("id", "line", "first").join(member, "id")
+    member = lines.select("id", *LINE, "first").join(member, "id")
     stays = keep(member.groupBy("low").agg(F.min("first").alias("stays")))
-    fuzzy = keep(member.join(stays, "low").select("line", "stays"))
-    again = keep(lines.filter("n > 1").select("line", "first")
-                 .join(fuzzy, "line", "left_anti").select("line", F.col("first").alias("stays"))
+    fuzzy = keep(member.join(stays, "low").select(*LINE, "stays"))
+    again = keep(lines.filter("n > 1").select(*LINE, "first")
+                 .join(fuzzy, LINE, "left_anti").select(*LINE, F.col("first").alias("stays"))
                  .unionByName(fuzzy))
     # occurrences come from a second, light pass: the first one carries the keys
-    seen = arrow(src, _hashed(min_chars), "line binary, doc long, th long, no int")
-    return keep(seen.join(sized(again, 64), "line")
+    seen = arrow(src, _hashed(min_chars), "h1 long, h2 long, doc long, th long, no int")
+    return keep(seen.join(sized(again, 64), LINE)
                 .filter((F.col("doc") != F.col("stays.doc")) | (F.col("th") != F.col("stays.th"))
                         | (F.col("no") != F.col("stays.no")))
                 .groupBy("doc", "th").agg(F.collect_set("no").alias("drop")))
@@ -219,12 +224,18 @@ def _hashed(min_chars: int):
                         doc.append(i)
                         th.append(h)
                         no.append(k)
+            digest = _halves(digest)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()),
-                 pa.array(no, pa.int32())], ["line", "doc", "th", "no"])
+                [pa.array(digest[0]), pa.array(digest[1]), pa.array(doc, pa.int64()), pa.array(th, pa.int64()),
+                 pa.array(no, pa.int32())], ["h1", "h2", "doc", "th", "no"])
     return run
 
 
+def _picked(lines, at):
+    """The elements of an array at positions from 0."""
+    return F.transform(at, lambda k: F.get(lines, k))
+
+
 def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All columns of ``docs``, ``text_col`` without its repeated lines, plus
     ``(n_lines, n_cut)``, which replace columns of these names."""
@@ -233,12 +244,14 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     cols = [c for c in docs.columns if c not in ("n_lines", "n_cut")]
     text = F.col(text_col)
     same = (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_th"))
-    out = docs.select(*cols).join(sized(drop, 64), same, "left")
-    lines = F.split(text, "\n", -1)
+    out = docs.select(*cols).join(sized(drop, 48), same, "left")
+    # lines are counted without being split off; only texts that lose some are split
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     cut = F.col("_drop").isNotNull() & (text != "")
-    left = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("_drop", k)), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("_drop"))
+    left = F.array_join(_picked(F.split(text, "\n", -1), stay), "\n")
     return out.select(*[F.when(cut, left).otherwise(text).alias(c) if c == text_col else F.col(c) for c in cols],
-                      F.when(text != "", F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
+                      F.when(text != "", n_lines).otherwise(0).cast("long").alias("n_lines"),
                       F.when(cut, F.size("_drop")).otherwise(0).cast("long").alias("n_cut"))
 
 
