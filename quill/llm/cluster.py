@@ -1,8 +1,8 @@
 """Components of texts that share band keys, with every link verified.
 
 Used where copies are collapsed already, so that all texts differ. No bucket
-is capped, no bucket's pairs are all built, and every link that decides a
-component is confirmed on the full shingle sets of both texts.
+is capped, no pair of items is a row (pairs of blocks are), and every link that
+decides a component is confirmed on the full shingle sets of both texts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from quill.llm.graph import components
 from quill.llm.texts import overlap
 
 Shingle = Callable[[str], np.ndarray]     # text -> sorted distinct hashes
-BLOCK = 128                               # texts per block
+BLOCK = 128                               # texts per block, at most about
+BLOCK_BYTES = 32 << 20                    # their UTF-8 bytes; a longer text is a block of its own or nearly so
 
 
 def buckets(items: DataFrame) -> DataFrame:
@@ -107,10 +108,12 @@ def _blocks(shingle: Shingle, share: int, whole: int):
 def _block_pairs(side: DataFrame, texts: DataFrame, single: bool) -> DataFrame:
     """``side(c, left, id, label)`` -> rows of ``_blocks``: per ``c``, the blocks of
     the left side with those of the right side (``single``: of one side with
-    each other). Items are dealt to blocks by hash."""
-    side = keep(side)
-    parts = keep(side.groupBy("c", "left").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")))
-    block = keep(side.join(sized(parts, 32), ["c", "left"]).join(texts, "id")
+    each other). Items are dealt to blocks by hash, to as many as keep a block
+    at about ``BLOCK`` texts and ``BLOCK_BYTES`` of text."""
+    side = keep(side.join(texts.select("id", F.octet_length("text").cast("long").alias("bytes")), "id"))
+    parts = keep(side.groupBy("c", "left").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("parts")))
+    block = keep(side.drop("bytes").join(sized(parts, 32), ["c", "left"]).join(texts, "id")
                  .groupBy("c", "left", F.pmod(F.xxhash64("id"), "parts").alias("part"))
                  .agg(F.collect_list(F.struct("id", "label", "text")).alias("rows")))
     # the list of block pairs first, so that blocks are joined by their own key
@@ -134,11 +137,11 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
     1. star: every item of a bucket is compared with the bucket's centre;
     2. verified links give components; a bucket inside one component is done;
     3. in other buckets, an item that meets a larger component is compared with
-       all members of it, and single items with those of their bucket. Both
-       sides are cut into blocks of about ``BLOCK`` texts; a task compares two
-       blocks and returns as many links as it takes to connect them. Buckets
-       without any component hold single items: their pairs are compared one
-       by one;
+       all members of it, and single items with those of their bucket, be there
+       a component in it or not. Both sides are cut into blocks of about
+       ``BLOCK`` texts; a task compares two blocks and returns as many links as
+       it takes to connect them, so the rows of a bucket of n items are (n /
+       BLOCK)^2 pairs of blocks and at most n - 1 links, never pairs of items;
     4. components again, over the graph contracted by the first ones.
     """
     ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
@@ -169,23 +172,21 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
     hosts = keep(meets.select(F.col("c").alias("comp")).distinct())
     side = meets.unionByName(comp.join(sized(hosts), "comp").select(
         F.col("comp").alias("c"), F.lit(False).alias("left"), F.col("node").alias("id"), F.col("comp").alias("label")))
-    # single items of a bucket that holds a component too
-    lone = mixed.filter("size = 1").select(F.col("key").alias("c"), F.lit(True).alias("left"), "id", "label")
-    several = keep(lone.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("c"))
+    # single items of a bucket, where the star has not compared them all. Buckets of
+    # the same items (copies agree in several bands) are compared once
+    lone = open_.filter("size = 1").select(F.col("key").alias("c"), F.lit(True).alias("left"), "id", "label", "top")
+    several = (lone.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("top").alias("top"),
+                                     F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"),
+                                     F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x"))
+               .filter("n > 2 or (n > 1 and top > 1)")
+               .groupBy("n", "s", "x").agg(F.min("c").alias("c")).select("c"))
     met = _block_pairs(side, texts, single=False).unionByName(
-        _block_pairs(lone.join(sized(several), "c"), texts, single=True))
+        _block_pairs(lone.drop("top").join(sized(keep(several)), "c"), texts, single=True))
     near = arrow(met, _blocks(shingle, share, whole), "a long, b long")
 
-    # buckets of single items
-    x, y = open_.filter("top = 1").alias("x"), open_.filter("top = 1").alias("y")
-    single = (x.join(y, F.col("x.key") == F.col("y.key")).filter(F.col("x.id") < F.col("y.id"))
-              .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    single = single.join(bucket.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(),
-                         ["a", "b"], "left_anti")       # the star has compared these
-
     la = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
     lb = comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-    joined = (keep(near.unionByName(verify(single)).distinct()).join(la, "a", "left").join(lb, "b", "left")
+    joined = (keep(near.distinct()).join(la, "a", "left").join(lb, "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     merged = keep(components(joined))
     final = merged.select(F.col("node").alias("label"), F.col("comp").alias("top"))

@@ -148,3 +148,34 @@ def test_blocks_connect_what_pairs_connect():
     inside = {i for p in want for i in p} & {i for i, _ in left}
     assert {a for p in got(False, lambda i: i) for a in p} >= {i for i in inside if i not in dict(right)}
     assert len(got(False, lambda i: -1)) <= 1
+
+
+def test_bucket_of_single_items_is_compared_in_blocks(spark, monkeypatch):
+    """A bucket whose centre is like nobody, with pairs that are alike: no pair of
+    items is a row, and none is lost."""
+    from quill.llm import cluster
+
+    r = random.Random(12)
+    passage = sentence(r, 30)
+    texts = [(k, passage + " " + sentence(r, 30)) for k in range(300)]
+    for k in range(0, 40, 2):                  # 20 pairs, spread over blocks
+        a, b = 20 + k, 290 - 5 * k
+        texts[b] = (b, texts[a][1] + " tail")
+    df = spark.createDataFrame(texts, "id long, text string")
+    keys = [(1, k, 0) for k, _ in texts] + [(2, k, 0) for k, _ in texts] + [(3, 10, 10), (3, 11, 10)]
+    bucket = spark.createDataFrame(keys, "key long, id long, centre long")
+    seen = []
+    arrow = cluster.arrow
+    monkeypatch.setattr(cluster, "arrow", lambda rows, fn, schema: seen.append((rows, schema)) or arrow(rows, fn, schema))
+    monkeypatch.setattr(cluster, "BLOCK", 64)
+    low = {x.id: x.low for x in cluster.clusters(bucket, df, word_shingles, 75, 100).collect()}
+    want = {}
+    for k in range(0, 40, 2):
+        a, b = sorted((20 + k, 290 - 5 * k))
+        want[b] = a
+    assert low == want
+    blocks = [rows.count() for rows, schema in seen if schema == "a long, b long"]
+    assert blocks == [15]                      # 5 blocks of one of the two equal buckets: 5 * 6 / 2
+    monkeypatch.setattr(cluster, "BLOCK_BYTES", 4000)
+    again = {x.id: x.low for x in cluster.clusters(bucket, df, word_shingles, 75, 100).collect()}
+    assert again == want
