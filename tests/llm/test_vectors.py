@@ -93,3 +93,14 @@ def test_nasty(spark):
         assert got[i] == (0, i, True)
     assert got[None] == (0, None, True)
     assert embedding_links(df.limit(0)).collect() == []
+
+
+def test_one_id_with_two_vectors(spark):
+    r = np.random.default_rng(8)
+    v0, v1 = r.normal(size=64), r.normal(size=64)
+    rows = [(1, v0), (1, v1), (4, v0 + 0.01 * r.normal(size=64)), (5, v1 + 0.01 * r.normal(size=64)), (9, r.normal(size=64)),
+            (9, v0)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, embedding_links(df).collect()))
+    # v0, its copy under 9 and its neighbour 4; v1 and its neighbour 5; a vector alone
+    assert got == sorted([(1, 2, 1, True), (1, 1, 1, True), (4, 2, 1, False), (5, 1, 1, False), (9, 0, 9, True), (9, 2, 1, False)])
