@@ -1,22 +1,26 @@
 """Quality rules with risk-controlled cutoffs.
 
-Fixed base rules reject short and repetitive texts. On top, each graded rule
+Fixed base rules reject short and repetitive texts. On top, graded rules
 (symbols per word, capital share, exclamation marks per word, repeated lines)
-gets one cutoff per stratum, chosen on labelled documents so that the rule's
-false rejections are limited with an exact guarantee:
+get cutoffs per stratum, chosen on labelled documents so that false rejections
+are limited with an exact guarantee:
 
-* a rule's cutoffs form a fixed ladder from lax to strict; a cutoff is
-  certified if the exact binomial (Clopper-Pearson) upper bound of the
-  rejection rate of good documents is at most ``alpha / rules``;
+* the rules' cutoffs form one joint ladder from lax to strict: rung i rejects
+  what exceeds the i-th cutoff of any rule. A rung is certified if the exact
+  binomial (Clopper-Pearson) upper bound of its rejection rate of good documents
+  is at most ``alpha``;
 * the ladder is tested in order and stops at the first failure
-  (fixed-sequence testing), and the error ``delta`` is split over strata and
-  rules (Bonferroni), so with probability 1 - ``delta`` every stratum loses at
-  most a share ``alpha`` of its good documents to all graded rules together;
-* among the certified cutoffs the one that separates the labels best is
-  used (the laxer of equals); a rule without one rejects nothing there.
-
-Counts per (stratum, rule, step, label) are one partial aggregation; only a
-stratum's own ladder (a few dozen rows) meets in one task.
+  (fixed-sequence testing), and the error ``delta`` is split over the strata
+  (Bonferroni), so with probability 1 - ``delta`` every stratum loses at most a
+  share ``alpha`` of its good documents to all graded rules together. One test
+  of the union needs a quarter of the labels that a test per rule would;
+* strata whose good labels could not certify anything, whatever they say, form
+  one pooled stratum, for which the same holds as a whole;
+* among the certified rungs the one that separates the labels best is used
+  (the laxer of equals); without one, the graded rules reject nothing there.
+
+Counts per (stratum, rung, label) are one partial aggregation; only a stratum's
+own ladder (two rows a rung) meets in one task.
 """
 
 from __future__ import annotations
@@ -172,31 +176,33 @@ def choose_cutoffs(feats: DataFrame, labels: DataFrame, alpha: float = ALPHA, de
     # documents that the base rules reject are not the graded rules' concern
     seen = feats.filter(~F.col("base_failed")).join(marked, "id")
     rules = list(ladders)
-
-    def step(r: str):
-        """Number of the ladder's cutoffs that the value exceeds."""
-        return F.size(F.filter(F.array(*map(F.lit, ladders[r])), lambda c: c < F.col(r)))
-
-    steps = F.array(*[F.struct(F.lit(r).alias("rule"), step(r).alias("step")) for r in rules])
-    counts = keep(seen.select("stratum", "good", F.explode(steps).alias("s"))
-                  .groupBy("stratum", "good", "s.rule", "s.step").agg(F.count(F.lit(1)).alias("n")))
-    strata = counts.filter("good = 1").select("stratum").distinct().count()
-    level, share = delta / max(strata * len(rules), 1), alpha / len(rules)
+    rungs = max(map(len, ladders.values()))
+
+    def first(r: str):
+        """The rule's first rung that rejects the value; ``rungs`` if none does."""
+        at = F.size(F.filter(F.array(*map(F.lit, ladders[r])), lambda c: c >= F.col(r)))
+        return F.when(at < len(ladders[r]), at).otherwise(rungs)
+
+    counts = keep(seen.select("stratum", "good", F.least(*map(first, rules)).alias("rung"))
+                  .groupBy("stratum", "good", "rung").agg(F.count(F.lit(1)).alias("n")))
+    strata = counts.filter("good = 1").groupBy("stratum").agg(F.sum("n").alias("n_good"))
+    level = delta / max(strata.count(), 1)
+    # fewer good labels than this certify nothing even if no rule rejects one
+    need = math.log(level) / math.log1p(-alpha)
+    group = F.when(F.col("n_good") >= need, F.concat(F.lit("="), "stratum")).otherwise(F.lit("pooled"))
+    strata = keep(strata.select("stratum", group.alias("pool")))
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = {"stratum": pdf["stratum"].iloc[0]}
-        for r in rules:
-            ladder = ladders[r]
-            p = pdf[pdf["rule"] == r]
-            # rung i (lax first) rejects what exceeds the len - i smallest cutoffs
-            above = {g: [int(p[(p["good"] == g) & (p["step"] >= len(ladder) - i)]["n"].sum())
-                         for i in range(len(ladder))] for g in (0, 1)}
-            n = {g: int(p[p["good"] == g]["n"].sum()) for g in (0, 1)}
-            row[r] = pick_cutoff(ladder, above[1], n[1], above[0], n[0], share, level)
-        return pd.DataFrame([row], columns=["stratum", *rules]).astype({r: "float64" for r in rules})
-
-    return counts.groupBy("stratum").applyInPandas(
-        choose, "stratum string, " + ", ".join(f"{r} double" for r in rules))
+        above = {g: [int(pdf[(pdf["good"] == g) & (pdf["rung"] <= i)]["n"].sum()) for i in range(rungs)] for g in (0, 1)}
+        n = {g: int(pdf[pdf["good"] == g]["n"].sum()) for g in (0, 1)}
+        i = pick_cutoff(range(rungs), above[1], n[1], above[0], n[0], alpha, level)
+        row = {r: None if i is None else ladders[r][min(i, len(ladders[r]) - 1)] for r in rules}
+        return pd.DataFrame([{"pool": pdf["pool"].iloc[0], **row}], columns=["pool", *rules]).astype(
+            {r: "float64" for r in rules})
+
+    of_pool = counts.join(strata, "stratum").groupBy("pool", "good", "rung").agg(F.sum("n").alias("n"))
+    chosen = of_pool.groupBy("pool").applyInPandas(choose, "pool string, " + ", ".join(f"{r} double" for r in rules))
+    return strata.join(chosen, "pool").select("stratum", *rules)
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
