@@ -7,7 +7,9 @@ URLs without a rule are judged by mined rules:
 1. a URL is a basket of tokens: scheme, top-level domain, the parts of its
    host, path and query keys (numbers as one token);
 2. Spark's FP-growth mines token combinations from the baskets labelled bad; an
-   absolute number of them is enough at every table size. One join over all
+   absolute number of them is enough at every table size. Tokens that the same
+   bad baskets hold are one item (closed sets), so that a long URL that repeats
+   does not breed all sets of its words. One join over all
    labelled baskets counts how often a combination occurs; rules "tokens -> bad"
    are pruned by confidence, a rule that only narrows an at least as confident one goes, and
    so does one that the base rate of bad pages explains (exact binomial bound);
@@ -100,18 +102,27 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = M
     # wider sets need neither a token that is bad wherever it stands (a rule by
     # itself, none is more confident) nor one that every basket holds
     some = keep(token.filter((F.col("hits") < F.col("freq")) & (F.col("freq") < n)).select("token", "freq"))
-    bad = (marked.filter("hits > 0").select(F.monotonically_increasing_id().alias("id"), "items", "hits")
-           .select("id", "hits", F.explode("items").alias("token")).join(some.select("token"), "token")
-           .groupBy("id", "hits").agg(F.collect_list("token").alias("items")))
-    bad = keep(bad.select("items", F.explode(F.sequence(F.lit(1), F.col("hits")))).select("items"))
+    bad = keep(marked.filter("hits > 0").select(F.monotonically_increasing_id().alias("id"), "items", "hits")
+               .select("id", "hits", F.explode("items").alias("token")).join(some.select("token"), "token"))
+    # tokens that the same bad baskets hold are one item to the miner: of their 2^n
+    # sets the whole one, which is the most confident, stands for all
+    alike = keep(bad.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"),
+                                          F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x"), F.sum("hits").alias("hits"))
+                 .groupBy("n", "s", "x").agg(F.sort_array(F.collect_list("token")).alias("group"), F.first("hits").alias("hits"))
+                 .select(F.element_at("group", 1).alias("token"), "group", "hits"))
+    mined = (bad.join(alike.select("token"), "token").groupBy("id", "hits").agg(F.collect_list("token").alias("items")))
+    mined = keep(mined.select("items", F.explode(F.sequence(F.lit(1), F.col("hits")))).select("items"))
     one = token.select(F.array("token").alias("need"), "hits", "freq")
-    sets, left = one, bad.count()
+    sets, left = one, mined.count()
     if left >= rows:
         # FP-growth rounds minSupport * rows up: half a row less is safe
-        model = FPGrowth(itemsCol="items", minSupport=(rows - 0.5) / left).fit(bad)
-        wide = keep(model.freqItemsets.filter("size(items) > 1")
-                    .select(F.monotonically_increasing_id().alias("id"), F.sort_array("items").alias("need"),
-                            F.col("freq").alias("hits")))
+        model = FPGrowth(itemsCol="items", minSupport=(rows - 0.5) / left).fit(mined)
+        found = (model.freqItemsets.select(F.monotonically_increasing_id().alias("id"), "freq", "items")
+                 .select("id", "freq", F.explode("items").alias("token"))
+                 .join(alike.select("token", "group"), "token").groupBy("id", "freq")
+                 .agg(F.sort_array(F.flatten(F.collect_list("group"))).alias("need")))
+        wide = keep(found.filter("size(need) > 1")
+                    .select(F.monotonically_increasing_id().alias("id"), "need", F.col("freq").alias("hits")))
         # in how many labelled baskets a set occurs: looked up by its rarest token
         index = keep(wide.select("id", "need", F.explode("need").alias("token")).join(some, "token")
                      .groupBy("id", "need").agg(F.min(F.struct("freq", "token")).alias("key"))
