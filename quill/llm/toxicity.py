@@ -1,21 +1,26 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Matched clauses are scored, not isolated words. Four transducers rewrite a
-clause's words to symbols, and a small automaton composes them:
+clause's words to symbols, and an automaton composes them:
 
 * insult: weighted arcs for whole words and word stems, learned from labels on
   top of a few fixed words;
-* threat: fixed verbs of violence;
+* threat: fixed verbs of violence, which say nothing without a target;
 * target: second-person forms;
 * negation and reported speech: words that open a scope over what follows.
 
 An arc's weight is the log-ratio of its rates (occurrences per character) in
-toxic and clean documents. The composed automaton leaves a clause with the sum
-of its weights and a context (plain, targeted, negated, reported); what a
-context is worth is learned too, shrunk towards a fixed prior. A document's
-log-odds are the prior, plus its clauses, minus what a toxic text of its length
-would be expected to hold (a Poisson likelihood ratio: one rare stem in a long
-text says little, several in a short one say much). A monotone calibration on
+toxic and clean documents. A match leaves a clause on a path: its class
+(insult, threat), whether the clause has a target, and its scope (free, negated,
+reported). Free insults and free targeted threats give their arcs' weights, a
+target adds to them. On every other path the weights are replaced by the path's
+own log-ratio, which is learned within narrow bounds around nothing: "you are
+not an idiot" is no insult, however telling the word. A document's log-odds are the prior, plus its clauses, minus what
+a toxic text of its length would be expected to hold (a Poisson likelihood
+ratio: one rare stem in a long text says little, several in a short one say
+much); or the same for its strongest run of clauses, less the logarithm of how
+many such runs the text has room for, if that is more: clean text around an
+abusive passage does not drown it. A monotone calibration on
 labelled documents that the lexicon has not seen turns them into a probability.
 
 Everything is learned from at most ``max_labels`` labelled documents (in order
@@ -41,7 +46,6 @@ MAX_LABELS = 16_000
 MIN_DOCS = 4             # toxic documents that a learned arc needs
 MIN_WEIGHT = 2.0         # log-ratio of rates that a learned arc needs
 CHANCE = 0.05            # probability that any learned arc is there by chance
-MAX_ARCS = 20_000        # candidate arcs looked at, the most frequent first
 HELD_OUT, FOLDS = 2, 4
 CALIBRATION_FOLD = 3
 STEM = (3, 12)           # length of learned stems
@@ -59,10 +63,14 @@ REPORTS = frozenset(("said", "says", "called", "wrote", "claimed", "quoted", "sa
                      "dit", "appelle", "écrit", "dijo", "llamó", "escribió"))
 #: occurrences that a fixed word counts as having in toxic and clean texts
 FIXED_COUNTS = {"insult": (1.0, 0.02), "threat": (1.0, 0.15)}
-#: worth of a context against a plain clause, and the documents that prior counts for
-CONTEXTS = {"plain": 1.0, "targeted": 1.1, "negated": 0.7, "reported": 0.7}
+#: log-ratio of a path before any label (what a target adds to a free match; what
+#: replaces the arcs' weights elsewhere), its bounds, and the documents the prior counts for
+PATHS = {"insult/plain/free": (0.0, 0.0, 0.0), "insult/targeted/free": (1.0, 0.5, 2.0),
+         "threat/targeted/free": (1.0, 0.5, 2.0)}
+ELSEWHERE = (0.0, -0.5, 0.5)
 PRIOR_DOCS = 20.0
 SCOPE = 4                # words that a negation covers
+LEAST_RUN = 200          # characters that a run of clauses counts as having at least
 BINS = (-30.0, -8.0, -5.0, -3.0, -2.0, -1.0, 0.0, 1.0, 2.0, 3.0, 5.0, 8.0, 30.0)
 
 _CLAUSE = re.compile(r"[^.!?;\n]+")
@@ -101,30 +109,32 @@ class Grammar:
     def __init__(self, weights: dict[str, float]):
         import ahocorasick
 
-        arcs: dict[str, dict[str, float]] = {}
+        arcs: dict[str, dict[str, tuple]] = {}
         for arc, value in weights.items():
-            arcs.setdefault(arc.rstrip("*"), {})["stem" if arc[-1] == "*" else "word"] = value
+            kind = "threat" if arc in THREATS else "insult"
+            arcs.setdefault(arc.rstrip("*"), {})["stem" if arc[-1] == "*" else "word"] = (value, kind)
         self.auto = ahocorasick.Automaton()
         for stem, found in arcs.items():
             self.auto.add_word(stem, (len(stem), found))
         self.auto.make_automaton()
 
-    def words(self, low: str) -> dict[int, float]:
-        """Position of a word -> largest weight of its arcs."""
-        out: dict[int, float] = {}
+    def words(self, low: str) -> dict[int, tuple[float, str]]:
+        """Position of a word -> largest weight of its arcs, and that arc's class."""
+        out: dict[int, tuple[float, str]] = {}
         n = len(low)
         for last, (size, found) in self.auto.iter(low):
             at = last + 1 - size
             if at and low[at - 1].isalnum():
                 continue
             inside = last + 1 < n and low[last + 1].isalnum()
-            weight = found.get("stem" if inside else "word")
-            if weight is not None and weight > out.get(at, -math.inf):
-                out[at] = weight
+            arc = found.get("stem" if inside else "word")
+            if arc is not None and (at not in out or arc > out[at]):
+                out[at] = arc
         return out
 
-    def clauses(self, text: str | None) -> list[tuple[str, float]]:
-        """``(context, weight)`` of every matched clause."""
+    def clauses(self, text: str | None) -> list[tuple[dict[str, float], int, int]]:
+        """``(paths, start, end)`` of every matched clause; ``paths`` has the sum of
+        the arcs' weights per path."""
         if not text:
             return []
         low = text.lower()
@@ -141,37 +151,31 @@ class Grammar:
             while k < len(hits) and hits[k][0] < c.end():
                 inside[hits[k][0]] = hits[k][1]
                 k += 1
-            out.append(self.compose(low, c.start(), c.end(), inside))
+            out.append((self.compose(low, c.start(), c.end(), inside), c.start(), c.end()))
         return out
 
-    def compose(self, low: str, start: int, end: int, hits: dict[int, float]) -> tuple[str, float]:
-        """Runs the clause's word classes through the automaton."""
+    def compose(self, low: str, start: int, end: int, hits: dict[int, tuple[float, str]]) -> dict[str, float]:
+        """Runs the clause's word classes through the automaton. Its state: whether a
+        report is open, how many words the last negation still covers, and
+        which classes have matched in which scope; the target closes the paths."""
+        matched: dict[tuple[str, str], float] = {}
         targeted = reported = False
-        negation = 0                     # words that the open negation still covers
-        free = covered = 0
+        negation = 0
         for m in _WORD.finditer(low, start, end):
             w = m.group()
             if m.start() in hits:
-                if negation:
-                    covered += 1
-                else:
-                    free += 1
-            if w in TARGETS:
-                targeted = True
-            elif w in REPORTS and not (free or covered):
-                reported = True
+                weight, kind = hits[m.start()]
+                scope = "reported" if reported else "negated" if negation else "free"
+                matched[kind, scope] = matched.get((kind, scope), 0.0) + weight
+            targeted = targeted or w in TARGETS
+            reported = reported or w in REPORTS
             negation = SCOPE if w in NEGATIONS else max(negation - 1, 0)
-        if reported:
-            context = "reported"
-        elif covered and not free:
-            context = "negated"
-        else:
-            context = "targeted" if targeted else "plain"
-        return context, sum(hits.values())
+        target = "targeted" if targeted else "plain"
+        return {f"{kind}/{target}/{scope}": w for (kind, scope), w in matched.items()}
 
 
 class Model:
-    """``weights`` of arcs, ``worth`` of contexts, the log-odds of the prior, the
+    """``weights`` of arcs, ``worth`` of paths, the log-odds of the prior, the
     expected weight per character, and the calibrated level of each bin."""
 
     def __init__(self, weights: dict[str, float], worth: dict[str, float], prior: float, per_char: float,
@@ -179,8 +183,28 @@ class Model:
         self.weights, self.worth, self.levels = weights, worth, levels
         self.prior, self.per_char = prior, per_char
 
-    def log_odds(self, clauses: list[tuple[str, float]], size: int) -> float:
-        return self.prior + sum(self.worth[c] * w for c, w in clauses) - self.per_char * size
+    def value(self, paths: dict[str, float]) -> float:
+        """What a clause says: weights where a path passes them on, else its own."""
+        return sum((w if path in PATHS else 0.0) + self.worth.get(path, 0.0) for path, w in paths.items())
+
+    def log_odds(self, clauses: list[tuple[dict[str, float], int, int]], size: int) -> float:
+        """The larger of the whole text's ratio and its strongest run's."""
+        whole = -self.per_char * size
+        run, begin, best, span, last = 0.0, 0, 0.0, 0, 0
+        for paths, start, end in clauses:
+            v = self.value(paths)
+            whole += v
+            run -= self.per_char * (end - last)
+            own = v - self.per_char * (end - start)
+            if run + v > own:
+                run += v
+            else:
+                run, begin = own, start
+            last = end
+            if run > best:
+                best, span = run, end - begin
+        room = max(size / max(span, LEAST_RUN), 1.0)
+        return self.prior + max(whole, best - math.log(room) if best else -math.inf)
 
     def score(self, z: float) -> float:
         """Calibrated probability: the bin's level, rising inside the bin."""
@@ -216,17 +240,42 @@ def _arcs(wanted: frozenset | None):
     return run
 
 
-def _contexts(weights: dict[str, float]):
-    """Matched documents per context of their first matched clause, and label."""
+def _paths(weights: dict[str, float]):
+    """Paths of each document, with the weight on them, and its label."""
     def run(batches):
         g = Grammar(weights)
         for b in batches:
-            first = [c[0][0] if (c := g.clauses(t)) else None for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(first, pa.string()), b.column(1)],
-                                             ["context", "toxic"])
+            path, weight, toxic = [], [], []
+            for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found: dict[str, float] = {}
+                for paths, _, _ in g.clauses(text):
+                    for p, w in paths.items():
+                        found[p] = found.get(p, 0.0) + w
+                path += found
+                weight += found.values()
+                toxic += [label] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(weight, pa.float64()),
+                                              pa.array(toxic, pa.bool_())], ["path", "weight", "toxic"])
     return run
 
 
+def path_worth(met: dict[tuple[str, bool], int], n_toxic: int, n_clean: int) -> dict[str, float]:
+    """Log-ratio of every path from the documents of each label that have it,
+    against the plain free insult where a path passes weights on."""
+    def ratio(path: str) -> tuple[float, int]:
+        t, c = met.get((path, True), 0), met.get((path, False), 0)
+        return math.log((t + 0.5) / (n_toxic + 1) * (n_clean + 1) / (c + 0.5)), t + c
+
+    base = ratio("insult/plain/free")[0]
+    out = {}
+    for path in {p for p, _ in met} | set(PATHS):
+        prior, low, high = PATHS.get(path, ELSEWHERE)
+        said, n = ratio(path)
+        said -= base if path in PATHS else 0.0
+        out[path] = min(max((said * n + prior * PRIOR_DOCS) / (n + PRIOR_DOCS), low), high)
+    return out
+
+
 def _log_odds(model: Model):
     def run(batches):
         g = Grammar(model.weights)
@@ -310,23 +359,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 .groupBy("arc").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"),
                                     F.min("lo").alias("lo"), F.max("hi").alias("hi")))
 
-    # the sample bounds the arcs; those of toxic documents first
+    # of the bounded sample, every arc of MIN_DOCS toxic documents
     toxic = {r["arc"]: tuple(r)[1:] for r in counts(learn.filter("toxic"), None)
-             .filter(F.col("docs") >= MIN_DOCS).orderBy(F.desc("docs"), "arc").limit(10 * MAX_ARCS).collect()}
+             .filter(F.col("docs") >= MIN_DOCS).collect()}
     clean = {r["arc"]: tuple(r)[1:] for r in counts(
         learn.filter("not toxic"), frozenset((*toxic, *INSULTS, *THREATS))).collect()}
     weights, per_char = choose_arcs(toxic, clean, n[True], n[False], size[True], size[False])
 
-    worth = dict(CONTEXTS)
-    met = {(r["context"], r["toxic"]): r["n"] for r in
-           arrow(learn, _contexts(weights), "context string, toxic boolean").filter("context is not null")
-           .groupBy("context", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = {c: met.get((c, True), 0) + met.get((c, False), 0) for c in CONTEXTS}
-    if total["plain"]:
-        base = (met.get(("plain", True), 0) + 1) / (total["plain"] + 1)
-        worth = {c: (met.get((c, True), 0) / base + w * PRIOR_DOCS) / (total[c] + PRIOR_DOCS)
-                 for c, w in CONTEXTS.items()}
-        worth = {c: min(w / worth["plain"], 1.2) for c, w in worth.items()}
+    seen_on = arrow(learn, _paths(weights), "path string, weight double, toxic boolean").groupBy("path", "toxic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight")).collect()
+    worth = path_worth({(r["path"], r["toxic"]): r["n"] for r in seen_on}, n[True], n[False])
+    # what is expected per character is what free paths pass on
+    all_on = sum(r["weight"] for r in seen_on if r["toxic"])
+    per_char *= sum(r["weight"] for r in seen_on if r["toxic"] and r["path"] in PATHS) / all_on if all_on else 1.0
 
     share = (n[True] + 1) / (n[True] + n[False] + 10)
     model = Model(weights, worth, math.log(share / (1 - share)), per_char)
@@ -360,7 +405,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per input row: ``(doc_id, held_out, score, predicted, n_clauses)``.
 
     Null and empty texts match no clause and get the score of the prior; a
-    null id stays null (held out is null). Repeated rows get equal scores; a
+    null id stays null (held out is null). Very long texts are scored whole, and
+    by their strongest run of clauses. Repeated rows get equal scores; a
     document labelled twice is toxic if one label says so; null labels are
     left out. Without labels the fixed words and priors score alone. Other
     columns are ignored, whatever their names.

@@ -1,9 +1,12 @@
+import math
 import random
+import re
 import zlib
 
 from pyspark.sql import functions as F
 
-from quill.llm.toxicity import Grammar, Model, arcs_of, choose_arcs, fit, fold, monotone, toxicity
+from quill.llm.toxicity import (LEAST_RUN, NEGATIONS, PATHS, REPORTS, SCOPE, TARGETS, THREATS, Grammar, Model, arcs_of,
+                                choose_arcs, fit, fold, monotone, path_worth, toxicity)
 
 from llm_helpers import sentence
 
@@ -52,18 +55,93 @@ def test_held_out_labels_are_not_read(spark):
     assert a == sorted((r["doc_id"], r["score"]) for r in toxicity(other, lab).collect())
 
 
-def test_clause_contexts():
-    g = Grammar({"grobian": 5.0, "zottel*": 4.0})
-    assert [c for c, _ in g.clauses("He is a grobian. You grobian! All fine; she said he is a grobian")] == \
-        ["plain", "targeted", "reported"]
-    assert [c for c, _ in g.clauses("this is not a grobian\nnot this one, the other there is a grobian")] == \
-        ["negated", "plain"]
-    assert g.clauses("a zottel, azottelung, grobiane") == []            # the stem needs a longer word
-    assert g.clauses("Zottelung### and GROBIAN$$$") == [("plain", 9.0)]
-    m = Model({}, {"plain": 1.0, "targeted": 1.1, "negated": 0.5, "reported": 0.5}, -2.0, 0.001)
-    z = {c: m.log_odds([(c, 4.0)], 100) for c in m.worth}
-    assert z["targeted"] > z["plain"] > z["negated"] == z["reported"]
-    assert m.log_odds([("plain", 4.0)], 5000) < m.log_odds([("plain", 4.0)], 50)
+def paths(g, text):
+    return [p for p, _, _ in g.clauses(text)]
+
+
+def test_clause_paths():
+    g = Grammar({"grobian": 5.0, "zottel*": 4.0, "kill": 3.0})
+    assert paths(g, "He is a grobian. You grobian! All fine; she said he is a grobian") == [
+        {"insult/plain/free": 5.0}, {"insult/targeted/free": 5.0}, {"insult/plain/reported": 5.0}]
+    assert paths(g, "this is not a grobian\nnot this one, the other there is a grobian") == [
+        {"insult/plain/negated": 5.0}, {"insult/plain/free": 5.0}]
+    assert paths(g, "a zottel, azottelung, grobiane") == []            # the stem needs a longer word
+    assert paths(g, "Zottelung### and GROBIAN$$$") == [{"insult/plain/free": 9.0}]
+    assert paths(g, "they kill time, grobian. I kill you, not grobian") == [
+        {"threat/plain/free": 3.0, "insult/plain/free": 5.0}, {"threat/targeted/free": 3.0, "insult/targeted/negated": 5.0}]
+    m = Model({}, {"insult/targeted/free": 1.0, "insult/plain/negated": 0.4}, -2.0, 0.001)
+    z = {p: m.log_odds([({p: 4.0}, 0, 50)], 100) for p in (
+        "insult/plain/free", "insult/targeted/free", "insult/plain/negated", "insult/plain/reported", "threat/plain/free")}
+    assert z["insult/targeted/free"] > z["insult/plain/free"] > z["insult/plain/negated"] > z["insult/plain/reported"]
+    assert z["threat/plain/free"] == z["insult/plain/reported"] < -2.0
+    assert m.log_odds([({"insult/plain/free": 4.0}, 0, 50)], 5000) < m.log_odds([({"insult/plain/free": 4.0}, 0, 50)], 50)
+
+
+def test_sentences_as_a_reader_orders_them(spark, sf_small):
+    folder = sf_small.replace("sf0.001", "sf0.01")
+    m = fit(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    g = Grammar(m.weights)
+
+    def score(t):
+        return m.score(m.log_odds(g.clauses(t), len(t)))
+
+    bad = [score(t) for t in ("You are an idiot.", "I will kill you, idiot.")]
+    word = score("idiot")
+    fine = [score(t) for t in ("You are not an idiot.", "He said you are an idiot.", "They kill time.",
+                               "Do not kill him. He wrote that they kill you.")]
+    assert min(bad) >= word > max(fine) and min(bad) >= 0.3 > max(fine)
+    assert m.log_odds(g.clauses("You are an idiot."), 17) > m.log_odds(g.clauses("idiot"), 17)
+    r = random.Random(2)
+    passage = "You are an idiot. You worthless scum. Pathetic loser, you are trash! I will kill you, moron."
+    assert score(passage) >= 0.3
+    for n in (1_000, 10_000, 100_000):
+        clean = ". ".join(sentence(r, 9) for _ in range(n // 60))
+        assert score(passage + " " + clean) >= 0.3 and score(clean + ". " + passage) >= 0.3 and score(clean) < 0.3
+
+
+WORDS = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
+
+
+def plain_log_odds(m, text):
+    """Clause by clause, word by word, every run of clauses tried."""
+    low, found = (text or "").lower(), []
+    for c in re.finditer(r"[^.!?;\n]+", low):
+        ws = [(w.group(), w.start()) for w in WORDS.finditer(c.group())]
+        targeted = any(w in TARGETS for w, _ in ws)
+        on = {}
+        for k, (w, _) in enumerate(ws):
+            arcs = [(v, "threat" if a in THREATS else "insult") for a, v in m.weights.items()
+                    if a == w or (a[-1] == "*" and w.startswith(a[:-1]) and w != a[:-1] and w[len(a) - 1].isalnum())]
+            if not arcs:
+                continue
+            v, kind = max(arcs)
+            last = [j for j in range(k) if ws[j][0] in NEGATIONS]
+            scope = ("reported" if any(x in REPORTS for x, _ in ws[:k])
+                     else "negated" if last and k - last[-1] <= SCOPE else "free")
+            path = f"{kind}/{'targeted' if targeted else 'plain'}/{scope}"
+            on[path] = on.get(path, 0.0) + v
+        if on:
+            found.append((sum((v if p in PATHS else 0.0) + m.worth.get(p, 0.0) for p, v in on.items()), c.start(), c.end()))
+    size = len(text or "")
+    best = max([sum(v for v, _, _ in found) - m.per_char * size] + [
+        s - math.log(max(size / max(span, LEAST_RUN), 1.0)) for s, span in
+        [max(((sum(v for v, _, _ in found[i:j + 1]) - m.per_char * (found[j][2] - found[i][1]), found[j][2] - found[i][1])
+              for i in range(len(found)) for j in range(i, len(found))), default=(0.0, 0), key=lambda x: x[0])] if s > 0])
+    return m.prior + best
+
+
+def test_scores_equal_a_plain_scorer(spark, sf_small):
+    m = Model({"grobian": 5.0, "zottel*": 4.0, "kill": 3.0, "idiot": 6.0}, path_worth(
+        {("insult/plain/free", True): 30, ("insult/plain/free", False): 2, ("insult/plain/negated", False): 9,
+         ("threat/targeted/free", True): 4}, 100, 900), -2.1, 0.004)
+    g = Grammar(m.weights)
+    r = random.Random(5)
+    parts = ["grobian", "zottelig", "zottel", "kill", "idiot", "you", "not", "said", "rain", "the", "stone's", "du"]
+    texts = ["".join(r.choice(parts) + r.choice([" ", " ", " ", ". ", "\n", "; ", "-"]) for _ in range(r.randrange(60)))
+             for _ in range(400)]
+    texts += [t + " rain falls" * 300 for t in texts[:60]] + [None, "", " ", "idiot"]
+    for t in texts:
+        assert abs(m.log_odds(g.clauses(t), len(t or "")) - plain_log_odds(m, t)) < 1e-9, t
 
 
 def test_arcs():
