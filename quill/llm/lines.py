@@ -177,7 +177,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   "h1 long, h2 long, doc long, th long, no int, n long, " + ", ".join(f"{k} long" for k in ks))
     # fixed-width columns: the aggregation hashes, it does not sort. Only where an
     # id has two rows does the smallest id alone not tell the first line
-    if src.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+    if (docs.select(F.col(id_col).cast("long").alias("id")).filter("id is not null")
+            .groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()):
         first = F.struct(F.min("doc").alias("doc"), F.min_by("th", "doc").alias("th"), F.min_by("no", "doc").alias("no"))
     else:
         first = F.min(F.struct("doc", "th", "no"))
@@ -232,8 +233,10 @@ def _hashed(min_chars: int):
 
 
 def _picked(lines, at):
-    """The elements of an array at positions from 0."""
-    return F.transform(at, lambda k: F.get(lines, k))
+    """The lines at these numbers as a text. The array is bound once: an expression
+    inside a function over another array is evaluated for each of its elements."""
+    one = F.transform(F.array(lines), lambda own: F.array_join(F.transform(at, lambda k: F.get(own, k)), "\n"))
+    return F.get(one, F.lit(0))
 
 
 def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -245,11 +248,10 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     text = F.col(text_col)
     same = (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_th"))
     out = docs.select(*cols).join(sized(drop, 48), same, "left")
-    # lines are counted without being split off; only texts that lose some are split
-    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    n_lines = F.size(F.split(text, "\n", -1))
     cut = F.col("_drop").isNotNull() & (text != "")
     stay = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("_drop"))
-    left = F.array_join(_picked(F.split(text, "\n", -1), stay), "\n")
+    left = _picked(F.split(text, "\n", -1), stay)
     return out.select(*[F.when(cut, left).otherwise(text).alias(c) if c == text_col else F.col(c) for c in cols],
                       F.when(text != "", n_lines).otherwise(0).cast("long").alias("n_lines"),
                       F.when(cut, F.size("_drop")).otherwise(0).cast("long").alias("n_cut"))
