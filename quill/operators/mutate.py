@@ -3,6 +3,8 @@
 Each function returns the *new content* of the table; ``TableStore`` commits
 it as the next version. All SET expressions read the old row values, as SQL
 requires (a chain of ``withColumn`` would let a later one see an earlier one).
+A new value is cast to the column's type before the two meet, so that the type
+of an expression never changes the rows that the update does not touch.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ def update_where(df: DataFrame, assignments: dict[str, Column], where: Column) -
     """``UPDATE df SET c1 = e1, ... WHERE where`` (NULL predicate = no update)."""
     hit = F.coalesce(where, F.lit(False))
     return df.select(*[
-        (F.when(hit, assignments[c]).otherwise(F.col(c))
-         .cast(df.schema[c].dataType).alias(c)) if c in assignments else F.col(c)
+        (F.when(hit, assignments[c].cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+        if c in assignments else F.col(c)
         for c in df.columns])
 
 
@@ -32,6 +34,6 @@ def update_from_aggregate(df: DataFrame, key: str, agg: DataFrame, agg_key: str,
     joined = df.join(marked, df[key] == marked[agg_key], "left")
     hit = F.coalesce(F.col("_exists"), F.lit(False))
     return joined.select(*[
-        (F.when(hit, assignments[c]).otherwise(df[c])
-         .cast(df.schema[c].dataType).alias(c)) if c in assignments else df[c]
+        (F.when(hit, assignments[c].cast(df.schema[c].dataType)).otherwise(df[c]).alias(c))
+        if c in assignments else df[c]
         for c in df.columns])

@@ -308,8 +308,8 @@ FROM customer JOIN fees ON c_custkey = o_custkey
 ORACLE["update_by_aggregate"] = f"""
 WITH {_fees_cte()}
 SELECT c_custkey,
-       CAST(CASE WHEN EXISTS (SELECT 1 FROM fees f2 WHERE f2.o_custkey = c_custkey)
-                 THEN {_raised(K.d('c_acctbal'))} ELSE {K.d('c_acctbal')} END AS DECIMAL(18,2)) AS salary
+       CASE WHEN EXISTS (SELECT 1 FROM fees f2 WHERE f2.o_custkey = c_custkey)
+            THEN CAST({_raised(K.d('c_acctbal'))} AS DECIMAL(18,2)) ELSE {K.d('c_acctbal')} END AS salary
 FROM customer LEFT JOIN fees ON c_custkey = o_custkey
 """
 

@@ -251,3 +251,14 @@ def test_band_join_ignores_inverted_bands(spark):
     vals = spark.createDataFrame([(5,)], "v int")
     for limit in (200_000, 0):
         assert [r.tag for r in band_join(vals, F.col("v"), bands, broadcast_rows=limit).collect()] == ["a"]
+
+
+def test_update_keeps_the_type_and_the_rows_it_does_not_touch(spark):
+    """A rounded value must not round the rows beside it."""
+    t = spark.createDataFrame([(1, D("10.47")), (2, D("20.55"))], "k int, s decimal(18,2)")
+    whole = F.round(F.col("s") * 2, 0).cast("decimal(38,0)")
+    got = update_where(t, {"s": whole}, F.col("k") == 1)
+    assert sorted(map(tuple, got.collect())) == [(1, D("21.00")), (2, D("20.55"))] and got.schema["s"] == t.schema["s"]
+    agg = spark.createDataFrame([(1, 5)], "key int, x int")
+    got = update_from_aggregate(t, "k", agg, "key", {"s": whole})
+    assert sorted(map(tuple, got.collect())) == [(1, D("21.00")), (2, D("20.55"))]
