@@ -1,7 +1,7 @@
 """Components of texts that share band keys, with every link verified.
 
 Used where copies are collapsed already, so that all texts differ. No bucket
-is capped, no pair of items is a row (pairs of blocks are), and every link that
+is capped, pairs of items are rows only in buckets of a few, and every link that
 decides a component is confirmed on the full shingle sets of both texts.
 """
 
@@ -20,6 +20,7 @@ from quill.llm.texts import overlap
 
 Shingle = Callable[[str], np.ndarray]     # text -> sorted distinct hashes
 BLOCK = 128                               # texts per block, at most about
+FEW = 16                                  # a bucket of more single items is compared in blocks
 BLOCK_BYTES = 32 << 20                    # their UTF-8 bytes; a longer text is a block of its own or nearly so
 
 
@@ -141,7 +142,8 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
        a component in it or not. Both sides are cut into blocks of about
        ``BLOCK`` texts; a task compares two blocks and returns as many links as
        it takes to connect them, so the rows of a bucket of n items are (n /
-       BLOCK)^2 pairs of blocks and at most n - 1 links, never pairs of items;
+       BLOCK)^2 pairs of blocks and at most n - 1 links. Only of ``FEW`` single
+       items at most, the pairs themselves are rows: no more than FEW / 2 an item;
     4. components again, over the graph contracted by the first ones.
     """
     ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
@@ -175,15 +177,24 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
     # single items of a bucket, where the star has not compared them all. Buckets of
     # the same items (copies agree in several bands) are compared once
     lone = open_.filter("size = 1").select(F.col("key").alias("c"), F.lit(True).alias("left"), "id", "label", "top")
-    several = (lone.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("top").alias("top"),
-                                     F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"),
-                                     F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x"))
-               .filter("n > 2 or (n > 1 and top > 1)")
-               .groupBy("n", "s", "x").agg(F.min("c").alias("c")).select("c"))
+    several = keep(lone.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("top").alias("top"),
+                                         F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"),
+                                         F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x"))
+                   .filter("n > 2 or (n > 1 and top > 1)")
+                   .groupBy("n", "s", "x").agg(F.min("c").alias("c")).select("c", "n"))
+    many = several.filter(F.col("n") > FEW).select("c")
     met = _block_pairs(side, texts, single=False).unionByName(
-        _block_pairs(lone.drop("top").join(sized(keep(several)), "c"), texts, single=True))
+        _block_pairs(lone.drop("top").join(sized(keep(many)), "c"), texts, single=True))
     near = arrow(met, _blocks(shingle, share, whole), "a long, b long")
 
+    # few items: their pairs, at most FEW / 2 rows an item, each pair once over all
+    # buckets, and without what the star has compared
+    few = lone.select("c", "id").join(sized(keep(several.filter(F.col("n") <= FEW).select("c"))), "c")
+    pair = (few.join(few.withColumnRenamed("id", "other"), "c").filter("id < other")
+            .select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
+            .join(bucket.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), ["a", "b"], "left_anti"))
+    near = near.unionByName(verify(pair))
+
     la = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
     lb = comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
     joined = (keep(near.distinct()).join(la, "a", "left").join(lb, "b", "left")
