@@ -27,6 +27,8 @@ from quill.functions._col import as_col
 from quill.session import shared_dir
 
 BITS = 1     # a binary tree: fewest interval rows; more bits: fewer value rows
+BROADCAST_BYTES = 10 << 20   # node rows are broadcast below this (Spark's own default)
+NODE_BYTES = 64              # of a node row, about
 
 
 def _axis(c: Column, kind: T.DataType, scale: int) -> Column:
@@ -85,17 +87,19 @@ def interval_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: st
     the tree gets flatter: a value takes ``1 / bits`` of the rows, an interval up
     to ``2^bits`` times as many.
 
-    The one job that this runs up front takes the axis' range and the longest
-    interval, which bounds the levels that values are dealt to. A key or node
-    that very many rows share is split by AQE's skew join; every column of a
-    node row is a plain value, so both sides shuffle without sorting on bands.
+    The one job that this runs up front takes the axis' range, the longest
+    interval, which bounds the levels that values are dealt to, and the number
+    of intervals: their node rows are broadcast only if that many fit, since a
+    planner sees the intervals before they become nodes. Otherwise both sides
+    shuffle, and a key or node that very many rows share is split by AQE's skew
+    join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     on, value = list(on or []), as_col(value)
     kinds = {c: bands.schema[c].dataType for c in (lo, hi)}
     a, b = _axis(F.col(lo), kinds[lo], scale), _axis(F.col(hi), kinds[hi], scale)
-    st = bands.agg(F.min(F.least(a, b)).alias("mn"), F.max(F.greatest(a, b)).alias("mx"), F.max(b - a).alias("far"),
+    st = bands.agg(F.count(F.lit(1)).alias("n"), F.min(F.least(a, b)).alias("mn"), F.max(F.greatest(a, b)).alias("mx"), F.max(b - a).alias("far"),
                    F.bool_or(F.col(lo).isNull() | F.col(hi).isNull()).alias("open")).first()
     mn, mx = (st["mn"], st["mx"]) if st["mn"] is not None else (0, 0)
     # one place beyond either end stands for all values there
@@ -113,6 +117,8 @@ def interval_join(df: DataFrame, value, bands: DataFrame, lo: str = "lo", hi: st
     right = (bands.filter(F.coalesce(F.col(lo) <= F.col(hi), F.lit(True)))
              .withColumn("_node", F.explode(interval_nodes(start, end, levels, bits))))
     held = ((F.col(lo).isNull() | (F.col("_value") >= F.col(lo))) & (F.col(hi).isNull() | (F.col("_value") <= F.col(hi))))
+    most = st["n"] * min(2 * ((1 << bits) - 1) * levels + 1, far) * NODE_BYTES
+    right = F.broadcast(right) if most <= BROADCAST_BYTES else right.hint("merge")
     met = left.join(right, [*on, "_node"]).filter(held).drop("_node")
     if how == "left":
         # rows of one key and value meet the same intervals

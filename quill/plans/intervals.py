@@ -27,7 +27,7 @@ def interval_join_status(ctx: Ctx, bits: int = 2) -> DataFrame:
     customer had on the shipping day."""
     o = ctx.t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = (ctx.t.lineitem.select("l_orderkey", "l_linenumber", to_day("l_shipdate").alias("ship_day"))
-             .join(o, "l_orderkey"))
+             .join(o.hint("merge"), "l_orderkey"))      # orders grow with their lines
     periods = status_periods(ctx).select("o_custkey", "valid_from", "valid_to",
                                          F.col("o_orderkey").alias("status_order"),
                                          F.col("o_orderstatus").alias("status"))

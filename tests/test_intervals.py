@@ -86,6 +86,16 @@ def test_wide_bands_do_not_blow_up(spark):
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_node_rows_are_broadcast_by_their_own_number(spark):
+    """A planner sees 20,000 small intervals; the join gets up to 41 nodes of each."""
+    vals = spark.range(0, 1_000_000, 50_000).select(F.col("id").alias("v"))
+    for n, kind in ((20, "BroadcastHashJoin"), (20_000, "SortMergeJoin")):
+        bands = spark.range(n).select((F.col("id") * 7).alias("lo"), (F.col("id") * 7 + 1_000_000).alias("hi"))
+        got = interval_join(vals, F.col("v"), bands)
+        assert kind in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == sum(min(v // 7 + 1, n) for v in range(0, 1_000_000, 50_000))
+
+
 def _audit(bands, step):
     out, groups = [], {}
     for k, lo, hi in bands:
