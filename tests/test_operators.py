@@ -151,6 +151,23 @@ def test_update_from_aggregate_null_sum_takes_else(spark):
     assert out.count() == staff.count()
 
 
+def test_keys_in_sequence_are_dealt_over_tasks(spark):
+    """Sequential keys compress to a few bits: their bytes must not put them all into one task."""
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 400_000, 1, 2).union(spark.range(0, 400_000, 1, 2))
+        got = duplicate_keys(df, "t", ["id"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in got) == 400_000
+    assert max(r["count"] for r in got) <= 1.2 * (1 << 20) / 8 / 2, got      # each key is two rows of the shuffle
+
+
 def test_audits_find_planted_violations(spark):
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
     child = spark.createDataFrame([(1, 1, "A"), (1, 9, "B"), (2, None, "Z"), (None, 9, None)],
