@@ -60,7 +60,7 @@ def _blocks(shingle: Shingle, share: int, whole: int):
     """Rows ``(single, left, right)`` of two blocks of ``(id, label, text)`` -> links
     that connect them, never all of them. The right block belongs to one
     component: one link per label on the left is enough. Or (``single``) both
-    hold items that are their own label: a spanning forest.
+    hold items of any labels: a spanning forest of the labels.
 
     One inverted index per right block counts the overlaps of a text with all of
     it at once."""
@@ -68,7 +68,7 @@ def _blocks(shingle: Shingle, share: int, whole: int):
         for batch in batches:
             found: tuple[list, list] = ([], [])
             for row in batch.to_pylist():
-                ids = [x["id"] for x in row["right"]]
+                ids, labels = [x["id"] for x in row["right"]], [x["label"] for x in row["right"]]
                 sets = [shingle(x["text"]) for x in row["right"]]
                 size = np.array([len(s) for s in sets])
                 owner = np.repeat(np.arange(len(sets)), size)
@@ -85,6 +85,8 @@ def _blocks(shingle: Shingle, share: int, whole: int):
                 for x in row["left"]:
                     if not row["single"] and x["label"] in root:
                         continue                 # its component is connected already
+                    if row["single"] and {top(y) for y in labels} == {top(x["label"])}:
+                        continue                 # with all of the block
                     s = shingle(x["text"])
                     lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
                     n = hi - lo
@@ -94,7 +96,7 @@ def _blocks(shingle: Shingle, share: int, whole: int):
                     for k in hits if row["single"] else hits[:1]:
                         y = ids[k]
                         if row["single"]:
-                            u, v = top(x["id"]), top(y)
+                            u, v = top(x["label"]), top(labels[k])
                             if u == v:
                                 continue
                             root[u] = v
@@ -137,13 +139,14 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
 
     1. star: every item of a bucket is compared with the bucket's centre;
     2. verified links give components; a bucket inside one component is done;
-    3. in other buckets, an item that meets a larger component is compared with
-       all members of it, and single items with those of their bucket, be there
-       a component in it or not. Both sides are cut into blocks of about
-       ``BLOCK`` texts; a task compares two blocks and returns as many links as
-       it takes to connect them, so the rows of a bucket of n items are (n /
-       BLOCK)^2 pairs of blocks and at most n - 1 links. Only of ``FEW`` single
-       items at most, the pairs themselves are rows: no more than FEW / 2 an item;
+    3. in other buckets, the items outside the largest component are compared
+       with all members of it and, where their components differ, with each
+       other. So an item is one row a bucket, however many components meet in
+       it. Both sides are cut into blocks of about ``BLOCK`` texts; a task
+       compares two blocks and returns as many links as it takes to connect
+       them, so the rows of a bucket of n items are (n / BLOCK)^2 pairs of
+       blocks and at most n - 1 links. Only of ``FEW`` items at most, the pairs
+       themselves are rows: no more than FEW / 2 an item;
     4. components again, over the graph contracted by the first ones.
     """
     ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
@@ -163,24 +166,26 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
     at = (bucket.join(label, "id", "left")
           .select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size")))
     split = keep(at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"),
-                                       F.max("size").alias("top")).filter("l0 < l1").select("key", "top"))
-    open_ = keep(at.join(sized(split), "key").select("key", "id", "label", "size", "top"))
-
-    # items that meet a larger component
-    mixed = open_.filter("top > 1")
-    big = mixed.filter("size > 1").select("key", F.col("label").alias("c"), F.col("size").alias("cs")).distinct()
-    meets = keep(mixed.join(big, "key").filter("(size < cs) or (size = cs and label < c)")
-                 .select("c", F.lit(True).alias("left"), "id", "label").distinct())
+                                       F.max(F.struct("size", "label")).alias("top"))
+                 .filter("l0 < l1").select("key", F.col("top.size").alias("top"), F.col("top.label").alias("host")))
+    open_ = keep(at.join(sized(split, 32), "key").select("key", "id", "label", "top", "host"))
+
+    # items beside the largest component of their bucket
+    meets = keep(open_.filter("top > 1 and label <> host")
+                 .select(F.col("host").alias("c"), F.lit(True).alias("left"), "id", "label").distinct())
     hosts = keep(meets.select(F.col("c").alias("comp")).distinct())
     side = meets.unionByName(comp.join(sized(hosts), "comp").select(
         F.col("comp").alias("c"), F.lit(False).alias("left"), F.col("node").alias("id"), F.col("comp").alias("label")))
-    # single items of a bucket, where the star has not compared them all. Buckets of
-    # the same items (copies agree in several bands) are compared once
-    lone = open_.filter("size = 1").select(F.col("key").alias("c"), F.lit(True).alias("left"), "id", "label", "top")
+    # these items with each other, and those of buckets without a component, where the
+    # star has not compared them all. Buckets of the same items (copies agree in
+    # several bands) are compared once
+    lone = (open_.filter("top = 1 or label <> host")
+            .select(F.col("key").alias("c"), F.lit(True).alias("left"), "id", "label", "top"))
     several = keep(lone.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.max("top").alias("top"),
+                                         F.min("label").alias("l0"), F.max("label").alias("l1"),
                                          F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"),
                                          F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x"))
-                   .filter("n > 2 or (n > 1 and top > 1)")
+                   .filter("l0 < l1 and (n > 2 or top > 1)")
                    .groupBy("n", "s", "x").agg(F.min("c").alias("c")).select("c", "n"))
     many = several.filter(F.col("n") > FEW).select("c")
     met = _block_pairs(side, texts, single=False).unionByName(
@@ -189,8 +194,9 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
 
     # few items: their pairs, at most FEW / 2 rows an item, each pair once over all
     # buckets, and without what the star has compared
-    few = lone.select("c", "id").join(sized(keep(several.filter(F.col("n") <= FEW).select("c"))), "c")
-    pair = (few.join(few.withColumnRenamed("id", "other"), "c").filter("id < other")
+    few = lone.select("c", "id", "label").join(sized(keep(several.filter(F.col("n") <= FEW).select("c"))), "c")
+    other = few.select("c", F.col("id").alias("other"), F.col("label").alias("its"))
+    pair = (few.join(other, "c").filter("id < other and label <> its")
             .select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
             .join(bucket.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), ["a", "b"], "left_anti"))
     near = near.unionByName(verify(pair))

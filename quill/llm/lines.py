@@ -37,6 +37,7 @@ MIN_CHARS = 20       # default of the functions
 EVERY = 1            # min_chars of the query and the pipeline: all lines but blank ones
 LINE = ["h1", "h2"]   # a line's 128-bit hash
 CHUNK = 1 << 14      # characters signed at once
+STEP = 8             # rows whose minima are taken together, a power of two
 POSITIONS = 1 << 16  # universe of the two permutations (a small table stays in cache)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE32, _MIX32 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
@@ -97,11 +98,33 @@ def signatures(lines: list[str], circ: Circulant, width: int) -> np.ndarray:
         for k in range(1, width):
             inside[ends - k] = False
         spots = circ.sigma[_spots(codes, width)[inside[:len(codes) - width + 1]]]
-        starts = np.cumsum([0] + [len(x) - width + 1 for x in part[:-1]])
-        out.append(np.minimum.reduceat(circ.shifts[spots], starts, axis=0))
+        out.append(_least(circ.shifts[spots], np.array([len(x) - width + 1 for x in part])))
     return np.concatenate(out)
 
 
+def _least(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Column minima of consecutive groups of ``size`` rows. Large groups by the
+    minima of each ``STEP`` rows in sequence: few long passes, not one a row."""
+    start = np.cumsum(size) - size
+    out = np.empty((len(size), rows.shape[1]), rows.dtype)
+    for large in (False, True):
+        which = np.nonzero((size >= STEP) == large)[0]
+        if not len(which):
+            continue
+        step = STEP if large else 1
+        n = -(-size[which] // step)
+        own, first = np.repeat(which, n), np.cumsum(n) - n
+        at = start[own] + (np.arange(len(own)) - np.repeat(first, n)) * step
+        if large:
+            at = np.minimum(at, start[own] + size[own] - STEP)
+            k = 1
+            while k < STEP:
+                rows = np.minimum(rows[:-k], rows[k:])
+                k *= 2
+        out[which] = np.minimum.reduceat(rows[at], first, axis=0)
+    return out
+
+
 def _halves(digests: list[bytes]) -> np.ndarray:
     """128-bit hashes as two columns of 64 bits: fixed-width keys."""
     return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T.copy()
@@ -177,8 +200,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   "h1 long, h2 long, doc long, th long, no int, n long, " + ", ".join(f"{k} long" for k in ks))
     # fixed-width columns: the aggregation hashes, it does not sort. Only where an
     # id has two rows does the smallest id alone not tell the first line
-    if (docs.select(F.col(id_col).cast("long").alias("id")).filter("id is not null")
-            .groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()):
+    once = (docs.select(F.col(id_col).cast("long").alias("id")).filter("id is not null")
+            .groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty())
+    if once:
         first = F.struct(F.min("doc").alias("doc"), F.min_by("th", "doc").alias("th"), F.min_by("no", "doc").alias("no"))
     else:
         first = F.min(F.struct("doc", "th", "no"))
@@ -187,19 +211,19 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.monotonically_increasing_id().alias("id"), *LINE, "first", "n",
         F.when(F.col("k0").isNotNull(), F.array(*ks)).alias("keys")))
     bucket = buckets(lines.select("id", "keys"))
-    wanted = keep(lines.select("id", "first").join(bucket.select("id").distinct(), "id")
-                  .groupBy(F.col("first.doc").alias("doc"), F.col("first.th").alias("th"))
+    # all that is asked of the lines in buckets, found once
+    items = keep(lines.select("id", *LINE, "first").join(bucket.select("id").distinct(), "id"))
+    wanted = keep(items.groupBy(F.col("first.doc").alias("doc"), F.col("first.th").alias("th"))
                   .agg(F.collect_list(F.struct("id", F.col("first.no").alias("no"))).alias("wanted"))
                   .select(F.col("doc").alias("id"), "th", F.col("wanted.id").alias("ids"), F.col("wanted.no").alias("nos")))
-    texts = keep(arrow(src.join(sized(wanted, 72), ["id", "th"])
-                       .select("text", "ids", "nos"), _chosen, "id long, text string")
-                 .dropDuplicates(["id"]))
+    texts = arrow(src.join(sized(wanted, 72), ["id", "th"]).select("text", "ids", "nos"), _chosen, "id long, text string")
+    texts = keep(texts if once else texts.dropDuplicates(["id"]))
 
     low = clusters(bucket, texts, lambda line: char_shingles(line, width), SHARE, WHOLE,
                    most=len)
     # of each component, the first occurrence stays
     member = low.unionByName(low.select(F.col("low").alias("id"), "low").distinct())
-    member = lines.select("id", *LINE, "first").join(member, "id")
+    member = items.join(member, "id")
     stays = keep(member.groupBy("low").agg(F.min("first").alias("stays")))
     fuzzy = keep(member.join(stays, "low").select(*LINE, "stays"))
     again = keep(lines.filter("n > 1").select(*LINE, "first")

@@ -179,3 +179,34 @@ def test_bucket_of_single_items_is_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(cluster, "BLOCK_BYTES", 4000)
     again = {x.id: x.low for x in cluster.clusters(bucket, df, word_shingles, 75, 100).collect()}
     assert again == want
+
+
+def test_bucket_of_many_components(spark, monkeypatch):
+    """Forty components and a larger one meet in one bucket: no join pairs them row
+    by row, and a link between any two of them is found."""
+    from quill.llm import cluster
+
+    r = random.Random(17)
+    texts, keys = [], []
+    for c in range(40):
+        base = sentence(r, 60)
+        own = list(range(3 * c, 3 * c + (3 if c == 20 else 2)))
+        texts += [(i, f"{base} {i}") for i in own]
+        keys += [(100 + c, i, own[0]) for i in own]
+    body = dict(texts)
+    for a, b in ((3, 70), (30, 62), (45, 6)):       # links across components, one to the large one
+        w = body[a].split()
+        body[b], body[b + (1 if b % 3 == 0 else -1)] = " ".join(w[:-4] + ["far", str(b)]), body[b + (1 if b % 3 == 0 else -1)]
+    keys += [(1, i, 0) for i in body]
+    df = spark.createDataFrame(list(body.items()), "id long, text string")
+    bucket = spark.createDataFrame(keys, "key long, id long, centre long")
+    kept = []
+    keep = cluster.keep
+    monkeypatch.setattr(cluster, "keep", lambda rows, **o: kept.append(keep(rows, **o)) or kept[-1])
+    low = {x.id: x.low for x in cluster.clusters(bucket, df, word_shingles, 75, 100).collect()}
+    edges = spark.createDataFrame(
+        [(a, b) for (a, s), (b, t) in itertools.combinations(sorted(body.items()), 2)
+         for x, y in [(word_shingles(s), word_shingles(t))]
+         if 100 * overlap(x, y) >= 75 * (len(x) + len(y) - overlap(x, y))], "a long, b long")
+    assert low == {x.node: x.comp for x in components(edges).collect() if x.node != x.comp}
+    assert max(k.count() for k in kept) <= len(keys)
