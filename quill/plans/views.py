@@ -197,12 +197,12 @@ def define_status_views(ctx: Ctx, valid_days: int = 730) -> Database:
     db = Database.over(ctx.spark, ctx.root)
     db.define_tables(ctx.t, ["orders", "customer"])
     db.define_view("order_days", "SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate, "
-                                 "to_date(o_orderdate) AS order_day FROM orders")
+                                 f"to_date(o_orderdate) AS order_day FROM {db.name}.orders")   # not a temporary view
     db.define_function(
         "status_at", {"run_date": "DATE"},
         "o_custkey BIGINT, o_orderkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ",
         f"""SELECT o_custkey, last.o_orderkey, last.o_orderstatus, last.o_orderdate
-            FROM (SELECT o_custkey, max(struct(o_orderdate, o_orderkey, o_orderstatus)) AS last FROM order_days
+            FROM (SELECT o_custkey, max(struct(o_orderdate, o_orderkey, o_orderstatus)) AS last FROM {db.name}.order_days
                   WHERE o_orderstatus = 'O' OR o_orderdate IS NULL
                      OR o_orderdate >= CAST(date_sub(run_date, {valid_days - 1}) AS TIMESTAMP_NTZ)
                   GROUP BY o_custkey)""")
