@@ -19,8 +19,11 @@ from quill.llm.graph import components
 from quill.llm.texts import overlap
 
 Shingle = Callable[[str], np.ndarray]     # text -> sorted distinct hashes
+# texts -> their hashes one after the other, in any order and with repeats, and how many each has
+Shingles = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 BLOCK = 128                               # texts per block, at most about
 FEW = 16                                  # a bucket of more single items is compared in blocks
+AT_ONCE = 1 << 17                         # characters of pairs compared at once
 BLOCK_BYTES = 32 << 20                    # their UTF-8 bytes; a longer text is a block of its own or nearly so
 
 
@@ -56,6 +59,74 @@ def _pairs(shingle: Shingle, share: int, whole: int, most: Callable[[str], int]
     return run
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _linked(shingles: Shingles, share: int, whole: int, most: Callable[[str], int] | None,
+            left: list[str], own: np.ndarray, right: list[str]) -> np.ndarray:
+    """Whether ``left[own[p]]`` and ``right[p]`` are linked, for all pairs p. The
+    sets of all are sorted together: a pair's or text's number takes the upper
+    bits of a key, as many bits as that needs, and a hash's upper bits the rest."""
+    top = np.uint64(len(right).bit_length())
+    bits = np.uint64(64) - top
+
+    def sets(texts: list[str]):
+        h, size = shingles(texts)
+        key = np.repeat(np.arange(len(texts), dtype=np.uint64) << bits, size) | (h >> top)
+        key.sort()
+        key = key[np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]])]
+        return key & ((np.uint64(1) << bits) - np.uint64(1)), np.bincount((key >> bits).astype(np.int64), minlength=len(texts))
+
+    ha, na = sets(left)
+    link = np.zeros(len(right), bool)
+    # no link if a set is too small for the other one: such pairs go no further
+    p = np.arange(len(right))
+    if most:
+        p = p[np.array([most(x) for x in right]) * whole >= na[own] * share]
+    if not len(p):
+        return link
+    hb, nb = sets([right[k] for k in p])
+    at, na = (np.cumsum(na) - na)[own[p]], na[own[p]]
+    fit = np.minimum(na, nb) * whole >= np.maximum(na, nb) * share
+    p, at, na, bt, nb = p[fit], at[fit], na[fit], (np.cumsum(nb) - nb)[fit], nb[fit]
+    number = np.arange(len(p), dtype=np.uint64) << bits
+    key = np.concatenate([np.repeat(number, na) | ha[_ranges(at, na)], np.repeat(number, nb) | hb[_ranges(bt, nb)]])
+    key.sort()
+    both = np.bincount((key[1:][key[1:] == key[:-1]] >> bits).astype(np.int64), minlength=len(p))
+    link[p] = both * whole >= (na + nb - both) * share
+    return link
+
+
+def _many_pairs(shingles: Shingles, share: int, whole: int, most: Callable[[str], int] | None):
+    """``_pairs`` with about ``AT_ONCE`` characters of either side's texts compared
+    at a time. Equal neighbours in ``a`` share their set."""
+    def run(batches):
+        for b in batches:
+            links, left, own, right = [np.zeros(0, bool)], [], [], []
+            of_left = of_right = 0
+            last = None
+            for a, ta, tb in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                new = a != last
+                if right and (of_right + len(tb) > AT_ONCE or new and of_left + len(ta) > AT_ONCE):
+                    links.append(_linked(shingles, share, whole, most, left, np.array(own), right))
+                    left, own, right = [], [], []
+                    of_left = of_right = 0
+                if new or not left:
+                    left.append(ta)
+                    of_left += len(ta)
+                    last = a
+                own.append(len(left) - 1)
+                right.append(tb)
+                of_right += len(tb)
+            if right:
+                links.append(_linked(shingles, share, whole, most, left, np.array(own), right))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.concatenate(links))],
+                                             ["a", "b", "link"])
+    return run
+
+
 def _blocks(shingle: Shingle, share: int, whole: int):
     """Rows ``(single, left, right)`` of two blocks of ``(id, label, text)`` -> links
     that connect them, never all of them. The right block belongs to one
@@ -133,7 +204,7 @@ def _block_pairs(side: DataFrame, texts: DataFrame, single: bool) -> DataFrame:
 
 
 def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int, whole: int,
-             most: Callable[[str], int] | None = None) -> DataFrame:
+             most: Callable[[str], int] | None = None, shingles: Shingles | None = None) -> DataFrame:
     """``(id, low)``: the smallest id reachable over links with ``whole *
     intersection >= share * union``, for items where that is another id.
 
@@ -148,13 +219,17 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
        blocks and at most n - 1 links. Only of ``FEW`` items at most, the pairs
        themselves are rows: no more than FEW / 2 an item;
     4. components again, over the graph contracted by the first ones.
+
+    ``most`` bounds a text's set size. ``shingles`` is ``shingle`` for many texts:
+    pairs of short texts are then compared together.
     """
     ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-        return (arrow(both, _pairs(shingle, share, whole, most), "a long, b long, link boolean")
+        compare = _many_pairs(shingles, share, whole, most) if shingles else _pairs(shingle, share, whole, most)
+        return (arrow(both, compare, "a long, b long, link boolean")
                 .filter("link").select("a", "b"))
 
     star = verify(bucket.filter("id <> centre")

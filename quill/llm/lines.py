@@ -37,7 +37,7 @@ MIN_CHARS = 20       # default of the functions
 EVERY = 1            # min_chars of the query and the pipeline: all lines but blank ones
 LINE = ["h1", "h2"]   # a line's 128-bit hash
 CHUNK = 1 << 14      # characters signed at once
-STEP = 8             # rows whose minima are taken together, a power of two
+STEP = 16            # rows whose minima are taken together
 POSITIONS = 1 << 16  # universe of the two permutations (a small table stays in cache)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE32, _MIX32 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
@@ -62,6 +62,19 @@ def char_shingles(line: str, width: int = WIDTH) -> np.ndarray:
     return np.unique(windows(codes, width)) if len(codes) else np.zeros(0, np.uint64)
 
 
+def all_shingles(lines: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of canonical lines, with repeats, and how many each line has."""
+    size = np.array([len(x) for x in lines])
+    if size.min() < width:       # not of lines that have a signature
+        own = [char_shingles(x, width) for x in lines]
+        return np.concatenate(own), np.array([len(x) for x in own])
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.ones(len(codes), bool)       # windows that cross no line's end
+    for k in range(1, width):
+        inside[np.cumsum(size) - k] = False
+    return windows(codes, width)[inside[:len(codes) - width + 1]], size - width + 1
+
+
 def _spots(codes: np.ndarray, width: int) -> np.ndarray:
     """Positions (below ``POSITIONS``) of all ``width``-character windows: a light
     32-bit hash, since band keys only propose lines to compare."""
@@ -78,51 +91,39 @@ def _spots(codes: np.ndarray, width: int) -> np.ndarray:
 def signatures(lines: list[str], circ: Circulant, width: int) -> np.ndarray:
     """Signatures of canonical lines, each at least ``width`` long: one pass over
     their joined characters, windows that cross a line's end left out."""
+    size = np.array([len(x) for x in lines])
+    end = np.cumsum(size)
     out = []
     i = 0
     while i < len(lines):
-        j, size = i, 0
-        while j < len(lines) and (j == i or size + len(lines[j]) <= CHUNK):
-            size += len(lines[j])
-            j += 1
-        part = lines[i:j]
+        j = max(i + 1, int(np.searchsorted(end, end[i] - size[i] + CHUNK, "right")))
+        codes = np.frombuffer("".join(lines[i:j]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        spots = _spots(codes, width)
+        if j - i == 1:           # a long line: in pieces
+            got = [_least(circ.rows, spots[k:k + CHUNK], np.zeros(1, np.int64), np.array([len(spots[k:k + CHUNK])]))
+                   for k in range(0, len(spots), CHUNK)]
+            out.append(np.min(got, axis=0))
+        else:
+            out.append(_least(circ.rows, spots, end[i:j] - size[i:j] - end[i] + size[i], size[i:j] - width + 1))
         i = j
-        codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
-        if len(part) == 1:       # a long line: in pieces
-            spots = circ.sigma[_spots(codes, width)]
-            got = [circ.shifts[spots[k:k + CHUNK]].min(axis=0) for k in range(0, len(spots), CHUNK)]
-            out.append(np.min(got, axis=0)[None, :])
-            continue
-        ends = np.cumsum([len(x) for x in part])
-        inside = np.ones(len(codes), bool)
-        for k in range(1, width):
-            inside[ends - k] = False
-        spots = circ.sigma[_spots(codes, width)[inside[:len(codes) - width + 1]]]
-        out.append(_least(circ.shifts[spots], np.array([len(x) - width + 1 for x in part])))
     return np.concatenate(out)
 
 
-def _least(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Column minima of consecutive groups of ``size`` rows. Large groups by the
-    minima of each ``STEP`` rows in sequence: few long passes, not one a row."""
-    start = np.cumsum(size) - size
-    out = np.empty((len(size), rows.shape[1]), rows.dtype)
-    for large in (False, True):
-        which = np.nonzero((size >= STEP) == large)[0]
-        if not len(which):
-            continue
-        step = STEP if large else 1
-        n = -(-size[which] // step)
-        own, first = np.repeat(which, n), np.cumsum(n) - n
-        at = start[own] + (np.arange(len(own)) - np.repeat(first, n)) * step
-        if large:
-            at = np.minimum(at, start[own] + size[own] - STEP)
-            k = 1
-            while k < STEP:
-                rows = np.minimum(rows[:-k], rows[k:])
-                k *= 2
-        out[which] = np.minimum.reduceat(rows[at], first, axis=0)
-    return out
+def _least(rows: np.ndarray, spots: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Column minima of the ``rows`` at ``size`` consecutive ``spots`` from each
+    ``start``: ``STEP`` spots of a line at once, its last ones repeated to fill up
+    (few long passes, not one a row)."""
+    n = -(-size // STEP)
+    first = np.cumsum(n) - n
+    at = np.repeat(start - first * STEP, n) + np.arange(n.sum()) * STEP
+    last = np.repeat(start + size - 1, n)
+    out = rows.take(spots[at], axis=0)
+    more = np.empty_like(out)
+    for k in range(1, STEP):
+        # "clip" never applies: it spares take() a copy of ``out``
+        rows.take(spots[np.minimum(at + k, last)], axis=0, out=more, mode="clip")
+        np.minimum(out, more, out=out)
+    return np.minimum.reduceat(out, first, axis=0)
 
 
 def _halves(digests: list[bytes]) -> np.ndarray:
@@ -220,7 +221,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = keep(texts if once else texts.dropDuplicates(["id"]))
 
     low = clusters(bucket, texts, lambda line: char_shingles(line, width), SHARE, WHOLE,
-                   most=len)
+                   most=len, shingles=lambda lines: all_shingles(lines, width))
     # of each component, the first occurrence stays
     member = low.unionByName(low.select(F.col("low").alias("id"), "low").distinct())
     member = items.join(member, "id")

@@ -21,6 +21,7 @@ compared by 64-bit shingle hashes, classes by 128-bit fingerprints.
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,11 @@ class Circulant:
         self.shifts = np.lib.stride_tricks.sliding_window_view(
             np.concatenate([pi, pi[:coords]]), coords)
 
+    @cached_property
+    def rows(self) -> np.ndarray:
+        """``shifts`` by place before ``sigma``, for a small universe: one gather, of whole rows."""
+        return self.shifts[self.sigma]
+
     def places(self, hashes: np.ndarray) -> np.ndarray:
         return self.sigma[(hashes % np.uint64(self.positions)).astype(np.int64)]
 

@@ -2,8 +2,11 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from quill.llm.lines import MIN_CHARS, POSITIONS, WIDTH, canonical, char_shingles, cut_lines, dedup_lines, signatures
+from quill.llm import cluster
+from quill.llm.lines import (MIN_CHARS, POSITIONS, WIDTH, all_shingles, canonical, char_shingles, cut_lines,
+                             dedup_lines, signatures)
 from quill.llm.neardup import Circulant
 
 from llm_helpers import sentence
@@ -102,3 +105,51 @@ def test_signature_of_joined_lines_equals_single():
     same = (signatures([x], many, WIDTH) == signatures([y], many, WIDTH)).mean()
     assert abs(same - len(a & b) / len(a | b)) < 0.15
     assert np.array_equal(char_shingles("abc"), char_shingles("abc")) and len(char_shingles("abc")) == 1
+
+
+def test_signature_is_the_minimum_over_all_windows():
+    r = random.Random(8)
+    lines = ["".join(r.choice("abcdéש ") for _ in range(n)) for n in (7, 8, 21, 22, 23, 38, 39, 40, 300, 40_000, 7)]
+    circ = Circulant(32, 13, POSITIONS)
+    got = signatures(lines, circ, WIDTH)
+    for k, x in enumerate(lines):
+        alone = [signatures([x[j:j + WIDTH]], circ, WIDTH)[0] for j in range(min(len(x), 400) - WIDTH + 1)]
+        assert (got[k] == np.min(alone, axis=0)).all() if len(x) <= 400 else (got[k] <= np.min(alone, axis=0)).all()
+
+
+def test_pairs_of_lines_are_compared_together():
+    r = random.Random(9)
+
+    def line(n):
+        return "".join(r.choice("abcde é") for _ in range(n))
+
+    rows = []
+    for a in range(60):
+        x = line(r.choice([7, 8, 20, 200, 300])) if a != 30 else line(200_000)
+        for b in range(r.randrange(1, 9)):
+            y = r.choice([x, x[:-1] + "z", x[:len(x) * 9 // 10] + "zz", x * 2, "z" * 7, line(200)])
+            rows.append((a, 100 * a + b, x, y if len(y) >= WIDTH else x))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["a", "b", "ta", "tb"])
+    batches = [batch, batch.slice(0, 1), batch.slice(0, 0)]
+    calls = []
+
+    def shingles(lines):
+        calls.append(sum(len(x) for x in lines))
+        return all_shingles(lines)
+
+    def links(run):
+        return [x for b in run(iter(batches)) for x in b.to_pylist()]
+
+    for most in (len, None):
+        want = links(cluster._pairs(char_shingles, 80, 100, most))
+        assert {x["link"] for x in want} == {True, False}
+        calls.clear()
+        assert links(cluster._many_pairs(shingles, 80, 100, most)) == want
+        # the long line's pairs apart, all others in a few calls; never more than a few long lines at once
+        assert len(calls) < 50 and max(calls) < 3 * 200_000
+
+
+def test_shingles_of_many_lines_are_those_of_each():
+    for lines in (["abcdefg", "the same line", "日本語の行はここ", "x" * 50], ["abc", "the same line"]):
+        got, size = all_shingles(lines)
+        assert [np.unique(x).tolist() for x in np.split(got, np.cumsum(size)[:-1])] == [char_shingles(x).tolist() for x in lines]
