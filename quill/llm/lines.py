@@ -210,7 +210,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = keep(found.groupBy(*LINE).agg(
         first.alias("first"), F.sum("n").alias("n"), *[F.first(k).alias(k) for k in ks]).select(
         F.monotonically_increasing_id().alias("id"), *LINE, "first", "n",
-        F.when(F.col("k0").isNotNull(), F.array(*ks)).alias("keys")))
+        F.when(F.col("k0").isNotNull(), F.array(*ks)).alias("keys")),
+        **{"parquet.enable.dictionary": "false"})     # hashes hardly repeat
     bucket = buckets(lines.select("id", "keys"))
     # all that is asked of the lines in buckets, found once
     items = keep(lines.select("id", *LINE, "first").join(bucket.select("id").distinct(), "id"))
@@ -273,7 +274,8 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     text = F.col(text_col)
     same = (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_th"))
     out = docs.select(*cols).join(sized(drop, 48), same, "left")
-    n_lines = F.size(F.split(text, "\n", -1))
+    # no text is split just to count its lines
+    n_lines = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("int")
     cut = F.col("_drop").isNotNull() & (text != "")
     stay = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("_drop"))
     left = _picked(F.split(text, "\n", -1), stay)
