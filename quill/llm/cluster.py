@@ -8,13 +8,14 @@ decides a component is confirmed on the full shingle sets of both texts.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.common import arrow, keep, sized
+from quill.llm.common import arrow, keep, keep_counted, keep_sized, sized
 from quill.llm.graph import components
 from quill.llm.texts import overlap
 
@@ -33,9 +34,9 @@ def buckets(items: DataFrame) -> DataFrame:
     rows = items.select("id", F.explode("keys").alias("key"))
     # partial aggregation, then a join whose sides are plain shuffles: a key that
     # very many items share is split by AQE
-    hot = keep(rows.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("top"))
-               .filter("centre < top").select("key", "centre"))
-    return keep(rows.join(sized(hot), "key"))
+    _, hot, _ = keep_sized(rows.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("top"))
+                           .filter("centre < top").select("key", "centre"))
+    return keep(rows.join(hot, "key"))
 
 
 def _pairs(shingle: Shingle, share: int, whole: int, most: Callable[[str], int] | None):
@@ -185,9 +186,9 @@ def _block_pairs(side: DataFrame, texts: DataFrame, single: bool) -> DataFrame:
     each other). Items are dealt to blocks by hash, to as many as keep a block
     at about ``BLOCK`` texts and ``BLOCK_BYTES`` of text."""
     side = keep(side.join(texts.select("id", F.octet_length("text").cast("long").alias("bytes")), "id"))
-    parts = keep(side.groupBy("c", "left").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("parts")))
-    block = keep(side.drop("bytes").join(sized(parts, 32), ["c", "left"]).join(texts, "id")
+    _, parts, _ = keep_sized(side.groupBy("c", "left").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("parts")), 32)
+    block = keep(side.drop("bytes").join(parts, ["c", "left"]).join(texts, "id")
                  .groupBy("c", "left", F.pmod(F.xxhash64("id"), "parts").alias("part"))
                  .agg(F.collect_list(F.struct("id", "label", "text")).alias("rows")))
     # the list of block pairs first, so that blocks are joined by their own key
@@ -220,6 +221,9 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
        themselves are rows: no more than FEW / 2 an item;
     4. components again, over the graph contracted by the first ones.
 
+    A step that has no rows is left out: where the star has linked all there is to
+    link, nothing of 3 and 4 runs.
+
     ``most`` bounds a text's set size. ``shingles`` is ``shingle`` for many texts:
     pairs of short texts are then compared together.
     """
@@ -235,22 +239,30 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
     star = verify(bucket.filter("id <> centre")
                   .select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
     comp = keep(components(star))
-    size = keep(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size")))
-    label = keep(comp.join(sized(size), "comp").select(F.col("node").alias("id"), F.col("comp").alias("label"), "size"))
+    _, size, _ = keep_sized(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size")))
+    label = keep(comp.join(size, "comp").select(F.col("node").alias("id"), F.col("comp").alias("label"), "size"))
 
     at = (bucket.join(label, "id", "left")
           .select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size")))
-    split = keep(at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"),
-                                       F.max(F.struct("size", "label")).alias("top"))
-                 .filter("l0 < l1").select("key", F.col("top.size").alias("top"), F.col("top.label").alias("host")))
-    open_ = keep(at.join(sized(split, 32), "key").select("key", "id", "label", "top", "host"))
+    _, split, n_split = keep_sized(
+        at.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"),
+                              F.max(F.struct("size", "label")).alias("top"))
+        .filter("l0 < l1").select("key", F.col("top.size").alias("top"), F.col("top.label").alias("host")), 32)
+    starred = comp.select(F.col("node").alias("id"), F.col("comp").alias("low")).filter("low <> id")
+    if not n_split:
+        return starred
+    open_ = keep(at.join(split, "key").select("key", "id", "label", "top", "host"))
 
     # items beside the largest component of their bucket
-    meets = keep(open_.filter("top > 1 and label <> host")
-                 .select(F.col("host").alias("c"), F.lit(True).alias("left"), "id", "label").distinct())
-    hosts = keep(meets.select(F.col("c").alias("comp")).distinct())
-    side = meets.unionByName(comp.join(sized(hosts), "comp").select(
-        F.col("comp").alias("c"), F.lit(False).alias("left"), F.col("node").alias("id"), F.col("comp").alias("label")))
+    blocks = []
+    meets, n = keep_counted(open_.filter("top > 1 and label <> host")
+                            .select(F.col("host").alias("c"), F.lit(True).alias("left"), "id", "label").distinct(),
+                            rows=F.count(F.lit(1)))
+    if n["rows"]:
+        _, hosts, _ = keep_sized(meets.select(F.col("c").alias("comp")).distinct())
+        side = meets.unionByName(comp.join(hosts, "comp").select(
+            F.col("comp").alias("c"), F.lit(False).alias("left"), F.col("node").alias("id"), F.col("comp").alias("label")))
+        blocks.append(_block_pairs(side, texts, single=False))
     # these items with each other, and those of buckets without a component, where the
     # star has not compared them all. Buckets of the same items (copies agree in
     # several bands) are compared once
@@ -262,28 +274,35 @@ def clusters(bucket: DataFrame, texts: DataFrame, shingle: Shingle, share: int,
                                          F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x"))
                    .filter("l0 < l1 and (n > 2 or top > 1)")
                    .groupBy("n", "s", "x").agg(F.min("c").alias("c")).select("c", "n"))
-    many = several.filter(F.col("n") > FEW).select("c")
-    met = _block_pairs(side, texts, single=False).unionByName(
-        _block_pairs(lone.drop("top").join(sized(keep(many)), "c"), texts, single=True))
-    near = arrow(met, _blocks(shingle, share, whole), "a long, b long")
+    _, many, n_many = keep_sized(several.filter(F.col("n") > FEW).select("c"))
+    if n_many:
+        blocks.append(_block_pairs(lone.drop("top").join(many, "c"), texts, single=True))
+    met = [arrow(reduce(DataFrame.unionByName, blocks), _blocks(shingle, share, whole), "a long, b long")] if blocks else []
 
     # few items: their pairs, at most FEW / 2 rows an item, each pair once over all
     # buckets, and without what the star has compared
-    few = lone.select("c", "id", "label").join(sized(keep(several.filter(F.col("n") <= FEW).select("c"))), "c")
-    other = few.select("c", F.col("id").alias("other"), F.col("label").alias("its"))
-    pair = (few.join(other, "c").filter("id < other and label <> its")
-            .select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-            .join(bucket.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), ["a", "b"], "left_anti"))
-    near = near.unionByName(verify(pair))
+    _, short, n_short = keep_sized(several.filter(F.col("n") <= FEW).select("c"))
+    if n_short:
+        few = lone.select("c", "id", "label").join(short, "c")
+        other = few.select("c", F.col("id").alias("other"), F.col("label").alias("its"))
+        pair = (few.join(other, "c").filter("id < other and label <> its")
+                .select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
+                .join(bucket.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), ["a", "b"], "left_anti"))
+        met.append(verify(pair))
+    if not met:
+        return starred
+    near, n = keep_counted(reduce(DataFrame.unionByName, met).distinct(), rows=F.count(F.lit(1)))
+    if not n["rows"]:
+        return starred
 
     la = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
     lb = comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-    joined = (keep(near.distinct()).join(la, "a", "left").join(lb, "b", "left")
+    joined = (near.join(la, "a", "left").join(lb, "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    merged = keep(components(joined))
-    final = merged.select(F.col("node").alias("label"), F.col("comp").alias("top"))
+    merged, final, _ = keep_sized(components(joined))
+    final = final.select(F.col("node").alias("label"), F.col("comp").alias("top"))
     alone = merged.join(comp, "node", "left_anti").select("node", F.col("node").alias("label"))
     return keep(comp.select("node", F.col("comp").alias("label")).unionByName(alone)
-                .join(sized(final), "label", "left")
+                .join(final, "label", "left")
                 .select(F.col("node").alias("id"), F.coalesce("top", "label").alias("low"))
                 .filter("low <> id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,15 +51,35 @@ def _bytes(col: Column, kind: T.DataType) -> Column | None:
     return None
 
 
+def _measures(df: DataFrame) -> tuple[Column, Column]:
+    """The number of rows and the bytes of their columns of any length."""
+    more = [F.coalesce(b.cast("long"), F.lit(0)) for f in df.schema
+            if (b := _bytes(F.col(f.name), f.dataType)) is not None]
+    return F.count(F.lit(1)), F.coalesce(F.sum(sum(more, F.lit(0).cast("long"))), F.lit(0))
+
+
 def sized(df: DataFrame, row_bytes: int = 24, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` (already kept), marked for broadcast if its rows are measured to fit in
     ``limit`` bytes; otherwise as it is, and the join shuffles both sides. Columns
     of any length (arrays, texts) are summed up, ``row_bytes`` is a row without them."""
-    more = [F.coalesce(b.cast("long"), F.lit(0)) for f in df.schema
-            if (b := _bytes(F.col(f.name), f.dataType)) is not None]
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(more, F.lit(0).cast("long"))), F.lit(0))).first()
+    rows, size = df.agg(*_measures(df)).first()
     return F.broadcast(df) if rows * row_bytes + size <= limit else df
 
 
+def keep_counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``keep(df)``, and these aggregates of its rows, taken while they are written:
+    a job less, and so less of the driver's memory, than to ask the table for them."""
+    seen = Observation()
+    kept = keep(df.observe(seen, *[c.alias(name) for name, c in counts.items()]))
+    return kept, seen.get
+
+
+def keep_sized(df: DataFrame, row_bytes: int = 24, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame, int]:
+    """``keep(df)``, the same as ``sized`` marks it, and its number of rows."""
+    rows, size = _measures(df)
+    kept, n = keep_counted(df, rows=rows, size=size)
+    return kept, F.broadcast(kept) if n["rows"] * row_bytes + n["size"] <= limit else kept, n["rows"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.llm.cluster import buckets, clusters
-from quill.llm.common import arrow, keep, sized
+from quill.llm.common import arrow, keep, keep_sized, sized
 from quill.llm.neardup import Circulant, band_keys
 from quill.llm.texts import mix
 
@@ -215,10 +215,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bucket = buckets(lines.select("id", "keys"))
     # all that is asked of the lines in buckets, found once
     items = keep(lines.select("id", *LINE, "first").join(bucket.select("id").distinct(), "id"))
-    wanted = keep(items.groupBy(F.col("first.doc").alias("doc"), F.col("first.th").alias("th"))
-                  .agg(F.collect_list(F.struct("id", F.col("first.no").alias("no"))).alias("wanted"))
-                  .select(F.col("doc").alias("id"), "th", F.col("wanted.id").alias("ids"), F.col("wanted.no").alias("nos")))
-    texts = arrow(src.join(sized(wanted, 72), ["id", "th"]).select("text", "ids", "nos"), _chosen, "id long, text string")
+    _, wanted, _ = keep_sized(items.groupBy(F.col("first.doc").alias("doc"), F.col("first.th").alias("th"))
+                              .agg(F.collect_list(F.struct("id", F.col("first.no").alias("no"))).alias("wanted"))
+                              .select(F.col("doc").alias("id"), "th", F.col("wanted.id").alias("ids"), F.col("wanted.no").alias("nos")), 72)
+    texts = arrow(src.join(wanted, ["id", "th"]).select("text", "ids", "nos"), _chosen, "id long, text string")
     texts = keep(texts if once else texts.dropDuplicates(["id"]))
 
     low = clusters(bucket, texts, lambda line: char_shingles(line, width), SHARE, WHOLE,
@@ -228,12 +228,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = items.join(member, "id")
     stays = keep(member.groupBy("low").agg(F.min("first").alias("stays")))
     fuzzy = keep(member.join(stays, "low").select(*LINE, "stays"))
-    again = keep(lines.filter("n > 1").select(*LINE, "first")
-                 .join(fuzzy, LINE, "left_anti").select(*LINE, F.col("first").alias("stays"))
-                 .unionByName(fuzzy))
+    _, again, _ = keep_sized(lines.filter("n > 1").select(*LINE, "first")
+                             .join(fuzzy, LINE, "left_anti").select(*LINE, F.col("first").alias("stays"))
+                             .unionByName(fuzzy), 64)
     # occurrences come from a second, light pass: the first one carries the keys
     seen = arrow(src, _hashed(min_chars), "h1 long, h2 long, doc long, th long, no int")
-    return keep(seen.join(sized(again, 64), LINE)
+    return keep(seen.join(again, LINE)
                 .filter((F.col("doc") != F.col("stays.doc")) | (F.col("th") != F.col("stays.th"))
                         | (F.col("no") != F.col("stays.no")))
                 .groupBy("doc", "th").agg(F.collect_set("no").alias("drop")))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.llm.cluster import buckets, clusters
-from quill.llm.common import arrow, keep, sized
+from quill.llm.common import arrow, keep, keep_sized
 from quill.llm.texts import mix, word_shingles
 
 WORDS, SHARE, WHOLE = 5, 75, 100     # link if 100 * intersection >= 75 * union
@@ -115,8 +115,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = keep(member.filter("id = rep").select("id", "n", "keys"))
 
     bucket = buckets(reps.select("id", "keys"))
-    ids = keep(bucket.select("id").distinct())
-    texts = keep(src.join(sized(ids), "id", "left_semi").dropDuplicates(["id"]))
+    _, ids, _ = keep_sized(bucket.select("id").distinct())
+    texts = keep(src.join(ids, "id", "left_semi").dropDuplicates(["id"]))
     low = (clusters(bucket, texts, lambda text: word_shingles(text, words), SHARE, WHOLE)
            .withColumnRenamed("id", "rep"))
     rep_of = sig.join(same, "fp", "left").select(
@@ -132,12 +132,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The rows of ``docs`` without near-duplicates: of each group the document
     with the smallest id stays, once if rows repeat that id."""
     found = keep(near_duplicates(docs, id_col, text_col, **options).select("doc_id", "kept"))
-    gone = keep(found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    out = docs.join(sized(gone), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
-    again = keep(found.filter("kept and doc_id is not null").groupBy("doc_id")
-                 .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")))
-    if not again.count():
+    _, gone, _ = keep_sized(found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct())
+    out = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    _, again, n = keep_sized(found.filter("kept and doc_id is not null").groupBy("doc_id")
+                             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")))
+    if not n:
         return out
     is_again = F.col(id_col).cast("long") == F.col("_again")
-    once = out.join(sized(again), is_again, "left_semi").dropDuplicates([id_col])
-    return out.join(sized(again), is_again, "left_anti").unionByName(once)
+    once = out.join(again, is_again, "left_semi").dropDuplicates([id_col])
+    return out.join(again, is_again, "left_anti").unionByName(once)
